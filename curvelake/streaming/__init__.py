@@ -1,0 +1 @@
+"""Intentionally empty: every dataset in scope is a bounded snapshot (see README)."""
