@@ -8,8 +8,11 @@ dispersion ``r`` (variance ``mu + mu**2 / r``).
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,9 @@ _LANCZOS = (
     9.9843695780195716e-6, 1.5056327351493116e-7,
 )
 _HALF_LOG_2PI = 0.9189385332046727
+# Ship these helpers with the tasks, so that workers need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY, _EPS = np.finfo(float).tiny, np.finfo(float).eps
 
 

@@ -169,14 +169,13 @@ def bootstrap_dispersion(training: DataFrame, fits: DataFrame, rules: Calibratio
     summed = drawn.groupBy("stat", "replicate", "first", "step").agg(
         F.sum("times").alias("drawn_rows"),
         *[F.sum(F.col("times") * F.col(f"c{i}")).alias(f"c{i}") for i in range(BOOTSTRAP_NODES)])
-    costs = F.array(*[f"c{i}" for i in range(BOOTSTRAP_NODES)])
-    place, _, bend = refine_on_grid(F.col("costs"), F.col("first"), F.col("step"))
-    best = F.array_position("costs", F.array_min("costs")) - 1
-    span_tolerance = F.greatest(F.lit(1e-5), (hi - lo) * 1e-5)
-    return summed.withColumn("costs", costs).select(
-        "stat", "replicate", "drawn_rows", place.alias("log_dispersion"),
-        ((best > 0) & (best < BOOTSTRAP_NODES - 1) & (bend > 0)).alias("converged"),
-        ((place - lo <= span_tolerance) | (hi - place <= span_tolerance)).alias("bound_hit"))
+    found = refine_on_grid(summed.withColumn("costs", F.array(*[f"c{i}" for i in range(BOOTSTRAP_NODES)])),
+                           F.col("first"), F.col("step"))
+    x, best, tolerance = F.col("x"), F.col("best"), F.greatest(F.lit(1e-5), (hi - lo) * 1e-5)
+    return found.select(
+        "stat", "replicate", "drawn_rows", x.alias("log_dispersion"),
+        ((best > 0) & (best < BOOTSTRAP_NODES - 1) & (F.col("curvature") > 0)).alias("converged"),
+        ((x - lo <= tolerance) | (hi - x <= tolerance)).alias("bound_hit"))
 
 
 def bootstrap_summary(replicates: DataFrame, rules: CalibrationRules) -> DataFrame:

@@ -13,7 +13,7 @@ fits and all validation folds together:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvelake.functions.numeric import half_life_weight, is_finite, pipe_join
@@ -73,19 +73,26 @@ def power_fits(obs: DataFrame, rules: HistoryRules) -> DataFrame:
     packed = located.groupBy(*FIT).agg(
         F.array_sort(F.collect_list(F.struct("node", "b", "g", "dg"))).alias("nodes"),
         *[F.max(c).alias(c) for c in ("n", "wn", "wy", "wxy", "wlg")], F.first("seasons").alias("seasons"))
-    # The score g rises with the exponent: bracket its zero between two nodes.
+    # The score g rises with the exponent: bracket its zero between two nodes, then
+    # solve the cubic that matches g and its slope at both.
     below = F.size(F.filter("nodes", lambda s: s["g"] <= 0))
-    left = F.get("nodes", F.greatest(F.lit(0), F.least(below - 1, F.lit(GRID_NODES - 2))))
-    right = F.get("nodes", F.greatest(F.lit(1), F.least(below, F.lit(GRID_NODES - 1))))
-    h = F.lit(step)
-    g0, g1, d0, d1 = left["g"], right["g"], left["dg"] * h, right["dg"] * h
-    u = g0 / (g0 - g1)
-    for _ in range(4):
-        cubic = (g0 + d0 * u + (3.0 * (g1 - g0) - 2.0 * d0 - d1) * u * u + (2.0 * (g0 - g1) + d0 + d1) * u * u * u)
-        slope = (d0 + 2.0 * (3.0 * (g1 - g0) - 2.0 * d0 - d1) * u + 3.0 * (2.0 * (g0 - g1) + d0 + d1) * u * u)
-        u = F.greatest(F.lit(0.0), F.least(F.lit(1.0), u - cubic / slope))
-    start = packed.withColumn("b", F.coalesce(F.when(below == 0, F.lit(lo)).when(
-        below == GRID_NODES, F.lit(hi)).otherwise(left["b"] + u * h), F.lit(1.0))).drop("nodes")
+    bracketed = packed.withColumn("below", below).withColumns({
+        "left": F.get("nodes", F.greatest(F.lit(0), F.least(F.col("below") - 1, F.lit(GRID_NODES - 2)))),
+        "right": F.get("nodes", F.greatest(F.lit(1), F.least(F.col("below"), F.lit(GRID_NODES - 1))))})
+    g0, g1 = F.col("left.g"), F.col("right.g")
+    d0, d1 = F.col("left.dg") * step, F.col("right.dg") * step
+    bracketed = bracketed.withColumn("cubic", F.struct(
+        g0.alias("c0"), d0.alias("c1"), (3.0 * (g1 - g0) - 2.0 * d0 - d1).alias("c2"), (2.0 * (g0 - g1) + d0 + d1).alias("c3")))
+    c0, c1, c2, c3 = (F.col(f"cubic.{n}") for n in ("c0", "c1", "c2", "c3"))
+
+    def newton(u: Column, _: Column) -> Column:
+        value, slope = c0 + c1 * u + c2 * u * u + c3 * u * u * u, c1 + 2.0 * c2 * u + 3.0 * c3 * u * u
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), u - F.coalesce(F.try_divide(value, slope), F.lit(0.0))))
+
+    inside = F.aggregate(F.sequence(F.lit(1), F.lit(5)), F.coalesce(F.try_divide(g0, g0 - g1), F.lit(0.5)), newton)
+    start = bracketed.withColumn("b", F.when(F.col("below") == 0, F.lit(lo)).when(
+        F.col("below") == GRID_NODES, F.lit(hi)).otherwise(F.col("left.b") + inside * step)).drop(
+            "nodes", "below", "left", "right", "cubic")
 
     # Pass 2: sums at each fit's own exponent, up to and including the next season.
     matched = obs.join(F.broadcast(start.select(*FIT, "b")), "stat").filter(

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-from curvelake.rules import HistoryRules
-
 CHECKS = "name string, passed boolean, severity string, message string, details map<string,string>"
 
 ALIASES = "source string, raw_player_name string, canonical_player_id string, canonical_player_name string, notes string"
@@ -46,8 +42,3 @@ CONTRACT_SNAPSHOT = """
         source_urls: struct<market_api: string>>>,
     _corrupt_record string
 """
-
-
-def weekly_schema(header: list[str], rules: HistoryRules) -> T.StructType:
-    """Explicit schema for a weekly-history header: identity columns as text, the rest as text to coerce."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in header])
