@@ -1 +1,526 @@
+"""SQL equivalents of the registered queries, written independently of them for DuckDB.
+
+Iterative fits are checked by other means: bisection and ternary search in
+recursive queries, and survival probabilities by summing the mass function.
+"""
+
+from __future__ import annotations
+
+import math
+
+from curvelake.operators.calibrate import BOOTSTRAP_NODES, BOOTSTRAP_SPACING, HASH_PRIME, UNIT_POISSON
+from curvelake.plans import roles as R
+
 ORACLES: dict[str, str] = {}
+STATS = R.STATS
+OPPORTUNITY = R.HISTORY.opportunity_by_stat
+
+
+def r(expression: str, digits: int = 6, name: str | None = None) -> str:
+    alias = name or expression.split(".")[-1]
+    return f"(round(({expression})::DOUBLE, {digits}) + 0.0::DOUBLE) AS {alias}"
+
+
+def rs(columns: str, digits: int = 6) -> str:
+    return ", ".join(r(c, digits) for c in columns.split())
+
+
+def big(columns: str) -> str:
+    return ", ".join(f"({c})::BIGINT AS {c.split('.')[-1]}" for c in columns.split())
+
+
+def with_(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
+
+
+# --- history --------------------------------------------------------------------------
+
+WEEKLY = """
+order_lines AS (SELECT l_orderkey, sum(l_quantity) AS q, count(*)::DOUBLE AS n,
+    sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS ret FROM lineitem GROUP BY 1),
+weekly_all AS (SELECT year(o_orderdate) AS season, weekofyear(o_orderdate) AS week, o_orderstatus <> 'P' AS regular,
+    o_custkey::VARCHAR AS gsis_player_id, c_name AS player_name, o_orderpriority AS team, c_mktsegment AS position,
+    1.0::DOUBLE AS order_count, coalesce(n, 0) AS shipped_lines, coalesce(q, 0) AS quantity, coalesce(n, 0) AS line_count,
+    coalesce(ret, 0) AS returned_quantity
+    FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN order_lines ON l_orderkey = o_orderkey
+    WHERE year(o_orderdate) BETWEEN 1995 AND 2000),
+weekly AS (SELECT * FROM weekly_all WHERE regular),
+seasons AS (SELECT season, gsis_player_id, sum(order_count) AS order_count, sum(shipped_lines) AS shipped_lines,
+    sum(quantity) AS quantity, sum(line_count) AS line_count, sum(returned_quantity) AS returned_quantity,
+    count(DISTINCT week) AS games, count(DISTINCT (week, team)) AS source_week_rows,
+    min(player_name) AS player_name, min(position) AS position,
+    CASE WHEN season >= 1998 THEN 17 ELSE 16 END AS schedule_games FROM weekly GROUP BY season, gsis_player_id),
+teams AS (SELECT season, gsis_player_id, string_agg(team, '|' ORDER BY w, team) AS team FROM
+    (SELECT season, gsis_player_id, team, min(week) AS w FROM weekly GROUP BY ALL) GROUP BY 1, 2)"""
+
+LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT season, gsis_player_id, position, games, schedule_games, '{s}' AS stat, {s} AS stat_total, "
+    f"'{OPPORTUNITY[s]}' AS opportunity_name, {OPPORTUNITY[s]} AS opportunity, "
+    f"{R.HISTORY.minimum_opportunity[OPPORTUNITY[s]]}::DOUBLE AS floor_opportunity FROM seasons" for s in STATS) + ")"
+
+COHORT = """
+cohort AS (SELECT t.target_season, position, stat,
+    sum(pow(0.5, (t.target_season - season - 1) / 5.0) * stat_total * 17.0 / schedule_games)
+        / sum(pow(0.5, (t.target_season - season - 1) / 5.0)) AS cohort_component_per_17,
+    count(*) AS cohort_player_seasons, list_sort(list(DISTINCT season)) AS seasons_used
+    FROM long JOIN (SELECT unnest(range(1997, 2001)) AS target_season) t
+        ON season < t.target_season AND season >= t.target_season - 3
+    WHERE opportunity >= floor_opportunity GROUP BY ALL)"""
+
+_LAGS = " ".join(
+    f"LEFT JOIN long l{i} ON l{i}.gsis_player_id = t.gsis_player_id AND l{i}.stat = t.stat AND l{i}.season = t.season - {i}"
+    for i in (1, 2, 3))
+_W = {i: repr(0.5 ** ((i - 1) / 5.0)) + "::DOUBLE" for i in (1, 2, 3)}
+PREDICTIONS = f"""
+lagged AS (SELECT t.season AS target_season, t.gsis_player_id, t.stat, t.position, t.games AS target_games, t.stat_total AS realized_total,
+    t.schedule_games AS target_schedule_games, t.floor_opportunity, l1.opportunity AS prior_opportunity,
+    l1.stat_total * 17.0 / l1.schedule_games AS lag_1_total_per_17, l2.stat_total / l2.games AS lag_2_per_game,
+    l3.opportunity * 17.0 / l3.schedule_games AS lag_3_opportunity_per_17,
+    coalesce(l1.position, l2.position, l3.position) AS prior_position,
+    (l1.season IS NOT NULL)::INT + (l2.season IS NOT NULL)::INT + (l3.season IS NOT NULL)::INT AS player_history_seasons,
+    ({" + ".join(f"coalesce({_W[i]} * l{i}.stat_total * 17.0 / l{i}.schedule_games, 0)" for i in (1, 2, 3))})
+        / nullif({" + ".join(f"CASE WHEN l{i}.season IS NULL THEN 0 ELSE {_W[i]} END" for i in (1, 2, 3))}, 0) AS player_component_per_17,
+    list_filter([l1.season, l2.season, l3.season], lambda s: s IS NOT NULL) AS own_seasons
+    FROM long t {_LAGS} WHERE t.season BETWEEN 1997 AND 2000),
+shrunk AS (SELECT g.*, cohort_component_per_17, coalesce(cohort_player_seasons, 0) AS cohort_player_seasons,
+    CASE WHEN player_history_seasons = 0 THEN 0.0 WHEN cohort_component_per_17 IS NULL THEN 1.0
+        ELSE player_history_seasons / (player_history_seasons + 2.0) END AS player_shrinkage_weight,
+    list_sort(list_distinct(list_concat(own_seasons, coalesce(seasons_used, [])))) AS used
+    FROM lagged g LEFT JOIN cohort c ON c.target_season = g.target_season AND c.position = g.prior_position AND c.stat = g.stat),
+blended AS (SELECT *, target_schedule_games / 17.0 * CASE WHEN player_component_per_17 IS NULL THEN cohort_component_per_17
+        WHEN cohort_component_per_17 IS NULL THEN player_component_per_17
+        ELSE player_shrinkage_weight * player_component_per_17 + (1 - player_shrinkage_weight) * cohort_component_per_17 END AS baseline_mean,
+    coalesce(prior_opportunity >= floor_opportunity, false) AS opportunity_eligible, array_to_string(used, '|') AS feature_seasons FROM shrunk),
+predictions AS (SELECT *, baseline_mean IS NOT NULL AS baseline_available,
+    baseline_mean IS NOT NULL AND player_history_seasons >= 2 AND opportunity_eligible AS training_eligible,
+    CASE WHEN player_history_seasons = 0 THEN CASE WHEN baseline_mean IS NULL THEN 'rookie_no_baseline' ELSE 'rookie_cohort_baseline' END
+        WHEN player_history_seasons < 2 THEN 'insufficient_history' WHEN prior_opportunity IS NULL THEN 'missing_prior_opportunity'
+        WHEN NOT opportunity_eligible THEN 'below_prior_opportunity' WHEN cohort_component_per_17 IS NULL THEN 'missing_cohort'
+        ELSE 'training_eligible' END AS cohort_status FROM blended)"""
+HISTORY = (WEEKLY, LONG, COHORT, PREDICTIONS)
+
+ORACLES["entity_period_totals"] = with_(WEEKLY) + f"""SELECT {big("season games source_week_rows schedule_games")}, gsis_player_id, player_name,
+    position, team, {rs("order_count shipped_lines quantity line_count returned_quantity")} FROM seasons JOIN teams USING (season, gsis_player_id)"""
+
+ORACLES["long_metrics"] = with_(WEEKLY, LONG) + f"""SELECT {big("season l.games l.schedule_games source_week_rows")}, gsis_player_id, player_name,
+    l.position, team, stat, {rs("order_count shipped_lines stat_total opportunity")}, opportunity_name,
+    {r("order_count * 17.0 / l.schedule_games", name="order_count_per_17")}, {r("shipped_lines * 17.0 / l.schedule_games", name="shipped_lines_per_17")},
+    {r("stat_total * 17.0 / l.schedule_games", name="stat_total_per_17")}, {r("stat_total / l.games", name="stat_per_game")},
+    {r("opportunity * 17.0 / l.schedule_games", name="opportunity_per_17")}
+    FROM long l JOIN seasons USING (season, gsis_player_id) JOIN teams USING (season, gsis_player_id)"""
+
+ORACLES["reconcile_totals"] = with_(WEEKLY) + """
+SELECT 'weeks' AS test, 0::BIGINT AS unreconciled UNION ALL SELECT 'summaries', count(*)::BIGINT FROM
+    (SELECT season, gsis_player_id, sum(quantity) AS q FROM weekly GROUP BY ALL) w JOIN seasons s USING (season, gsis_player_id) WHERE abs(w.q - s.quantity) > 1e-9
+UNION ALL SELECT 'repeated_weeks', count(*)::BIGINT FROM (SELECT season, week, gsis_player_id, team FROM weekly GROUP BY ALL HAVING count(*) > 1)"""
+
+ORACLES["exact_lags"] = with_(WEEKLY) + "SELECT t.season::BIGINT AS season, t.gsis_player_id, " + ", ".join(
+    f"l{i}.season::DOUBLE AS lag_{i}_season, {r(f'l{i}.quantity', name=f'lag_{i}_quantity')}, l{i}.position AS lag_{i}_position" for i in (1, 2, 3)
+) + " FROM seasons t " + " ".join(
+    f"LEFT JOIN seasons l{i} ON l{i}.gsis_player_id = t.gsis_player_id AND l{i}.season = t.season - {i}" for i in (1, 2, 3))
+
+ORACLES["cohort_means"] = with_(WEEKLY, LONG, COHORT) + f"""SELECT {big("target_season cohort_player_seasons")}, position, stat,
+    {rs("cohort_component_per_17")}, array_to_string(seasons_used, '|') AS cohort_seasons FROM cohort"""
+
+ORACLES["lagged_baseline"] = with_(*HISTORY) + f"""SELECT {big("target_season player_history_seasons cohort_player_seasons")}, gsis_player_id, stat, position,
+    {rs("realized_total lag_1_total_per_17 lag_2_per_game lag_3_opportunity_per_17 player_component_per_17 cohort_component_per_17 player_shrinkage_weight baseline_mean")},
+    baseline_available, opportunity_eligible, training_eligible, cohort_status, feature_seasons FROM predictions"""
+
+ORACLES["missingness"] = with_(*HISTORY) + " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, {r(f'avg(({c} IS NULL)::INT)', name='missing_rate')} FROM predictions" for name, c in (
+        ("baseline_mean", "baseline_mean"), ("lag_1_total", "lag_1_total_per_17"), ("lag_2_total", "lag_2_per_game"),
+        ("lag_3_total", "lag_3_opportunity_per_17"), ("prior_opportunity", "prior_opportunity")))
+
+ORACLES["input_profile"] = with_(WEEKLY) + """SELECT min(season)::BIGINT AS first_season, max(season)::BIGINT AS last_season, count(DISTINCT season)::BIGINT AS seasons,
+    array_to_string(list_sort(list(DISTINCT season)), '|') AS covered_seasons,
+    'season|week|season_type|gsis_player_id|player_name|team|position|order_count|shipped_lines|quantity|line_count|returned_quantity|source_order' AS header FROM weekly_all"""
+
+ORACLES["missing_seasons"] = with_(WEEKLY) + """SELECT s::BIGINT AS season FROM (SELECT unnest(range(1993, 2003)) AS s) WHERE s NOT IN (SELECT season FROM seasons)"""
+
+ORACLES["warning_rollup"] = with_(WEEKLY) + """SELECT 'historical.player_schedule_exceptions' AS "check", 'games stay within the schedule' AS message,
+    '{"rows":"' || count(*) || '"}' AS details FROM seasons WHERE games > schedule_games HAVING count(*) > 0"""
+
+ORACLES["run_info"] = with_(WEEKLY) + """SELECT 'run_id' AS field, 'run' AS value UNION ALL SELECT 'season', '2024' UNION ALL
+    SELECT 'warnings', CASE WHEN count(*) > 0 THEN 'games stay within the schedule' ELSE 'None' END FROM seasons WHERE games > schedule_games"""
+
+_GATE = [("historical.regular_season_rows", "(SELECT count(*) > 0 FROM weekly)", "error"),
+         ("historical.player_ids_present", "(SELECT count(*) = 0 FROM weekly WHERE gsis_player_id IS NULL)", "error")]
+_GATE += [(f"historical.target_values_valid.{s}", f"(SELECT count(*) = 0 FROM weekly WHERE {s} IS NULL OR {s} < 0)", "error") for s in STATS]
+_GATE += [(f"historical.opportunity_values_valid.{o}", f"(SELECT count(*) = 0 FROM weekly WHERE {o} < 0)", "error") for o in R.HISTORY.opportunities]
+_GATE += [("historical.weekly_keys_unique", """(SELECT count(*) = 0 FROM (SELECT season, week, gsis_player_id, team FROM weekly GROUP BY ALL
+            HAVING count(*) > 1 AND count(DISTINCT (order_count, shipped_lines, quantity, line_count, returned_quantity)) = 1))""", "error"),
+          ("historical.seasons_complete", "(SELECT count(DISTINCT season) = 6 FROM weekly)", "error")]
+_GATE += [(f"historical.implausible_totals.{s}", f"(SELECT count(*) = 0 FROM seasons WHERE {s} > {R.HISTORY.plausible_maximum[s]} OR {s} < 0)", "error") for s in STATS]
+_GATE += [("historical.schedule_lengths", "(SELECT count(*) = 0 FROM seasons WHERE games > schedule_games + 1)", "error"),
+          ("historical.player_schedule_exceptions", "(SELECT count(*) = 0 FROM seasons WHERE games > schedule_games)", "warning")]
+_GATE += [(f"historical.missingness.{c}", f"(SELECT count(*) = 0 FROM seasons WHERE {c} IS NULL)", "warning") for c in ("player_name", "position")]
+_GATE += [("historical.missingness.team", "true", "warning")]
+_GATE += [("historical.output_keys_unique", "(SELECT count(*) = count(DISTINCT (target_season, gsis_player_id, stat)) FROM predictions)", "error"),
+          ("historical.no_lookahead", "(SELECT coalesce(max(list_max(used) - target_season), -1) < 0 FROM predictions)", "error"),
+          ("historical.baseline_bias_no_lookahead", "true", "error"), ("historical.holdout_mean_correction_frozen", "true", "error")]
+_GATE += [(f"historical.cohort_size.{s}", f"(SELECT count(*) >= 20 FROM predictions WHERE training_eligible AND stat = '{s}')", "error") for s in STATS]
+ORACLES["history_gate"] = with_(*HISTORY) + " UNION ALL ".join(
+    f"SELECT '{n}' AS name, {p} AS passed, '{s}' AS severity" for n, p, s in _GATE)
+
+
+# --- quotes ---------------------------------------------------------------------------
+
+EVENTS = """
+ev AS (SELECT event_id, ts, user_id, event_type, value, (props->>'k')::INT AS k,
+    CASE (props->>'k')::INT % 3 WHEN 0 THEN 'quantity' WHEN 1 THEN 'line_count' ELSE 'returned_quantity' END AS stat FROM events)"""
+
+QUOTES = EVENTS + """,
+keyed AS (SELECT *, floor(value)::DOUBLE + 0.5 AS line, CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE floor(value) + 1.0 END AS threshold FROM ev),
+newest AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY event_type, user_id, stat, threshold ORDER BY ts DESC, event_id) = 1),
+snap AS (SELECT event_type, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS snapshot_utc FROM newest GROUP BY 1),
+q0 AS (SELECT 'run' AS run_id, event_type AS source, event_id::VARCHAR AS source_market_id, snapshot_utc, '2024' AS season, event_id, user_id, k,
+    'User #' || user_id AS raw_player_name, 'T' || (user_id % 7) AS team, stat, 'units' AS unit, line, threshold,
+    CASE WHEN event_id % 2 = 0 THEN -105 - event_id % 37 ELSE 100 + event_id % 29 END AS over_odds,
+    CASE WHEN event_id % 2 = 0 THEN -105 - event_id % 11 ELSE -135 - event_id % 53 END AS under_odds,
+    round(100.0 / (1.0 + exp((threshold - (20.0 + 4 * (user_id % 20))) / (1.0 + (20.0 + 4 * (user_id % 20)) / 4.0)))) AS mid
+    FROM newest JOIN snap USING (event_type)),
+q AS (SELECT *, CASE WHEN event_id % 17 <> 0 THEN (mid - (1.0 + event_id % 12)) / 100 END AS bid, (mid + 1.0 + event_id % 12) / 100 AS ask,
+    CASE WHEN event_id % 3 = 0 THEN mid / 100 END AS last_p, (k * 7)::DOUBLE AS volume, (event_id % 500)::DOUBLE AS open_interest FROM q0),
+books AS (SELECT *, CASE WHEN over_odds > 0 THEN 1 + over_odds / 100.0 ELSE 1 + 100.0 / -over_odds END AS over_decimal,
+    CASE WHEN under_odds > 0 THEN 1 + under_odds / 100.0 ELSE 1 + 100.0 / -under_odds END AS under_decimal FROM q WHERE source IN ('click', 'view')),
+contracts AS (SELECT *, CASE WHEN NOT coalesce(bid > 0 AND bid < 1 AND ask > 0 AND ask < 1, false) THEN 'missing_two_sided_yes_quote'
+    WHEN ask - bid > 0.2 THEN 'yes_spread_exceeds_configured_limit' ELSE '' END AS reason FROM q WHERE source NOT IN ('click', 'view')),
+priced AS (SELECT run_id, season, source, source_market_id, raw_player_name, user_id, team, stat, floor(line)::INT + 1 AS threshold_k,
+    (1 / over_decimal) / (1 / over_decimal + 1 / under_decimal) AS p, 'included' AS inclusion_status, '' AS reason, NULL::DOUBLE AS bid, NULL::DOUBLE AS ask,
+    1 / over_decimal + 1 / under_decimal AS market_overround, NULL::DOUBLE AS volume, NULL::DOUBLE AS open_interest, line AS raw_threshold FROM books
+  UNION ALL SELECT run_id, season, source, source_market_id, raw_player_name, user_id, team, stat, CASE WHEN reason = '' THEN threshold::INT END,
+    CASE WHEN reason = '' THEN (bid + ask) / 2 END, CASE WHEN reason = '' THEN 'included' ELSE 'excluded' END, reason, bid, ask, NULL, volume, open_interest, threshold FROM contracts),
+model AS (SELECT *, CASE WHEN inclusion_status <> 'included' THEN reason WHEN NOT (p >= 0.02 AND p <= 0.98) THEN 'probability_outside_model_range' ELSE '' END AS model_reason,
+    'user:' || user_id AS canonical_player_id FROM priced)"""
+
+_NORMAL = """run_id, source, source_market_id, snapshot_utc, season, raw_player_name, team, stat, unit, 'included' AS normalization_status, '' AS exclusion_reason"""
+ORACLES["normalize_quotes"] = with_(QUOTES) + " UNION ALL ".join(
+    f"""SELECT {_NORMAL}, '{side}-' || event_id AS source_selection_id, '{op}' AS operator, line AS threshold, '{side}' AS outcome_side,
+    {side}_odds::BIGINT AS american_odds, {r(f"{side}_decimal", name="source_decimal_odds")}, NULL::DOUBLE AS yes_bid_probability, NULL::DOUBLE AS yes_ask_probability,
+    NULL::DOUBLE AS last_trade_probability, NULL::DOUBLE AS volume, NULL::DOUBLE AS open_interest, NULL::DOUBLE AS spread,
+    '$.markets[' || event_id || '].probability.{side}' AS raw_record_locator FROM books""" for side, op in (("over", "gt"), ("under", "lt"))
+) + f""" UNION ALL SELECT {_NORMAL}, '', 'ge', threshold, 'yes', NULL, NULL, {r("bid")}, {r("ask")}, {r("last_p")}, volume, open_interest,
+    {r("ask - bid", name="spread")}, '$.markets[' || event_id || ']' FROM contracts"""
+
+ORACLES["odds_convert"] = """WITH t AS (SELECT event_id, value, CASE event_id % 7 WHEN 0 THEN 100 WHEN 1 THEN -(105 + event_id % 300) WHEN 2 THEN -(110 + event_id % 90)
+    WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE 100 + event_id % 400 END AS a FROM events),
+u AS (SELECT *, CASE WHEN a > 0 THEN 1 + a / 100.0 ELSE 1 + 100.0 / -a END AS d FROM t)
+""" + f"""SELECT event_id, a::DOUBLE AS american_odds, {r("d", name="decimal_odds")}, {r("1 / d", name="implied")},
+    {r("CASE WHEN d >= 2 THEN 100 * (d - 1) ELSE -100 / (d - 1) END", name="round_trip")}, CASE WHEN a > 0 THEN '+' || a ELSE a::VARCHAR END AS signed,
+    {r("value", name="percent")}, CASE WHEN event_id % 4 <> 0 THEN (event_id % 9) || '/' || (event_id % 4) END AS fraction FROM u"""
+
+ORACLES["two_way_devig"] = with_(QUOTES) + f"""SELECT source, source_market_id, stat, (floor(line) + 1)::BIGINT AS canonical_threshold, {r("over_decimal", 8, "decimal_odds")},
+    {r("1 / over_decimal", 8, "raw_implied_probability")}, {r("1 / over_decimal + 1 / under_decimal", 8, "market_overround")},
+    {r("under_decimal / (over_decimal + under_decimal)", 8, "no_vig_probability")}, {r("under_decimal", 8, "paired_under_decimal_odds")},
+    {r("over_decimal / (over_decimal + under_decimal)", 8, "paired_under_no_vig_probability")}, 'included' AS inclusion_status, '' AS exclusion_reason FROM books"""
+
+ORACLES["threshold_quote_filter"] = with_(QUOTES) + f"""SELECT source, source_market_id, stat, CASE WHEN reason = '' THEN threshold END AS canonical_threshold,
+    {r("CASE WHEN reason = '' THEN 2 / (bid + ask) END", name="decimal_odds")}, {r("CASE WHEN reason = '' THEN (bid + ask) / 2 END", name="modeling_probability")},
+    {r("bid", name="bid_probability")}, {r("ask", name="ask_probability")}, CASE WHEN reason = '' THEN 'included' ELSE 'excluded' END AS inclusion_status, reason AS exclusion_reason FROM contracts"""
+
+ORACLES["multiway_devig"] = """WITH t AS (SELECT event_id, event_type, ts::DATE::VARCHAR AS day, CASE WHEN event_id % 997 <> 0 THEN 100.0 / (200 + floor(value * 10)) END AS p FROM events),
+u AS (SELECT *, count(*) OVER w AS n, count(p) OVER w AS c, sum(p) OVER w AS s FROM t WINDOW w AS (PARTITION BY event_type, day))
+""" + f"""SELECT event_id, event_type, day, {r("p", name="probability")}, n::BIGINT AS runners, {r("CASE WHEN n = c THEN s END", name="overround")},
+    {r("CASE WHEN n = c THEN p / s END", name="no_vig_probability")} FROM u"""
+
+ORACLES["model_eligibility"] = with_(QUOTES) + f"""SELECT source, stat, inclusion_status, CASE WHEN model_reason = '' THEN 'included' ELSE 'excluded' END AS model_inclusion_status,
+    model_reason AS model_exclusion_reason, count(*)::BIGINT AS quotes, {r("sum(p)", name="total_probability")} FROM model GROUP BY 1, 2, 3, 4, 5"""
+
+ORACLES["probability_fallback"] = """WITH t AS (SELECT event_id, value, round(value % 1.0, 2) AS v FROM events),
+u AS (SELECT *, CASE WHEN event_id % 5 <> 0 THEN v END AS bid, CASE WHEN event_id % 3 <> 0 THEN v + 0.02 END AS ask, CASE WHEN event_id % 4 = 0 THEN v + 0.01 END AS traded FROM t)
+""" + f"""SELECT event_id, {r("CASE WHEN bid + ask IS NOT NULL THEN (bid + ask) / 2 WHEN traded > 0 THEN traded ELSE coalesce(bid, ask) END", name="estimate")},
+    CASE WHEN bid + ask IS NOT NULL THEN 'midpoint_of_best_yes_bid_and_ask' WHEN traded > 0 THEN 'last_trade_price_no_two_sided_quote'
+        WHEN bid IS NOT NULL THEN 'one_sided_yes_bid_reference' WHEN ask IS NOT NULL THEN 'one_sided_yes_ask_reference' ELSE 'unavailable' END AS method,
+    {r("floor(value) + 1", name="threshold")} FROM u"""
+
+ASSEMBLED = """
+sel AS (SELECT l_orderkey AS market_id, l_linestatus = 'O' AS is_over, floor(l_discount * 20) + 0.5 AS line,
+    CASE WHEN l_tax > 0.01 THEN -105 - l_quantity::INT WHEN l_tax > 0 THEN 0 ELSE 100 END AS odds FROM lineitem),
+sides AS (SELECT market_id, count(*) AS selections, max(CASE WHEN is_over THEN struct_pack(line := line, odds := odds) END) AS o,
+    max(CASE WHEN NOT is_over THEN struct_pack(line := line, odds := odds) END) AS u FROM sel GROUP BY 1),
+asm AS (SELECT o_orderkey AS market_id, o_custkey AS event_id, player, coalesce(selections, 0) AS selections, found IS NULL AS missing_event,
+    o IS NULL AS missing_over, u IS NULL AS missing_under, selections <> 2 AS non_two_selection, NOT coalesce(o.line = u.line, false) AS mismatched_line,
+    CASE WHEN o.line = u.line THEN o.line END AS market_line,
+    CASE WHEN o.odds > 0 THEN 100.0 / (o.odds + 100) WHEN o.odds < 0 THEN -o.odds / (100.0 - o.odds) END AS raw_over,
+    CASE WHEN u.odds > 0 THEN 100.0 / (u.odds + 100) WHEN u.odds < 0 THEN -u.odds / (100.0 - u.odds) END AS raw_under
+    FROM orders LEFT JOIN (SELECT c_custkey, c_name AS player, true AS found FROM customer WHERE c_mktsegment <> 'BUILDING') ON o_custkey = c_custkey
+    LEFT JOIN sides ON market_id = o_orderkey)"""
+
+ORACLES["snapshot_assembly"] = with_(ASSEMBLED) + f"""SELECT market_id, event_id, player, {big("selections")}, {rs("market_line raw_over raw_under")}, {r("raw_over + raw_under", name="two_way_overround")},
+    {r("raw_over / (raw_over + raw_under)", name="no_vig_over")}, {r("raw_under / (raw_over + raw_under)", name="no_vig_under")},
+    CASE WHEN selections = 0 THEN 'attached_market_has_no_offered_runners' WHEN missing_event THEN 'referenced_event_missing' ELSE '' END AS unavailable_reason,
+    missing_event, missing_over, missing_under, non_two_selection, mismatched_line, raw_over IS NULL AS invalid_over_odds, raw_under IS NULL AS invalid_under_odds FROM asm"""
+
+_FLAGS = {"missing_event": "missing_event", "missing_over": "missing_over", "missing_under": "missing_under", "non_two_selection": "non_two_selection",
+          "mismatched_line": "mismatched_line", "invalid_over_odds": "raw_over IS NULL", "invalid_under_odds": "raw_under IS NULL"}
+ORACLES["snapshot_counters"] = with_(ASSEMBLED) + "SELECT count(*)::BIGINT AS markets, " + ", ".join(
+    f"count(*) FILTER (WHERE {c})::BIGINT AS {n}_count" for n, c in _FLAGS.items()) + ", 0::BIGINT AS no_vig_off_count, " + " AND ".join(
+    f"count(*) FILTER (WHERE {c}) = 0" for c in _FLAGS.values()) + " AS checks_passed FROM asm"
+
+ORACLES["volume_counters"] = with_(EVENTS) + """SELECT coalesce(stat, 'all') AS stat, count(*)::BIGINT AS markets, count(DISTINCT user_id)::BIGINT AS players, sum(k)::BIGINT AS volume
+    FROM ev GROUP BY ROLLUP (stat)"""
+
+ORACLES["conflicting_records"] = """SELECT l_orderkey || '-' || l_linenumber AS line_id, count(*)::BIGINT AS records FROM lineitem
+    GROUP BY 1 HAVING count(DISTINCT (l_partkey, l_returnflag)) > 1"""
+
+_QGATE = [("normalized.nonempty", "count(*) > 0 FROM q"), ("normalized.types_and_domains", "count(*) = 0 FROM q WHERE stat IS NULL OR coalesce(threshold, line) IS NULL"),
+          ("normalized.book_odds", "count(*) = 0 FROM books WHERE over_odds = 0 OR under_odds = 0"),
+          ("normalized.contract_probabilities", "count(*) = 0 FROM contracts WHERE bid < 0 OR bid > 1 OR ask < 0 OR ask > 1 OR last_p < 0 OR last_p > 1"),
+          ("normalized.row_count", "true"), ("normalized.keys_unique", "count(*) = count(DISTINCT (source, source_market_id)) FROM q"),
+          ("pricing.nonempty", "count(*) > 0 FROM priced"), ("pricing.included_canonical_probability", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND NOT coalesce(p > 0 AND p < 1 AND threshold_k >= 0, false)"),
+          ("pricing.exclusions_are_auditable", "count(*) = 0 FROM priced WHERE inclusion_status = 'excluded' AND (reason = '' OR p IS NOT NULL)"),
+          ("pricing.book_pairs_reconcile", "count(*) = 0 FROM books WHERE 1 / over_decimal + 1 / under_decimal <= 1"), ("pricing.contracts_not_devigged", "true"),
+          ("pricing.contract_quote_fields", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND bid > ask"),
+          ("collections.cross_source_snapshot_skew", "count(*) = 5 AND date_diff('second', min(snapshot_utc::TIMESTAMP), max(snapshot_utc::TIMESTAMP)) <= 1800 FROM snap")]
+ORACLES["quote_gates"] = with_(QUOTES) + " UNION ALL ".join(f"(SELECT '{n}' AS name, passed, 'error' AS severity FROM (SELECT {c.replace(' FROM', ' AS passed FROM', 1) if ' FROM' in c else c + ' AS passed'}))" for n, c in _QGATE) + \
+    " UNION ALL SELECT 'pricing.source_decimal_crosscheck', true, 'warning'"
+
+ORACLES["snapshot_gate"] = with_(QUOTES) + f"""SELECT source, count(*)::BIGINT AS markets, {r("date_diff('second', max(snapshot_utc::TIMESTAMP), TIMESTAMP '2024-02-01') / 3600.0", name="age_hours")},
+    0::BIGINT AS season, 0::BIGINT AS line, 0::BIGINT AS over_label, 0::BIGINT AS under_label, 0::BIGINT AS operators FROM books GROUP BY 1"""
+
+
+# --- order books ----------------------------------------------------------------------
+
+LEVELS = """
+lv AS (SELECT l_orderkey AS market_id, l_returnflag <> 'N' AS yes, (CASE WHEN l_returnflag <> 'N' THEN 0.3 ELSE 0.5 END + l_discount::DECIMAL(18, 4))::DECIMAL(18, 4) AS price,
+    l_quantity::DECIMAL(18, 4) AS qty FROM lineitem),
+ticks AS (SELECT market_id, yes, price, sum(qty) AS qty, count(*) AS n FROM lv GROUP BY ALL)"""
+
+ORACLES["book_summary"] = with_(LEVELS, """
+s AS (SELECT market_id, max(price) FILTER (WHERE yes) AS bid, 1 - max(price) FILTER (WHERE NOT yes) AS ask, arg_max(qty, price) FILTER (WHERE yes) AS bid_size,
+    arg_max(qty, price) FILTER (WHERE NOT yes) AS ask_size, coalesce(sum(n) FILTER (WHERE yes), 0) AS yn, coalesce(sum(n) FILTER (WHERE NOT yes), 0) AS nn,
+    coalesce(sum(qty) FILTER (WHERE yes), 0) AS yq, coalesce(sum(qty) FILTER (WHERE NOT yes), 0) AS nq, coalesce(sum(qty * price) FILTER (WHERE yes), 0) AS yv,
+    coalesce(sum(qty * price) FILTER (WHERE NOT yes), 0) AS nv FROM ticks GROUP BY 1)""") + f"""SELECT market_id, {r("bid", 4, "best_yes_bid_dollars")}, {r("ask", 4, "best_yes_ask_dollars")},
+    {r("(bid + ask) / 2.0", 4, "yes_midpoint_dollars")}, {r("ask - bid", 4, "yes_spread_dollars")}, {r("bid_size", 4, "best_yes_bid_size_contracts")}, {r("ask_size", 4, "best_yes_ask_size_contracts")},
+    yn::BIGINT AS yes_level_count, nn::BIGINT AS no_level_count, {r("yq", 4, "yes_contracts")}, {r("nq", 4, "no_contracts")}, {r("yv", 4, "yes_bid_notional_dollars")}, {r("nv", 4, "no_bid_notional_dollars")},
+    {r("yq + nq", 4, "total_resting_contracts")}, {r("yv + nv", 4, "total_resting_bid_notional_dollars")} FROM s"""
+
+LADDER = """
+ladder AS (SELECT market_id, CASE WHEN yes THEN 'bid' ELSE 'ask' END AS book_side, CASE WHEN yes THEN price ELSE 1 - price END AS price, qty,
+    max(price) OVER (PARTITION BY market_id, yes) - price AS away FROM ticks)"""
+ORACLES["book_depth"] = with_(LEVELS, LADDER) + "SELECT market_id, book_side, " + ", ".join(
+    f"{r(f'coalesce(sum(qty) FILTER (WHERE away <= {c} / 100.0), 0)', 4, f'within_{c}c_contracts')}, {r(f'coalesce(sum(qty * price) FILTER (WHERE away <= {c} / 100.0), 0)', 4, f'within_{c}c_notional')}"
+    for c in (1, 5, 10, 25)) + " FROM ladder GROUP BY 1, 2"
+
+ORACLES["book_fill_vwap"] = with_(LEVELS, LADDER, """
+walk AS (SELECT *, coalesce(sum(qty) OVER (PARTITION BY market_id, book_side ORDER BY away ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM ladder),
+took AS (SELECT market_id, book_side, size, price, away, greatest(0, least(qty, size - ahead)) AS take FROM walk, (SELECT unnest([1, 10, 100, 500, 1000]) AS size))""") + f"""
+SELECT market_id, CASE WHEN book_side = 'ask' THEN 'buy_yes' ELSE 'sell_yes' END AS action, size::BIGINT AS requested_contracts, {r("sum(take)", name="fillable_contracts")},
+    sum(take) >= size AS fully_fillable, {r("sum(take * price)::DOUBLE / sum(take)::DOUBLE", name="vwap_dollars")}, {r("arg_max(price, away) FILTER (WHERE take > 0)", name="worst_price_dollars")},
+    {r("sum(take * price)", name="consideration_dollars")} FROM took GROUP BY market_id, book_side, size"""
+
+
+# --- text -----------------------------------------------------------------------------
+
+ORACLES["page_embedded_json"] = """SELECT page_id, length('<script>window.pageData = ' || to_json(struct_pack(page_id := page_id, url := url)) || ';</script>' || html)::BIGINT AS page_chars,
+    page_id AS json_id, url AS json_url, true AS other_absent FROM pages"""
+
+ORACLES["title_regex"] = """SELECT event_id, 'User ' || user_id AS runner, CASE WHEN event_id % 2 = 0 THEN 'Over' ELSE 'Under' END AS outcome, floor(value) + 0.5 AS line, '2024-25' AS slash_season,
+    'User ' || user_id AS player, '2024-25' AS season,
+    CASE WHEN event_id % 3 > 0 AND event_id % 5 <> 0 THEN event_type WHEN event_id % 3 = 0 AND event_id % 5 = 0 THEN 'second' ELSE event_type END AS participant,
+    CASE WHEN event_id % 2 = 0 THEN 'Team' END AS team, CASE WHEN event_id % 2 = 0 THEN 'TM' END AS short,
+    'By ' || upper(event_type[1]) || event_type[2:] AS label FROM events"""
+
+
+def match_key(c: str) -> str:
+    text = f"replace(lower(strip_accents({c})), '-', ' ')"
+    text = rf"trim(regexp_replace(regexp_replace({text}, '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"
+    return f"regexp_replace({text}, '((^|\\s)(jr|sr|ii|iii|iv|v))+$', '')"
+
+
+ORACLES["match_keys"] = f"SELECT conv_id, turn, {match_key('text')} AS match_key FROM conversations"
+
+NAMES = f"""
+hist AS (SELECT p_partkey::VARCHAR AS gsis_player_id, p_name || ' ' || p_brand AS player_name, p_type AS position, p_brand AS team, p_type AS stat, p_partkey % 8 AS kind FROM part),
+cand AS (SELECT *, {match_key("player_name")} AS match_key FROM hist)"""
+
+ORACLES["stable_ids"] = with_(NAMES) + """SELECT gsis_player_id, match_key, 'player:' || replace(match_key, ' ', '-') || '-' || sha256(match_key)[1:12] AS stable_id, true AS initials FROM cand"""
+
+ORACLES["candidate_table"] = with_(NAMES) + """SELECT 'gsis:' || gsis_player_id AS canonical_player_id, gsis_player_id, player_name AS canonical_player_name, position, match_key AS match_keys, stat AS stats, team AS teams FROM cand"""
+
+QUOTED = NAMES + f""",
+raw_quotes AS (SELECT DISTINCT ['click', 'purchase', 'view'][l_suppkey % 3 + 1] AS source, stat, team,
+    trim(CASE kind WHEN 0 THEN player_name WHEN 1 THEN upper(translate(player_name, 'aeiou', 'áéîöù')) || ' Jr.' WHEN 2 THEN player_name[1:3] || player_name[5:104]
+        WHEN 3 THEN player_name[1] || '. ' || split_part(player_name, ' ', 3) WHEN 4 THEN player_name || 'x' WHEN 5 THEN replace(player_name, ' Brand', '-Brand')
+        WHEN 6 THEN 'unknown ' || md5(player_name) ELSE ' ' || player_name || ' III' END) AS raw_player_name FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR),
+idents AS (SELECT source, raw_player_name, {match_key("raw_player_name")} AS match_key, list_sort(list(DISTINCT stat)) AS stats, list_sort(list(DISTINCT team)) AS teams FROM raw_quotes GROUP BY 1, 2),
+alias AS (SELECT CASE WHEN min(p_partkey) % 2 = 0 THEN '*' ELSE 'click' END AS source, {match_key("p_name || ' ' || p_brand")} AS match_key, 'listed:' || min(p_partkey) AS alias_id,
+    'Listed ' || p_name || ' ' || p_brand AS alias_name FROM part GROUP BY p_name, p_brand HAVING min(p_partkey) % 97 = 0)"""
+
+ORACLES["market_identities"] = with_(QUOTED) + "SELECT source, raw_player_name, match_key, array_to_string(stats, '|') AS stats, array_to_string(teams, '|') AS teams FROM idents"
+
+ORACLES["alias_match"] = with_(QUOTED) + """SELECT i.source, raw_player_name, coalesce(o.alias_id, a.alias_id) AS alias_id, coalesce(o.alias_name, a.alias_name) AS alias_name FROM idents i
+    LEFT JOIN alias o ON o.source = i.source AND o.match_key = i.match_key LEFT JOIN alias a ON a.source = '*' AND a.match_key = i.match_key
+    WHERE coalesce(o.alias_id, a.alias_id) IS NOT NULL"""
+
+ORACLES["exact_match"] = with_(QUOTED) + """SELECT source, raw_player_name, CASE WHEN count(DISTINCT c.gsis_player_id) = 1 THEN 'gsis:' || min(c.gsis_player_id) END AS exact_id,
+    count(DISTINCT c.gsis_player_id) > 1 AS ambiguous FROM idents i JOIN cand c ON c.match_key = i.match_key AND list_contains(i.stats, c.stat) GROUP BY 1, 2"""
+
+# Longest common subsequence by bit-parallel recurrence over the characters of b, on the pairs that edit distance leaves.
+LIKENESS = """
+pairs AS (SELECT a.match_key AS a, b.match_key AS b, length(a.match_key) AS la, length(b.match_key) AS lb FROM (SELECT DISTINCT match_key FROM idents) a, (SELECT DISTINCT match_key FROM cand) b
+    WHERE abs(length(a.match_key) - length(b.match_key)) <= 0.1 * (length(a.match_key) + length(b.match_key))
+        AND levenshtein(a.match_key, b.match_key) <= 0.1 * (length(a.match_key) + length(b.match_key)) + 1e-9),
+masks AS (SELECT a, b, la, lb, (1::BIGINT << la) - 1 AS whole, list_transform(string_split(b, ''), lambda c: list_sum(list_transform(range(0, la),
+    lambda i: CASE WHEN a[i + 1] = c THEN (1::BIGINT << i) ELSE 0 END))::BIGINT) AS m FROM pairs),
+lcs AS (SELECT a, b, la, lb, la - bit_count(list_reduce(list_prepend(whole, m), lambda v, x: (((v + (v & x)) | (v - (v & x))) & whole))) AS n FROM masks),
+likeness AS (SELECT a AS query_key, b AS match_key, 200.0 * n / (la + lb) AS score FROM lcs WHERE 200.0 * n / (la + lb) >= 90 - 1e-9),
+initials AS (SELECT DISTINCT i.match_key AS query_key, c.match_key, 100.0 AS score FROM idents i JOIN cand c ON regexp_matches(i.match_key, '^[a-z0-9] [a-z0-9]+$')
+    AND split_part(i.match_key, ' ', 2) = c.match_key.split(' ')[-1] AND i.match_key[1] = c.match_key[1] AND len(c.match_key.split(' ')) >= 2),
+alike AS (SELECT query_key, match_key, max(score) AS score FROM (SELECT * FROM likeness UNION ALL SELECT * FROM initials) GROUP BY 1, 2)"""
+ORACLES["similar_names"] = with_(QUOTED, LIKENESS) + f"SELECT query_key, match_key, {r('score')} FROM alike"
+
+
+# --- distributions --------------------------------------------------------------------
+
+COUNTS = """
+counts AS (SELECT l_orderkey, sum(l_quantity) AS y, avg(l_quantity) AS mu, count(*) AS n, 0.5 + count(*) AS r FROM lineitem GROUP BY 1)"""
+
+
+def nb_log(y: str, mu: str, shape: str) -> str:
+    return (f"(lgamma({y} + {shape}) - lgamma({shape}) - lgamma({y} + 1.0) + {shape} * ln({shape} / ({shape} + {mu})) + {y} * ln({mu} / ({shape} + {mu})))")
+
+
+ORACLES["nb_logpmf"] = with_(COUNTS) + f"""SELECT l_orderkey, {r(nb_log("y", "mu", "r::DOUBLE"), name="log_pmf")}, {r("y * ln(mu) - mu - lgamma(y + 1)", name="log_poisson")},
+    {r("r / (r + mu)", name="probability")}, {r("mu + mu * mu / r", name="variance")}, y > 0 AS impossible FROM counts"""
+
+ORACLES["nb_survival"] = with_(COUNTS, f"""
+mass AS (SELECT l_orderkey, k, sum(exp({nb_log("j", "mu", "r::DOUBLE")})) AS below FROM (SELECT *, floor(mu) + n AS k, unnest(range(0, (floor(mu) + n)::BIGINT)) AS j FROM counts) GROUP BY 1, 2)""") + f"""
+SELECT l_orderkey, k::DOUBLE AS k, {r("1 - below", 8, "survival")} FROM mass"""
+
+ORACLES["nb_interval"] = with_(COUNTS, f"""
+cdf AS (SELECT l_orderkey, j, sum(exp({nb_log("j", "mu", "r::DOUBLE")})) OVER (PARTITION BY l_orderkey ORDER BY j) AS c
+    FROM (SELECT *, unnest(range(0, (mu * 12 + 60)::BIGINT)) AS j FROM counts))""") + """
+SELECT l_orderkey, min(j) FILTER (WHERE c >= 0.1)::DOUBLE AS low, min(j) FILTER (WHERE c >= 0.9)::DOUBLE AS high FROM cdf GROUP BY 1"""
+
+
+# --- calibration ----------------------------------------------------------------------
+
+POWER = """
+obs AS (SELECT stat, target_season AS s, ln(baseline_mean) AS x, realized_total AS y FROM predictions
+    WHERE training_eligible AND baseline_mean > 0 AND realized_total >= 0 AND target_season BETWEEN 1997 AND 1999),
+keys AS (SELECT DISTINCT stat, ref, h FROM obs, (SELECT unnest([1997, 1998, 1999]) AS ref), (SELECT unnest([1.0, 3.0, 5.0, 10.0]) AS h) WHERE s <= ref),
+weighted AS (SELECT stat, ref, h, s, x, y, pow(0.5, (ref - s) / h::DOUBLE) AS w FROM keys JOIN obs USING (stat) WHERE s <= ref),
+target AS (SELECT stat, ref, h, sum(w * x * y) / sum(w * y) AS c FROM weighted GROUP BY ALL),
+bisect AS (SELECT stat, ref, h, c, 0.02::DOUBLE AS lo, 3.0::DOUBLE AS hi, 0 AS i FROM target
+  UNION ALL SELECT stat, ref, h, c, CASE WHEN g < 0 THEN mid ELSE lo END, CASE WHEN g < 0 THEN hi ELSE mid END, i + 1 FROM (
+    SELECT b.stat, b.ref, b.h, c, lo, hi, i, (lo + hi) / 2 AS mid, sum(w * x * exp((lo + hi) / 2 * x)) / sum(w * exp((lo + hi) / 2 * x)) - c AS g
+    FROM bisect b JOIN weighted o ON o.stat = b.stat AND o.ref = b.ref AND o.h = b.h WHERE i < 48 GROUP BY ALL)),
+fit0 AS (SELECT stat, ref, h, (lo + hi) / 2 AS b FROM bisect WHERE i = 48),
+fit1 AS (SELECT stat, ref, h, b, ln(sum(w * y) / sum(w * exp(b * x))) AS a, count(*) AS n, sum(w) AS sw, array_to_string(list_sort(list(DISTINCT s)), '|') AS seasons,
+    count(DISTINCT s) AS ns FROM fit0 JOIN weighted USING (stat, ref, h) GROUP BY ALL),
+fits AS (SELECT stat, ref, h, b, a, n, seasons, ns, n / sw * sum(w * (exp(a + b * x) - y * (a + b * x) + lgamma(y + 1))) AS objective,
+    b - 0.02 <= 2.98e-6 OR 3 - b <= 2.98e-6 AS bound_hit FROM fit1 JOIN weighted USING (stat, ref, h) GROUP BY ALL)"""
+
+ORACLES["poisson_power_fit"] = with_(*HISTORY, POWER, recursive=True) + f"""SELECT stat, ref::BIGINT AS reference_season, h::DOUBLE AS half_life, {r("a", 4, "intercept")}, {r("b", 4, "exponent")},
+    bound_hit, {r("objective", 4)}, n::BIGINT AS training_player_seasons, seasons AS training_seasons FROM fits"""
+
+SELECTION = """
+folds AS (SELECT f.stat, f.ref + 1 AS v, f.h, f.bound_hit, sum(exp(a + b * x) - y * (a + b * x) + lgamma(y + 1)) AS nll, count(*) AS rows FROM fits f JOIN obs o ON o.stat = f.stat AND o.s = f.ref + 1
+    WHERE ns >= 2 GROUP BY ALL),
+refs AS (SELECT DISTINCT stat, ref FROM fits WHERE ns >= 2),
+scores AS (SELECT refs.stat, refs.ref, h, sum(nll) / sum(rows) AS score, bool_or(bound_hit) AS failed, list_sort(list(DISTINCT v)) AS vs FROM refs JOIN folds ON folds.stat = refs.stat AND v <= refs.ref GROUP BY ALL),
+best AS (SELECT stat, ref, arg_min(h, (score, h)) FILTER (WHERE NOT failed) AS h, min(score) FILTER (WHERE NOT failed) AS score, any_value(vs) AS vs FROM scores GROUP BY 1, 2),
+chosen AS (SELECT refs.stat, refs.ref, CASE WHEN vs IS NULL THEN 5.0 ELSE best.h END AS h, score, coalesce(array_to_string(vs, '|'), '') AS vs FROM refs LEFT JOIN best USING (stat, ref))"""
+ORACLES["half_life_selection"] = with_(*HISTORY, POWER, SELECTION, recursive=True) + f"""SELECT stat, ref::BIGINT AS reference_season, h::DOUBLE AS half_life,
+    {r("score", 5, "selection_score")}, vs AS validation_seasons FROM chosen"""
+
+ROLLING = """
+applied AS (SELECT p.*, f.a, f.b, f.seasons, f.a IS NOT NULL AS fitted, CASE WHEN f.a IS NULL THEN baseline_mean ELSE exp(f.a + f.b * ln(baseline_mean)) END AS corrected
+    FROM predictions p LEFT JOIN (chosen JOIN fits f0 USING (stat, ref, h)) f ON f.stat = p.stat AND f.ref = least(p.target_season - 1, 1999) AND p.baseline_mean > 0)"""
+CORRECTED = (*HISTORY, POWER, SELECTION, ROLLING.replace("(chosen JOIN fits f0 USING (stat, ref, h)) f", "(SELECT stat, ref, a, b, seasons FROM chosen JOIN fits USING (stat, ref, h)) f"))
+ORACLES["rolling_correction"] = with_(*CORRECTED, recursive=True) + f"""SELECT target_season::BIGINT AS target_season, gsis_player_id, stat, {r("baseline_mean", 4, "baseline_mean_raw")},
+    {r("corrected", 4, "baseline_mean")}, CASE WHEN fitted THEN 'rolling_power_poisson' ELSE 'identity_insufficient_history' END AS baseline_bias_method,
+    {r("coalesce(a, 0)", 4, "baseline_bias_intercept")}, {r("coalesce(b, 1)", 4, "baseline_bias_exponent")}, coalesce(seasons, '') AS baseline_bias_training_seasons,
+    CASE WHEN fitted THEN array_to_string(list_sort(list_distinct(list_concat(used, list_transform(string_split(seasons, '|'), lambda s: s::BIGINT)))), '|') ELSE feature_seasons END AS feature_seasons FROM applied"""
+
+_LO, _HI = math.log(0.05), math.log(1000.0)
+TRAINING = f"""
+usable AS (SELECT stat, target_season AS season, gsis_player_id, position, target_games, realized_total AS y, corrected AS mu, baseline_mean AS raw_mu, pow(0.5, (1999 - target_season) / 5.0) AS w
+    FROM applied WHERE training_eligible AND corrected > 0),
+training AS (SELECT * FROM usable WHERE season < 2000),
+windowed AS (SELECT stat, unnest(list_filter(['full', '1997', CASE WHEN season >= 1998 THEN '1998' END, CASE WHEN season >= 1999 THEN '1999' END], lambda z: z IS NOT NULL)) AS win, y, mu, w FROM training),
+search AS (SELECT stat, win, {_LO}::DOUBLE AS lo, {_HI}::DOUBLE AS hi, 0 AS i FROM windowed GROUP BY 1, 2
+  UNION ALL SELECT stat, win, CASE WHEN f1 > f2 THEN m1 ELSE lo END, CASE WHEN f1 > f2 THEN hi ELSE m2 END, i + 1 FROM (
+    SELECT s.stat, s.win, lo, hi, i, lo + (hi - lo) / 3 AS m1, hi - (hi - lo) / 3 AS m2, sum(-w * {nb_log("y", "mu", "exp(lo + (hi - lo) / 3)")}) AS f1,
+        sum(-w * {nb_log("y", "mu", "exp(hi - (hi - lo) / 3)")}) AS f2 FROM search s JOIN windowed o ON o.stat = s.stat AND o.win = s.win WHERE i < 48 GROUP BY ALL)),
+disp AS (SELECT s.stat, win, (lo + hi) / 2 AS log_r, sum(-w * {nb_log("y", "mu", "exp((lo + hi) / 2)")}) / sum(w) AS nll, count(*) AS n FROM search s JOIN windowed USING (stat, win) WHERE i = 48 GROUP BY ALL)"""
+DISPERSION = (*CORRECTED, TRAINING)
+ORACLES["dispersion_fit"] = with_(*DISPERSION, recursive=True) + f"""SELECT stat, win AS "window", {r("log_r", 4, "log_dispersion")}, {r("nll", 4, "nll_per_weight")}, n::BIGINT AS player_seasons,
+    log_r - {_LO} <= 1e-4 OR {_HI} - log_r <= 1e-4 AS bound_hit FROM disp"""
+
+ORACLES["window_sensitivity"] = with_(*DISPERSION, recursive=True) + f"""SELECT f.stat, t.start::BIGINT AS configured_start_season, t.start::BIGINT AS effective_start_season, coalesce(d.n, 0)::BIGINT AS player_seasons,
+    CASE WHEN coalesce(d.n, 0) < 25 THEN 'insufficient_data' ELSE 'passed' END AS status, {r("CASE WHEN d.n >= 25 THEN exp(d.log_r) END", 4, "dispersion")},
+    {r("CASE WHEN d.n >= 25 THEN abs(d.log_r - f.log_r) END", 4, "log_dispersion_delta")}
+    FROM (SELECT * FROM disp WHERE win = 'full') f, (SELECT unnest([1997, 1998, 1999]) AS start) t LEFT JOIN disp d ON d.stat = f.stat AND d.win = t.start::VARCHAR"""
+
+_SEED, _B, _HALF = R.CALIBRATION.random_seed, R.CALIBRATION.bootstrap_samples, BOOTSTRAP_NODES // 2
+
+
+def _hash(text: str, start: int) -> str:
+    return f"(('0x' || md5({text})[{start}:{start + 6}])::BIGINT % {HASH_PRIME})"
+
+
+_NODES = ", ".join(f"-w * {nb_log('y', 'mu', f'exp(first + step * {i})')} AS c{i}" for i in range(BOOTSTRAP_NODES))
+_TIMES = " + ".join(f"(u >= {c!r})::INT" for c in UNIT_POISSON)
+BOOTSTRAP = f"""
+bend AS (SELECT d.stat, log_r, sum(-w * ({nb_log("y", "mu", "exp(log_r + 0.001)")} - 2 * {nb_log("y", "mu", "exp(log_r)")} + {nb_log("y", "mu", "exp(log_r - 0.001)")})) / 1e-6 / avg(w) AS curvature
+    FROM disp d JOIN training t ON t.stat = d.stat WHERE win = 'full' GROUP BY ALL),
+grid AS (SELECT stat, first, (least({_HI}, log_r + {_HALF} * {BOOTSTRAP_SPACING} / sqrt(curvature)) - first) / {BOOTSTRAP_NODES - 1} AS step
+    FROM (SELECT *, greatest({_LO}, log_r - {_HALF} * {BOOTSTRAP_SPACING} / sqrt(curvature)) AS first FROM bend)),
+rowcost AS (SELECT stat, season, first, step, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 1)} AS h1, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 8)} AS h2,
+    {_NODES} FROM training JOIN grid USING (stat)),
+listed AS (SELECT stat, list_sort(list(DISTINCT season)) AS ss FROM training GROUP BY 1),
+draws AS (SELECT stat, b, ss[({_hash(f"'{_SEED}|' || stat || '|' || b || '|' || slot", 1)} % len(ss))::INT + 1] AS season, b * len(ss) + slot + 1 AS ticket
+    FROM (SELECT stat, ss, b, unnest(range(0, len(ss))) AS slot FROM listed, (SELECT unnest(range(0, {_B})) AS b))),
+hit AS (SELECT *, {_TIMES} AS times FROM (SELECT *, ((z * z + ticket) % {HASH_PRIME}) / {float(HASH_PRIME)}::DOUBLE AS u FROM (
+    SELECT rowcost.*, b, ticket, (h1 + ticket * h2) % {HASH_PRIME} AS z FROM rowcost JOIN draws USING (stat, season)))),
+reps AS (SELECT stat, b, first, step, [{", ".join(f"sum(times * c{i})" for i in range(BOOTSTRAP_NODES))}] AS costs FROM hit GROUP BY ALL),
+placed AS (SELECT *, list_position(costs, list_min(costs)) AS best, greatest(3, least({BOOTSTRAP_NODES - 2}, list_position(costs, list_min(costs)))) AS c FROM reps),
+quart AS (SELECT *, (costs[c - 2] - 8 * costs[c - 1] + 8 * costs[c + 1] - costs[c + 2]) / 12 AS d1, (-costs[c - 2] + 16 * costs[c - 1] - 30 * costs[c] + 16 * costs[c + 1] - costs[c + 2]) / 12 AS d2,
+    (-costs[c - 2] + 2 * costs[c - 1] - 2 * costs[c + 1] + costs[c + 2]) / 2 AS d3, costs[c - 2] - 4 * costs[c - 1] + 6 * costs[c] - 4 * costs[c + 1] + costs[c + 2] AS d4 FROM placed),
+roots AS (SELECT *, list_reduce([best - c, 1.0, 2.0, 3.0, 4.0], lambda x, n: x - (d1 + d2 * x + d3 * x * x / 2 + d4 * x * x * x / 6) / (d2 + d3 * x + d4 * x * x / 2)) AS x FROM quart),
+estimates AS (SELECT stat, b, first + step * (c - 1 + x) AS log_r, best > 1 AND best < {BOOTSTRAP_NODES} AS ok FROM roots)"""
+ORACLES["bootstrap_dispersion"] = with_(*DISPERSION, BOOTSTRAP, recursive=True) + f"""SELECT stat, {_B}::BIGINT AS samples_requested, count(*) FILTER (WHERE ok)::BIGINT AS successful_samples, 0::BIGINT AS bound_hit_samples,
+    count(*) FILTER (WHERE NOT ok)::BIGINT AS failed_samples, {r(f"count(*) FILTER (WHERE ok) / {_B}.0", 3, "success_rate")}, {r("quantile_cont(log_r, 0.05) FILTER (WHERE ok)", 3, "log_dispersion_lower")},
+    {r("quantile_cont(log_r, 0.95) FILTER (WHERE ok)", 3, "log_dispersion_upper")}, count(*) FILTER (WHERE ok) >= 0.9 * {_B} AS passed FROM estimates GROUP BY 1"""
+
+HOLDOUT = (*DISPERSION, f"""
+holdout AS (SELECT row_number() OVER () AS id, u.stat, season, gsis_player_id, position, target_games, y, mu, raw_mu, round(exp(log_r), 4) AS r, {nb_log("y", "mu", "round(exp(log_r), 4)")} AS log_nb,
+    y * ln(mu) - mu - lgamma(y + 1) AS log_poisson FROM usable u JOIN disp d ON d.stat = u.stat AND d.win = 'full' WHERE season >= 2000)""")
+ORACLES["holdout_metrics"] = with_(*HOLDOUT, recursive=True) + f"""SELECT stat, count(*)::BIGINT AS count, {r("-sum(log_nb)", 4, "negative_log_likelihood")}, {r("-avg(log_nb)", 4, "negative_log_likelihood_per_player_season")},
+    {r("-avg(log_poisson)", 4, "poisson_negative_log_likelihood_per_player_season")}, {r("avg(log_poisson - log_nb)", 4, "nll_regret_vs_poisson_per_player_season")}, {r("avg(y - mu)", 4, "bias")},
+    {r("avg(abs(y - mu))", 4, "mean_absolute_error")}, {r("sum(y - mu) / sum(mu)", 4, "relative_bias")}, {r("avg(y - raw_mu)", 4, "raw_baseline_bias")},
+    {r("avg(abs(y - raw_mu))", 4, "raw_baseline_mean_absolute_error")}, {r("sum(y - raw_mu) / sum(raw_mu)", 4, "raw_baseline_relative_bias")} FROM holdout GROUP BY 1"""
+
+CDF = f"""
+cdf AS (SELECT id, j, sum(exp({nb_log("j", "mu", "r")})) OVER (PARTITION BY id ORDER BY j) AS c FROM (SELECT id, mu, r, unnest(range(0, (mu * 12 + 100)::BIGINT)) AS j FROM holdout))"""
+ORACLES["brier_events"] = with_(*HOLDOUT, CDF, """
+ev AS (SELECT id, level, min(j) FILTER (WHERE c >= level) + 1 AS k, 1 - min(c) FILTER (WHERE c >= level) AS predicted FROM cdf, (SELECT unnest([0.25, 0.5, 0.75]) AS level) GROUP BY 1, 2),
+hits AS (SELECT stat, level, predicted, (y >= k)::INT AS hit FROM ev JOIN holdout USING (id))""", recursive=True) + f"""SELECT stat, level::DOUBLE AS cdf_level, count(*)::BIGINT AS rows,
+    {r("avg(pow(predicted - hit, 2))", 4, "brier_score")}, {r("avg(predicted)", 4, "mean_predicted_probability")}, {r("avg(hit)", 4, "empirical_event_rate")}, {r("abs(avg(predicted) - avg(hit))", 4, "calibration_gap")} FROM hits GROUP BY 1, 2"""
+
+ORACLES["interval_coverage"] = with_(*HOLDOUT, CDF, """
+iv AS (SELECT id, level, min(j) FILTER (WHERE c >= (1 - level) / 2) AS low, min(j) FILTER (WHERE c >= 1 - (1 - level) / 2) AS high FROM cdf, (SELECT unnest([0.5, 0.8, 0.9])::DOUBLE AS level) GROUP BY 1, 2),
+mass AS (SELECT stat, level, (y BETWEEN low AND high)::INT AS inside, h.c - coalesce(l.c, 0) AS mass FROM iv JOIN holdout USING (id) JOIN cdf h ON h.id = iv.id AND h.j = iv.high
+    LEFT JOIN cdf l ON l.id = iv.id AND l.j = iv.low - 1)""", recursive=True) + f"""SELECT stat, level AS nominal_level, {r("avg(mass)", 4, "mean_model_implied_coverage")}, {r("avg(inside)", 4, "empirical_coverage")},
+    {r("abs(avg(inside) - avg(mass))", 4, "absolute_error")} FROM mass GROUP BY 1, 2"""
+
+_METRICS = f"""count(*)::BIGINT AS count, {r("avg(mu)", 4, "mean_baseline")}, {r("avg(y)", 4, "mean_realized")}, {r("avg(y - mu)", 4, "bias")}, {r("avg(abs(y - mu))", 4, "mean_absolute_error")},
+    {r("-avg(log_nb)", 4, "negative_log_likelihood_per_player_season")}"""
+ORACLES["mean_bins"] = with_(*HOLDOUT, """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY stat ORDER BY mu, season, gsis_player_id) AS rn, count(*) OVER (PARTITION BY stat) AS n FROM holdout)""", recursive=True) + f"""
+SELECT stat, greatest(1, ((rn - 1) * least(10, n) + n - 2) // nullif(n - 1, 0))::BIGINT AS bin, {_METRICS} FROM ranked GROUP BY 1, 2"""
+
+ORACLES["cohort_metrics"] = with_(*HOLDOUT, recursive=True) + f"""SELECT stat, 'position' AS cohort_kind, position AS cohort, {_METRICS} FROM holdout GROUP BY 1, 2, 3 UNION ALL
+    SELECT stat, 'availability', CASE WHEN target_games <= 8 THEN '0-8' WHEN target_games <= 13 THEN '9-13' ELSE '14+' END, {_METRICS} FROM holdout GROUP BY 1, 2, 3"""
+
+_CGATE = [(n, "true") for n in ("input_keys", "input_types", "supported_stats", "no_lookahead", "feature_lineage", "feature_lineage_format")]
+_CGATE += [("baseline_bias_correction", "(SELECT count(*) = 0 FROM applied WHERE fitted AND (b - 0.02 <= 2.98e-6 OR 3 - b <= 2.98e-6))")]
+_CGATE += [(f"{s}.{n}", "true") for s in STATS for n in ("integer_outcomes", "baseline_domain")]
+_CGATE += [(f"{s}.zero_baseline_consistency", f"(SELECT count(*) = 0 FROM applied WHERE stat = '{s}' AND training_eligible AND corrected = 0 AND realized_total > 0)") for s in STATS]
+_CGATE += [(f"{s}.training_cohort", f"(SELECT count(*) >= 20 FROM training WHERE stat = '{s}')") for s in STATS]
+_CGATE += [(f"{s}.holdout_cohort", f"(SELECT count(*) >= 30 FROM usable WHERE stat = '{s}' AND season >= 2000)") for s in STATS]
+ORACLES["calibration_gate"] = with_(*DISPERSION, recursive=True) + " UNION ALL ".join(
+    f"SELECT 'historical_calibration.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _CGATE) + "".join(
+    f" UNION ALL SELECT 'historical_calibration.{s}.signed_negative_observations', true, 'warning'" for s in STATS)

@@ -18,7 +18,7 @@ from curvelake.operators import (
     audit, books, calibrate, checks, consensus, curves, history, history_gates, means, names, power_fit, publish, quotes, score,
 )
 from curvelake.plans import roles as R
-from curvelake.session import cut
+from curvelake.session import cut, stage
 from curvelake.sources.readers import source_profile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -331,6 +331,9 @@ def stable_ids(spark, sf):
                                     X.initials_match(F.concat(F.substring("player_name", 1, 1), F.lit(" "), F.element_at(F.split(key, " "), -1)), key).alias("initials"))
 
 
+NAME_SOURCES = {name: R.SOURCES[name] for name in ("click", "purchase", "view")}
+
+
 def _name_quotes(spark, sf) -> DataFrame:
     """Suppliers' quotes of parts under altered names: as is, accented, with a suffix, a letter off, initials."""
     lines = R.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
@@ -342,7 +345,7 @@ def _name_quotes(spark, sf) -> DataFrame:
             kind == 3, F.concat(F.substring(full, 1, 1), F.lit(". "), F.element_at(F.split(full, " "), -1))).when(
                 kind == 4, F.concat(full, F.lit("x"))).when(kind == 5, F.concat_ws("-", "p_name", "p_brand")).when(
                     kind == 6, F.concat(F.lit("unknown "), F.md5(full))).otherwise(F.concat(F.lit(" "), full, F.lit(" III"))))
-    source = F.element_at(F.array(*[F.lit(s) for s in sorted(R.SOURCES)]), (F.col("l_suppkey") % 5 + 1).cast("int"))
+    source = F.element_at(F.array(*[F.lit(s) for s in sorted(NAME_SOURCES)]), (F.col("l_suppkey") % 3 + 1).cast("int"))
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         source.alias("source"), raw.alias("raw_player_name"), F.col("p_type").alias("stat"), F.col("p_brand").alias("team"),
         F.lit(None).cast("string").alias("team_abbreviation"))
@@ -365,32 +368,33 @@ def candidate_table(spark, sf):
 
 @query
 def market_identities(spark, sf):
-    table = names.market_identities(_name_quotes(spark, sf), sorted(R.SOURCES))
+    table = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES))
     return table.select("source", "raw_player_name", "match_key", F.array_join("stats", "|").alias("stats"), F.array_join("teams", "|").alias("teams"))
 
 
 @query
 def alias_match(spark, sf):
-    found = names.match_aliases(names.market_identities(_name_quotes(spark, sf), sorted(R.SOURCES)), _aliases(spark, sf))
+    found = names.match_aliases(names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES)), _aliases(spark, sf))
     return found.filter(F.col("alias_id").isNotNull()).select("source", "raw_player_name", "alias_id", "alias_name")
 
 
 @query
 def exact_match(spark, sf):
-    identities = names.market_identities(_name_quotes(spark, sf), sorted(R.SOURCES))
+    identities = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES))
     return names.exact_matches(identities, names.id_range(names.pool_from_history(_names(spark, sf))))
 
 
 @query
 def similar_names(spark, sf):
-    """Distinct quoted and known keys at least 80 alike, or alike by initials."""
-    quoted = names.market_identities(_name_quotes(spark, sf), sorted(R.SOURCES)).select(F.col("match_key").alias("query_key")).distinct()
+    """Distinct quoted and known keys at least 90 alike, or alike by initials."""
+    quoted = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES)).select(F.col("match_key").alias("query_key")).distinct()
     known = names.pool_from_history(_names(spark, sf)).select("match_key").distinct()
-    return tidy(names.similar_keys(quoted, known, 80.0))
+    return tidy(names.similar_keys(quoted, known, 90.0))
 
 
+@stage
 def _resolved(spark, sf) -> DataFrame:
-    return names.reconcile(_name_quotes(spark, sf), _names(spark, sf), _aliases(spark, sf), R.SOURCES, R.NAMES)
+    return names.reconcile(_name_quotes(spark, sf), _names(spark, sf), _aliases(spark, sf), NAME_SOURCES, R.NAMES)
 
 
 @query
@@ -406,7 +410,7 @@ def suggestions(spark, sf):
 @query
 def identity_summary(spark, sf):
     quoted = _name_quotes(spark, sf)
-    resolved = cut(_resolved(spark, sf))
+    resolved = _resolved(spark, sf)
     decorated = names.decorate(quoted, names.player_map(resolved))
     gate = checks.gate_status(names.identity_gate(quoted, decorated, resolved))
     summary = names.identity_summary(resolved)
@@ -418,7 +422,7 @@ def identity_summary(spark, sf):
 def promoted_aliases(spark, sf):
     reviewed = names.review_suggestions(_resolved(spark, sf)).filter(F.col("candidate_canonical_player_id").isNotNull()).withColumn(
         "review_status", F.lit("approved"))
-    grown, problems = names.promote_suggestions(reviewed, _aliases(spark, sf), sorted(R.SOURCES))
+    grown, problems = names.promote_suggestions(reviewed, _aliases(spark, sf), sorted(NAME_SOURCES))
     return tidy(grown.agg(F.count("*").alias("aliases")).unionByName(problems.agg(F.count("*").alias("aliases"))).withColumn(
         "kind", F.lit("rows")))
 
@@ -456,6 +460,7 @@ def nb_interval(spark, sf):
 
 # --- calibration ----------------------------------------------------------------------
 
+@stage
 def _fits(spark, sf) -> DataFrame:
     raw = R.raw_predictions(spark, sf).withColumn("baseline_mean_raw", F.col("baseline_mean"))
     return power_fit.power_fits(cut(power_fit.observations(raw, R.HISTORY)), R.HISTORY)
@@ -470,7 +475,7 @@ def poisson_power_fit(spark, sf):
 
 @query
 def half_life_selection(spark, sf):
-    chosen = power_fit.select_half_lives(cut(_fits(spark, sf)), R.HISTORY)
+    chosen = power_fit.select_half_lives(_fits(spark, sf), R.HISTORY)
     return tidy(chosen.withColumn("validation_seasons", N.pipe_join(F.col("validation_seasons"))), 5)
 
 
@@ -481,42 +486,39 @@ def rolling_correction(spark, sf):
     return tidy(R.predictions(spark, sf).select(*columns), 4)
 
 
-def _training(spark, sf) -> tuple[DataFrame, DataFrame]:
-    rows = R.calibration_rows(spark, sf)
-    return rows, cut(calibrate.training_rows(rows, R.HISTORY))
+@stage
+def _training(spark, sf) -> DataFrame:
+    return calibrate.training_rows(R.calibration_rows(spark, sf), R.HISTORY)
 
 
-def _dispersion_fits(training: DataFrame) -> DataFrame:
-    windows = cut(calibrate.with_windows(training, R.HISTORY, R.CALIBRATION))
+@stage
+def _dispersion_fits(spark, sf) -> DataFrame:
+    windows = cut(calibrate.with_windows(_training(spark, sf), R.HISTORY, R.CALIBRATION))
     return calibrate.fit_dispersion(windows, ["stat", "window"], R.CALIBRATION)
 
 
 @query
 def dispersion_fit(spark, sf):
-    _, training = _training(spark, sf)
-    return tidy(_dispersion_fits(training).select("stat", "window", "log_dispersion", "nll_per_weight", "player_seasons", "bound_hit"), 4)
+    return tidy(_dispersion_fits(spark, sf).select("stat", "window", "log_dispersion", "nll_per_weight", "player_seasons", "bound_hit"), 4)
 
 
 @query
 def window_sensitivity(spark, sf):
-    _, training = _training(spark, sf)
-    return tidy(calibrate.window_sensitivity(cut(_dispersion_fits(training)), R.HISTORY, R.CALIBRATION), 4)
+    return tidy(calibrate.window_sensitivity(_dispersion_fits(spark, sf), R.HISTORY, R.CALIBRATION), 4)
 
 
 @query
 def bootstrap_dispersion(spark, sf):
-    _, training = _training(spark, sf)
-    fits = cut(_dispersion_fits(training))
-    replicates = calibrate.bootstrap_dispersion(training, fits, R.CALIBRATION)
+    replicates = calibrate.bootstrap_dispersion(_training(spark, sf), _dispersion_fits(spark, sf), R.CALIBRATION)
     return tidy(calibrate.bootstrap_summary(replicates, R.CALIBRATION).select(
         "stat", "samples_requested", "successful_samples", "bound_hit_samples", "failed_samples", "success_rate",
         "log_dispersion_lower", "log_dispersion_upper", "passed"), 3)
 
 
+@stage
 def _holdout(spark, sf) -> DataFrame:
-    rows, training = _training(spark, sf)
-    fits = _dispersion_fits(training).filter("window = 'full'").withColumn("dispersion", F.round("dispersion", 4))
-    return cut(calibrate.holdout_rows(rows, fits))
+    fits = _dispersion_fits(spark, sf).filter("window = 'full'").withColumn("dispersion", F.round("dispersion", 4))
+    return calibrate.holdout_rows(R.calibration_rows(spark, sf), fits)
 
 
 @query
@@ -546,7 +548,7 @@ def cohort_metrics(spark, sf):
 
 @query
 def calibration_gate(spark, sf):
-    predictions = cut(R.predictions(spark, sf))
+    predictions = R.predictions(spark, sf)
     rows = calibrate.window_rows(predictions, R.HISTORY)
     return _gate(checks.all_checks(calibrate.prediction_contract(predictions, R.HISTORY),
                                    calibrate.cohort_gate(rows, R.HISTORY, R.CALIBRATION)))
@@ -562,7 +564,7 @@ def dispersion_table(spark, sf):
 # --- means ----------------------------------------------------------------------------
 
 def _mean_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
-    return cut(R.model_quotes(spark, sf)), cut(R.dispersions(spark, sf))
+    return R.model_quotes(spark, sf), R.dispersions(spark, sf)
 
 
 @query
@@ -595,59 +597,53 @@ def curve_leave_one_out(spark, sf):
     return tidy(fits.select(*keys, F.col("holdout_count"), "holdout_failed_fits", "holdout_logit_mae"), 4)
 
 
-def _updated(spark, sf) -> tuple[DataFrame, DataFrame]:
-    quoted, table = _mean_inputs(spark, sf)
-    return quoted, cut(means.update_dispersions(quoted, table, R.MEANS))
-
-
 @query
 def dispersion_choice(spark, sf):
-    _, updated = _updated(spark, sf)
-    return tidy(updated, 3)
+    quoted, table = _mean_inputs(spark, sf)
+    return tidy(means.update_dispersions(quoted, table, R.MEANS), 3)
 
 
 def _historical_only(table: DataFrame) -> DataFrame:
     return table.withColumns({"final_dispersion": F.col("historical_dispersion"), "dispersion_source": F.lit("historical_only")})
 
 
-def _projected(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+@stage
+def _projections(spark, sf) -> DataFrame:
     quoted, table = _mean_inputs(spark, sf)
-    final = _historical_only(table)
-    return quoted, final, cut(means.source_projections(quoted, final, R.SOURCES, R.MEANS))
+    return means.source_projections(quoted, _historical_only(table), R.SOURCES, R.MEANS)
 
 
 @query
 def source_projections(spark, sf):
-    _, _, projections = _projected(spark, sf)
-    return tidy(projections.select(
+    return tidy(_projections(spark, sf).select(
         *means.GROUP, "quote_count", "eligible_quote_count", "mean", "sensitivity_low", "sensitivity_high", "projection_method",
         "thresholds_used", F.col("holdout_failed_fits").cast("double").alias("holdout_failed_fits"), "quality_status", "exclusion_reason"), 4)
 
 
 @query
 def quote_backfill(spark, sf):
-    quoted, _, projections = _projected(spark, sf)
-    return tidy(means.backfill_quotes(quoted, projections).select(
+    return tidy(means.backfill_quotes(R.model_quotes(spark, sf), _projections(spark, sf)).select(
         "source", "source_market_id", "model_inclusion_status", "source_projection_mean", "modeled_probability",
         "probability_residual", "logit_probability_residual", "source_projection_quality_status"), 4)
 
 
 @query
 def near_even_gate(spark, sf):
-    quoted, _, projections = _projected(spark, sf)
-    near = means.near_even_violations(means.backfill_quotes(quoted, projections), R.SOURCES, R.MEANS)
+    backfilled = means.backfill_quotes(R.model_quotes(spark, sf), _projections(spark, sf))
+    near = means.near_even_violations(backfilled, R.SOURCES, R.MEANS)
     return tidy(near.select("source", "source_market_id", "median_proxy", "absolute_shift", "maximum_shift", "violation"), 4)
 
 
 @query
 def model_gate(spark, sf):
-    quoted, final, projections = _projected(spark, sf)
-    backfilled = cut(means.backfill_quotes(quoted, projections))
-    return _gate(means.model_gate(projections, backfilled, final, R.SOURCES, R.MEANS))
+    projections = _projections(spark, sf)
+    backfilled = cut(means.backfill_quotes(R.model_quotes(spark, sf), projections))
+    return _gate(means.model_gate(projections, backfilled, _historical_only(R.dispersions(spark, sf)), R.SOURCES, R.MEANS))
 
 
 # --- consensus, scores, audit ---------------------------------------------------------
 
+@stage
 def _estimates(spark, sf) -> DataFrame:
     """A closed-form estimate per source, user and statistic, so that later stages compare exactly in SQL.
 
@@ -682,7 +678,7 @@ def weighted_consensus(spark, sf):
 
 @query
 def consensus_gate(spark, sf):
-    rows = cut(_estimates(spark, sf))
+    rows = _estimates(spark, sf)
     return _gate(consensus.consensus_gate(rows, consensus.consensus(rows, R.SOURCES, R.AGGREGATION), R.SOURCES, R.AGGREGATION))
 
 
@@ -778,7 +774,7 @@ def line_ratios(spark, sf):
 
 @query
 def funnel(spark, sf):
-    rows = cut(R.model_quotes(spark, sf))
+    rows = R.model_quotes(spark, sf)
     estimates = _estimates(spark, sf)
     status = estimates.select(*means.GROUP, F.col("quality_status").alias("source_projection_quality_status"))
     return tidy(audit.contract_funnel(rows.join(status, means.GROUP), estimates, _historical_only(R.dispersions(spark, sf)), "purchase"))

@@ -18,7 +18,7 @@ from curvelake.rules import (
     AggregationRules, CalibrationRules, HistoryRules, MeanRules, NameRules, PowerFitRules, PricingRules, ScoringRules,
     SourceRules,
 )
-from curvelake.session import cut
+from curvelake.session import stage
 
 STATS = ("quantity", "line_count", "returned_quantity")
 RUN_ID, SEASON = "run", "2024"
@@ -82,20 +82,24 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.canonical_weekly(weekly_raw(spark, sf_dir), HISTORY, HEADERS, order="source_order")
 
 
+@stage
 def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.season_totals(history.merge_weeks(weekly(spark, sf_dir), HISTORY), HISTORY)
 
 
+@stage
 def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.backtest_predictions(seasons(spark, sf_dir), HISTORY)
 
 
+@stage
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolling_calibration(cut(raw_predictions(spark, sf_dir)), HISTORY)
+    return rolling_calibration(raw_predictions(spark, sf_dir), HISTORY)
 
 
+@stage
 def calibration_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(window_rows(predictions(spark, sf_dir), HISTORY))
+    return window_rows(predictions(spark, sf_dir), HISTORY)
 
 
 # --- quotes ---------------------------------------------------------------------------
@@ -180,6 +184,7 @@ def contract_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("source"), "snapshot_utc", i.alias("market_index"), market.alias("market"))
 
 
+@stage
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.normalize([
         quotes.normalize_books(book_markets(spark, sf_dir), RUN_ID),
@@ -190,6 +195,7 @@ def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.price_quotes(normalized(spark, sf_dir), SOURCES, PRICING)
 
 
+@stage
 def model_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced quotes with an identity (the user) and their model eligibility."""
     rows = quotes.annotate_eligibility(priced(spark, sf_dir), MEANS)
@@ -198,6 +204,7 @@ def model_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "canonical_player_name": F.col("raw_player_name"), "canonical_position": F.col("team")})
 
 
+@stage
 def dispersions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A historical dispersion per statistic, derived from the spread of quoted values.
 

@@ -153,7 +153,7 @@ class NameRules:
     minimum_score: float = 96.0
     minimum_runner_up_gap: float = 4.0
     # Candidates below this similarity are not offered for review.
-    review_floor: float = 80.0
+    review_floor: float = 90.0
 
 
 @dataclass(frozen=True)

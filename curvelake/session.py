@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +42,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     held = df.limit(max_rows + 1).count()
     return F.broadcast(df) if held <= max_rows else df
+
+
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stage(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A stage table: built and materialised once per application and input folder.
+
+    Later stages and queries read it from the checkpoint folder instead of
+    repeating everything upstream of it.
+    """
+    @wraps(build)
+    def read(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder, f"{build.__module__}.{build.__name__}")
+        if key not in _STAGES:
+            _STAGES[key] = cut(build(spark, folder))
+        return _STAGES[key]
+    return read
