@@ -239,7 +239,7 @@ sel AS (SELECT l_orderkey AS market_id, l_linestatus = 'O' AS is_over, floor(l_d
 sides AS (SELECT market_id, count(*) AS selections, max(CASE WHEN is_over THEN struct_pack(line := line, odds := odds) END) AS o,
     max(CASE WHEN NOT is_over THEN struct_pack(line := line, odds := odds) END) AS u FROM sel GROUP BY 1),
 asm AS (SELECT o_orderkey AS market_id, o_custkey AS event_id, player, coalesce(selections, 0) AS selections, found IS NULL AS missing_event,
-    o IS NULL AS missing_over, u IS NULL AS missing_under, selections <> 2 AS non_two_selection, NOT coalesce(o.line = u.line, false) AS mismatched_line,
+    o IS NULL AS missing_over, u IS NULL AS missing_under, coalesce(selections, 0) <> 2 AS non_two_selection, NOT coalesce(o.line = u.line, false) AS mismatched_line,
     CASE WHEN o.line = u.line THEN o.line END AS market_line,
     CASE WHEN o.odds > 0 THEN 100.0 / (o.odds + 100) WHEN o.odds < 0 THEN -o.odds / (100.0 - o.odds) END AS raw_over,
     CASE WHEN u.odds > 0 THEN 100.0 / (u.odds + 100) WHEN u.odds < 0 THEN -u.odds / (100.0 - u.odds) END AS raw_under
@@ -323,7 +323,7 @@ ORACLES["title_regex"] = """SELECT event_id, 'User ' || user_id AS runner, CASE
 
 
 def match_key(c: str) -> str:
-    text = f"replace(lower(strip_accents({c})), '-', ' ')"
+    text = f"replace(replace(lower(strip_accents({c})), 'ß', 'ss'), '-', ' ')"
     text = rf"trim(regexp_replace(regexp_replace({text}, '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g'))"
     return f"regexp_replace({text}, '((^|\\s)(jr|sr|ii|iii|iv|v))+$', '')"
 
@@ -404,12 +404,12 @@ weighted AS (SELECT stat, ref, h, s, x, y, pow(0.5, (ref - s) / h::DOUBLE) AS w
 target AS (SELECT stat, ref, h, sum(w * x * y) / sum(w * y) AS c FROM weighted GROUP BY ALL),
 bisect AS (SELECT stat, ref, h, c, 0.02::DOUBLE AS lo, 3.0::DOUBLE AS hi, 0 AS i FROM target
   UNION ALL SELECT stat, ref, h, c, CASE WHEN g < 0 THEN mid ELSE lo END, CASE WHEN g < 0 THEN hi ELSE mid END, i + 1 FROM (
-    SELECT b.stat, b.ref, b.h, c, lo, hi, i, (lo + hi) / 2 AS mid, sum(w * x * exp((lo + hi) / 2 * x)) / sum(w * exp((lo + hi) / 2 * x)) - c AS g
-    FROM bisect b JOIN weighted o ON o.stat = b.stat AND o.ref = b.ref AND o.h = b.h WHERE i < 48 GROUP BY ALL)),
+    SELECT b.stat, b.ref, b.h, any_value(c) AS c, lo, hi, i, (lo + hi) / 2 AS mid, sum(w * x * exp((lo + hi) / 2 * x)) / sum(w * exp((lo + hi) / 2 * x)) - any_value(c) AS g
+    FROM bisect b JOIN weighted o ON o.stat = b.stat AND o.ref = b.ref AND o.h = b.h WHERE i < 48 GROUP BY b.stat, b.ref, b.h, lo, hi, i)),
 fit0 AS (SELECT stat, ref, h, (lo + hi) / 2 AS b FROM bisect WHERE i = 48),
 fit1 AS (SELECT stat, ref, h, b, ln(sum(w * y) / sum(w * exp(b * x))) AS a, count(*) AS n, sum(w) AS sw, array_to_string(list_sort(list(DISTINCT s)), '|') AS seasons,
     count(DISTINCT s) AS ns FROM fit0 JOIN weighted USING (stat, ref, h) GROUP BY ALL),
-fits AS (SELECT stat, ref, h, b, a, n, seasons, ns, n / sw * sum(w * (exp(a + b * x) - y * (a + b * x) + lgamma(y + 1))) AS objective,
+fits AS (SELECT stat, ref, h, b, a, n, seasons, ns, any_value(n / sw) * sum(w * (exp(a + b * x) - y * (a + b * x) + lgamma(y + 1))) AS objective,
     b - 0.02 <= 2.98e-6 OR 3 - b <= 2.98e-6 AS bound_hit FROM fit1 JOIN weighted USING (stat, ref, h) GROUP BY ALL)"""
 
 ORACLES["poisson_power_fit"] = with_(*HISTORY, POWER, recursive=True) + f"""SELECT stat, ref::BIGINT AS reference_season, h::DOUBLE AS half_life, {r("a", 4, "intercept")}, {r("b", 4, "exponent")},
@@ -524,3 +524,208 @@ _CGATE += [(f"{s}.holdout_cohort", f"(SELECT count(*) >= 30 FROM usable WHERE st
 ORACLES["calibration_gate"] = with_(*DISPERSION, recursive=True) + " UNION ALL ".join(
     f"SELECT 'historical_calibration.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _CGATE) + "".join(
     f" UNION ALL SELECT 'historical_calibration.{s}.signed_negative_observations', true, 'warning'" for s in STATS)
+
+
+# --- means ----------------------------------------------------------------------------
+
+MEANS = QUOTES + """,
+disp0 AS (SELECT stat, round(avg(floor(value)) * avg(floor(value)) / (var_samp(floor(value)) - avg(floor(value))), 3) AS r FROM ev GROUP BY 1),
+shapes AS (SELECT stat, 'point' AS which, r AS rr FROM disp0 UNION ALL SELECT stat, 'low', exp(ln(r) - 0.5) FROM disp0 UNION ALL SELECT stat, 'high', exp(ln(r) + 0.5) FROM disp0),
+coef AS (SELECT stat, which, rr, list_transform(range(0, (SELECT max(threshold_k) + 2 FROM priced)), lambda j: lgamma(j + rr) - lgamma(rr) - lgamma(j + 1)) AS a FROM shapes),
+elig AS (SELECT source, source_market_id, user_id, stat, threshold_k AS k, p, bid, ask FROM model WHERE model_reason = '')"""
+
+
+def survival(k: str, t: str) -> str:
+    """P(X >= k) at log-mean t by summing the mass function; needs columns a and rr."""
+    return (f"(1 - list_sum(list_transform(range(0, {k}), lambda j: exp(a[j + 1] - rr * ln(1 + exp({t}) / rr) - j * ln(1 + rr / exp({t}))))))")
+
+
+def solver(problems: str) -> str:
+    """Bisection on the slope of the soft-L1 cost for problems ``pid, stat, which, k, p``."""
+    return f"""
+problems AS ({problems}),
+rowsets AS (SELECT pid, k, p, rr, a FROM problems JOIN coef USING (stat, which)),
+solve AS (SELECT pid, ln(0.01) AS lo, ln(5000.0) AS hi, 0 AS i FROM problems GROUP BY pid
+  UNION ALL SELECT pid, CASE WHEN g < 0 THEN mid ELSE lo END, CASE WHEN g < 0 THEN hi ELSE mid END, i + 1 FROM (
+    SELECT pid, lo, hi, i, mid, sum(f * slope / (sv * (1 - sv)) / sqrt(1 + f * f)) AS g FROM (
+        SELECT *, ln(sv / (1 - sv)) - ln(p / (1 - p)) AS f,
+            exp(lgamma(k + rr) - lgamma(k) - lgamma(rr) - k * ln(1 + rr / exp(mid)) - rr * ln(1 + exp(mid) / rr)) AS slope FROM (
+            SELECT s.pid, lo, hi, i, (lo + hi) / 2 AS mid, k, p, rr, greatest(1e-300, least(1 - 1e-15, {survival("k", "(lo + hi) / 2")})) AS sv
+            FROM solve s JOIN rowsets q ON q.pid = s.pid WHERE i < 46)) GROUP BY pid, lo, hi, i, mid)),
+roots AS (SELECT pid, (lo + hi) / 2 AS t FROM solve WHERE i = 46),
+resid AS (SELECT pid, t, k, p, sv, ln(sv / (1 - sv)) - ln(p / (1 - p)) AS f FROM (SELECT pid, t, k, p, greatest(1e-300, least(1 - 1e-15, {survival("k", "t")})) AS sv FROM roots JOIN rowsets USING (pid))),
+fitted AS (SELECT pid, any_value(t) AS t, exp(any_value(t)) AS mean, count(*) AS n, sum(sqrt(1 + f * f) - 1) AS objective, sqrt(avg(f * f)) AS rmse, avg(abs(f)) AS mae, max(abs(f)) AS worst FROM resid GROUP BY 1)"""
+
+
+ORACLES["mean_inversion"] = with_(MEANS, solver("SELECT source || '/' || source_market_id AS pid, stat, 'point' AS which, k, p FROM elig"), recursive=True) + f"""
+SELECT split_part(pid, '/', 1) AS source, split_part(pid, '/', 2) AS source_market_id, {r("mean", 5)}, false AS bound_hit, {r("sv", 5, "modeled_probability")} FROM fitted JOIN resid USING (pid)"""
+
+_CURVES = "SELECT source || '/' || user_id || '/' || stat AS pid, stat, 'point' AS which, k, p FROM elig WHERE source NOT IN ('click', 'view')"
+_PID = "split_part(pid, '/', 1) AS source, 'user:' || split_part(pid, '/', 2) AS canonical_player_id, split_part(pid, '/', 3) AS stat"
+ORACLES["curve_fit"] = with_(MEANS, solver(_CURVES), recursive=True) + f"""SELECT {_PID}, n::BIGINT AS quotes, {r("mean", 4)}, {r("objective", 4)}, {r("rmse", 4, "logit_rmse")},
+    {r("mae", 4, "logit_mae")}, {r("worst", 4, "max_abs_logit_residual")} FROM fitted"""
+
+_LEFT_OUT = """SELECT e.source || '/' || e.user_id || '/' || e.stat || '/' || h.k AS pid, e.stat, 'point' AS which, e.k, e.p FROM elig e
+    JOIN elig h ON h.source = e.source AND h.user_id = e.user_id AND h.stat = e.stat AND h.k <> e.k WHERE e.source NOT IN ('click', 'view')"""
+_LOO = f"""
+loo AS (SELECT source, user_id, stat, k, abs(ln(sv / (1 - sv)) - ln(p / (1 - p))) AS e FROM (
+    SELECT e.*, greatest(1e-300, least(1 - 1e-15, {survival("k", "t")})) AS sv FROM elig e JOIN fitted f ON f.pid = e.source || '/' || e.user_id || '/' || e.stat || '/' || e.k
+    JOIN coef c ON c.stat = e.stat AND c.which = 'point'))"""
+ORACLES["curve_leave_one_out"] = with_(MEANS, solver(_LEFT_OUT), _LOO, recursive=True) + f"""SELECT e.source, 'user:' || e.user_id AS canonical_player_id, e.stat, count(loo.e)::BIGINT AS holdout_count,
+    0::BIGINT AS holdout_failed_fits, {r("avg(loo.e)", 4, "holdout_logit_mae")} FROM elig e LEFT JOIN loo ON loo.source = e.source AND loo.user_id = e.user_id AND loo.stat = e.stat AND loo.k = e.k
+    WHERE e.source NOT IN ('click', 'view') GROUP BY e.source, e.user_id, e.stat"""
+
+# Every fit a projection needs, as one set of problems: point, scenarios, and left-out curves.
+_ALL = ("SELECT source || '/' || user_id || '/' || stat || '#' || which AS pid, stat, which, k, p FROM elig, (SELECT unnest(['point', 'low', 'high']) AS which) UNION ALL "
+        + " UNION ALL ".join(f"SELECT source || '/' || user_id || '/' || stat || '#{c}' || which, stat, which, k, {c} FROM elig, (SELECT unnest(['low', 'high']) AS which) WHERE source NOT IN ('click', 'view')"
+                             for c in ("bid", "ask")) + " UNION ALL " + _LEFT_OUT.replace("|| '/' || h.k", "|| '/' || h.k"))
+PROJECTED = (MEANS, solver(_ALL), _LOO, """
+tally AS (SELECT source, user_id, stat, any_value(run_id) AS run_id, any_value(season) AS season, count(*) AS quote_count, count(*) FILTER (WHERE model_reason = '') AS eligible,
+    array_to_string(list_sort(list(threshold_k) FILTER (WHERE model_reason = '')), '|') AS thresholds_used,
+    array_to_string(list_sort(list(DISTINCT model_reason) FILTER (WHERE model_reason <> '')), '|') AS reasons FROM model GROUP BY 1, 2, 3),
+tried AS (SELECT *, ln(5000.0) - t <= 1.4e-6 OR t - ln(0.01) <= 1.4e-6 AS edge FROM fitted),
+point AS (SELECT split_part(pid, '#', 1) AS gid, mean, rmse, edge FROM tried WHERE pid LIKE '%#point'),
+scen AS (SELECT split_part(pid, '#', 1) AS gid, CASE WHEN NOT bool_or(edge) THEN min(mean) END AS low, CASE WHEN NOT bool_or(edge) THEN max(mean) END AS high FROM tried WHERE pid LIKE '%#%' GROUP BY 1),
+held AS (SELECT source, user_id, stat, avg(e) AS mae FROM loo GROUP BY 1, 2, 3),
+proj AS (SELECT t.*, CASE WHEN source IN ('click', 'view') AND eligible <> 1 THEN NULL ELSE point.mean END AS mean, edge, low, high, rmse, mae, source IN ('click', 'view') AS book FROM tally t
+    LEFT JOIN point ON point.gid = source || '/' || user_id || '/' || stat LEFT JOIN scen USING (gid) LEFT JOIN held USING (source, user_id, stat)),
+projected AS (SELECT *, CASE WHEN eligible = 0 THEN coalesce(nullif(reasons, ''), 'no_eligible_quotes') WHEN mean IS NULL THEN 'mean_fit_failed:a two-sided group needs exactly one eligible quote'
+    WHEN edge THEN 'mean_bound_hit' WHEN low IS NULL THEN 'sensitivity_not_identifiable' WHEN book THEN '' ELSE concat_ws('|', CASE WHEN rmse > 0.35 THEN source || '_curve_residual_exceeds_limit' END, CASE WHEN eligible > 1 AND (mae IS NULL OR mae > 0.6) THEN source || '_curve_holdout_exceeds_limit' END) END AS exclusion_reason FROM proj),
+quality AS (SELECT *, CASE WHEN eligible > 0 AND (mean IS NULL OR edge OR low IS NULL) THEN 'failed' WHEN exclusion_reason = '' THEN 'passed' ELSE 'excluded' END AS quality_status FROM projected)""")
+ORACLES["source_projections"] = with_(*PROJECTED, recursive=True) + f"""SELECT run_id, season, 'user:' || user_id AS canonical_player_id, stat, source, quote_count::BIGINT AS quote_count, eligible::BIGINT AS eligible_quote_count,
+    {r("mean", 4)}, {r("CASE WHEN mean IS NOT NULL THEN low END", 4, "sensitivity_low")}, {r("CASE WHEN mean IS NOT NULL THEN high END", 4, "sensitivity_high")},
+    CASE WHEN eligible = 0 THEN 'unavailable' WHEN mean IS NULL THEN 'failed' WHEN book THEN 'single_threshold_bounded_inversion' ELSE 'robust_multi_threshold_logit_fit' END AS projection_method,
+    coalesce(thresholds_used, '') AS thresholds_used, CASE WHEN eligible > 0 THEN 0.0::DOUBLE END AS holdout_failed_fits, quality_status, exclusion_reason FROM quality"""
+
+BACKFILLED = (*PROJECTED, f"""
+back AS (SELECT m.*, model_reason = '' AS used, mean, quality_status, CASE WHEN model_reason = '' THEN {survival("threshold_k", "ln(mean)")} END AS sv FROM model m
+    JOIN quality g ON g.source = m.source AND g.user_id = m.user_id AND g.stat = m.stat JOIN coef c ON c.stat = m.stat AND c.which = 'point')""")
+ORACLES["quote_backfill"] = with_(*BACKFILLED, recursive=True) + f"""SELECT source, source_market_id, CASE WHEN used THEN 'included' ELSE 'excluded' END AS model_inclusion_status,
+    {r("CASE WHEN used THEN mean END", 4, "source_projection_mean")}, {r("sv", 4, "modeled_probability")}, {r("sv - p", 4, "probability_residual")},
+    {r("ln(sv / (1 - sv)) - ln(p / (1 - p))", 4, "logit_probability_residual")}, CASE WHEN used AND mean IS NOT NULL THEN quality_status END AS source_projection_quality_status FROM back"""
+
+NEAR = (*BACKFILLED, """
+near AS (SELECT *, threshold_k - 0.5 AS proxy, abs(mean - (threshold_k - 0.5)) AS shift, greatest(2.0, 0.1 * (threshold_k - 0.5)) AS lim FROM back
+    WHERE source IN ('click', 'view') AND used AND quality_status = 'passed' AND p BETWEEN 0.45 AND 0.55)""")
+ORACLES["near_even_gate"] = with_(*NEAR, recursive=True) + f"""SELECT source, source_market_id, {r("proxy", 4, "median_proxy")}, {r("shift", 4, "absolute_shift")}, {r("lim", 4, "maximum_shift")}, shift > lim AS violation FROM near"""
+
+_MGATE = [("current_market_thresholds_unique_within_source", "(SELECT count(*) = count(DISTINCT (source, user_id, stat, k)) FROM elig)"), ("source_projection_keys", "true"),
+          ("at_least_one_projection", "(SELECT count(*) > 0 FROM quality WHERE quality_status = 'passed')"), ("mean_optimizers", "(SELECT count(*) = 0 FROM quality WHERE eligible > 0 AND (mean IS NULL OR edge))"),
+          ("sensitivity_bounds", "(SELECT count(*) = 0 FROM quality WHERE eligible > 0 AND (mean IS NULL OR low IS NULL))"), ("book_back_substitution", "true"), ("curve_source_residuals", "true"), ("curve_source_holdout", "true"),
+          ("mean_domains", "(SELECT count(*) = 0 FROM quality WHERE quality_status = 'passed' AND NOT (low <= mean + 1e-9 AND mean <= high + 1e-9 AND mean < 5000))"), ("pricing_included_quote_contract", "true"),
+          ("quote_inclusion_lineage", "(SELECT count(*) = 0 FROM back WHERE used AND mean IS NULL)"), ("near_even_market_mean_plausibility", "(SELECT count(*) = 0 FROM near WHERE shift > lim)"),
+          ("fitted_survival_monotonicity", "true"), ("final_dispersions", "(SELECT min(r) > 0 FROM disp0)")]
+ORACLES["model_gate"] = with_(*NEAR, recursive=True) + " UNION ALL ".join(f"SELECT 'model.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _MGATE) + \
+    " UNION ALL SELECT 'model.curves_quarantined', (SELECT count(*) = 0 FROM quality WHERE NOT book AND quality_status = 'excluded' AND mean IS NOT NULL), 'warning'"
+
+
+# --- consensus, scores, audit ---------------------------------------------------------
+
+ESTIMATES = QUOTES + """,
+est AS (SELECT run_id, season, source, user_id, 'user:' || user_id AS canonical_player_id, stat, max(raw_player_name) AS canonical_player_name, max(team) AS canonical_position, count(*) AS quote_count,
+    count(*) FILTER (WHERE model_reason = '') AS eligible_quote_count, avg(coalesce(threshold_k, raw_threshold)) AS mean, avg(coalesce(threshold_k, raw_threshold)) * 0.9 AS low,
+    avg(coalesce(threshold_k, raw_threshold)) * 1.2 AS high, CASE WHEN count(*) FILTER (WHERE model_reason = '') > 0 AND max(coalesce(threshold_k, raw_threshold)) > 3 THEN 'passed' ELSE 'failed' END AS quality_status
+    FROM model GROUP BY run_id, season, source, user_id, stat),
+weights AS (SELECT * FROM (VALUES ('click', 1.0::DOUBLE), ('view', 2.0::DOUBLE), ('purchase', 1.0::DOUBLE)) w(source, weight)),
+usable AS (SELECT * FROM est JOIN weights USING (source) WHERE quality_status = 'passed'),
+cons AS (SELECT e.run_id, e.season, e.canonical_player_id, e.stat, max(e.canonical_player_name) AS canonical_player_name, string_agg(u.source, '|' ORDER BY u.source) AS source_list, count(u.source) AS source_count,
+    coalesce(sum(u.weight), 0.0) AS wsum, max(u.mean) FILTER (WHERE u.source = 'click') AS click_mean, max(u.mean) FILTER (WHERE u.source = 'view') AS view_mean,
+    max(u.mean) FILTER (WHERE u.source = 'purchase') AS purchase_mean, sum(u.weight * u.mean) / sum(u.weight) AS consensus_mean, sum(u.weight * u.low) / sum(u.weight) AS sensitivity_low,
+    sum(u.weight * u.high) / sum(u.weight) AS sensitivity_high, min(u.mean) AS lo, max(u.mean) AS hi FROM est e LEFT JOIN usable u USING (run_id, season, source, canonical_player_id, stat) GROUP BY 1, 2, 3, 4),
+consensus AS (SELECT *, hi - lo AS source_range, (hi - lo) / greatest(abs(consensus_mean), 1e-12) AS relative_disagreement, (hi - lo) > 10 OR (hi - lo) / greatest(abs(consensus_mean), 1e-12) > 0.2 AS disagreement_flag,
+    CASE WHEN source_count > 0 THEN 'passed' ELSE 'excluded' END AS quality_status FROM cons)"""
+
+ORACLES["weighted_consensus"] = with_(ESTIMATES) + f"""SELECT run_id, season, canonical_player_id, stat, canonical_player_name, coalesce(source_list, '') AS source_list, source_count::BIGINT AS source_count,
+    {r("wsum", name="configured_weight_sum")}, {r("CASE WHEN wsum > 0 THEN 1 ELSE 0 END", name="effective_weight_sum")}, {rs("click_mean view_mean purchase_mean")},
+    {r("CASE WHEN click_mean IS NULL THEN 0 ELSE 1 / wsum END", name="click_effective_weight")}, {rs("consensus_mean sensitivity_low sensitivity_high")}, {r("lo", name="minimum_source_mean")},
+    {r("hi", name="maximum_source_mean")}, {rs("source_range relative_disagreement")}, disagreement_flag, quality_status, CASE WHEN source_count > 0 THEN '' ELSE 'minimum_sources_not_met' END AS exclusion_reason FROM consensus"""
+
+_NGATE = [("aggregation.known_sources", "(SELECT count(*) = 0 FROM est WHERE source NOT IN ('click', 'view', 'purchase', 'signup', 'error'))"),
+          ("aggregation.eligible_values", "(SELECT count(*) = 0 FROM usable WHERE mean IS NULL)"), ("aggregation.source_projection_keys", "true"), ("aggregation.consensus_keys", "true"),
+          ("aggregation.eligible_lineage", "(SELECT count(*) > 0 FROM consensus WHERE quality_status = 'passed')")]
+ORACLES["consensus_gate"] = with_(ESTIMATES) + " UNION ALL ".join(f"SELECT '{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _NGATE)
+
+_MODES = R.SCORING.bonuses
+SCORED = ESTIMATES + """,
+wide AS (SELECT run_id, season, canonical_player_id, max(canonical_player_name) AS canonical_player_name, max(consensus_mean) FILTER (WHERE stat = 'quantity') AS quantity,
+    max(consensus_mean) FILTER (WHERE stat = 'line_count') AS line_count, max(consensus_mean) FILTER (WHERE stat = 'returned_quantity') AS returned_quantity FROM consensus GROUP BY 1, 2, 3),
+points AS (SELECT *, coalesce(quantity, 0) * 0.1 + coalesce(line_count, 0) * 6 AS base, quantity IS NOT NULL OR line_count IS NOT NULL OR returned_quantity IS NOT NULL AS scored,
+    concat_ws('|', CASE WHEN line_count IS NOT NULL THEN 'returns' END, CASE WHEN quantity IS NOT NULL OR line_count IS NOT NULL THEN 'volume' END) AS scoring_profile,
+    concat_ws('|', CASE WHEN line_count IS NOT NULL THEN 'line_count' END, CASE WHEN quantity IS NOT NULL THEN 'quantity' END, CASE WHEN returned_quantity IS NOT NULL THEN 'returned_quantity' END) AS components_used,
+    concat_ws('|', 'cancelled_quantity', CASE WHEN line_count IS NULL THEN 'line_count' END, CASE WHEN quantity IS NULL THEN 'quantity' END, CASE WHEN returned_quantity IS NULL THEN 'returned_quantity' END) AS components_missing,
+    NOT ((quantity IS NOT NULL OR line_count IS NOT NULL) AND quantity IS NOT NULL AND line_count IS NOT NULL AND (line_count IS NULL OR returned_quantity IS NOT NULL)) AS blank FROM wide)"""
+_SCORE = f"""SELECT run_id, season, canonical_player_id, coalesce(canonical_player_name, '') AS canonical_player_name, scoring_profile, components_used, components_missing, false AS projection_complete,
+    'market_supported_stats_only' AS scoring_scope, {rs("quantity line_count returned_quantity")}, NULL::DOUBLE AS cancelled_quantity, """ + ", ".join(
+    r(f"CASE WHEN scored THEN base + coalesce(returned_quantity * {b}, 0) END", name=f"partial_fpts_{m}") + ", " + r(f"CASE WHEN scored AND NOT blank THEN base + coalesce(returned_quantity * {b}, 0) END", name=f"fpts_{m}")
+    for m, b in _MODES.items()) + " FROM points"
+ORACLES["score_profiles"] = with_(SCORED) + _SCORE
+ORACLES["projection_mart"] = with_(SCORED) + _SCORE
+_SGATE = ("scoring.input_keys", "scoring.player_grain", "scoring.no_missing_to_zero", "scoring.full_ppr_identity", "scoring.full_ppr_publishable_identity")
+ORACLES["scoring_gate"] = with_(SCORED) + " UNION ALL ".join(f"SELECT '{n}' AS name, true AS passed, 'error' AS severity" for n in _SGATE) + \
+    " UNION ALL SELECT 'scoring.ppr_monotonicity', (SELECT count(*) = 0 FROM points WHERE returned_quantity < 0), 'error'"
+ORACLES["mart_gate"] = with_(SCORED) + """SELECT 'mart.projections.row_count' AS name, true AS passed, 'error' AS severity UNION ALL SELECT 'mart.projections.headers', true, 'error' UNION ALL
+    SELECT 'mart.projections.no_error_values', (SELECT count(*) = 0 FROM points WHERE isnan(base) OR isinf(base)), 'error' UNION ALL
+    SELECT 'mart.projections.source_lineage', (SELECT count(*) = 0 FROM wide WHERE canonical_player_id NOT IN (SELECT canonical_player_id FROM est)), 'error'"""
+_TEXTS = {"normalized.nonempty": "rows are present", "normalized.types_and_domains": "values are canonical", "normalized.book_odds": "two-sided rows keep valid odds",
+          "normalized.contract_probabilities": "probabilities lie in [0, 1]", "normalized.row_count": "every outcome is represented", "normalized.keys_unique": "keys are unique",
+          "scoring.input_keys": "consensus grain is unique", "scoring.player_grain": "one row per player", "scoring.no_missing_to_zero": "missing values are not turned into zero",
+          "scoring.full_ppr_identity": "top mode equals base plus bonus units", "scoring.full_ppr_publishable_identity": "published modes reconcile", "scoring.ppr_monotonicity": "modes rise with the bonus"}
+ORACLES["checks_mart"] = "WITH g AS (" + ORACLES["quote_gates"] + "), s AS (" + ORACLES["scoring_gate"] + "), t AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', '{m}')" for n, m in _TEXTS.items()) + """) v(name, message))
+SELECT split_part(name, '.', 1) AS task, name AS check_name, severity, message AS expected_rule, passed, message FROM (SELECT * FROM g UNION ALL SELECT * FROM s) JOIN t USING (name)"""
+
+PAIRED = ESTIMATES + """,
+pivoted AS (SELECT canonical_player_id, stat, max(mean) FILTER (WHERE source = 'click') AS click, max(mean) FILTER (WHERE source = 'error') AS error, max(mean) FILTER (WHERE source = 'purchase') AS purchase,
+    max(mean) FILTER (WHERE source = 'signup') AS signup, max(mean) FILTER (WHERE source = 'view') AS view FROM est WHERE quality_status = 'passed' GROUP BY 1, 2),
+paired AS (SELECT *, 2 * abs(b - a) / (a + b) AS sym, (b - a) / a AS signed FROM (SELECT 'click|view' AS pair, stat, click AS a, view AS b FROM pivoted UNION ALL SELECT 'click|purchase', stat, click, purchase FROM pivoted
+    UNION ALL SELECT 'view|purchase', stat, view, purchase FROM pivoted) WHERE a IS NOT NULL AND b IS NOT NULL)"""
+ORACLES["source_pivot"] = with_(PAIRED) + f"SELECT canonical_player_id, stat, {rs('click error purchase signup view')} FROM pivoted"
+ORACLES["source_agreement"] = with_(PAIRED) + f"""SELECT pair, count(*)::BIGINT AS overlap, {r("corr(a, b)", name="correlation")}, {r("median(sym)", name="median_abs_difference")},
+    {r("avg(signed)", name="mean_signed_difference")} FROM paired GROUP BY 1"""
+_LABEL = "CASE stat WHEN 'quantity' THEN 'Quantity' WHEN 'line_count' THEN 'Line Count' ELSE 'Returned Quantity' END AS stat_label"
+ORACLES["source_agreement_by_stat"] = with_(PAIRED) + f"""SELECT pair, stat, {_LABEL}, count(*)::BIGINT AS overlap, {r("median(sym)", name="median_abs_difference")},
+    {r("median(b / a)", name="median_right_to_left_ratio")} FROM paired GROUP BY 1, 2"""
+
+LIQUID = """
+liquid AS (SELECT canonical_player_id, stat, count(*) AS contributing_quotes, sum(volume) AS total_volume, sum(open_interest) AS total_open_interest, min(open_interest) AS minimum_open_interest,
+    sum(volume % 3) AS volume_24h, median(ask - bid) AS median_spread, max(ask - bid) AS maximum_spread, min(CASE WHEN source_market_id::BIGINT % 90 > 10 THEN source_market_id::BIGINT % 90 END)::DOUBLE AS minimum_top_size
+    FROM model WHERE source = 'purchase' AND inclusion_status = 'included' GROUP BY 1, 2)"""
+ORACLES["curve_liquidity"] = with_(QUOTES, LIQUID) + f"""SELECT canonical_player_id, stat, contributing_quotes::BIGINT AS contributing_quotes,
+    {rs("total_volume total_open_interest minimum_open_interest volume_24h median_spread maximum_spread minimum_top_size")} FROM liquid"""
+ORACLES["projection_liquidity"] = with_(ESTIMATES, LIQUID) + f"""SELECT stat, count(*)::BIGINT AS curves, count(*) FILTER (WHERE volume_24h = 0)::BIGINT AS idle, count(total_volume)::BIGINT AS quoted,
+    {r("sum(total_volume)", name="volume")} FROM est LEFT JOIN liquid USING (canonical_player_id, stat) WHERE source = 'purchase' AND quality_status = 'passed' GROUP BY 1"""
+ORACLES["disagreement_rate"] = with_(ESTIMATES) + f"""SELECT list_contains(string_split(source_list, '|'), 'purchase') AS has_source, count(*)::BIGINT AS rows, count(*) FILTER (WHERE disagreement_flag)::BIGINT AS flags,
+    {r("avg(disagreement_flag::INT)", name="rate")} FROM consensus WHERE quality_status = 'passed' GROUP BY 1"""
+
+THREE = PAIRED + """,
+three AS (SELECT canonical_player_id, stat, (purchase - (click + view) / 2) / ((click + view) / 2) AS contract_vs_books, (consensus_mean - (click + view) / 2) / ((click + view) / 2) AS consensus_vs_books, disagreement_flag
+    FROM pivoted JOIN consensus USING (canonical_player_id, stat) WHERE click IS NOT NULL AND view IS NOT NULL AND purchase IS NOT NULL)"""
+ORACLES["three_source"] = with_(THREE) + f"""SELECT stat, {_LABEL}, count(*)::BIGINT AS overlaps, count(*) FILTER (WHERE disagreement_flag)::BIGINT AS disagreement_flags, {r("median(contract_vs_books)", name="median_contract_vs_books")},
+    {r("median(abs(contract_vs_books))", name="median_abs_contract_vs_books")}, {r("median(consensus_vs_books)", name="median_consensus_shift")} FROM three GROUP BY 1"""
+ORACLES["top_outliers"] = with_(THREE) + f"""SELECT canonical_player_id, stat, canonical_player_name, canonical_position, {rs("contract_vs_books consensus_vs_books")}
+    FROM (SELECT * FROM three ORDER BY abs(contract_vs_books) DESC, canonical_player_id, stat LIMIT 15)
+    LEFT JOIN (SELECT canonical_player_id, min(canonical_player_name) AS canonical_player_name, min(canonical_position) AS canonical_position FROM est GROUP BY 1) USING (canonical_player_id)"""
+ORACLES["rank_correlation"] = with_(THREE, LIQUID, """
+xy AS (SELECT abs(contract_vs_books) AS x, total_volume AS y FROM three LEFT JOIN liquid USING (canonical_player_id, stat) WHERE total_volume IS NOT NULL),
+ranked AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM xy),
+rho AS (SELECT corr(rx, ry) AS rho, count(*) AS n FROM ranked),
+tail AS (SELECT rho, n, exp(lgamma((n - 2) / 2.0 + 0.5) - lgamma((n - 2) / 2.0) - lgamma(0.5)) * 2 * (1 - abs(rho)) / 20000 / 3 AS scale,
+    unnest(range(0, 20001)) AS i FROM rho)""") + f"""SELECT {r("any_value(rho)", name="rho")}, any_value(n)::BIGINT AS n,
+    {r("sum(scale * CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(greatest(0, 1 - pow(abs(rho) + (1 - abs(rho)) * i / 20000, 2)), (n - 2) / 2.0 - 1))", name="p_value")} FROM tail"""
+ORACLES["line_ratios"] = with_(ESTIMATES) + f"""SELECT m.source, m.stat, count(*)::BIGINT AS quotes, {r("median(mean / threshold_k)", name="median_mean_to_threshold")}, {r("median(market_overround)", name="median_overround")},
+    CASE m.source WHEN 'click' THEN 'Click' ELSE 'View' END AS source_label, {_LABEL.replace("CASE stat", "CASE m.stat")} FROM model m JOIN est USING (source, user_id, stat) WHERE m.source IN ('click', 'view') GROUP BY 1, 2"""
+ORACLES["funnel"] = with_(ESTIMATES) + """SELECT 'raw_quotes' AS stage, count(*)::BIGINT AS count FROM model WHERE source = 'purchase' UNION ALL SELECT 'priced_quotes', count(*) FROM model WHERE source = 'purchase' AND inclusion_status = 'included'
+    UNION ALL SELECT 'contributing_quotes', count(*) FROM model JOIN est USING (source, user_id, stat) WHERE source = 'purchase' AND quality_status = 'passed'
+    UNION ALL SELECT 'eligible_curves', count(*) FROM est WHERE source = 'purchase' AND quality_status = 'passed'
+    UNION ALL SELECT 'single_threshold_curves', count(*) FROM est WHERE source = 'purchase' AND quality_status = 'passed' AND eligible_quote_count = 1 UNION ALL SELECT 'dispersion_updates', 0"""
+ORACLES["headline_counts"] = with_(ESTIMATES) + f"""SELECT count(*) FILTER (WHERE source_count > 0)::BIGINT AS published_rows, count(*) FILTER (WHERE source_count = 1)::BIGINT AS single_source_rows,
+    {r("count(*) FILTER (WHERE source_count = 1) / count(*) FILTER (WHERE source_count > 0)", name="single_source_rate")}, count(*) FILTER (WHERE source_count > 0 AND disagreement_flag)::BIGINT AS disagreement_rows FROM consensus"""
+ORACLES["source_skew"] = with_(QUOTES) + f"SELECT {r("date_diff('second', min(snapshot_utc::TIMESTAMP), max(snapshot_utc::TIMESTAMP))", name='source_skew_seconds')} FROM snap"
+ORACLES["top_scores"] = with_(SCORED) + f"""SELECT canonical_player_id, scoring_profile, {r("base", name="fpts_standard")}, {r("base + coalesce(returned_quantity, 0)", name="fpts_full_ppr")} FROM points
+    WHERE scored AND NOT blank ORDER BY base DESC, canonical_player_id LIMIT 15"""
+
+_SETTINGS = [("missing_stat_policy", R.SCORING.missing_stat_policy, True)] + [(c, str(w), c in STATS) for c, w in R.SCORING.weights.items()] + [
+    (f"reception_bonus.{m}", str(b), True) for m, b in _MODES.items()] + [(f"required_profiles.{p}", "|".join(n), set(n) <= set(STATS)) for p, n in R.SCORING.required_profiles.items()]
+ORACLES["settings_with_use"] = with_(SCORED, "settings AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in _SETTINGS) + ") v(setting, value, supported))") + """
+SELECT setting, value, supported AS supported_by_current_markets, coalesce(players, 0)::BIGINT AS players FROM settings
+    LEFT JOIN (SELECT setting, count(*) AS players FROM (SELECT unnest(string_split(components_used, '|')) AS setting FROM points WHERE components_used <> '') GROUP BY 1) USING (setting)"""
