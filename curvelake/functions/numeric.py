@@ -32,8 +32,9 @@ def null_nonfinite(c: Column) -> Column:
 
 
 def logit(p: Column) -> Column:
+    """Log-odds, clipped away from 0 and 1; NULL stays NULL."""
     clipped = F.greatest(F.least(p, F.lit(1.0 - _EPS)), F.lit(_TINY))
-    return F.log(clipped) - F.log1p(-clipped)
+    return F.when(p.isNotNull(), F.log(clipped) - F.log1p(-clipped))
 
 
 def half_life_weight(age: Column, half_life: Column | float) -> Column:

@@ -272,7 +272,9 @@ LEFT_OUT = T.StructType().add("count", T.IntegerType()).add("failed", T.IntegerT
 
 
 def _flat(ks: pd.Series, ps: pd.Series):
-    sizes = ks.str.len().to_numpy()
+    sizes = ks.str.len().to_numpy(dtype=np.int64)
+    if not len(ks):
+        return np.empty(0), np.empty(0), np.empty(0, dtype=np.int64), sizes
     owner = np.repeat(np.arange(len(ks)), sizes)
     return np.concatenate(ks.to_list()).astype(float), np.concatenate(ps.to_list()).astype(float), owner, sizes
 
@@ -297,28 +299,29 @@ def curve_cost_profile(ks: pd.Series, ps: pd.Series, log_r: pd.Series, lo: pd.Se
 @F.pandas_udf(LEFT_OUT)
 def leave_one_out(ks: pd.Series, ps: pd.Series, r: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
     """Error of each curve's quotes when every quote in turn is left out of the fit."""
-    rows = []
-    for kk, pp, rr, l, h in zip(ks, ps, r, lo, hi):
-        n = len(kk)
-        if n < 2:
-            rows.append((0, 0, None, None))
-            continue
-        held = []
-        for part in np.array_split(np.arange(n), max(1, n * n // 1_000_000)):
-            keep = np.ones((len(part), n), dtype=bool)
-            keep[np.arange(len(part)), part] = False
-            owner = np.nonzero(keep)[0]
-            k, p = np.tile(kk, (len(part), 1))[keep], np.tile(pp, (len(part), 1))[keep]
-            full = [np.full(len(part), v, dtype=float) for v in (rr, l, h)]
-            fit = np_fit_curves(np.asarray(k, float), np.asarray(p, float), owner, *full)
-            s = np_survival(np.asarray(kk, float)[part], fit["mean"].to_numpy(), full[0])[0]
-            held.append(np.where(fit["bound_hit"], np.nan, np_logit(s) - np_logit(np.asarray(pp, float)[part])))
-        e = np.concatenate(held)
-        good = e[np.isfinite(e)]
-        rows.append((len(good), n - len(good),
-                     float(np.abs(good).mean()) if len(good) else None,
-                     float(np.sqrt((good**2).mean())) if len(good) else None))
-    return pd.DataFrame(rows, columns=["count", "failed", "logit_mae", "logit_rmse"])
+    k, p, owner, sizes = _flat(ks, ps)
+    r, lo, hi = (s.to_numpy(dtype=float) for s in (r, lo, hi))
+    first, error = np.cumsum(sizes) - sizes, np.full(len(k), np.nan)
+    held = np.flatnonzero(sizes[owner] > 1)
+    # One problem per left-out quote; a bounded number of quotes at a time.
+    load = np.cumsum(sizes[owner[held]]) // 1_000_000
+    for part in np.split(held, np.flatnonzero(np.diff(load)) + 1) if len(held) else []:
+        size = sizes[owner[part]]
+        problem = np.repeat(np.arange(len(part)), size)
+        quote = np.repeat(first[owner[part]], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        kept = quote != part[problem]
+        curve = owner[part]
+        fit = np_fit_curves(k[quote[kept]], p[quote[kept]], problem[kept], r[curve], lo[curve], hi[curve])
+        s = np_survival(k[part], fit["mean"].to_numpy(), r[curve])[0]
+        error[part] = np.where(fit["bound_hit"], np.nan, np_logit(s) - np_logit(p[part]))
+    good = np.isfinite(error)
+    count = np.bincount(owner[good], minlength=len(ks))
+    divisor = np.where(count > 0, count, np.nan)
+    return pd.DataFrame({
+        "count": count, "failed": np.where(sizes > 1, sizes - count, 0),
+        "logit_mae": np.bincount(owner[good], np.abs(error[good]), minlength=len(ks)) / divisor,
+        "logit_rmse": np.sqrt(np.bincount(owner[good], error[good] ** 2, minlength=len(ks)) / divisor),
+    }).astype({"count": "int32", "failed": "int32"}).replace({np.nan: None})
 
 
 @F.pandas_udf(_struct("f", "slope"))

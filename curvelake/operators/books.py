@@ -89,5 +89,5 @@ def execution_quotes(combined: DataFrame) -> DataFrame:
         "market_id", F.when(F.col("book_side") == "ask", "buy_yes").otherwise("sell_yes").alias("action"),
         "requested_contracts", "fillable_contracts",
         (F.col("fillable_contracts") >= F.col("requested_contracts")).alias("fully_fillable"),
-        F.try_divide("consideration_dollars", "fillable_contracts").alias("vwap_dollars"),
+        F.try_divide(F.col("consideration_dollars").cast("double"), F.col("fillable_contracts").cast("double")).alias("vwap_dollars"),
         F.col("_worst.price").alias("worst_price_dollars"), "consideration_dollars")

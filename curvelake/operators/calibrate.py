@@ -15,7 +15,7 @@ from curvelake.operators.history import ENTITY
 from curvelake.operators.minimize import refine_on_grid, zoom_minimum
 from curvelake.operators.ranks import row_ranks
 from curvelake.rules import CalibrationRules, HistoryRules
-from curvelake.session import cut
+from curvelake.session import cut, spread
 
 # The hash field of the bootstrap draws (largest prime below 2**28)
 # and the cumulative probabilities of a unit Poisson count.
@@ -45,7 +45,7 @@ def usable_rows(rows: DataFrame) -> DataFrame:
 def training_rows(rows: DataFrame, history: HistoryRules) -> DataFrame:
     """Usable pre-holdout rows: outcome ``y``, fixed mean ``mu``, recency weight ``w``."""
     age = F.lit(history.holdout_start - 1) - F.col("target_season")
-    return usable_rows(rows).filter(~F.col("is_holdout")).select(
+    return spread(usable_rows(rows).filter(~F.col("is_holdout")), ENTITY).select(
         "stat", F.col("target_season").alias("season"), ENTITY, F.rint("realized_total").alias("y"),
         F.col("baseline_mean").alias("mu"),
         half_life_weight(age, history.recency_half_life_seasons).alias("w"))
@@ -156,10 +156,11 @@ def bootstrap_dispersion(training: DataFrame, fits: DataFrame, rules: Calibratio
     nodes = fits.filter("window = 'full'").filter(F.col("curvature") > 0).select(
         "stat", first.alias("first"), ((last - first) / (BOOTSTRAP_NODES - 1)).alias("step"))
     h1, h2 = _hash_parts(F.concat_ws("|", F.lit(str(rules.random_seed)), "stat", F.col("season").cast("string"), ENTITY))
-    log_r = [F.exp(F.col("first") + F.col("step") * i) for i in range(BOOTSTRAP_NODES)]
+    # One lambda over the nodes: unrolled, the expression would be too large to compile.
+    costs = F.transform(F.sequence(F.lit(0), F.lit(BOOTSTRAP_NODES - 1)), lambda i: -F.col("w") * nb_logpmf(
+        F.col("y"), F.col("mu"), F.exp(F.col("first") + F.col("step") * i)))
     rows = training.join(F.broadcast(nodes), "stat").select(
-        "stat", "season", "first", "step", h1.alias("h1"), h2.alias("h2"),
-        *[(-F.col("w") * nb_logpmf(F.col("y"), F.col("mu"), r)).alias(f"c{i}") for i, r in enumerate(log_r)])
+        "stat", "season", "first", "step", h1.alias("h1"), h2.alias("h2"), costs.alias("costs"))
     mixed = F.pmod(F.col("h1") + F.col("ticket") * F.col("h2"), F.lit(HASH_PRIME))
     u = F.pmod(mixed * mixed + F.col("ticket"), F.lit(HASH_PRIME)) / float(HASH_PRIME)
     times = sum((F.when(F.col("u") >= c, 1).otherwise(0) for c in UNIT_POISSON[1:]),
@@ -168,7 +169,7 @@ def bootstrap_dispersion(training: DataFrame, fits: DataFrame, rules: Calibratio
         "times", times).filter("times > 0")
     summed = drawn.groupBy("stat", "replicate", "first", "step").agg(
         F.sum("times").alias("drawn_rows"),
-        *[F.sum(F.col("times") * F.col(f"c{i}")).alias(f"c{i}") for i in range(BOOTSTRAP_NODES)])
+        *[F.sum(F.col("times") * F.get("costs", F.lit(i))).alias(f"c{i}") for i in range(BOOTSTRAP_NODES)])
     found = refine_on_grid(summed.withColumn("costs", F.array(*[f"c{i}" for i in range(BOOTSTRAP_NODES)])),
                            F.col("first"), F.col("step"))
     x, best, tolerance = F.col("x"), F.col("best"), F.greatest(F.lit(1e-5), (hi - lo) * 1e-5)
@@ -202,7 +203,7 @@ def holdout_rows(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """Usable holdout rows with their statistic's dispersion, log-likelihoods and errors."""
     r = fits.select("stat", F.col("dispersion").alias("r"))
     y, mu = F.rint("realized_total"), F.col("baseline_mean")
-    return usable_rows(rows).filter("is_holdout").join(F.broadcast(r), "stat").select(
+    return spread(usable_rows(rows).filter("is_holdout"), ENTITY).join(F.broadcast(r), "stat").select(
         "stat", "target_season", ENTITY, "position", "target_games", y.alias("y"), mu.alias("mu"),
         F.col("baseline_mean_raw").alias("raw_mu"), "r",
         nb_logpmf(y, mu, F.col("r")).alias("log_nb"), poisson_logpmf(y, mu).alias("log_poisson"))

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvelake.functions import numeric as N
-from curvelake.functions.similarity import indel_ratio, indexed_segments, probed_segments
+from curvelake.functions.similarity import indel_ratio, indexed_segments, probed_segments, within_edits
 from curvelake.functions.text import initials_match, match_key, stable_id
 from curvelake.operators.checks import Check, all_checks, check_table, grain_check
 from curvelake.rules import NameRules, SourceRules
-from curvelake.session import cut
+from curvelake.session import cut, spread
 
 WHO = ["source", "raw_player_name"]
 
@@ -131,10 +131,11 @@ def similar_keys(queries: DataFrame, keys: DataFrame, floor: float) -> DataFrame
     """
     if not 70.0 <= floor <= 100.0:
         raise ValueError("the similarity floor must lie between 70 and 100")
-    probes = queries.select("query_key", F.explode(probed_segments("query_key", floor)).alias("segment"))
-    filed = keys.select("match_key", F.explode(indexed_segments("match_key", floor)).alias("segment"))
+    probes = spread(queries, "query_key").select("query_key", F.explode(probed_segments("query_key", floor)).alias("segment"))
+    filed = spread(keys, "match_key").select("match_key", F.explode(indexed_segments("match_key", floor)).alias("segment"))
     close = probes.join(filed, "segment").select("query_key", "match_key").distinct()
-    scored = close.withColumn("score", indel_ratio("query_key", "match_key")).filter(F.col("score") >= floor - 1e-9)
+    near = close.filter(within_edits("query_key", "match_key", floor))
+    scored = near.withColumn("score", indel_ratio("query_key", "match_key")).filter(F.col("score") >= floor - 1e-9)
 
     def last(c):
         return F.element_at(F.split(c, " "), -1)

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from curvelake.functions.numeric import half_life_weight, is_finite, pipe_join
 from curvelake.functions.special import lgamma
+from curvelake.operators.history import ENTITY
 from curvelake.rules import HistoryRules
-from curvelake.session import cut
+from curvelake.session import cut, spread
 
 GRID_NODES = 33
 FIT = ["stat", "reference_season", "half_life"]
@@ -28,10 +29,11 @@ FIT = ["stat", "reference_season", "half_life"]
 def observations(predictions: DataFrame, rules: HistoryRules) -> DataFrame:
     """Eligible rows that a calibration may learn from: log raw mean ``x`` and outcome ``y``."""
     raw, y = F.col("baseline_mean_raw"), F.col("realized_total")
-    return predictions.filter(
+    rows = predictions.filter(
         F.col("training_eligible") & is_finite(raw) & (raw > 0) & is_finite(y) & (y >= 0)
         & F.col("target_season").between(rules.calibration_start_season, rules.holdout_start - 1)
-    ).select("stat", F.col("target_season").alias("season"), F.log(raw).alias("x"), y.alias("y"))
+    ).select(ENTITY, "stat", F.col("target_season").alias("season"), F.log(raw).alias("x"), y.alias("y"))
+    return spread(rows, ENTITY).drop(ENTITY)
 
 
 def _moments(x: Column, b: Column) -> list[Column]:

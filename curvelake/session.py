@@ -44,6 +44,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if held <= max_rows else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by keys for work that is heavy per byte.
+
+    Adaptive execution sizes partitions by bytes, which would leave a small table
+    of expensive rows (likelihoods, curve fits) on a few cores. An explicit number
+    keeps every core busy, and a later grouping by the same keys needs no shuffle.
+    """
+    spark = df.sparkSession
+    number = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(number, *keys)
+
+
 _STAGES: dict[tuple[str, str, str], DataFrame] = {}
 
 
