@@ -54,7 +54,7 @@ def fold_accents(c: Column) -> Column:
     entries = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(entries, ch), ch)), "")
-    has_longer = c.rlike("[" + re.escape("".join(longer)) + "]")
+    has_longer = F.translate(c, "".join(longer), "") != c
     unfolded = F.when(has_longer, expanded).otherwise(c)
     return F.lower(F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(unfolded, source, target)).otherwise(c))
 

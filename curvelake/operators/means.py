@@ -95,7 +95,8 @@ def shared_dispersion(quotes: DataFrame, priors: DataFrame, rules: MeanRules) ->
     brackets = priors.withColumns({"lo": F.log(_by_stat(rules.dispersion_bounds, 0)), "hi": F.log(_by_stat(rules.dispersion_bounds, 1))})
 
     def cost_rows(state: DataFrame) -> DataFrame:
-        costs = arrays.join(F.broadcast(state), "stat").select(*by, "lo", "hi", F.posexplode(
+        # Outer: a plain explode would evaluate the profile again in a filter on its size.
+        costs = arrays.join(F.broadcast(state), "stat").select(*by, "lo", "hi", F.posexplode_outer(
             curve_cost_profile("ks", "ps", "grid", "mean_lo", "mean_hi")).alias("node", "cost"))
         penalty = state.join(priors.filter("prior_sd IS NOT NULL"), by).select(
             *by, "lo", "hi", "prior_log", "prior_sd", F.posexplode("grid").alias("node", "log_r")).select(

@@ -30,8 +30,9 @@ def candidate_rows(history: DataFrame) -> DataFrame:
         N.clean_text(F.col("gsis_player_id")).alias("gsis_player_id"), N.clean_text(F.col("player_name")).alias("player_name"),
         N.clean_text(F.col("position")).alias("position"), N.clean_text(F.col("team")).alias("team"),
         N.clean_text(F.col("stat")).alias("stat"),
-    ).filter(F.col("gsis_player_id").isNotNull() & F.col("player_name").isNotNull()).distinct()
-    return named.withColumn("match_key", match_key(F.col("player_name"))).withColumn(
+    ).filter(F.col("gsis_player_id").isNotNull() & F.col("player_name").isNotNull())
+    distinct = named.groupBy(*named.columns).agg(F.count("*").alias("history_rows"))
+    return distinct.withColumn("match_key", match_key(F.col("player_name"))).withColumn(
         "canonical_player_id", F.concat(F.lit("gsis:"), F.col("gsis_player_id")))
 
 
@@ -55,8 +56,9 @@ def market_identities(quotes: DataFrame, sources: Sequence[str]) -> DataFrame:
     ).filter(F.col("source").isin(*sources) & F.col("raw_player_name").isNotNull())
     grouped = named.groupBy(*WHO).agg(
         F.array_sort(F.collect_set("stat")).alias("stats"), F.array_sort(F.collect_set("team")).alias("teams"))
+    # One condition on key and group, so that keys are computed per name and not per quote.
     return grouped.withColumn("match_key", match_key(F.col("raw_player_name"))).filter(
-        (F.col("match_key") != "") & (F.size("stats") > 0))
+        F.when(F.size("stats") > 0, F.col("match_key") != ""))
 
 
 def prepared_aliases(aliases: DataFrame) -> DataFrame:
@@ -103,7 +105,9 @@ def match_aliases(identities: DataFrame, aliases: DataFrame) -> DataFrame:
 def pool_from_history(history: DataFrame) -> DataFrame:
     """Candidate pool rows: id, key, statistic (a player is known under all its keys for all its statistics)."""
     rows = candidate_rows(history)
-    keys = rows.filter("match_key <> ''").select("canonical_player_id", "match_key").distinct()
+    # Bound to the row count, so that the filter (and the key) stays above the grouping.
+    named = F.when(F.col("history_rows") > 0, F.col("match_key") != "")
+    keys = rows.filter(named).select("canonical_player_id", "match_key").distinct()
     stats = rows.filter(F.col("stat").isNotNull()).select("canonical_player_id", "stat").distinct()
     return keys.join(stats, "canonical_player_id")
 
@@ -131,8 +135,9 @@ def similar_keys(queries: DataFrame, keys: DataFrame, floor: float) -> DataFrame
     """
     if not 70.0 <= floor <= 100.0:
         raise ValueError("the similarity floor must lie between 70 and 100")
-    probes = spread(queries, "query_key").select("query_key", F.explode(probed_segments("query_key", floor)).alias("segment"))
-    filed = spread(keys, "match_key").select("match_key", F.explode(indexed_segments("match_key", floor)).alias("segment"))
+    # Outer: a plain explode would also filter on the (costly) array's size below the grouping.
+    probes = spread(queries, "query_key").select("query_key", F.explode_outer(probed_segments("query_key", floor)).alias("segment"))
+    filed = spread(keys, "match_key").select("match_key", F.explode_outer(indexed_segments("match_key", floor)).alias("segment"))
     close = probes.join(filed, "segment").select("query_key", "match_key").distinct()
     near = close.filter(within_edits("query_key", "match_key", floor))
     scored = near.withColumn("score", indel_ratio("query_key", "match_key")).filter(F.col("score") >= floor - 1e-9)

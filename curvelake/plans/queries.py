@@ -337,18 +337,18 @@ NAME_SOURCES = {name: R.SOURCES[name] for name in ("click", "purchase", "view")}
 def _name_quotes(spark, sf) -> DataFrame:
     """Suppliers' quotes of parts under altered names: as is, accented, with a suffix, a letter off, initials."""
     lines = R.table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
-    parts = R.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    full = F.concat_ws(" ", "p_name", "p_brand")
-    kind = F.col("l_partkey") % 8
+    full, kind = F.concat_ws(" ", "p_name", "p_brand"), F.col("p_partkey") % 8
     raw = (F.when(kind == 0, full).when(kind == 1, F.concat(F.upper(F.translate(full, "aeiou", "áéîöù")), F.lit(" Jr."))).when(
         kind == 2, F.concat(F.substring(full, 1, 3), F.substring(full, 5, 100))).when(
             kind == 3, F.concat(F.substring(full, 1, 1), F.lit(". "), F.element_at(F.split(full, " "), -1))).when(
                 kind == 4, F.concat(full, F.lit("x"))).when(kind == 5, F.concat_ws("-", "p_name", "p_brand")).when(
                     kind == 6, F.concat(F.lit("unknown "), F.md5(full))).otherwise(F.concat(F.lit(" "), full, F.lit(" III"))))
+    # The altered names are made once per part, before the join with the lines.
+    parts = R.table(spark, sf, "part").select(
+        "p_partkey", raw.alias("raw_player_name"), F.col("p_type").alias("stat"), F.col("p_brand").alias("team"))
     source = F.element_at(F.array(*[F.lit(s) for s in sorted(NAME_SOURCES)]), (F.col("l_suppkey") % 3 + 1).cast("int"))
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        source.alias("source"), raw.alias("raw_player_name"), F.col("p_type").alias("stat"), F.col("p_brand").alias("team"),
-        F.lit(None).cast("string").alias("team_abbreviation"))
+        source.alias("source"), "raw_player_name", "stat", "team", F.lit(None).cast("string").alias("team_abbreviation"))
 
 
 def _aliases(spark, sf) -> DataFrame:
@@ -360,6 +360,11 @@ def _aliases(spark, sf) -> DataFrame:
         F.concat(F.lit("Listed "), F.col("full")).alias("canonical_player_name"), F.lit("reviewed").alias("notes"))
 
 
+@stage
+def _identities(spark, sf) -> DataFrame:
+    return names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES))
+
+
 @query
 def candidate_table(spark, sf):
     table = names.candidate_table(_names(spark, sf))
@@ -368,26 +373,25 @@ def candidate_table(spark, sf):
 
 @query
 def market_identities(spark, sf):
-    table = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES))
+    table = _identities(spark, sf)
     return table.select("source", "raw_player_name", "match_key", F.array_join("stats", "|").alias("stats"), F.array_join("teams", "|").alias("teams"))
 
 
 @query
 def alias_match(spark, sf):
-    found = names.match_aliases(names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES)), _aliases(spark, sf))
+    found = names.match_aliases(_identities(spark, sf), _aliases(spark, sf))
     return found.filter(F.col("alias_id").isNotNull()).select("source", "raw_player_name", "alias_id", "alias_name")
 
 
 @query
 def exact_match(spark, sf):
-    identities = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES))
-    return names.exact_matches(identities, names.id_range(names.pool_from_history(_names(spark, sf))))
+    return names.exact_matches(_identities(spark, sf), names.id_range(names.pool_from_history(_names(spark, sf))))
 
 
 @query
 def similar_names(spark, sf):
     """Distinct quoted and known keys at least 90 alike, or alike by initials."""
-    quoted = names.market_identities(_name_quotes(spark, sf), sorted(NAME_SOURCES)).select(F.col("match_key").alias("query_key")).distinct()
+    quoted = _identities(spark, sf).select(F.col("match_key").alias("query_key")).distinct()
     known = names.pool_from_history(_names(spark, sf)).select("match_key").distinct()
     return tidy(names.similar_keys(quoted, known, 90.0))
 
