@@ -135,12 +135,16 @@ def similar_keys(queries: DataFrame, keys: DataFrame, floor: float) -> DataFrame
     """
     if not 70.0 <= floor <= 100.0:
         raise ValueError("the similarity floor must lie between 70 and 100")
+    # Each set of keys is read twice, for segments and for initials.
+    queries, keys = cut(queries), cut(keys)
     # Outer: a plain explode would also filter on the (costly) array's size below the grouping.
     probes = spread(queries, "query_key").select("query_key", F.explode_outer(probed_segments("query_key", floor)).alias("segment"))
     filed = spread(keys, "match_key").select("match_key", F.explode_outer(indexed_segments("match_key", floor)).alias("segment"))
-    close = probes.join(filed, "segment").select("query_key", "match_key").distinct()
-    near = close.filter(within_edits("query_key", "match_key", floor))
-    scored = near.withColumn("score", indel_ratio("query_key", "match_key")).filter(F.col("score") >= floor - 1e-9)
+    close = probes.join(filed, "segment").groupBy("query_key", "match_key").agg(F.count("*").alias("shared"))
+    # Bound to the count, so that a pair is compared once and not once per shared segment.
+    near = close.filter(F.when(F.col("shared") > 0, within_edits("query_key", "match_key", floor)))
+    scored = near.select("query_key", "match_key", indel_ratio("query_key", "match_key").alias("score")).filter(
+        F.col("score") >= floor - 1e-9)
 
     def last(c):
         return F.element_at(F.split(c, " "), -1)
