@@ -25,7 +25,8 @@ def read_snapshot(spark: SparkSession, path: str, kind: str) -> DataFrame:
     schema = schemas.BOOK_SNAPSHOT if kind == "book" else schemas.CONTRACT_SNAPSHOT
     documents = spark.read.schema(schema).option("multiLine", True).option(
         "columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    broken = documents.filter(F.col("_corrupt_record").isNotNull()).limit(1).count()
+    empty = F.col("metadata").isNull() & F.col("markets").isNull()
+    broken = documents.filter(F.col("_corrupt_record").isNotNull() | empty).limit(1).count()
     if broken:
         raise ValueError(f"unreadable snapshot document under {path}")
     return documents.drop("_corrupt_record")
