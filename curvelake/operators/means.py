@@ -175,10 +175,10 @@ def update_dispersions(quotes: DataFrame, dispersions: DataFrame, rules: MeanRul
     status = history.join(groups, "stat", "left").join(repeated, "stat", "left").select(
         "stat", "historical_log_dispersion", "prior_sd", F.coalesce("initial_groups", F.lit(0)).alias("initial_groups"),
         F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"))
-    any_repeat = repeated.agg((F.count("*") > 0).alias("any_repeat"))
+    any_repeat = repeated.agg((F.count("*") > 0).alias("any_repeat"), F.lit(1).alias("_k"))
     enough = F.col("initial_groups") >= rules.minimum_calibration_groups
     asked = F.lit(rules.dispersion_mode == "historical_with_current_market_update")
-    status = cut(status.join(F.broadcast(any_repeat)).withColumn("updatable", asked & enough & ~F.col("any_repeat") & F.col("prior_sd").isNotNull()))
+    status = cut(status.withColumn("_k", F.lit(1)).join(any_repeat, "_k").drop("_k").withColumn("updatable", asked & enough & ~F.col("any_repeat") & F.col("prior_sd").isNotNull()))
     updatable = status.filter("updatable")
     usable = qualified.join(F.broadcast(updatable.select("stat")), "stat", "left_semi")
 

@@ -1,11 +1,7 @@
-"""Explicit schemas of the input files and of check tables."""
+"""Explicit schemas of the snapshot files."""
 
 from __future__ import annotations
 
-CHECKS = "name string, passed boolean, severity string, message string, details map<string,string>"
-
-ALIASES = "source string, raw_player_name string, canonical_player_id string, canonical_player_name string, notes string"
-
 _SIDE = ("struct<selection_id: string, label: string, outcome_type: string, "
          "american_odds: int, decimal_odds: double>")
 

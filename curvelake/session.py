@@ -1,4 +1,4 @@
-"""Session helpers: reliable checkpoints and size-checked broadcasts."""
+"""Session helpers: reliable checkpoints, stage tables and partitioning for heavy rows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -35,15 +34,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
-
-    Beyond the limit the frame is returned as it is and Spark shuffles the join.
-    """
-    held = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if held <= max_rows else df
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Partition by keys for work that is heavy per byte.
 
