@@ -147,7 +147,7 @@ def np_invert(k, p, r, lo, hi, tolerance=1e-10):
         f, slope = _logit_residual(k[live], target[live], now, r[live])
         a[live], b[live] = np.where(f < 0, now, a[live]), np.where(f >= 0, now, b[live])
         step = now - f / np.where(slope > 0, slope, np.inf)
-        newton = (step > a[live]) & (step < b[live]) & (slope > 0)
+        newton = (step >= a[live]) & (step <= b[live]) & (slope > 0)
         t[live] = np.where(newton, step, 0.5 * (a[live] + b[live]))
         live = live[np.abs(t[live] - now) > 1e-13 * np.maximum(1.0, np.abs(now))]
     t = np.where(np.abs(low) <= tolerance, low_t, t)
@@ -178,6 +178,7 @@ def np_fit_curves(k, p, owner, r, lo, hi):
     if has.any():
         t[has] = 0.5 * (ranked[(first + (count - 1) // 2)[has]] + ranked[(first + count // 2)[has]])
     a, b, live = low.copy(), high.copy(), np.ones(n, dtype=bool)
+    before, g_before = np.full(n, np.nan), np.full(n, np.nan)
     for _ in range(200):
         rows = live[owner]
         mine, now = owner[rows], t.copy()
@@ -186,8 +187,13 @@ def np_fit_curves(k, p, owner, r, lo, hi):
         g = np.bincount(mine, f * slope / np.sqrt(bend), minlength=n)
         h = np.bincount(mine, slope * slope / bend**1.5, minlength=n)
         a, b = np.where(live & (g < 0), now, a), np.where(live & (g >= 0), now, b)
-        step = now - g / np.where(h > 0, h, np.inf)
-        newton = (step > a) & (step < b) & (h > 0)
+        # Secant slope of g once two points are known, else its Gauss-Newton estimate.
+        with np.errstate(divide="ignore", invalid="ignore"):
+            secant = (g - g_before) / (now - before)
+        bend = np.where(np.isfinite(secant) & (secant > 0), secant, h)
+        step = now - g / np.where(bend > 0, bend, np.inf)
+        newton = (step >= a) & (step <= b) & (bend > 0)
+        before, g_before = np.where(live, now, before), np.where(live, g, g_before)
         t = np.where(live, np.where(newton, step, 0.5 * (a + b)), now)
         live &= np.abs(t - now) > 1e-12 * np.maximum(1.0, np.abs(now))
         if not live.any():

@@ -549,14 +549,15 @@ single AS (SELECT stat, which, k, p, ln(0.01) AS lo, ln(5000.0) AS hi, 0 AS i FR
   UNION ALL SELECT stat, which, k, p, CASE WHEN v < p THEN mid ELSE lo END, CASE WHEN v < p THEN hi ELSE mid END, i + 1 FROM (
     SELECT s.*, (lo + hi) / 2 AS mid, {survival("k", "(lo + hi) / 2")} AS v FROM single s JOIN coef USING (stat, which) WHERE i < 40)),
 start AS (SELECT pid, coalesce(median(lo) FILTER (WHERE lo > ln(0.01) + 2e-6 AND lo < ln(5000.0) - 2e-6), (ln(0.01) + ln(5000.0)) / 2) AS t0 FROM problems JOIN single USING (stat, which, k, p) WHERE i = 40 GROUP BY 1),
-solve AS (SELECT pid, ln(0.01) AS lo, ln(5000.0) AS hi, t0 AS mid, 0 AS i FROM start
-  UNION ALL SELECT pid, CASE WHEN g < 0 THEN mid ELSE lo END, CASE WHEN g < 0 THEN hi ELSE mid END, CASE WHEN mid - g / h > CASE WHEN g < 0 THEN mid ELSE lo END AND mid - g / h < CASE WHEN g < 0 THEN hi ELSE mid END THEN mid - g / h WHEN g < 0 THEN (mid + hi) / 2 ELSE (lo + mid) / 2 END, i + 1 FROM (
-    SELECT pid, lo, hi, i, mid, sum(f * slope / (sv * (1 - sv)) / sqrt(1 + f * f)) AS g, sum(pow(slope / (sv * (1 - sv)), 2) / pow(1 + f * f, 1.5)) AS h FROM (
+solve AS (SELECT pid, ln(0.01) AS lo, ln(5000.0) AS hi, t0 AS mid, NULL::DOUBLE AS pt, NULL::DOUBLE AS pg, 0 AS i FROM start
+  UNION ALL SELECT pid, l2, h2, CASE WHEN mid - g / s >= l2 AND mid - g / s <= h2 THEN mid - g / s ELSE (l2 + h2) / 2 END, mid, g, i + 1 FROM (
+    SELECT *, CASE WHEN g < 0 THEN mid ELSE lo END AS l2, CASE WHEN g < 0 THEN hi ELSE mid END AS h2, CASE WHEN mid <> pt AND (g - pg) / (mid - pt) > 0 THEN (g - pg) / (mid - pt) ELSE h END AS s FROM (
+    SELECT pid, lo, hi, i, mid, any_value(pt) AS pt, any_value(pg) AS pg, sum(f * slope / (sv * (1 - sv)) / sqrt(1 + f * f)) AS g, sum(pow(slope / (sv * (1 - sv)), 2) / pow(1 + f * f, 1.5)) AS h FROM (
         SELECT *, ln(sv / (1 - sv)) - ln(p / (1 - p)) AS f,
             exp(lgamma(k + rr) - lgamma(k) - lgamma(rr) - k * ln(1 + rr / exp(mid)) - rr * ln(1 + exp(mid) / rr)) AS slope FROM (
-            SELECT s.pid, lo, hi, i, mid, k, p, rr, greatest(1e-300, least(1 - 1e-15, {survival("k", "mid")})) AS sv
-            FROM solve s JOIN rowsets q ON q.pid = s.pid WHERE i < 80)) GROUP BY pid, lo, hi, i, mid)),
-roots AS (SELECT pid, mid AS t FROM solve WHERE i = 80),
+            SELECT s.pid, lo, hi, i, mid, pt, pg, k, p, rr, greatest(1e-300, least(1 - 1e-15, {survival("k", "mid")})) AS sv
+            FROM solve s JOIN rowsets q ON q.pid = s.pid WHERE i < 60)) GROUP BY pid, lo, hi, i, mid))),
+roots AS (SELECT pid, mid AS t FROM solve WHERE i = 60),
 resid AS (SELECT pid, t, k, p, sv, ln(sv / (1 - sv)) - ln(p / (1 - p)) AS f FROM (SELECT pid, t, k, p, greatest(1e-300, least(1 - 1e-15, {survival("k", "t")})) AS sv FROM roots JOIN rowsets USING (pid))),
 fitted AS (SELECT pid, any_value(t) AS t, exp(any_value(t)) AS mean, count(*) AS n, sum(sqrt(1 + f * f) - 1) AS objective, sqrt(avg(f * f)) AS rmse, avg(abs(f)) AS mae, max(abs(f)) AS worst FROM resid GROUP BY 1)"""
 
