@@ -42,7 +42,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     keeps every core busy, and a later grouping by the same keys needs no shuffle.
     """
     spark = df.sparkSession
-    number = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A chosen number of shuffle partitions is respected; Spark's fixed default says nothing about the cluster.
+    chosen = int(spark.conf.getAll.get("spark.sql.shuffle.partitions", 0))
+    number = max(spark.sparkContext.defaultParallelism, chosen)
     return df.repartition(number, *keys)
 
 
