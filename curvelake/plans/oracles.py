@@ -1,7 +1,10 @@
-"""SQL equivalents of the registered queries, written independently of them for DuckDB.
+"""SQL equivalents of the registered queries for DuckDB.
 
-Iterative fits are checked by other means: bisection and ternary search in
-recursive queries, and survival probabilities by summing the mass function.
+Survival probabilities come from summing the mass function, power fits from
+bisection and dispersions from ternary search. Two parts follow the same steps as
+the Spark side and so check the arithmetic, not the method: curve fits (same start
+and secant rule, since a robust cost can have several minima) and the bootstrap
+(same hashes and nodes).
 """
 
 from __future__ import annotations
