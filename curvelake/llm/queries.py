@@ -2,24 +2,69 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curvelake.llm import simhash, tokens
-from curvelake.llm.common import table
+from curvelake.llm import classifier, decontam, langid, lines, simhash, tokens
+from curvelake.llm.common import map_slices, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _digest(piece: pa.RecordBatch) -> dict:
+    kept = [lines.kept_lines(t, k) for t, k in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True)]
+    return {"doc_id": piece.column(0), "n_lines": [k[0] for k in kept], "n_dropped": [k[1] for k in kept],
+            "kept_sha256": [hashlib.sha256((k[2] or "").encode()).hexdigest() for k in kept]}
+
+
+def digest_of_lines(docs: DataFrame) -> DataFrame:
+    marked = lines.with_bitmaps(docs.select("doc_id", "text"), lines.keep_bitmaps(docs))
+    return map_slices(marked.selectExpr("cast(doc_id as bigint) doc_id", "text", "__own_keep"), _digest,
+                      "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string")
+
+
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return digest_of_lines(table(spark, folder, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op4_token_counts, op7_simhash)}
-ORACLES: dict[str, str] = {}
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+OP3_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+common AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT doc_id, pos, line, keeper IS NOT NULL AND doc_id <> keeper AS dropped FROM keyed LEFT JOIN common USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
+    op3_line_dedup, op4_token_counts, op6_decontamination, op7_simhash, op8_quality, op10_language_id)}
+ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
