@@ -9,12 +9,16 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curvelake.llm import classifier, decontam, langid, lines, simhash, tokens
+from curvelake.llm import classifier, decontam, langid, lines, mixing, outliers, simhash, tokens
 from curvelake.llm.common import map_slices, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.schedule(mixing.copies(table(spark, folder, "documents")))
+
+
 def _digest(piece: pa.RecordBatch) -> dict:
     kept = [lines.kept_lines(t, k) for t, k in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True)]
     return {"doc_id": piece.column(0), "n_lines": [k[0] for k in kept], "n_dropped": [k[1] for k in kept],
@@ -35,6 +39,10 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.rules(table(spark, folder, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -51,6 +59,45 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+OP1_SQL = r"""
+WITH RECURSIVE counted AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1)::BIGINT AS n_tokens FROM documents),
+per AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM counted GROUP BY source),
+shares AS (SELECT source, tokens, tokens::DOUBLE / (SELECT sum(tokens) FROM per)::DOUBLE AS share FROM per),
+bounds AS (SELECT min(share) AS low, max(share) AS high FROM shares),
+search(lo, hi) AS (
+  SELECT (-1)::BIGINT, 1073741824::BIGINT
+  UNION ALL
+  SELECT CASE WHEN fits THEN lo ELSE mid END, CASE WHEN fits THEN mid ELSE hi END FROM (
+    SELECT lo, hi, (lo + hi) // 2 AS mid,
+           exp((1 - ((lo + hi) // 2)::DOUBLE / 1073741824::DOUBLE) * (ln(high) - ln(low))) <= 4 * (1 + 1e-12) AS fits
+    FROM search, bounds WHERE hi - lo > 1)),
+best AS (SELECT min(hi)::DOUBLE / 1073741824::DOUBLE AS exponent FROM search),
+powers AS (SELECT source, tokens, pow(share, exponent) AS power FROM shares, best),
+weighed AS (SELECT source, tokens, floor(power / (SELECT sum(power) FROM powers) * 1e9 + 0.5) / 1e9 AS weight FROM powers),
+top AS (SELECT ceil(tokens / weight) AS total FROM weighed ORDER BY tokens DESC, source DESC LIMIT 1),
+budgets AS (SELECT source, tokens, weight, greatest(tokens, floor(total * weight)::BIGINT) AS budget FROM weighed, top),
+split AS (SELECT source, weight, budget // tokens AS epochs, budget % tokens AS rest, ceil(tokens / 1048576.0)::BIGINT AS blocks FROM budgets),
+placed AS (SELECT c.*, s.weight, s.epochs, s.rest, ('0x' || substr(md5('mix:' || c.doc_id), 1, 8))::BIGINT % s.blocks AS block
+           FROM counted c JOIN split s USING (source)),
+sizes AS (SELECT source, block, epochs, rest, sum(n_tokens)::BIGINT AS size FROM placed GROUP BY ALL),
+room AS (SELECT source, block, size, rest - coalesce(sum(size) OVER (
+           PARTITION BY source ORDER BY md5('mix:' || source || ':' || epochs || ':' || block), block
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM sizes),
+laid AS (SELECT p.*, r.size, r.room, sum(n_tokens) OVER (
+           PARTITION BY p.source, p.block ORDER BY md5('mix:' || epochs || ':' || doc_id), doc_id, n_tokens
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM placed p JOIN room r ON p.source = r.source AND p.block = r.block),
+taken AS (SELECT *, epochs + CASE WHEN room >= size OR upto <= room THEN 1 ELSE 0 END AS copies FROM laid),
+reads AS (SELECT doc_id, source, n_tokens, weight, block, unnest(range(copies)) AS epoch FROM taken),
+ranked AS (SELECT source, epoch, block, row_number() OVER (
+             PARTITION BY source, epoch ORDER BY md5('mix:' || source || ':' || epoch || ':' || block), block) AS block_rank
+           FROM (SELECT DISTINCT source, epoch, block FROM reads))
+SELECT doc_id, source, n_tokens, weight, epoch, block, block_rank, row_number() OVER (
+         PARTITION BY source, epoch, block ORDER BY md5('mix:' || epoch || ':' || doc_id), doc_id, n_tokens) AS doc_rank
+FROM reads JOIN ranked USING (source, epoch, block)
+"""
+
 OP3_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -66,5 +113,5 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    op3_line_dedup, op4_token_counts, op6_decontamination, op7_simhash, op8_quality, op10_language_id)}
-ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
+    op1_source_mixing, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op10_language_id)}
+ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op3_line_dedup": OP3_SQL}
