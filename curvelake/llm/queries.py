@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curvelake.llm import classifier, decontam, langid, lines, mixing, outliers, simhash, tokens
+from curvelake.llm import classifier, decontam, langid, lines, lm, mixing, outliers, simhash, tokens
 from curvelake.llm.common import map_slices, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +55,10 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"))
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
@@ -113,5 +117,6 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    op1_source_mixing, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op10_language_id)}
+    op1_source_mixing, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op9_language_model,
+    op10_language_id)}
 ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op3_line_dedup": OP3_SQL}
