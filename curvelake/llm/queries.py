@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from curvelake.llm import classifier, decontam, langid, lines, lm, mixing, outliers, simhash, tokens
+from curvelake.llm import chat, classifier, decontam, langid, lines, lm, mixing, outliers, simhash, tokens
 from curvelake.llm.common import map_slices, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,10 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.schedule(mixing.copies(table(spark, folder, "documents")))
 
 
+def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.formatted(table(spark, folder, "conversations"))
+
+
 def _digest(piece: pa.RecordBatch) -> dict:
     kept = [lines.kept_lines(t, k) for t, k in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True)]
     return {"doc_id": piece.column(0), "n_lines": [k[0] for k in kept], "n_dropped": [k[1] for k in kept],
@@ -102,6 +106,49 @@ SELECT doc_id, source, n_tokens, weight, epoch, block, block_rank, row_number()
 FROM reads JOIN ranked USING (source, epoch, block)
 """
 
+OP2_SQL = r"""
+WITH RECURSIVE messages AS (
+  SELECT DISTINCT coalesce(conv_id::VARCHAR, '-') AS conv, conv_id, coalesce(turn, 2305843009213693952)::BIGINT AS turn,
+         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+numbered AS (SELECT *, row_number() OVER (ORDER BY conv, turn, role, text) AS id FROM messages),
+lines AS (SELECT id, conv, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM numbered),
+leveled AS (SELECT id, conv, turn, pos, length(regexp_replace(regexp_extract(line, '^([ \t]*>)+'), '[^>]', '', 'g')) AS level,
+                   regexp_replace(line, '^([ \t]*>)+', '') AS line FROM lines),
+changes AS (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY id ORDER BY pos) THEN 1 ELSE 0 END AS starts FROM leveled),
+runs AS (SELECT *, sum(starts) OVER (PARTITION BY id ORDER BY pos) AS place FROM changes),
+normal AS (SELECT *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS words FROM runs),
+blocks AS (SELECT id, conv, turn, place, level, trim(regexp_replace(lower(string_agg(line, chr(10) ORDER BY pos)), '[\x20\x09-\x0D]+', ' ', 'g')) AS words
+           FROM runs GROUP BY id, conv, turn, place, level),
+bodies AS (SELECT id, conv, turn, trim(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), ' ' || chr(9) || chr(10) || chr(13)) AS body
+           FROM runs GROUP BY id, conv, turn),
+originals AS (
+  SELECT conv, turn, words FROM blocks WHERE level = 0 AND words <> '' UNION
+  SELECT conv, turn, words FROM normal WHERE level = 0 AND words <> '' UNION
+  SELECT conv, turn, trim(regexp_replace(lower(coalesce(body, '')), '[\x20\x09-\x0D]+', ' ', 'g')) FROM bodies),
+asked AS (
+  SELECT id, conv, turn, place, level, 0 AS rank, words FROM blocks WHERE level > 0 AND words <> '' UNION
+  SELECT id, conv, turn, place, level, 1, words FROM normal WHERE level > 0 AND words <> ''),
+met AS (SELECT a.id, a.conv, a.turn, a.place, a.level, a.rank, o.turn AS original
+        FROM asked a LEFT JOIN originals o ON a.conv = o.conv AND a.words = o.words AND o.turn < a.turn),
+passages AS (SELECT id, conv, turn, place, level, arg_max(original, (-rank, original)) FILTER (original IS NOT NULL) AS original
+             FROM met GROUP BY id, conv, turn, place, level),
+answers AS (SELECT conv, turn, arg_max(original, (-level, original)) AS up FROM passages WHERE original IS NOT NULL GROUP BY conv, turn),
+chains(conv, turn, up) AS (
+  SELECT conv, turn, up FROM answers
+  UNION ALL
+  SELECT c.conv, c.turn, a.up FROM chains c JOIN answers a ON c.conv = a.conv AND c.up = a.turn),
+starts AS (SELECT conv, turn, min(up) AS thread FROM chains GROUP BY conv, turn),
+counted AS (SELECT id, count(*) AS quoted, count(original) AS linked FROM passages GROUP BY id),
+placed AS (
+  SELECT n.conv, n.conv_id, n.turn, n.role, coalesce(b.body, '') AS body, coalesce(c.quoted, 0) AS quoted, coalesce(c.linked, 0) AS linked,
+         row_number() OVER (PARTITION BY n.conv ORDER BY coalesce(s.thread, n.turn), n.turn, n.role, n.text) - 1 AS position
+  FROM numbered n JOIN bodies b ON n.id = b.id LEFT JOIN counted c ON n.id = c.id LEFT JOIN starts s ON n.conv = s.conv AND n.turn = s.turn)
+SELECT max(conv_id)::BIGINT AS conv_id, position // 64 AS part, count(*) AS n_messages, sum(quoted)::BIGINT AS n_quotes, sum(linked)::BIGINT AS n_linked,
+       string_agg(CASE WHEN turn = 2305843009213693952 THEN '-' ELSE turn::VARCHAR END, ' ' ORDER BY position) AS turns,
+       string_agg('<|' || role || '|>' || chr(10) || body || chr(10), '' ORDER BY position) AS content
+FROM placed GROUP BY conv, position // 64
+"""
+
 OP3_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -117,6 +164,6 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    op1_source_mixing, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op9_language_model,
+    op1_source_mixing, op2_chat_formatting, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op9_language_model,
     op10_language_id)}
-ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op3_line_dedup": OP3_SQL}
+ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op3_line_dedup": OP3_SQL}
