@@ -1,8 +1,55 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
 
-STAGES = []
+A stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``; the last
+adds ``mix_weight`` and ``mix_copies``. Documents that a stage has nothing against stay, so do rows
+without an id, which no decision can name (only mixing reads them like any other row).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from curvelake.llm import decontam, langid, lines, mixing, simhash
+from curvelake.llm.common import table, written
+
+#: Texts whose best cosine with a language is lower belong to none of the learned ones.
+MIN_COSINE = 0.05
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or unlike every learned language, go."""
+    return langid.accepted(docs, MIN_COSINE)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Long lines that five documents or more share stay in one of them."""
+    return lines.without_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays."""
+    return simhash.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a test item go."""
+    return decontam.without_overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its source's weight and how often it is read."""
+    return mixing.mixed(docs)
+
+
+STAGES = [("language", language), ("repeated_lines", repeated_lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("mixture", mixture)]
+#: Fingerprints, profiles and spaced seeds are beyond SQL; tests hold run() against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for place, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if place < len(STAGES):
+            docs = written(docs)
+    return docs
