@@ -1,7 +1,8 @@
 """Exact ranks and quantiles inside few, very large groups.
 
-A group is split into value ranges by approximate quantile edges; only counts
-per range cross the group, so no task ever sorts a whole group.
+Rows are range-partitioned by group and order, so a group spreads over as many
+tasks as its rows need, ties included. Only counts per range cross the group; no
+task ever sorts a whole group.
 """
 
 from __future__ import annotations
@@ -14,13 +15,16 @@ from pyspark.sql import functions as F
 from curvelake.session import cut
 
 
-def _with_range(df: DataFrame, by: Sequence[str], value: str, ranges: int) -> DataFrame:
-    """Add ``_range``: which slice of its group's value distribution a row falls in."""
-    points = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
-    # Materialised, so that every later read sees the same edges.
-    edges = cut(df.groupBy(*by).agg(F.percentile_approx(value, points, F.lit(20 * ranges)).alias("_edges")))
-    return df.join(edges, list(by)).withColumn(
-        "_range", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+def _with_range(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None) -> DataFrame:
+    """Add ``_range``: which slice of the order by group and ``order`` a row falls in.
+
+    Bounds come from a sample of the rows; the number of slices is the session's
+    shuffle partitions unless given. Materialised, so that every later read sees
+    the same slices. A window over group and range then has an exchange of its own.
+    """
+    keys = [*by, *order]
+    dealt = df.repartitionByRange(*keys) if ranges is None else df.repartitionByRange(ranges, *keys)
+    return cut(dealt.withColumn("_range", F.spark_partition_id()))
 
 
 def _offsets(ranged: DataFrame, by: Sequence[str], rows: Column) -> DataFrame:
@@ -32,9 +36,9 @@ def _offsets(ranged: DataFrame, by: Sequence[str], rows: Column) -> DataFrame:
                       F.sum("_rows").over(whole).alias("_total"))
 
 
-def row_ranks(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int = 64) -> DataFrame:
+def row_ranks(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add ``rank`` (1-based, over ``order``) and ``group_rows``. ``order`` must be unique in a group."""
-    ranged = _with_range(df, by, order[0], ranges)
+    ranged = _with_range(df, by, order, ranges)
     inside = Window.partitionBy(*by, "_range").orderBy(*order)
     return (ranged.withColumn("_row", F.row_number().over(inside))
             .join(_offsets(ranged, by, F.count("*")), [*by, "_range"])
@@ -43,7 +47,7 @@ def row_ranks(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: in
 
 
 def value_ranks(
-    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None, ranges: int = 64,
+    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None, ranges: int | None = None,
 ) -> DataFrame:
     """One row per group and distinct value: rows before it, its count, rows in all, average rank.
 
@@ -51,7 +55,7 @@ def value_ranks(
     """
     size = F.count("*") if weight is None else F.sum(weight)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(size.alias("ties"))
-    ranged = _with_range(counts, by, value, ranges)
+    ranged = _with_range(counts, by, [value], ranges)
     inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return (ranged.withColumn("_inside", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
             .join(_offsets(ranged, by, F.sum("ties")), [*by, "_range"])
