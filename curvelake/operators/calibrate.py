@@ -21,8 +21,9 @@ from curvelake.session import cut, spread
 # and the cumulative probabilities of a unit Poisson count.
 HASH_PRIME = 268435399
 UNIT_POISSON = tuple(sum(math.exp(-1.0) / math.factorial(j) for j in range(i + 1)) for i in range(12))
-BOOTSTRAP_NODES = 17
-BOOTSTRAP_SPACING = 1.25
+# Points at which the replicates' costs are summed, points that place a minimum between them, and
+# points that locate the replicates over the whole bounds.
+BOOTSTRAP_NODES, FINE_POINTS, COARSE_POINTS = 15, 129, 61
 
 
 def window_rows(predictions: DataFrame, history: HistoryRules) -> DataFrame:
@@ -137,6 +138,42 @@ def season_draws(training: DataFrame, rules: CalibrationRules) -> DataFrame:
                         (F.col("replicate") * F.size("seasons") + F.col("slot") + 1).cast("long").alias("ticket"))
 
 
+def _chebyshev(n: int) -> list[float]:
+    """Chebyshev-Lobatto points on [-1, 1], in rising order."""
+    return [-math.cos(math.pi * j / (n - 1)) for j in range(n)]
+
+
+def _interpolation(n: int, points: int) -> list[list[float]]:
+    """Weights that take values at ``n`` Chebyshev points to ``points`` even ones (barycentric form)."""
+    x, rows = _chebyshev(n), []
+    side = [(-1.0) ** j * (0.5 if j in (0, n - 1) else 1.0) for j in range(n)]
+    for i in range(points):
+        at = -1.0 + 2.0 * i / (points - 1)
+        same = [j for j in range(n) if abs(at - x[j]) < 1e-12]
+        parts = [1.0 if j in same else 0.0 for j in range(n)] if same else [side[j] / (at - x[j]) for j in range(n)]
+        rows.append([v / sum(parts) for v in parts])
+    return rows
+
+
+def _locate(training: DataFrame, draws: DataFrame, fits: DataFrame, rules: CalibrationRules) -> DataFrame:
+    """``stat, first, last``: where the replicates' minima lie, from sums per season over the whole bounds.
+
+    Drawing players moves a replicate by a few standard errors of the full fit, which are added at both ends.
+    """
+    lo, hi = _bounds(rules)
+    grid = F.transform(F.sequence(F.lit(0), F.lit(COARSE_POINTS - 1)), lambda i: -F.col("w") * nb_logpmf(
+        F.col("y"), F.col("mu"), F.exp(lo + (hi - lo) * i / (COARSE_POINTS - 1))))
+    seasons = training.select("stat", "season", F.posexplode(grid).alias("node", "cost")).groupBy("stat", "season", "node").agg(
+        F.sum("cost").alias("cost"))
+    summed = draws.join(seasons, ["stat", "season"]).groupBy("stat", "replicate", "node").agg(F.sum("cost").alias("cost"))
+    best = summed.groupBy("stat", "replicate").agg(F.min_by("node", F.struct("cost", "node")).alias("node"))
+    step = (hi - lo) / (COARSE_POINTS - 1)
+    spread_ = best.groupBy("stat").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    pad = step + 6.0 / F.sqrt("curvature")
+    return spread_.join(fits.filter("window = 'full'").filter(F.col("curvature") > 0).select("stat", "curvature"), "stat").select(
+        "stat", F.greatest(lo, lo + step * F.col("low") - pad).alias("first"), F.least(hi, lo + step * F.col("high") + pad).alias("last"))
+
+
 def bootstrap_dispersion(training: DataFrame, fits: DataFrame, rules: CalibrationRules) -> DataFrame:
     """Refit every replicate of a hierarchical bootstrap.
 
@@ -144,39 +181,59 @@ def bootstrap_dispersion(training: DataFrame, fits: DataFrame, rules: Calibratio
     enters a unit-Poisson number of times, the large-sample form of drawing as
     many players as there are, with replacement (the fit ignores the total
     weight). The count is a hash of row and draw, so a replicate needs no shuffle
-    of the observations, and the likelihood is evaluated once per row on nodes
-    around the full fit that all replicates share.
+    of the observations. A replicate's cost is summed at Chebyshev points of a
+    bracket that all replicates of the statistic share; the polynomial through
+    them is minimised. A bracket that turns out too narrow for a replicate is
+    widened, up to the whole bounds, so no replicate is lost.
     """
-    half = BOOTSTRAP_NODES // 2
     lo, hi = _bounds(rules)
-    spacing = F.lit(BOOTSTRAP_SPACING) / F.sqrt("curvature")
-    first = F.greatest(lo, F.col("log_dispersion") - half * spacing)
-    last = F.least(hi, F.col("log_dispersion") + half * spacing)
-    # Bounded by the rules: one row per statistic.
-    nodes = fits.filter("window = 'full'").filter(F.col("curvature") > 0).select(
-        "stat", first.alias("first"), ((last - first) / (BOOTSTRAP_NODES - 1)).alias("step"))
+    draws = cut(season_draws(training, rules))
     h1, h2 = _hash_parts(F.concat_ws("|", F.lit(str(rules.random_seed)), "stat", F.col("season").cast("string"), ENTITY))
-    # One lambda over the nodes: unrolled, the expression would be too large to compile.
-    costs = F.transform(F.sequence(F.lit(0), F.lit(BOOTSTRAP_NODES - 1)), lambda i: -F.col("w") * nb_logpmf(
-        F.col("y"), F.col("mu"), F.exp(F.col("first") + F.col("step") * i)))
-    rows = training.join(F.broadcast(nodes), "stat").select(
-        "stat", "season", "first", "step", h1.alias("h1"), h2.alias("h2"), costs.alias("costs"))
+    # One lambda over the points: unrolled, the expression would be too large to compile.
+    half, middle = (F.col("last") - F.col("first")) / 2.0, (F.col("last") + F.col("first")) / 2.0
+    costs = F.transform(F.array(*[F.lit(x) for x in _chebyshev(BOOTSTRAP_NODES)]), lambda x: -F.col("w") * nb_logpmf(
+        F.col("y"), F.col("mu"), F.exp(middle + half * x)))
     mixed = F.pmod(F.col("h1") + F.col("ticket") * F.col("h2"), F.lit(HASH_PRIME))
     u = F.pmod(mixed * mixed + F.col("ticket"), F.lit(HASH_PRIME)) / float(HASH_PRIME)
     times = sum((F.when(F.col("u") >= c, 1).otherwise(0) for c in UNIT_POISSON[1:]),
                 F.when(F.col("u") >= UNIT_POISSON[0], 1).otherwise(0))
-    drawn = rows.join(F.broadcast(season_draws(training, rules)), ["stat", "season"]).withColumn("u", u).withColumn(
-        "times", times).filter("times > 0")
-    summed = drawn.groupBy("stat", "replicate", "first", "step").agg(
-        F.sum("times").alias("drawn_rows"),
-        *[F.sum(F.col("times") * F.get("costs", F.lit(i))).alias(f"c{i}") for i in range(BOOTSTRAP_NODES)])
-    found = refine_on_grid(summed.withColumn("costs", F.array(*[f"c{i}" for i in range(BOOTSTRAP_NODES)])),
-                           F.col("first"), F.col("step"))
-    x, best, tolerance = F.col("x"), F.col("best"), F.greatest(F.lit(1e-5), (hi - lo) * 1e-5)
+    weights = F.array(*[F.array(*[F.lit(v) for v in row]) for row in _interpolation(BOOTSTRAP_NODES, FINE_POINTS)])
+    tolerance = F.greatest(F.lit(1e-5), (hi - lo) * 1e-5)
+
+    def refit(brackets: DataFrame) -> DataFrame:
+        # Bounded by the rules: one bracket per statistic, and the draws.
+        rows = training.join(F.broadcast(brackets), "stat").select(
+            "stat", "season", "first", "last", h1.alias("h1"), h2.alias("h2"), costs.alias("costs"))
+        drawn = rows.join(F.broadcast(draws), ["stat", "season"]).withColumn("u", u).withColumn("times", times).filter("times > 0")
+        summed = drawn.groupBy("stat", "replicate", "first", "last").agg(
+            F.sum("times").alias("drawn_rows"),
+            *[F.sum(F.col("times") * F.get("costs", F.lit(i))).alias(f"c{i}") for i in range(BOOTSTRAP_NODES)])
+        sums = F.array(*[f"c{i}" for i in range(BOOTSTRAP_NODES)])
+        fine = cut(summed.select("stat", "replicate", "first", "last", "drawn_rows", sums.alias("sums"))).withColumn(
+            "costs", F.transform(weights, lambda row: F.aggregate(F.zip_with(row, "sums", lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y)))
+        found = refine_on_grid(fine, F.col("first"), (F.col("last") - F.col("first")) / (FINE_POINTS - 1))
+        short = (((F.col("best") == 0) & (F.col("first") > lo + tolerance))
+                 | ((F.col("best") == FINE_POINTS - 1) & (F.col("last") < hi - tolerance)))
+        return cut(found.withColumn("short", short))
+
+    brackets = cut(_locate(training, draws, fits, rules))
+    found = refit(brackets)
+    done = found.filter("false")
+    while True:
+        narrow = found.filter("short").select("stat").distinct()
+        if narrow.isEmpty():
+            break
+        done = done.union(found.join(F.broadcast(narrow), "stat", "left_anti").select(done.columns))
+        width = F.col("last") - F.col("first")
+        brackets = cut(brackets.join(F.broadcast(narrow), "stat", "left_semi").select(
+            "stat", F.greatest(lo, F.col("first") - width).alias("first"), F.least(hi, F.col("last") + width).alias("last")))
+        found = refit(brackets)
+    found = done.union(found.select(done.columns))
+    x, best = F.col("x"), F.col("best")
+    bound = (x - lo <= tolerance) | (hi - x <= tolerance)
     return found.select(
         "stat", "replicate", "drawn_rows", x.alias("log_dispersion"),
-        ((best > 0) & (best < BOOTSTRAP_NODES - 1) & (F.col("curvature") > 0)).alias("converged"),
-        ((x - lo <= tolerance) | (hi - x <= tolerance)).alias("bound_hit"))
+        ((best > 0) & (best < FINE_POINTS - 1) & (F.col("curvature") > 0)).alias("converged"), bound.alias("bound_hit"))
 
 
 def bootstrap_summary(replicates: DataFrame, rules: CalibrationRules) -> DataFrame:
