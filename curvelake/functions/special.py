@@ -210,6 +210,7 @@ def np_fit_curves(k, p, owner, r, lo, hi):
         "logit_mae": np.bincount(owner, size, minlength=n) / quotes,
         "max_abs_logit_residual": worst,
         "bound_hit": (t - low <= tol) | (high - t <= tol),
+        "converged": ~live,
     })
 
 
@@ -272,7 +273,7 @@ def _struct(*doubles: str) -> T.StructType:
 
 
 CURVE_FIT = _struct("mean", "objective", "logit_rmse", "logit_mae", "max_abs_logit_residual").add(
-    "bound_hit", T.BooleanType())
+    "bound_hit", T.BooleanType()).add("converged", T.BooleanType())
 LEFT_OUT = T.StructType().add("count", T.IntegerType()).add("failed", T.IntegerType()).add(
     "logit_mae", T.DoubleType()).add("logit_rmse", T.DoubleType())
 
@@ -336,3 +337,52 @@ def logit_residual(k: pd.Series, p: pd.Series, t: pd.Series, r: pd.Series) -> pd
     k, p, t, r = (s.to_numpy(dtype=float) for s in (k, p, t, r))
     f, slope = _logit_residual(k, np_logit(p), t, r)
     return pd.DataFrame({"f": f, "slope": slope})
+
+
+# Points of a curve's summed slope between which it is interpolated, and their weights (barycentric form).
+SLOPE_POINTS = np.cos(np.pi * np.arange(65) / 64)
+_SLOPE_WEIGHTS = np.where(np.arange(65) % 2, -1.0, 1.0) * np.where(np.isin(np.arange(65), (0, 64)), 0.5, 1.0)
+
+
+def _interpolated(values, x):
+    """Values at ``SLOPE_POINTS`` (one row per problem) read at ``x`` in [-1, 1]."""
+    away = x[:, None] - SLOPE_POINTS
+    exact = np.abs(away) < 1e-14
+    parts = np.where(exact.any(axis=1)[:, None], exact, _SLOPE_WEIGHTS / np.where(exact, 1.0, away))
+    return (parts * values).sum(axis=1) / parts.sum(axis=1)
+
+
+@F.pandas_udf(_struct("slope", "root"))
+def left_out_root(k: pd.Series, p: pd.Series, r: pd.Series, a: pd.Series, b: pd.Series, t: pd.Series, slopes: pd.Series) -> pd.DataFrame:
+    """Log-mean of a curve without one of its quotes ``(k, p)``.
+
+    ``slopes`` has the whole curve's cost slope at Chebyshev points of [a, b]. The
+    search is that of the full fit, from ``t`` on, with the quote's own slope taken
+    off. ``slope`` is -1 or 1 if the optimum lies beyond that end, else 0.
+    """
+    k, p, r, a, b, t = (s.to_numpy(dtype=float) for s in (k, p, r, a, b, t))
+    if not len(k):
+        return pd.DataFrame({"slope": [], "root": []}, dtype=float)
+    values, target = np.stack(slopes.to_list()).astype(float), np_logit(p)
+    middle, half = 0.5 * (a + b), np.maximum(0.5 * (b - a), 1e-300)
+
+    def rest(x):
+        f, d = _logit_residual(k, target, x, r)
+        return _interpolated(values, np.clip((x - middle) / half, -1.0, 1.0)) - f * d / np.sqrt(1.0 + f * f)
+
+    beyond = np.where(rest(a) > 0, -1.0, np.where(rest(b) < 0, 1.0, 0.0))
+    low, high, now = a.copy(), b.copy(), np.clip(t, a, b)
+    before, g_before = np.full(len(k), np.nan), np.full(len(k), np.nan)
+    for _ in range(200):
+        g = rest(now)
+        low, high = np.where(g < 0, now, low), np.where(g >= 0, now, high)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            secant = (g - g_before) / (now - before)
+            step = now - g / secant
+        good = np.isfinite(step) & (secant > 0) & (step > low) & (step < high)
+        before, g_before, new = now, g, np.where(good, step, 0.5 * (low + high))
+        still = np.abs(new - now) > 1e-12 * np.maximum(1.0, np.abs(now))
+        now = np.where(still, new, now)
+        if not still.any():
+            break
+    return pd.DataFrame({"slope": beyond, "root": np.where(beyond < 0, a, np.where(beyond > 0, b, now))})

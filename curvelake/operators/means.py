@@ -272,24 +272,32 @@ def invert_quotes(quotes: DataFrame, rules: MeanRules) -> DataFrame:
     }).drop("lo", "hi", "log_mean")
 
 
-def _lists(quotes: DataFrame, limit: int) -> DataFrame:
-    """Published lists per projection. Very large groups publish counts only; their quotes carry the key."""
-    def text(c):
-        return N.clean_text(F.col(c).cast("string"))
+def _clean(c: str) -> Column:
+    return N.clean_text(F.col(c).cast("string"))
 
+
+def projection_lineage(quotes: DataFrame) -> DataFrame:
+    """The quotes behind every projection, a row each: market, name, threshold, whether it counts and why not."""
+    return quotes.select(
+        *GROUP, _clean("source_market_id").alias("source_market_id"), _clean("raw_player_name").alias("raw_player_name"),
+        F.col("canonical_threshold").cast("int").alias("threshold"), "model_inclusion_status",
+        F.nullif("model_exclusion_reason", F.lit("")).alias("model_exclusion_reason"))
+
+
+def _described(quotes: DataFrame) -> DataFrame:
+    """Counts and short lists per projection: reasons and snapshots are bounded by the rules and the run, thresholds by the
+    bounds of the mean. What is not bounded, markets and names, is published as rows (``projection_lineage``)."""
     per = quotes.groupBy(*GROUP).agg(
         F.max("canonical_player_name").alias("canonical_player_name"), F.max("canonical_position").alias("canonical_position"),
         F.count("*").alias("quote_count"),
-        F.count_if(F.col("model_inclusion_status") == "included").alias("eligible_quote_count"))
-    small, _ = split_by_size(quotes, GROUP, limit)
-    listed = small.groupBy(*GROUP).agg(
-        N.pipe_join(F.array_sort(F.collect_set(text("snapshot_utc")))).alias("source_snapshot_time"),
-        N.pipe_join(F.array_sort(F.collect_set(text("raw_player_name")))).alias("raw_player_names"),
-        N.pipe_join(F.array_sort(F.collect_set(text("source_market_id")))).alias("source_market_ids"),
-        N.pipe_join(F.array_sort(F.collect_set(F.nullif("model_exclusion_reason", F.lit(""))))).alias("excluded_reasons"),
-        N.pipe_join(F.array_sort(F.collect_list(F.when(
-            F.col("model_inclusion_status") == "included", F.col("canonical_threshold").cast("int"))))).alias("thresholds_used"))
-    return per.join(listed, GROUP, "left")
+        F.count_if(F.col("model_inclusion_status") == "included").alias("eligible_quote_count"),
+        N.pipe_join(F.array_sort(F.collect_set(_clean("snapshot_utc")))).alias("source_snapshot_time"),
+        N.pipe_join(F.array_sort(F.collect_set(F.nullif("model_exclusion_reason", F.lit(""))))).alias("excluded_reasons"))
+    counted = quotes.filter("model_inclusion_status = 'included'").groupBy(*GROUP, F.col("canonical_threshold").cast("int").alias("k")).agg(
+        F.count("*").cast("int").alias("n"))
+    used = counted.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("_k")).select(
+        *GROUP, N.pipe_join(F.flatten(F.transform("_k", lambda x: F.array_repeat(x["k"], x["n"])))).alias("thresholds_used"))
+    return per.join(used, GROUP, "left").withColumn("thresholds_used", F.coalesce("thresholds_used", F.lit("")))
 
 
 def _book_means(quotes: DataFrame, rules: MeanRules) -> DataFrame:
@@ -339,7 +347,7 @@ def _contract_means(quotes: DataFrame, rules: MeanRules) -> DataFrame:
     columns = [
         "mean", F.lit("robust_multi_threshold_logit_fit").alias("projection_method"), F.col("objective").alias("fit_objective"),
         F.col("logit_rmse").alias("fit_error"), "logit_rmse", "max_abs_logit_residual", "holdout_logit_mae", "holdout_failed_fits",
-        F.lit(True).alias("optimizer_converged"), F.col("bound_hit").alias("mean_bound_hit"),
+        F.col("converged").alias("optimizer_converged"), F.col("bound_hit").alias("mean_bound_hit"),
         F.when(~F.col("bound_hit") & (F.col("scenario_failures") == 0) & F.col("all_quoted"), F.least("mean", "scenario_low")).alias("sensitivity_low"),
         F.when(~F.col("bound_hit") & (F.col("scenario_failures") == 0) & F.col("all_quoted"), F.greatest("mean", "scenario_high")).alias("sensitivity_high"),
         F.col("scenario_failures").alias("sensitivity_failed_fits"), F.lit("").alias("fit_failure")]
@@ -401,7 +409,7 @@ def source_projections(quotes: DataFrame, dispersions: DataFrame, sources: Mappi
     books, contracts = names_of(sources, "book"), names_of(sources, "contract")
     fits = _book_means(eligible.filter(F.col("source").isin(books)), rules).unionByName(
         _contract_means(eligible.filter(F.col("source").isin(contracts)), rules))
-    joined = _lists(quotes, rules.max_curve_quotes_per_task).join(fits, GROUP, "left").join(F.broadcast(r), "stat", "left")
+    joined = _described(quotes).join(fits, GROUP, "left").join(F.broadcast(r), "stat", "left")
     usable = F.col("optimizer_converged") & ~F.col("mean_bound_hit")
     passed = F.coalesce(usable & F.col("sensitivity_low").isNotNull(), F.lit(False))
     curve = F.col("source").isin(contracts) & passed
@@ -422,7 +430,7 @@ def source_projections(quotes: DataFrame, dispersions: DataFrame, sources: Mappi
               .when(F.col("sensitivity_low").isNull(), "sensitivity_not_identifiable").otherwise("optimizer_nonconvergence"))
     return joined.withColumn("quarantine", quarantine).select(
         *GROUP, "canonical_player_name", F.col("canonical_player_name").alias("display_name"), "canonical_position",
-        "source_snapshot_time", "raw_player_names", "quote_count", "source_market_ids",
+        "source_snapshot_time", "quote_count",
         F.lit("negative_binomial").alias("distribution_family"), F.col("r").alias("fitted_dispersion"), "dispersion_source",
         "calibration_version", F.lit(rules.market_update_version).alias("market_update_version"),
         F.lit(rules.source_estimation_version).alias("source_estimation_version"),
