@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from curvelake.operators.calibrate import BOOTSTRAP_NODES, BOOTSTRAP_SPACING, HASH_PRIME, UNIT_POISSON
+from curvelake.operators.calibrate import HASH_PRIME, UNIT_POISSON
 from curvelake.plans import roles as R
 
 ORACLES: dict[str, str] = {}
@@ -457,33 +457,30 @@ ORACLES["window_sensitivity"] = with_(*DISPERSION, recursive=True) + f"""SELECT
     {r("CASE WHEN d.n >= 25 THEN abs(d.log_r - f.log_r) END", 4, "log_dispersion_delta")}
     FROM (SELECT * FROM disp WHERE win = 'full') f, (SELECT unnest([1997, 1998, 1999]) AS start) t LEFT JOIN disp d ON d.stat = f.stat AND d.win = t.start::VARCHAR"""
 
-_SEED, _B, _HALF = R.CALIBRATION.random_seed, R.CALIBRATION.bootstrap_samples, BOOTSTRAP_NODES // 2
+# Every replicate is searched over the whole bounds, on an even grid of its own.
+_SEED, _B, _N = R.CALIBRATION.random_seed, R.CALIBRATION.bootstrap_samples, 128
 
 
 def _hash(text: str, start: int) -> str:
     return f"(('0x' || md5({text})[{start}:{start + 6}])::BIGINT % {HASH_PRIME})"
 
 
-_NODES = ", ".join(f"-w * {nb_log('y', 'mu', f'exp(first + step * {i})')} AS c{i}" for i in range(BOOTSTRAP_NODES))
+_NODES = ", ".join(f"-w * {nb_log('y', 'mu', f'{math.exp(_LO + (_HI - _LO) * i / (_N - 1))!r}::DOUBLE')} AS c{i}" for i in range(_N))
 _TIMES = " + ".join(f"(u >= {c!r})::INT" for c in UNIT_POISSON)
 BOOTSTRAP = f"""
-bend AS (SELECT d.stat, log_r, sum(-w * ({nb_log("y", "mu", "exp(log_r + 0.001)")} - 2 * {nb_log("y", "mu", "exp(log_r)")} + {nb_log("y", "mu", "exp(log_r - 0.001)")})) / 1e-6 / avg(w) AS curvature
-    FROM disp d JOIN training t ON t.stat = d.stat WHERE win = 'full' GROUP BY ALL),
-grid AS (SELECT stat, first, (least({_HI}, log_r + {_HALF} * {BOOTSTRAP_SPACING} / sqrt(curvature)) - first) / {BOOTSTRAP_NODES - 1} AS step
-    FROM (SELECT *, greatest({_LO}, log_r - {_HALF} * {BOOTSTRAP_SPACING} / sqrt(curvature)) AS first FROM bend)),
-rowcost AS (SELECT stat, season, first, step, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 1)} AS h1, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 8)} AS h2,
-    {_NODES} FROM training JOIN grid USING (stat)),
+rowcost AS (SELECT stat, season, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 1)} AS h1, {_hash(f"'{_SEED}|' || stat || '|' || season || '|' || gsis_player_id", 8)} AS h2,
+    {_NODES} FROM training),
 listed AS (SELECT stat, list_sort(list(DISTINCT season)) AS ss FROM training GROUP BY 1),
 draws AS (SELECT stat, b, ss[({_hash(f"'{_SEED}|' || stat || '|' || b || '|' || slot", 1)} % len(ss))::INT + 1] AS season, b * len(ss) + slot + 1 AS ticket
     FROM (SELECT stat, ss, b, unnest(range(0, len(ss))) AS slot FROM listed, (SELECT unnest(range(0, {_B})) AS b))),
 hit AS (SELECT *, {_TIMES} AS times FROM (SELECT *, ((z * z + ticket) % {HASH_PRIME}) / {float(HASH_PRIME)}::DOUBLE AS u FROM (
     SELECT rowcost.*, b, ticket, (h1 + ticket * h2) % {HASH_PRIME} AS z FROM rowcost JOIN draws USING (stat, season)))),
-reps AS (SELECT stat, b, first, step, [{", ".join(f"sum(times * c{i})" for i in range(BOOTSTRAP_NODES))}] AS costs FROM hit GROUP BY ALL),
-placed AS (SELECT *, list_position(costs, list_min(costs)) AS best, greatest(3, least({BOOTSTRAP_NODES - 2}, list_position(costs, list_min(costs)))) AS c FROM reps),
+reps AS (SELECT stat, b, [{", ".join(f"sum(times * c{i})" for i in range(_N))}] AS costs FROM hit GROUP BY ALL),
+placed AS (SELECT *, list_position(costs, list_min(costs)) AS best, greatest(3, least({_N - 2}, list_position(costs, list_min(costs)))) AS c FROM reps),
 quart AS (SELECT *, (costs[c - 2] - 8 * costs[c - 1] + 8 * costs[c + 1] - costs[c + 2]) / 12 AS d1, (-costs[c - 2] + 16 * costs[c - 1] - 30 * costs[c] + 16 * costs[c + 1] - costs[c + 2]) / 12 AS d2,
     (-costs[c - 2] + 2 * costs[c - 1] - 2 * costs[c + 1] + costs[c + 2]) / 2 AS d3, costs[c - 2] - 4 * costs[c - 1] + 6 * costs[c] - 4 * costs[c + 1] + costs[c + 2] AS d4 FROM placed),
 roots AS (SELECT *, list_reduce([best - c, 1.0, 2.0, 3.0, 4.0], lambda x, n: x - (d1 + d2 * x + d3 * x * x / 2 + d4 * x * x * x / 6) / (d2 + d3 * x + d4 * x * x / 2)) AS x FROM quart),
-estimates AS (SELECT stat, b, first + step * (c - 1 + x) AS log_r, best > 1 AND best < {BOOTSTRAP_NODES} AS ok FROM roots)"""
+estimates AS (SELECT stat, b, {_LO!r}::DOUBLE + {(_HI - _LO) / (_N - 1)!r}::DOUBLE * (c - 1 + x) AS log_r, best > 1 AND best < {_N} AS ok FROM roots)"""
 ORACLES["bootstrap_dispersion"] = with_(*DISPERSION, BOOTSTRAP, recursive=True) + f"""SELECT stat, {_B}::BIGINT AS samples_requested, count(*) FILTER (WHERE ok)::BIGINT AS successful_samples, 0::BIGINT AS bound_hit_samples,
     count(*) FILTER (WHERE NOT ok)::BIGINT AS failed_samples, {r(f"count(*) FILTER (WHERE ok) / {_B}.0", 3, "success_rate")}, {r("quantile_cont(log_r, 0.05) FILTER (WHERE ok)", 3, "log_dispersion_lower")},
     {r("quantile_cont(log_r, 0.95) FILTER (WHERE ok)", 3, "log_dispersion_upper")}, count(*) FILTER (WHERE ok) >= 0.9 * {_B} AS passed FROM estimates GROUP BY 1"""
@@ -605,6 +602,9 @@ ORACLES["source_projections"] = with_(*PROJECTED, recursive=True) + f"""SELECT r
     CASE WHEN eligible = 0 THEN 'unavailable' WHEN mean IS NULL THEN 'failed' WHEN book THEN 'single_threshold_bounded_inversion' ELSE 'robust_multi_threshold_logit_fit' END AS projection_method,
     coalesce(thresholds_used, '') AS thresholds_used, CASE WHEN eligible > 0 THEN 0.0::DOUBLE END AS holdout_failed_fits, quality_status, exclusion_reason FROM quality"""
 
+ORACLES["projection_lineage"] = with_(MEANS, recursive=True) + """SELECT run_id, season, 'user:' || user_id AS canonical_player_id, stat, source, source_market_id, trim(raw_player_name) AS raw_player_name,
+    threshold_k::BIGINT AS threshold, CASE WHEN model_reason = '' THEN 'included' ELSE 'excluded' END AS model_inclusion_status, nullif(model_reason, '') AS model_exclusion_reason FROM model"""
+
 BACKFILLED = (*PROJECTED, f"""
 back AS (SELECT m.*, model_reason = '' AS used, mean, quality_status, CASE WHEN model_reason = '' THEN {survival("threshold_k", "ln(mean)")} END AS sv FROM model m
     JOIN quality g ON g.source = m.source AND g.user_id = m.user_id AND g.stat = m.stat JOIN coef c ON c.stat = m.stat AND c.which = 'point')""")

@@ -624,6 +624,12 @@ def source_projections(spark, sf):
         "thresholds_used", F.col("holdout_failed_fits").cast("double").alias("holdout_failed_fits"), "quality_status", "exclusion_reason"), 4)
 
 
+@query
+def projection_lineage(spark, sf):
+    """Every quote under the key of its projection."""
+    return tidy(means.projection_lineage(R.model_quotes(spark, sf)))
+
+
 @query
 def quote_backfill(spark, sf):
     return tidy(means.backfill_quotes(R.model_quotes(spark, sf), _projections(spark, sf)).select(
