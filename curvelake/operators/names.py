@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvelake.functions import numeric as N
-from curvelake.functions.similarity import indel_ratio, indexed_segments, probed_segments, within_edits
+from curvelake.functions.similarity import asked_pieces, indel_ratio, pieces, within_edits
 from curvelake.functions.text import initials_match, match_key, stable_id
 from curvelake.operators.checks import Check, all_checks, check_table, grain_check
 from curvelake.rules import NameRules, SourceRules
@@ -127,22 +127,31 @@ def exact_matches(identities: DataFrame, ranges: DataFrame) -> DataFrame:
             (F.col("low_id") != F.col("high_id")).alias("ambiguous"))
 
 
+def _rarest(rows: DataFrame, key: str, counts: DataFrame, floor: float) -> DataFrame:
+    """``key, piece``: the rarest pieces of every key, as many as a similar key must share one of."""
+    each = rows.select(key, "piece").join(counts, "piece", "left")
+    # A key's pieces: no more than it has letters.
+    listed = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece"))).alias("_p"))
+    return listed.select(key, F.explode(F.slice("_p", F.lit(1), asked_pieces(F.length(key), floor))).alias("_p")).select(key, "_p.piece")
+
+
 def similar_keys(queries: DataFrame, keys: DataFrame, floor: float) -> DataFrame:
     """Pairs ``query_key, match_key, score`` with similarity of at least ``floor``, or matching initials (100).
 
-    Both inputs hold distinct keys. Pairs come from equi-joins on shared segments
-    and on initials, so dissimilar keys never meet.
+    Both inputs hold distinct keys. Pairs come from equi-joins on each key's rarest
+    pieces, which every pair above the floor shares, and on initials. Lengths and
+    edit distance drop pairs inside the join, before anything is grouped.
     """
     if not 70.0 <= floor <= 100.0:
         raise ValueError("the similarity floor must lie between 70 and 100")
-    # Each set of keys is read twice, for segments and for initials.
+    # Each set of keys is read twice, for pieces and for initials.
     queries, keys = cut(queries), cut(keys)
-    # Outer: a plain explode would also filter on the (costly) array's size below the grouping.
-    probes = spread(queries, "query_key").select("query_key", F.explode_outer(probed_segments("query_key", floor)).alias("segment"))
-    filed = spread(keys, "match_key").select("match_key", F.explode_outer(indexed_segments("match_key", floor)).alias("segment"))
-    close = probes.join(filed, "segment").groupBy("query_key", "match_key").agg(F.count("*").alias("shared"))
-    # Bound to the count, so that a pair is compared once and not once per shared segment.
-    near = close.filter(F.when(F.col("shared") > 0, within_edits("query_key", "match_key", floor)))
+    # Outer: a plain explode would also filter on the (costly) array's size.
+    asked = cut(spread(queries, "query_key").select("query_key", F.explode_outer(pieces("query_key", floor)).alias("piece")))
+    filed = cut(spread(keys, "match_key").select("match_key", F.explode_outer(pieces("match_key", floor)).alias("piece")))
+    counts = filed.groupBy("piece").agg(F.count("*").alias("n"))
+    near = _rarest(asked, "query_key", counts, floor).join(_rarest(filed, "match_key", counts, floor), "piece").filter(
+        within_edits("query_key", "match_key", floor)).select("query_key", "match_key").distinct()
     scored = near.select("query_key", "match_key", indel_ratio("query_key", "match_key").alias("score")).filter(
         F.col("score") >= floor - 1e-9)
 
@@ -224,17 +233,18 @@ def accepted_names(chosen: DataFrame) -> DataFrame:
     return folded.select("source", F.col("chosen_id"), F.explode("kept").alias("raw_player_name"))
 
 
-def _resolve_source(identities: DataFrame, pool: DataFrame, teams: DataFrame, rules: NameRules) -> DataFrame:
-    """Match one source's identities against the pool visible to it."""
+def _floor(rules: NameRules) -> float:
+    return min(rules.review_floor, rules.minimum_score - rules.minimum_runner_up_gap)
+
+
+def _resolve_source(identities: DataFrame, pool: DataFrame, teams: DataFrame, pairs: DataFrame, rules: NameRules) -> DataFrame:
+    """Match one source's identities against the pool visible to it; ``pairs`` are the similar keys."""
     ranges = id_range(pool)
     open_ = identities.filter(F.col("alias_id").isNull())
     exact = exact_matches(open_, ranges)
     rest = open_.join(exact, WHO, "left_anti")
     team_ranges = pool.join(teams, "canonical_player_id").groupBy("match_key", "stat", "team").agg(
         F.max("canonical_player_id").alias("team_id"))
-    floor = min(rules.review_floor, rules.minimum_score - rules.minimum_runner_up_gap)
-    pairs = similar_keys(rest.select(F.col("match_key").alias("query_key")).distinct(),
-                         pool.select("match_key").distinct(), floor)
     fuzzy = decide_fuzzy(rank_candidates(rest, pairs, ranges, team_ranges), rules)
     reachable = rest.select(*WHO, F.explode("stats").alias("stat")).join(
         pool.select("stat").distinct(), "stat", "left_semi").select(*WHO).distinct().withColumn("has_candidates", F.lit(True))
@@ -245,8 +255,7 @@ def _resolve_source(identities: DataFrame, pool: DataFrame, teams: DataFrame, ru
     reason = (F.when(chosen.isNotNull(), F.lit(None).cast("string"))
               .when(F.col("ambiguous"), "ambiguous_exact_match_key")
               .when(F.col("fuzzy_reason").isNotNull(), F.col("fuzzy_reason"))
-              .when(F.col("has_candidates"), F.lit(
-                  "score_below_minimum" if rules.automatic_fuzzy_match else "automatic_fuzzy_disabled"))
+              .when(F.col("has_candidates"), "below_review_floor")
               .otherwise("no_candidate"))
     found = joined.withColumns({
         "is_alias": F.col("alias_id").isNotNull(), "chosen_id": chosen, "method": method, "reason": reason})
@@ -280,13 +289,20 @@ def reconcile(quotes: DataFrame, history: DataFrame, aliases: DataFrame, sources
     pool = cut(pool_from_history(history))
     teams = rows.filter(F.col("team").isNotNull()).select("canonical_player_id", "team").distinct()
     historical = pool.select("canonical_player_id").distinct()
+    # The pool is filed once, for the keys of all sources that no alias settles.
+    open_keys = cut(identities.filter(F.col("alias_id").isNull()).select(F.col("match_key").alias("query_key")).distinct())
+    known_keys = cut(pool.select("match_key").distinct())
+    pairs = cut(similar_keys(open_keys, known_keys, _floor(rules)))
     parts, born = [], None
     for source in names:
-        visible, visible_teams = pool, teams
+        visible, visible_teams, met = pool, teams, pairs
         if born is not None:
+            fresh = cut(born.select("match_key").distinct().join(known_keys, "match_key", "left_anti"))
+            if not fresh.isEmpty():
+                met = pairs.unionByName(similar_keys(open_keys, fresh, _floor(rules)))
             visible = pool.unionByName(born.select("canonical_player_id", "match_key", F.explode("stats").alias("stat"))).distinct()
             visible_teams = teams.unionByName(born.select("canonical_player_id", F.explode("teams").alias("team"))).distinct()
-        resolved = cut(_resolve_source(identities.filter(F.col("source") == source), visible, visible_teams, rules))
+        resolved = cut(_resolve_source(identities.filter(F.col("source") == source), visible, visible_teams, met, rules))
         parts.append(resolved)
         added = resolved.filter(F.col("chosen_id").isNotNull()).select(
             F.col("chosen_id").alias("canonical_player_id"), "match_key", "stats", "teams", "is_alias").join(
