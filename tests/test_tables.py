@@ -24,10 +24,11 @@ def test_odds_and_line(spark):
 
 
 @pytest.mark.parametrize("name, key", [
-    ("J. O’Neil", "j oneil"), ("D'Andre-Swift Jr.", "dandre swift"), ("José Núñez II", "jose nunez"),
-    ("Amon-Ra St. Brown Sr", "amon ra st brown"), ("ﬁn Straße Ⅳ", "fin strasse"), ("jr", "")])
+    ("Q. L’Écuyer", "q lecuyer"), ("K'Lani-Ortega Sr.", "klani ortega"), ("Søren Håkansson III", None),
+    ("Bay-Lee Mc. Trout V", "bay lee mc trout"), ("ﬂo Weiß Ⅲ", "flo weiss"), ("sr", "")])
 def test_match_key(spark, name, key):
-    assert one(spark, k=X.match_key(F.lit(name))).k == key
+    got = one(spark, k=X.match_key(F.lit(name))).k
+    assert got == key if key is not None else got.endswith("hakansson")
 
 
 QUOTE = "source string, raw_player_name string, stat string, team string, team_abbreviation string"
@@ -44,32 +45,45 @@ def resolve(spark, quoted, known, aliases=()):
 
 
 def test_names_initials_ambiguity_collision_and_fuzzy(spark):
-    rows = resolve(spark, [("draftkings", "J. O’Neil"), ("fanduel", "J. Smith"), ("kalshi", "Chris Example"), ("kalshi", "Nobody Known"),
-                           ("draftkings", "Christofer Longname")],
-                   [("1", "James ONeil"), ("2", "John Smith"), ("3", "James Smith"), ("4", "Chris Example"), ("5", "Christopher Longname")])
-    assert rows["draftkings", "J. O’Neil"].canonical_player_id == "gsis:1"
-    assert rows["fanduel", "J. Smith"].reason == "ambiguous_fuzzy_match" and rows["fanduel", "J. Smith"].review_status == "unmatched"
-    assert rows["kalshi", "Chris Example"].match_method == "exact_match_key"
-    assert rows["kalshi", "Nobody Known"].canonical_player_id.startswith("player:nobody-known-")
-    close = rows["draftkings", "Christofer Longname"]
-    assert (close.reason, close.candidate_canonical_player_id) == ("score_below_minimum", "gsis:5")
-    clash = resolve(spark, [("draftkings", "J Smith"), ("draftkings", "John Smith")], [("2", "John Smith")])
-    assert clash["draftkings", "J Smith"].canonical_player_id == "gsis:2"
-    assert clash["draftkings", "John Smith"].reason == "source_level_collision"
+    rows = resolve(spark, [("draftkings", "M. D’Arbanville"), ("fanduel", "T. Okafor"), ("kalshi", "Lena Vastberg"), ("kalshi", "Quite Unheard Of"),
+                           ("draftkings", "Theodor Brennecker")],
+                   [("21", "Marcus DArbanville"), ("22", "Tunde Okafor"), ("23", "Temi Okafor"), ("24", "Lena Vastberg"), ("25", "Theodore Brenneckar")])
+    assert rows["draftkings", "M. D’Arbanville"].canonical_player_id == "gsis:21"
+    assert rows["fanduel", "T. Okafor"].reason == "ambiguous_fuzzy_match" and rows["fanduel", "T. Okafor"].review_status == "unmatched"
+    assert rows["kalshi", "Lena Vastberg"].match_method == "exact_match_key"
+    lost = rows["kalshi", "Quite Unheard Of"]
+    assert lost.canonical_player_id.startswith("player:quite-unheard-of-") and lost.reason == "below_review_floor"
+    close = rows["draftkings", "Theodor Brennecker"]
+    assert (close.reason, close.candidate_canonical_player_id) == ("score_below_minimum", "gsis:25")
+    clash = resolve(spark, [("draftkings", "T Okafor"), ("draftkings", "Tunde Okafor")], [("22", "Tunde Okafor")])
+    assert clash["draftkings", "T Okafor"].canonical_player_id == "gsis:22"
+    assert clash["draftkings", "Tunde Okafor"].reason == "source_level_collision"
+
+
+def test_quotes_keep_their_row_whatever_blanks_surround_the_name(spark):
+    quoted = spark.createDataFrame([("draftkings", "  Lena Vastberg ", "passing_yards", "EXM", None), ("draftkings", "Lena Vastberg", "passing_yards", "EXM", None),
+                                    (" draftkings", "Lena Vastberg\t", "passing_yards", None, None), ("draftkings", None, "passing_yards", None, None)], QUOTE)
+    known = spark.createDataFrame([("24", "Lena Vastberg", "QB", "EXM", "passing_yards")], HIST)
+    resolved = names.reconcile(quoted, known, spark.createDataFrame([], ALIAS), SOURCES, NameRules())
+    out = names.decorate(quoted, names.player_map(resolved)).collect()
+    assert sorted(str(r.raw_player_name) for r in out) == sorted(str(r.raw_player_name) for r in quoted.collect())
+    assert [r.canonical_player_id for r in out if r.raw_player_name and "\t" not in r.raw_player_name] == ["gsis:24"] * 2
 
 
 def test_aliases_override_and_reach_later_sources(spark):
-    alias = [("draftkings", n, "gsis:2", "John Smith", "") for n in ("J Smith", "John Smith")] + [("draftkings", "New Guy", "listed:9", "New Guy", "")]
-    rows = resolve(spark, [("draftkings", "J Smith"), ("draftkings", "John Smith"), ("draftkings", "New Guy"), ("fanduel", "New Guy")], [("3", "James Smith")], alias)
-    assert {rows["draftkings", n].canonical_player_id for n in ("J Smith", "John Smith")} == {"gsis:2"}
-    assert rows["fanduel", "New Guy"].canonical_player_id == "listed:9" and rows["fanduel", "New Guy"].review_status == "automatic"
-    bad = spark.createDataFrame([("*", "A B", "1", "A", ""), ("*", "a b", "2", "B", "")], ALIAS)
+    alias = [("draftkings", n, "gsis:31", "Ingrid Halloran", "") for n in ("I Halloran", "Ingrid Halloran")] + [("draftkings", "Fresh Face", "listed:77", "Fresh Face", "")]
+    rows = resolve(spark, [("draftkings", "I Halloran"), ("draftkings", "Ingrid Halloran"), ("draftkings", "Fresh Face"), ("fanduel", "Fresh Face"), ("kalshi", "Fresh Facer")],
+                   [("32", "Isolde Halloran")], alias)
+    assert {rows["draftkings", n].canonical_player_id for n in ("I Halloran", "Ingrid Halloran")} == {"gsis:31"}
+    assert rows["fanduel", "Fresh Face"].canonical_player_id == "listed:77" and rows["fanduel", "Fresh Face"].review_status == "automatic"
+    assert rows["kalshi", "Fresh Facer"].candidate_canonical_player_id == "listed:77"
+    bad = spark.createDataFrame([("*", "Kim Vo", "1", "Kim", ""), ("*", "kim vo", "2", "Vo", "")], ALIAS)
     with pytest.raises(checks.GateError):
         checks.require(names.alias_gate(bad, sorted(SOURCES)))
 
 
 def test_similarity_blocking_is_complete(spark):
-    words = ["john smith", "jon smith", "johnny smyth", "jane smithe", "smith john", "jo smit", "johnn smith", "alexander hamilton", "alexandr hamilton"]
+    words = ["mara quill", "maro quill", "marra quil", "mira quille", "quill mara", "ma qui", "maraa quill", "bartholomew finch", "bartolomew finch", "aaaa aaaa", "aaaaa aaa", "x", "xy"]
     frame = spark.createDataFrame([(w,) for w in words], "match_key string")
     got = {(r.query_key, r.match_key) for r in names.similar_keys(frame.withColumnRenamed("match_key", "query_key"), frame, 80.0).collect()}
 
@@ -108,23 +122,23 @@ def blend(spark, rows, sources, rules):
 def test_consensus_golden(spark):
     book = {n: SourceRules("book", True, 1.0) for n in SOURCES}
     rules = AggregationRules(max_absolute_disagreement=250.0, max_relative_disagreement=0.25)
-    row = blend(spark, [("draftkings", 800.0, "passed"), ("fanduel", 900.0, "passed"), ("kalshi", 1000.0, "passed")], book, rules)
-    assert row.consensus_mean == pytest.approx(900) and row.source_range == 200 and not row.disagreement_flag
-    weighted = {"draftkings": SourceRules("book", True, 3.0), "fanduel": SourceRules("book", True, 1.0), "kalshi": SourceRules("contract", False, 5.0)}
-    row = blend(spark, [("draftkings", 700.0, "passed"), ("fanduel", 900.0, "passed"), ("kalshi", 2000.0, "passed")], weighted, AggregationRules(max_absolute_disagreement=50.0))
-    assert row.consensus_mean == pytest.approx(750) and row.disagreement_flag
-    row = blend(spark, [("draftkings", 800.0, "passed")], book, AggregationRules(minimum_sources=2))
+    row = blend(spark, [("draftkings", 612.0, "passed"), ("fanduel", 655.0, "passed"), ("kalshi", 743.0, "passed")], book, rules)
+    assert row.consensus_mean == pytest.approx(670) and row.source_range == 131 and not row.disagreement_flag
+    weighted = {"draftkings": SourceRules("book", True, 2.0), "fanduel": SourceRules("book", True, 5.0), "kalshi": SourceRules("contract", False, 9.0)}
+    row = blend(spark, [("draftkings", 305.0, "passed"), ("fanduel", 410.0, "passed"), ("kalshi", 77.0, "passed")], weighted, AggregationRules(max_absolute_disagreement=40.0))
+    assert row.consensus_mean == pytest.approx(380) and row.disagreement_flag
+    row = blend(spark, [("draftkings", 512.0, "passed")], book, AggregationRules(minimum_sources=2))
     assert row.consensus_mean is None and row.exclusion_reason == "minimum_sources_not_met"
 
 
 def test_scoring_golden_and_invalid_rules(spark):
-    rows = [("run", "s", "p1", "QB", stat, v, "passed") for stat, v in (("passing_yards", 4000.0), ("passing_touchdowns", 30.0), ("receptions", 10.0))]
-    rows += [("run", "s", "p2", "WR", "receiving_yards", 1000.0, "passed"), ("run", "s", "p2", "WR", "receiving_touchdowns", 8.0, "passed")]
+    rows = [("run", "s", "p1", "QB", stat, v, "passed") for stat, v in (("passing_yards", 3150.0), ("passing_touchdowns", 21.0), ("receptions", 6.0))]
+    rows += [("run", "s", "p2", "WR", "receiving_yards", 640.0, "passed"), ("run", "s", "p2", "WR", "receiving_touchdowns", 4.5, "passed")]
     frame = spark.createDataFrame(rows, "run_id string, season string, canonical_player_id string, canonical_player_name string, stat string, consensus_mean double, quality_status string")
     scored = score.score(frame, ScoringRules())
     got = {r.canonical_player_id: r for r in scored.collect()}
-    assert [got["p1"][f"fpts_{m}"] for m in ("standard", "half_ppr", "three_quarter_ppr", "full_ppr")] == pytest.approx([280, 285, 287.5, 290])
-    assert got["p2"].fpts_standard is None and got["p2"].partial_fpts_standard == pytest.approx(148) and not got["p2"].projection_complete
+    assert [got["p1"][f"fpts_{m}"] for m in ("standard", "half_ppr", "three_quarter_ppr", "full_ppr")] == pytest.approx([210, 213, 214.5, 216])
+    assert got["p2"].fpts_standard is None and got["p2"].partial_fpts_standard == pytest.approx(91) and not got["p2"].projection_complete
     checks.require(score.scoring_gate(frame, scored, ScoringRules()))
     with pytest.raises(ValueError):
         score.score(frame, ScoringRules(missing_stat_policy="zero"))
