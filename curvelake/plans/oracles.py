@@ -10,6 +10,7 @@ and secant rule, since a robust cost can have several minima) and the bootstrap
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from curvelake.operators.calibrate import HASH_PRIME, UNIT_POISSON
 from curvelake.plans import roles as R
@@ -341,11 +342,13 @@ ORACLES["stable_ids"] = with_(NAMES) + """SELECT gsis_player_id, match_key, 'pla
 
 ORACLES["candidate_table"] = with_(NAMES) + """SELECT 'gsis:' || gsis_player_id AS canonical_player_id, gsis_player_id, player_name AS canonical_player_name, position, match_key AS match_keys, stat AS stats, team AS teams FROM cand"""
 
+RAW_NAME = """CASE kind WHEN 0 THEN player_name WHEN 1 THEN upper(translate(player_name, 'aeiou', 'áéîöù')) || ' Jr.' WHEN 2 THEN player_name[1:3] || player_name[5:104]
+        WHEN 3 THEN player_name[1] || '. ' || split_part(player_name, ' ', 3) WHEN 4 THEN player_name || 'x' WHEN 5 THEN replace(player_name, ' Brand', '-Brand')
+        WHEN 6 THEN 'unknown ' || md5(player_name) ELSE ' ' || player_name || ' III' END"""
+
 QUOTED = NAMES + f""",
 raw_quotes AS (SELECT DISTINCT ['click', 'purchase', 'view'][l_suppkey % 3 + 1] AS source, stat, team,
-    trim(CASE kind WHEN 0 THEN player_name WHEN 1 THEN upper(translate(player_name, 'aeiou', 'áéîöù')) || ' Jr.' WHEN 2 THEN player_name[1:3] || player_name[5:104]
-        WHEN 3 THEN player_name[1] || '. ' || split_part(player_name, ' ', 3) WHEN 4 THEN player_name || 'x' WHEN 5 THEN replace(player_name, ' Brand', '-Brand')
-        WHEN 6 THEN 'unknown ' || md5(player_name) ELSE ' ' || player_name || ' III' END) AS raw_player_name FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR),
+    trim({RAW_NAME}) AS raw_player_name FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR),
 idents AS (SELECT source, raw_player_name, {match_key("raw_player_name")} AS match_key, list_sort(list(DISTINCT stat)) AS stats, list_sort(list(DISTINCT team)) AS teams FROM raw_quotes GROUP BY 1, 2),
 alias AS (SELECT CASE WHEN min(p_partkey) % 2 = 0 THEN '*' ELSE 'click' END AS source, {match_key("p_name || ' ' || p_brand")} AS match_key, 'listed:' || min(p_partkey) AS alias_id,
     'Listed ' || p_name || ' ' || p_brand AS alias_name FROM part GROUP BY p_name, p_brand HAVING min(p_partkey) % 97 = 0)"""
@@ -374,6 +377,77 @@ alike AS (SELECT query_key, match_key, max(score) AS score FROM (SELECT * FROM l
 ORACLES["similar_names"] = with_(QUOTED, LIKENESS) + f"SELECT query_key, match_key, {r('score')} FROM alike"
 
 
+def resolved(source: str, before: Sequence[str]) -> str:
+    """One source's names against history and what the sources ``before`` it brought in."""
+    n = source
+    return f"""
+pool_{n} AS (SELECT DISTINCT 'gsis:' || gsis_player_id AS id, match_key, stat FROM cand WHERE match_key <> ''{"".join(f" UNION SELECT id, match_key, unnest(stats) FROM born_{b}" for b in before)}),
+mates_{n} AS (SELECT DISTINCT 'gsis:' || gsis_player_id AS id, team FROM cand{"".join(f" UNION SELECT id, unnest(teams) FROM born_{b}" for b in before)}),
+open_{n} AS (SELECT i.source, raw_player_name AS raw, i.match_key, stats, teams, coalesce(o.alias_id, a.alias_id) AS alias_id, coalesce(o.alias_name, a.alias_name) AS alias_name FROM idents i
+    LEFT JOIN alias o ON o.source = i.source AND o.match_key = i.match_key LEFT JOIN alias a ON a.source = '*' AND a.match_key = i.match_key WHERE i.source = '{n}' AND i.match_key <> ''),
+same_{n} AS (SELECT raw, min(id) AS lo, max(id) AS hi FROM open_{n} i JOIN pool_{n} p ON p.match_key = i.match_key AND list_contains(i.stats, p.stat) WHERE alias_id IS NULL GROUP BY 1),
+rest_{n} AS (SELECT * FROM open_{n} WHERE alias_id IS NULL AND raw NOT IN (SELECT raw FROM same_{n})),
+option_{n} AS (SELECT raw, a.match_key, a.score, min(p.id) AS lo, max(p.id) AS hi, max(m.id) AS mate FROM rest_{n} r JOIN alike a ON a.query_key = r.match_key
+    JOIN pool_{n} p ON p.match_key = a.match_key AND list_contains(r.stats, p.stat) LEFT JOIN mates_{n} m ON m.id = p.id AND list_contains(r.teams, m.team) GROUP BY 1, 2, 3),
+top_{n} AS (SELECT *, max(score) OVER (PARTITION BY raw) AS best FROM option_{n}),
+lead_{n} AS (SELECT raw, min(lo) AS l, max(hi) AS h, max(mate) AS m FROM top_{n} WHERE score = best GROUP BY 1),
+close_{n} AS (SELECT t.raw, max(best) AS best, max(coalesce(m, h)) AS best_id, CASE WHEN bool_or(l <> h) THEN max(best) ELSE max(score) FILTER (WHERE score < best AND (lo <> h OR hi <> h)) END AS second
+    FROM top_{n} t JOIN lead_{n} d ON d.raw = t.raw GROUP BY 1),
+near_{n} AS (SELECT *, best >= 96 AND (second IS NULL OR best - second >= 4) AS auto, CASE WHEN best < 96 THEN 'score_below_minimum' WHEN best - second < 4 THEN 'ambiguous_fuzzy_match' END AS why FROM close_{n}),
+chosen_{n} AS (SELECT o.*, s.lo <> s.hi AS ambiguous, best, best_id, second, auto, why, alias_id IS NOT NULL AS is_alias, o.raw IN (SELECT raw FROM rest_{n} r JOIN pool_{n} p ON list_contains(r.stats, p.stat)) AS reachable,
+    coalesce(alias_id, CASE WHEN s.lo = s.hi THEN s.lo END, CASE WHEN auto THEN best_id END) AS chosen,
+    CASE WHEN alias_id IS NOT NULL THEN 'explicit_alias' WHEN s.lo = s.hi THEN 'exact_match_key' WHEN auto THEN 'fuzzy_auto' END AS method
+    FROM open_{n} o LEFT JOIN same_{n} s ON s.raw = o.raw LEFT JOIN near_{n} c ON c.raw = o.raw),
+claim_{n} AS (SELECT *, row_number() OVER (PARTITION BY chosen ORDER BY match_key, raw, is_alias) AS i FROM chosen_{n} WHERE chosen IS NOT NULL),
+fold_{n} AS (SELECT chosen, i, stats AS taken, NOT is_alias AS keeps, raw FROM claim_{n} WHERE i = 1
+  UNION ALL SELECT c.chosen, c.i, CASE WHEN c.is_alias OR NOT list_has_any(f.taken, c.stats) THEN list_distinct(list_concat(f.taken, c.stats)) ELSE f.taken END,
+    NOT c.is_alias AND NOT list_has_any(f.taken, c.stats), c.raw FROM fold_{n} f JOIN claim_{n} c ON c.chosen = f.chosen AND c.i = f.i + 1),
+judged_{n} AS (SELECT c.*, coalesce(c.chosen IS NOT NULL AND NOT is_alias AND NOT f.keeps, false) AS rejected, CASE WHEN method = 'fuzzy_auto' THEN best WHEN method IS NOT NULL THEN 100.0 END AS score
+    FROM chosen_{n} c LEFT JOIN fold_{n} f ON f.chosen = c.chosen AND f.raw = c.raw),
+born_{n} AS (SELECT chosen AS id, match_key, stats, teams FROM judged_{n} WHERE chosen IS NOT NULL AND NOT rejected AND (is_alias OR chosen NOT IN (SELECT 'gsis:' || gsis_player_id FROM cand)))"""
+
+
+RESOLVED = (resolved("click", ()), resolved("purchase", ("click",)), resolved("view", ("click", "purchase")), """
+judged AS (SELECT * FROM judged_click UNION ALL SELECT * FROM judged_purchase UNION ALL SELECT * FROM judged_view),
+facts AS (SELECT coalesce(h.id, a.id) AS id, coalesce(h.name, a.name) AS name, position, gsis FROM (SELECT 'gsis:' || gsis_player_id AS id, max(player_name) AS name, max(position) AS position, max(gsis_player_id) AS gsis FROM cand GROUP BY 1) h
+    FULL JOIN (SELECT alias_id AS id, min(alias_name) AS name FROM alias GROUP BY 1) a ON a.id = h.id),
+named AS (SELECT j.*, NOT rejected AND chosen IS NOT NULL AS matched, f.name AS chosen_name, f.position AS chosen_position, f.gsis AS chosen_gsis,
+    CASE WHEN rejected THEN 'source_level_collision' WHEN chosen IS NOT NULL THEN NULL WHEN ambiguous THEN 'ambiguous_exact_match_key' WHEN why IS NOT NULL THEN why WHEN reachable THEN 'below_review_floor' ELSE 'no_candidate' END AS reason,
+    CASE WHEN rejected THEN chosen WHEN why IS NOT NULL THEN best_id END AS suggested, CASE WHEN rejected THEN score WHEN ambiguous THEN 100.0 WHEN why IS NOT NULL THEN best END AS suggested_score,
+    CASE WHEN rejected THEN NULL WHEN ambiguous THEN 100.0 WHEN why IS NOT NULL THEN second END AS runner_up FROM judged j LEFT JOIN facts f ON f.id = j.chosen),
+mapped AS (SELECT source, raw AS raw_player_name, match_key, stats, CASE WHEN matched THEN chosen ELSE 'player:' || replace(match_key, ' ', '-') || '-' || sha256(match_key)[1:12] END AS canonical_player_id,
+    CASE WHEN matched THEN coalesce(alias_name, chosen_name, raw) ELSE raw END AS canonical_player_name, CASE WHEN matched THEN method ELSE 'unmatched' END AS match_method, CASE WHEN matched THEN score END AS match_score,
+    CASE WHEN matched AND is_alias THEN 'alias' WHEN matched THEN 'automatic' ELSE 'unmatched' END AS review_status, CASE WHEN matched THEN chosen_position END AS canonical_position,
+    CASE WHEN matched THEN chosen_gsis END AS canonical_gsis_player_id, reason, suggested, suggested_score, runner_up FROM named)""")
+
+ORACLES["player_map"] = with_(QUOTED, LIKENESS, *RESOLVED, recursive=True) + f"""SELECT source, raw_player_name, match_key AS normalized_match_key, canonical_player_id, canonical_player_name, match_method,
+    {r("match_score", name="match_score")}, review_status, canonical_position, canonical_gsis_player_id FROM mapped"""
+
+ORACLES["suggestions"] = with_(QUOTED, LIKENESS, *RESOLVED, recursive=True) + f"""SELECT source, raw_player_name, match_key AS normalized_match_key, array_to_string(stats, '|') AS observed_stats, suggested AS candidate_canonical_player_id,
+    f.name AS candidate_canonical_player_name, f.gsis AS candidate_gsis_player_id, f.position AS candidate_position, {r("suggested_score", name="match_score")}, {r("runner_up", name="runner_up_score")}, reason,
+    'needs_review' AS review_status FROM mapped LEFT JOIN facts f ON f.id = suggested WHERE reason IS NOT NULL"""
+
+# The quotes themselves, one by one, with what their name was resolved to.
+ORACLES["decorated_quotes"] = with_(QUOTED, LIKENESS, *RESOLVED, recursive=True) + f"""SELECT source, raw_player_name, stat, team, canonical_player_id, review_status AS identity_review_status, count(*)::BIGINT AS quotes FROM (
+    SELECT ['click', 'purchase', 'view'][l_suppkey % 3 + 1] AS source, stat, team, trim({RAW_NAME}) AS raw_player_name FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR) q
+    LEFT JOIN mapped USING (source, raw_player_name) GROUP BY 1, 2, 3, 4, 5, 6"""
+
+_IDENTITY = f"""
+gate AS (SELECT (SELECT count(*) FILTER (WHERE canonical_player_id IS NULL) FROM (SELECT ['click', 'purchase', 'view'][l_suppkey % 3 + 1] AS source, trim({RAW_NAME}) AS raw_player_name
+        FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR) q LEFT JOIN mapped USING (source, raw_player_name)) AS lost, (SELECT count(*) FROM mapped WHERE reason IS NOT NULL) AS open,
+    (SELECT count(*) FROM (SELECT 1 FROM (SELECT source, canonical_player_id, raw_player_name, unnest(stats) AS stat FROM mapped WHERE review_status <> 'alias') GROUP BY source, stat, canonical_player_id HAVING min(raw_player_name) <> max(raw_player_name))) AS bad)"""
+ORACLES["identity_checks"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT 'identity.input_rows_reconciled' AS name, lost = 0 AS passed, 'error' AS severity, '{"rows":"' || lost || '"}' AS details FROM gate
+    UNION ALL SELECT 'identity.player_map_keys_unique', true, 'error', '{"duplicate_keys":"0","duplicate_rows":"0"}' FROM gate UNION ALL SELECT 'identity.canonical_ids_present', true, 'error', '{}' FROM gate
+    UNION ALL SELECT 'identity.fuzzy_suggestions', open = 0, 'warning', '{"suggestions":"' || open || '"}' FROM gate UNION ALL SELECT 'identity.source_level_collisions', bad = 0, 'error', '{}' FROM gate"""
+ORACLES["identity_summary"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT review_status, count(*)::BIGINT AS names FROM mapped GROUP BY 1 UNION ALL SELECT 'decorated', (SELECT count(*) FROM lineitem)
+    UNION ALL SELECT CASE WHEN lost = 0 AND bad = 0 THEN 'gate passed' ELSE 'gate failed' END, (lost > 0)::BIGINT + (bad > 0)::BIGINT FROM gate"""
+
+ORACLES["promoted_aliases"] = with_(QUOTED, LIKENESS, *RESOLVED, """
+ap AS (SELECT m.source, m.match_key, suggested AS id, f.name FROM mapped m LEFT JOIN facts f ON f.id = suggested WHERE reason IS NOT NULL AND suggested IS NOT NULL)""", recursive=True) + """
+SELECT (SELECT count(*) FROM alias) + (SELECT count(*) FROM (SELECT DISTINCT source, match_key FROM ap WHERE name IS NOT NULL AND (source, match_key) NOT IN (SELECT (source, match_key) FROM alias))) AS aliases, 'rows' AS kind
+UNION ALL SELECT (SELECT count(*) FROM ap LEFT JOIN alias a USING (source, match_key) WHERE name IS NULL OR alias_id <> id OR alias_name <> name), 'rows'"""
+
+
 # --- distributions --------------------------------------------------------------------
 
 COUNTS = """

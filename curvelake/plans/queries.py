@@ -411,6 +411,23 @@ def suggestions(spark, sf):
     return tidy(names.review_suggestions(_resolved(spark, sf)))
 
 
+@query
+def decorated_quotes(spark, sf):
+    """Every quote with its identity, counted by name, statistic and team."""
+    quoted = _name_quotes(spark, sf)
+    found = names.decorate(quoted, names.player_map(_resolved(spark, sf)))
+    return found.groupBy("source", F.trim("raw_player_name").alias("raw_player_name"), "stat", "team", "canonical_player_id",
+                         "identity_review_status").agg(F.count("*").alias("quotes"))
+
+
+@query
+def identity_checks(spark, sf):
+    """The identity gate with its details."""
+    quoted, resolved = _name_quotes(spark, sf), _resolved(spark, sf)
+    gate = names.identity_gate(quoted, names.decorate(quoted, names.player_map(resolved)), resolved)
+    return gate.select("name", "passed", "severity", F.to_json(checks.sorted_map("details")).alias("details"))
+
+
 @query
 def identity_summary(spark, sf):
     quoted = _name_quotes(spark, sf)
