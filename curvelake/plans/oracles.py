@@ -599,6 +599,37 @@ ORACLES["calibration_gate"] = with_(*DISPERSION, recursive=True) + " UNION ALL "
     f"SELECT 'historical_calibration.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _CGATE) + "".join(
     f" UNION ALL SELECT 'historical_calibration.{s}.signed_negative_observations', true, 'warning'" for s in STATS)
 
+# The published table with its status: every tolerance is checked anew.
+GATED = (*HOLDOUT, BOOTSTRAP, CDF, """
+ev AS (SELECT id, level, min(j) FILTER (WHERE c >= level) + 1 AS k, 1 - min(c) FILTER (WHERE c >= level) AS predicted FROM cdf, (SELECT unnest([0.25, 0.5, 0.75]) AS level) GROUP BY 1, 2),
+gap AS (SELECT stat, max(g) AS gap FROM (SELECT stat, abs(avg(predicted) - avg((y >= k)::INT)) AS g FROM ev JOIN holdout USING (id) GROUP BY stat, level) GROUP BY 1),
+iv AS (SELECT id, level, min(j) FILTER (WHERE c >= (1 - level) / 2) AS low, min(j) FILTER (WHERE c >= 1 - (1 - level) / 2) AS high FROM cdf, (SELECT unnest([0.5, 0.8, 0.9])::DOUBLE AS level) GROUP BY 1, 2),
+miss AS (SELECT stat, max(e) AS miss FROM (SELECT stat, abs(avg((y BETWEEN low AND high)::INT) - avg(h.c - coalesce(l.c, 0))) AS e FROM iv JOIN holdout USING (id) JOIN cdf h ON h.id = iv.id AND h.j = iv.high
+    LEFT JOIN cdf l ON l.id = iv.id AND l.j = iv.low - 1 GROUP BY stat, level) GROUP BY 1),
+sens AS (SELECT f.stat, count(*) FILTER (WHERE coalesce(d.n, 0) < 25) AS bad, max(CASE WHEN d.n >= 25 THEN abs(d.log_r - f.log_r) END) AS delta
+    FROM (SELECT * FROM disp WHERE win = 'full') f, (SELECT unnest([1997, 1998, 1999]) AS start) t LEFT JOIN disp d ON d.stat = f.stat AND d.win = t.start::VARCHAR GROUP BY 1),
+held AS (SELECT stat, -avg(log_nb) AS nll, -avg(log_poisson) AS pnll, sum(y - mu) / sum(mu) AS bias, sum(y - raw_mu) / sum(raw_mu) AS raw_bias, count(*) AS n_held FROM holdout GROUP BY 1),
+booted AS (SELECT stat, count(*) FILTER (WHERE ok) / %d::DOUBLE AS success, quantile_cont(log_r, 0.05) FILTER (WHERE ok) AS low, quantile_cont(log_r, 0.95) FILTER (WHERE ok) AS high FROM estimates GROUP BY 1),
+cohorts AS (SELECT stat, count(*) FILTER (WHERE target_season < 2000 AND corrected > 0) AS n_train, count(*) FILTER (WHERE corrected = 0 AND realized_total = 0) AS zeros,
+    count(*) FILTER (WHERE corrected = 0 AND realized_total > 0) AS impossible, array_to_string(list_sort(list(DISTINCT target_season) FILTER (WHERE target_season < 2000 AND corrected > 0)), '|') AS train_seasons,
+    array_to_string(list_sort(list(DISTINCT target_season) FILTER (WHERE target_season >= 2000 AND corrected > 0)), '|') AS held_seasons FROM applied
+    WHERE training_eligible AND target_season BETWEEN 1997 AND 2000 GROUP BY 1),
+verdict AS (SELECT c.*, d.log_r, d.nll AS train_nll, h.*EXCLUDE (stat), b.*EXCLUDE (stat), gap, miss, bad, delta FROM cohorts c JOIN (SELECT * FROM disp WHERE win = 'full') d ON d.stat = c.stat
+    LEFT JOIN held h ON h.stat = c.stat LEFT JOIN booted b ON b.stat = c.stat LEFT JOIN gap ON gap.stat = c.stat LEFT JOIN miss ON miss.stat = c.stat LEFT JOIN sens ON sens.stat = c.stat)""" % _B)
+_LIMITS = {
+    "dispersion_not_on_bound": f"log_r - {_LO} > 1e-4 AND {_HI} - log_r > 1e-4", "bootstrap": "success >= 0.9 AND low IS NOT NULL", "holdout_likelihood": "nll <= pnll + 0.05",
+    "holdout_brier_calibration": "gap <= 0.1", "holdout_interval_coverage": "miss <= 0.1", "holdout_bias": "abs(bias) <= 0.1", "sensitivity_stability": "bad = 0 AND delta <= 1",
+    "training_cohort": "n_train >= 20", "holdout_cohort": "n_held >= 30", "zero_baseline_consistency": "impossible = 0"}
+ORACLES["dispersion_table"] = with_(*GATED, recursive=True) + f"""SELECT stat, 'negative_binomial' AS distribution_family, '{R.CALIBRATION.calibration_version}' AS calibration_version, 'historical_only' AS method,
+    {r("exp(log_r)", 4, "historical_dispersion")}, {r("log_r", 4, "historical_log_dispersion")}, {r("exp(low)", 4, "historical_dispersion_lower")}, {r("exp(high)", 4, "historical_dispersion_upper")},
+    {r("low", 4, "historical_log_dispersion_lower")}, {r("high", 4, "historical_log_dispersion_upper")}, {r("exp(log_r)", 4, "final_dispersion")}, 'historical_only' AS dispersion_source,
+    n_train::BIGINT AS training_player_seasons, n_held::BIGINT AS holdout_player_seasons, train_seasons AS training_seasons, held_seasons AS holdout_seasons, 0::BIGINT AS negative_outcomes_excluded,
+    zeros::BIGINT AS zero_baselines_excluded, {r("train_nll * n_train", 4, "objective_nll")}, true AS optimizer_converged, NOT ({_LIMITS["dispersion_not_on_bound"]}) AS dispersion_bound_hit,
+    {r("success", 4, "bootstrap_success_rate")}, {r("nll", 4, "holdout_nll_per_player_season")}, {r("pnll", 4, "holdout_poisson_nll_per_player_season")}, {r("bias", 4, "holdout_relative_bias")},
+    {r("raw_bias", 4, "holdout_raw_baseline_relative_bias")}, CASE WHEN {" AND ".join(f"coalesce({c}, false)" for c in _LIMITS.values())} THEN 'passed' ELSE 'failed' END AS status FROM verdict"""
+ORACLES["tolerance_gate"] = with_(*GATED, recursive=True) + " UNION ALL ".join(
+    f"SELECT 'historical_calibration.' || stat || '.{n}' AS name, coalesce({c}, false) AS passed FROM verdict" for n, c in _LIMITS.items())
+
 
 # --- means ----------------------------------------------------------------------------
 

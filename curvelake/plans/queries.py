@@ -575,11 +575,25 @@ def calibration_gate(spark, sf):
                                    calibrate.cohort_gate(rows, R.HISTORY, R.CALIBRATION)))
 
 
+@stage
+def _published(spark, sf) -> DataFrame:
+    """Dispersion table and gate in one table, so that the calibration runs once: the gate's rows have a name."""
+    table, gates = calibrate.calibrate(R.predictions(spark, sf), R.HISTORY, R.CALIBRATION)
+    return table.unionByName(gates.select("name", "passed"), allowMissingColumns=True)
+
+
 @query
 def dispersion_table(spark, sf):
     """The published calibration, from weekly rows to the status of every statistic."""
-    table, _ = calibrate.calibrate(R.predictions(spark, sf), R.HISTORY, R.CALIBRATION)
-    return tidy(table, 4)
+    return tidy(_published(spark, sf).filter("name IS NULL").drop("name", "passed"), 4)
+
+
+@query
+def tolerance_gate(spark, sf):
+    """The calibration's tolerances per statistic; what always holds by construction is left to calibration_gate."""
+    always = ("optimizer_converged", "integer_outcomes", "baseline_domain", "signed_negative_observations")
+    named = _published(spark, sf).filter(F.size(F.split("name", r"\.")) == 3)
+    return named.filter(~F.element_at(F.split("name", r"\."), -1).isin(*always)).select("name", "passed")
 
 
 # --- means ----------------------------------------------------------------------------
