@@ -48,19 +48,32 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(number, *keys)
 
 
-_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+_STAGES: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
+
+
+def _stamp(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of what lies in the folder: a changed table gets a new stamp."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return "|".join(sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in found))
 
 
 def stage(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """A stage table: built and materialised once per application and input folder.
+    """A stage table: built and materialised once per application and input folder, anew when the folder changes.
 
     Later stages and queries read it from the checkpoint folder instead of
-    repeating everything upstream of it.
+    repeating everything upstream of it. ``free_stages`` forgets them; Spark's
+    cleaner then removes their files where ``cleanCheckpoints`` is set.
     """
     @wraps(build)
     def read(spark: SparkSession, folder: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, folder, f"{build.__module__}.{build.__name__}")
-        if key not in _STAGES:
-            _STAGES[key] = cut(build(spark, folder))
-        return _STAGES[key]
+        stamp = _stamp(spark, folder)
+        if key not in _STAGES or _STAGES[key][0] != stamp:
+            _STAGES[key] = (stamp, cut(build(spark, folder)))
+        return _STAGES[key][1]
     return read
+
+
+def free_stages() -> None:
+    _STAGES.clear()

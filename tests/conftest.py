@@ -8,12 +8,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]").appName("curvelake-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "6g").getOrCreate())
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).config("spark.driver.memory", "6g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
