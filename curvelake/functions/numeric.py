@@ -41,10 +41,6 @@ def half_life_weight(age: Column, half_life: Column | float) -> Column:
     return F.pow(F.lit(0.5), age / (half_life if isinstance(half_life, Column) else F.lit(float(half_life))))
 
 
-def soft_l1(residual: Column) -> Column:
-    return F.sqrt(1.0 + residual * residual) - 1.0
-
-
 def percent_to_probability(c: Column) -> Column:
     return c.cast("double") / 100.0
 
@@ -57,12 +53,6 @@ def relative_difference(a: Column, base: Column) -> Column:
     return (a - base) / base
 
 
-def weighted_mean(value: Column, weight: Column) -> Column:
-    """Aggregate: NULL when the group holds no value."""
-    kept = F.when(value.isNotNull(), weight)
-    return F.try_divide(F.sum(value * weight), F.sum(kept))
-
-
 def title_label(c: Column) -> Column:
     return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
 

@@ -15,7 +15,6 @@ NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
 
 # Label and title patterns.
 SIDE_LINE_PATTERN = r"(?:Over|Under)\s+(-?[0-9]+(?:\.[0-9]+)?)$"
-STRICT_LABEL_PATTERN = r"^(Over|Under)\s+([0-9]+(?:\.[0-9]+)?)$"
 RUNNER_PATTERN = r"^(.+)\s+(Over|Under)\s+(-?[0-9]+(?:\.[0-9]+)?)$"
 SLASH_SEASON_PATTERN = r"NFL\s+(\d{4})/(\d{2})"
 DASH_SEASON_PATTERN = r"\b(20\d{2}-\d{2})\b"

@@ -370,8 +370,9 @@ def identity_summary(mapped: DataFrame) -> DataFrame:
 def identity_gate(quotes: DataFrame, decorated: DataFrame, resolved: DataFrame) -> DataFrame:
     """Every quote reconciled, unique map, ids present, no unaliased collision."""
     mapped = player_map(resolved)
-    counts = quotes.agg(F.count("*").alias("rows")).crossJoin(decorated.agg(  # one row each
-        F.count("*").alias("kept"), F.count_if(F.col("canonical_player_id").isNull()).alias("lost")))
+    found = F.col("canonical_player_id").isNotNull()
+    counts = quotes.select(F.lit("asked").alias("kind")).unionByName(decorated.select(F.when(found, "found").otherwise("lost").alias("kind"))).agg(
+        *[F.count_if(F.col("kind") == k).alias(k) for k in ("asked", "found", "lost")])
     claims = resolved.filter("review_status <> 'alias'").select(
         "source", "canonical_player_id", "raw_player_name", F.explode("stats").alias("stat"))
     collisions = claims.groupBy("source", "stat", "canonical_player_id").agg(
@@ -379,7 +380,7 @@ def identity_gate(quotes: DataFrame, decorated: DataFrame, resolved: DataFrame)
     counted = resolved.agg(F.count_if(F.col("reason").isNotNull()).alias("open"), F.count_if(
         F.coalesce(F.col("canonical_player_id"), F.lit("")) == "").alias("no_id"))
     return all_checks(
-        check_table(counts, [Check("identity.input_rows_reconciled", (F.col("lost") == 0) & (F.col("rows") == F.col("kept")),
+        check_table(counts, [Check("identity.input_rows_reconciled", (F.col("lost") == 0) & (F.col("asked") == F.col("found")),
                                    "every quote has one identity", details={"rows": F.col("lost")})]),
         grain_check(mapped, WHO, "identity.player_map_keys_unique", "map keys are unique"),
         check_table(counted, [

@@ -267,16 +267,39 @@ ORACLES["volume_counters"] = with_(EVENTS) + """SELECT coalesce(stat, 'all') AS
 ORACLES["conflicting_records"] = """SELECT l_orderkey || '-' || l_linenumber AS line_id, count(*)::BIGINT AS records FROM lineitem
     GROUP BY 1 HAVING count(DISTINCT (l_partkey, l_returnflag)) > 1"""
 
+FAULTY = QUOTES + """,
+sides AS (SELECT source, source_market_id, side, ('0x' || md5(source_market_id || '/' || side)[1:4])::BIGINT % 40 AS kind, source IN ('click', 'view') AS book FROM (
+    SELECT source, source_market_id, unnest(['over', 'under']) AS side FROM books UNION ALL SELECT source, source_market_id, 'yes' FROM contracts)),
+faulty AS (SELECT * FROM sides UNION ALL SELECT * FROM sides WHERE kind = 3),
+n AS (SELECT count(*) AS rows, count(*) FILTER (WHERE kind = 0) AS lost, count(*) FILTER (WHERE kind = 1 AND book) AS odds, count(*) FILTER (WHERE kind = 2 AND NOT book) AS prices,
+    count(*) FILTER (WHERE kind = 3) AS repeated, (SELECT count(*) FROM sides) AS expected FROM faulty)"""
+ORACLES["normalized_faults"] = with_(FAULTY) + """SELECT 'normalized.nonempty' AS name, rows > 0 AS passed, 'error' AS severity, '{}' AS details FROM n
+    UNION ALL SELECT 'normalized.types_and_domains', lost = 0, 'error', '{"rows":"' || lost || '"}' FROM n UNION ALL SELECT 'normalized.book_odds', odds = 0, 'error', '{}' FROM n
+    UNION ALL SELECT 'normalized.contract_probabilities', prices = 0, 'error', '{}' FROM n UNION ALL SELECT 'normalized.row_count', rows = expected, 'error', '{"rows":"' || rows || '"}' FROM n
+    UNION ALL SELECT 'normalized.keys_unique', repeated = 0, 'error', '{"duplicate_keys":"' || repeated // 2 || '","duplicate_rows":"' || repeated || '","sample":"' ||
+        (SELECT coalesce(string_agg(k, ', ' ORDER BY k), '') FROM (SELECT DISTINCT source || '/' || source_market_id || '/' || side AS k FROM sides WHERE kind = 3 ORDER BY 1 LIMIT 5)) || '"}' FROM n"""
+
+
+def _as_passed(condition: str) -> str:
+    """``condition FROM table`` as a column; the table's FROM is the last one at the outer level."""
+    depth, at = 0, -1
+    for i, c in enumerate(condition):
+        depth += (c == "(") - (c == ")")
+        if depth == 0 and condition.startswith(" FROM", i):
+            at = i
+    return condition + " AS passed" if at < 0 else condition[:at] + " AS passed" + condition[at:]
+
+
 _QGATE = [("normalized.nonempty", "count(*) > 0 FROM q"), ("normalized.types_and_domains", "count(*) = 0 FROM q WHERE stat IS NULL OR coalesce(threshold, line) IS NULL"),
           ("normalized.book_odds", "count(*) = 0 FROM books WHERE over_odds = 0 OR under_odds = 0"),
           ("normalized.contract_probabilities", "count(*) = 0 FROM contracts WHERE bid < 0 OR bid > 1 OR ask < 0 OR ask > 1 OR last_p < 0 OR last_p > 1"),
-          ("normalized.row_count", "true"), ("normalized.keys_unique", "count(*) = count(DISTINCT (source, source_market_id)) FROM q"),
+          ("normalized.row_count", "count(*) = (SELECT 2 * count(*) FROM books) + (SELECT count(*) FROM contracts) FROM (SELECT 1 FROM q UNION ALL SELECT 1 FROM books)"), ("normalized.keys_unique", "count(*) = count(DISTINCT (source, source_market_id)) FROM q"),
           ("pricing.nonempty", "count(*) > 0 FROM priced"), ("pricing.included_canonical_probability", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND NOT coalesce(p > 0 AND p < 1 AND threshold_k >= 0, false)"),
           ("pricing.exclusions_are_auditable", "count(*) = 0 FROM priced WHERE inclusion_status = 'excluded' AND (reason = '' OR p IS NOT NULL)"),
           ("pricing.book_pairs_reconcile", "count(*) = 0 FROM books WHERE 1 / over_decimal + 1 / under_decimal <= 1"), ("pricing.contracts_not_devigged", "true"),
           ("pricing.contract_quote_fields", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND bid > ask"),
           ("collections.cross_source_snapshot_skew", "count(*) = 5 AND date_diff('second', min(snapshot_utc::TIMESTAMP), max(snapshot_utc::TIMESTAMP)) <= 1800 FROM snap")]
-ORACLES["quote_gates"] = with_(QUOTES) + " UNION ALL ".join(f"(SELECT '{n}' AS name, passed, 'error' AS severity FROM (SELECT {c.replace(' FROM', ' AS passed FROM', 1) if ' FROM' in c else c + ' AS passed'}))" for n, c in _QGATE) + \
+ORACLES["quote_gates"] = with_(QUOTES) + " UNION ALL ".join(f"(SELECT '{n}' AS name, passed, 'error' AS severity FROM (SELECT {_as_passed(c)}))" for n, c in _QGATE) + \
     " UNION ALL SELECT 'pricing.source_decimal_crosscheck', true, 'warning'"
 
 ORACLES["snapshot_gate"] = with_(QUOTES) + f"""SELECT source, count(*)::BIGINT AS markets, {r("date_diff('second', max(snapshot_utc::TIMESTAMP), TIMESTAMP '2024-02-01') / 3600.0", name="age_hours")},
@@ -437,7 +460,7 @@ gate AS (SELECT (SELECT count(*) FILTER (WHERE canonical_player_id IS NULL) FROM
         FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR) q LEFT JOIN mapped USING (source, raw_player_name)) AS lost, (SELECT count(*) FROM mapped WHERE reason IS NOT NULL) AS open,
     (SELECT count(*) FROM (SELECT 1 FROM (SELECT source, canonical_player_id, raw_player_name, unnest(stats) AS stat FROM mapped WHERE review_status <> 'alias') GROUP BY source, stat, canonical_player_id HAVING min(raw_player_name) <> max(raw_player_name))) AS bad)"""
 ORACLES["identity_checks"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT 'identity.input_rows_reconciled' AS name, lost = 0 AS passed, 'error' AS severity, '{"rows":"' || lost || '"}' AS details FROM gate
-    UNION ALL SELECT 'identity.player_map_keys_unique', true, 'error', '{"duplicate_keys":"0","duplicate_rows":"0"}' FROM gate UNION ALL SELECT 'identity.canonical_ids_present', true, 'error', '{}' FROM gate
+    UNION ALL SELECT 'identity.player_map_keys_unique', true, 'error', '{"duplicate_keys":"0","duplicate_rows":"0","sample":""}' FROM gate UNION ALL SELECT 'identity.canonical_ids_present', true, 'error', '{}' FROM gate
     UNION ALL SELECT 'identity.fuzzy_suggestions', open = 0, 'warning', '{"suggestions":"' || open || '"}' FROM gate UNION ALL SELECT 'identity.source_level_collisions', bad = 0, 'error', '{}' FROM gate"""
 ORACLES["identity_summary"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT review_status, count(*)::BIGINT AS names FROM mapped GROUP BY 1 UNION ALL SELECT 'decorated', (SELECT count(*) FROM lineitem)
     UNION ALL SELECT CASE WHEN lost = 0 AND bad = 0 THEN 'gate passed' ELSE 'gate failed' END, (lost > 0)::BIGINT + (bad > 0)::BIGINT FROM gate"""

@@ -230,13 +230,36 @@ def conflicting_records(spark, sf):
     return tidy(quotes.conflicting_records(lines, "line_id"))
 
 
+def _expected_rows(spark, sf) -> int:
+    """Two outcomes for a two-sided market, one for a contract."""
+    return 2 * R.book_markets(spark, sf).count() + R.contract_markets(spark, sf).count()
+
+
+def _detailed(table: DataFrame) -> DataFrame:
+    return table.select("name", "passed", "severity", F.to_json(checks.sorted_map("details")).alias("details"))
+
+
+@query
+def normalized_faults(spark, sf):
+    """The gate of canonical rows over rows with planted faults: lost thresholds, void odds, impossible prices, repeated keys."""
+    kind = F.conv(F.substring(F.md5(F.concat_ws("/", "source_market_id", "outcome_side")), 1, 4), 16, 10).cast("int") % 40
+    book = F.col("source").isin(quotes.names_of(R.SOURCES, "book"))
+    rows = R.normalized(spark, sf).withColumn("_kind", kind)
+    faulty = rows.withColumns({
+        "threshold": F.when(F.col("_kind") != 0, F.col("threshold")),
+        "american_odds": F.when((F.col("_kind") == 1) & book, 0).otherwise(F.col("american_odds")),
+        "yes_ask_probability": F.when((F.col("_kind") == 2) & ~book, 1.5).otherwise(F.col("yes_ask_probability"))})
+    repeated = faulty.unionByName(faulty.filter("_kind = 3")).drop("_kind")
+    return _detailed(quotes.normalized_gate(repeated, R.SOURCES, R.STATS, F.lit(_expected_rows(spark, sf))))
+
+
 @query
 def quote_gates(spark, sf):
     rows = R.normalized(spark, sf)
     priced = quotes.price_quotes(rows, R.SOURCES, R.PRICING)
     snapshots = rows.select("source", "snapshot_utc").distinct()
     return _gate(checks.all_checks(
-        quotes.normalized_gate(rows, R.SOURCES, R.STATS), quotes.pricing_gate(priced, R.SOURCES, R.PRICING),
+        quotes.normalized_gate(rows, R.SOURCES, R.STATS, F.lit(_expected_rows(spark, sf))), quotes.pricing_gate(priced, R.SOURCES, R.PRICING),
         quotes.snapshot_skew(snapshots, R.PRICING.max_cross_source_skew_minutes, len(R.SOURCES))))
 
 
@@ -425,7 +448,7 @@ def identity_checks(spark, sf):
     """The identity gate with its details."""
     quoted, resolved = _name_quotes(spark, sf), _resolved(spark, sf)
     gate = names.identity_gate(quoted, names.decorate(quoted, names.player_map(resolved)), resolved)
-    return gate.select("name", "passed", "severity", F.to_json(checks.sorted_map("details")).alias("details"))
+    return _detailed(gate)
 
 
 @query
