@@ -16,7 +16,7 @@ share one place in the order. An empty table gives no rows; other columns are ig
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, log
+from math import ceil, exp, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,9 +49,9 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def sources(rows: DataFrame) -> DataFrame:
     """``source, tokens, documents, share``; a row per source."""
-    per = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents"))
-    return per.crossJoin(F.broadcast(per.agg(F.sum("tokens").alias("total")))).select(  # one row
-        "source", "tokens", "documents", (F.col("tokens") / F.col("total")).alias("share"))
+    per = written(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")))
+    total = per.agg(F.sum("tokens").alias("n")).first().n
+    return per.withColumn("share", F.col("tokens") / F.lit(total))
 
 
 def _fits(mixture: Mixture, exponent: float, mass: float, spread: float, low: float, high: float, total: float) -> bool:
@@ -88,16 +88,17 @@ def exponent(per: DataFrame, mixture: Mixture) -> float:
 def weights(per: DataFrame, mixture: Mixture) -> DataFrame:
     """``source, tokens, weight, budget``: normalised weights and each source's tokens to read."""
     power = per.withColumn("power", F.pow("share", F.lit(exponent(per, mixture))))
-    norm = power.agg(F.sum("power").alias("mass"))
-    weighed = power.crossJoin(F.broadcast(norm)).withColumn(  # one row
-        "weight", F.floor(F.col("power") / F.col("mass") * PARTS + 0.5) / PARTS)
+    mass = power.agg(F.sum("power").alias("m")).first().m
+    weighed = power.withColumn("weight", F.floor(F.col("power") / F.lit(mass) * PARTS + 0.5) / PARTS)
     if mixture.budget is None:
-        top = weighed.agg(F.max_by(F.struct("tokens", "weight"), F.struct("tokens", "source")).alias("top"))
-        tokens = F.greatest("tokens", F.floor(F.ceil(F.col("top.tokens") / F.col("top.weight")) * F.col("weight")))
-        return weighed.crossJoin(F.broadcast(top)).select("source", "tokens", "weight", tokens.alias("budget"))  # one row
-    most = F.lit(float(mixture.budget)) if mixture.max_epochs is None else F.least(
-        F.lit(float(mixture.budget)), F.col("tokens") * mixture.max_epochs / F.col("weight"))
-    return weighed.select("source", "tokens", "weight", F.floor(most * F.col("weight")).alias("budget"))
+        top = weighed.agg(F.max(F.struct("tokens", "source", "weight")).alias("t")).first().t
+        whole = ceil(top.tokens / top.weight) if top else 0
+        budget = F.greatest("tokens", F.floor(F.lit(float(whole)) * F.col("weight")))
+    else:
+        most = F.lit(float(mixture.budget)) if mixture.max_epochs is None else F.least(
+            F.lit(float(mixture.budget)), F.col("tokens") * mixture.max_epochs / F.col("weight"))
+        budget = F.floor(most * F.col("weight"))
+    return weighed.select("source", "tokens", "weight", budget.alias("budget"))
 
 
 def _order(mixture: Mixture, *parts: Column) -> Column:
