@@ -374,7 +374,7 @@ raw_quotes AS (SELECT DISTINCT ['click', 'purchase', 'view'][l_suppkey % 3 + 1]
     trim({RAW_NAME}) AS raw_player_name FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR),
 idents AS (SELECT source, raw_player_name, {match_key("raw_player_name")} AS match_key, list_sort(list(DISTINCT stat)) AS stats, list_sort(list(DISTINCT team)) AS teams FROM raw_quotes GROUP BY 1, 2),
 alias AS (SELECT CASE WHEN min(p_partkey) % 2 = 0 THEN '*' ELSE 'click' END AS source, {match_key("p_name || ' ' || p_brand")} AS match_key, 'listed:' || min(p_partkey) AS alias_id,
-    'Listed ' || p_name || ' ' || p_brand AS alias_name FROM part GROUP BY p_name, p_brand HAVING min(p_partkey) % 97 = 0)"""
+    'Listed ' || p_name || ' ' || p_brand AS alias_name FROM part GROUP BY p_name, p_brand HAVING min(p_partkey) IN (SELECT min(p_partkey) FROM part GROUP BY p_brand))"""
 
 ORACLES["market_identities"] = with_(QUOTED) + "SELECT source, raw_player_name, match_key, array_to_string(stats, '|') AS stats, array_to_string(teams, '|') AS teams FROM idents"
 
@@ -790,12 +790,22 @@ points AS (SELECT *, coalesce(quantity, 0) * 0.1 + coalesce(line_count, 0) * 6 A
     concat_ws('|', CASE WHEN line_count IS NOT NULL THEN 'line_count' END, CASE WHEN quantity IS NOT NULL THEN 'quantity' END, CASE WHEN returned_quantity IS NOT NULL THEN 'returned_quantity' END) AS components_used,
     concat_ws('|', 'cancelled_quantity', CASE WHEN line_count IS NULL THEN 'line_count' END, CASE WHEN quantity IS NULL THEN 'quantity' END, CASE WHEN returned_quantity IS NULL THEN 'returned_quantity' END) AS components_missing,
     NOT ((quantity IS NOT NULL OR line_count IS NOT NULL) AND quantity IS NOT NULL AND line_count IS NOT NULL AND (line_count IS NULL OR returned_quantity IS NOT NULL)) AS blank FROM wide)"""
-_SCORE = f"""SELECT run_id, season, canonical_player_id, coalesce(canonical_player_name, '') AS canonical_player_name, scoring_profile, components_used, components_missing, false AS projection_complete,
-    'market_supported_stats_only' AS scoring_scope, {rs("quantity line_count returned_quantity")}, NULL::DOUBLE AS cancelled_quantity, """ + ", ".join(
-    r(f"CASE WHEN scored THEN base + coalesce(returned_quantity * {b}, 0) END", name=f"partial_fpts_{m}") + ", " + r(f"CASE WHEN scored AND NOT blank THEN base + coalesce(returned_quantity * {b}, 0) END", name=f"fpts_{m}")
-    for m, b in _MODES.items()) + " FROM points"
+def _score(digits: int = 6) -> str:
+    return f"""SELECT run_id, season, canonical_player_id, coalesce(canonical_player_name, '') AS canonical_player_name, scoring_profile, components_used, components_missing, false AS projection_complete,
+    'market_supported_stats_only' AS scoring_scope, {rs("quantity line_count returned_quantity", digits)}, NULL::DOUBLE AS cancelled_quantity, """ + ", ".join(
+        r(f"CASE WHEN scored THEN base + coalesce(returned_quantity * {b}, 0) END", digits, f"partial_fpts_{m}") + ", " + r(f"CASE WHEN scored AND NOT blank THEN base + coalesce(returned_quantity * {b}, 0) END", digits, f"fpts_{m}")
+        for m, b in _MODES.items()) + " FROM points"
+
+
+_SCORE = _score()
 ORACLES["score_profiles"] = with_(SCORED) + _SCORE
 ORACLES["projection_mart"] = with_(SCORED) + _SCORE
+# The whole chain: from quotes over fitted means to scores, on each stage's own result.
+_AFTER = SCORED[SCORED.index("weights AS (SELECT * FROM (VALUES"):]
+ORACLES["full_projection"] = with_(*PROJECTED, """
+named AS (SELECT source, user_id, stat, max(raw_player_name) AS name FROM model GROUP BY ALL),
+est AS (SELECT run_id, season, source, 'user:' || user_id AS canonical_player_id, stat, name AS canonical_player_name, mean, low, high, quality_status FROM quality JOIN named USING (source, user_id, stat))""",
+    _AFTER, recursive=True) + _score(3)
 _SGATE = ("scoring.input_keys", "scoring.player_grain", "scoring.no_missing_to_zero", "scoring.full_ppr_identity", "scoring.full_ppr_publishable_identity")
 ORACLES["scoring_gate"] = with_(SCORED) + " UNION ALL ".join(f"SELECT '{n}' AS name, true AS passed, 'error' AS severity" for n in _SGATE) + \
     " UNION ALL SELECT 'scoring.ppr_monotonicity', (SELECT count(*) = 0 FROM points WHERE returned_quantity < 0), 'error'"

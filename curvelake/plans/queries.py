@@ -375,9 +375,11 @@ def _name_quotes(spark, sf) -> DataFrame:
 
 
 def _aliases(spark, sf) -> DataFrame:
-    """Aliases for part names of the small region of part keys divisible by 97."""
-    parts = R.table(spark, sf, "part").groupBy(F.concat_ws(" ", "p_name", "p_brand").alias("full")).agg(F.min("p_partkey").alias("key"))
-    return parts.filter(F.col("key") % 97 == 0).select(
+    """An alias for the name of every brand's first part."""
+    parts = R.table(spark, sf, "part")
+    firsts = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("key")).select("key")
+    named = parts.groupBy(F.concat_ws(" ", "p_name", "p_brand").alias("full")).agg(F.min("p_partkey").alias("key")).join(firsts, "key")
+    return named.select(
         F.when(F.col("key") % 2 == 0, "*").otherwise("click").alias("source"), F.col("full").alias("raw_player_name"),
         F.concat(F.lit("listed:"), F.col("key").cast("string")).alias("canonical_player_id"),
         F.concat(F.lit("Listed "), F.col("full")).alias("canonical_player_name"), F.lit("reviewed").alias("notes"))
@@ -755,6 +757,13 @@ def score_profiles(spark, sf):
     return tidy(_scored(spark, sf))
 
 
+@query
+def full_projection(spark, sf):
+    """The chain from raw quotes to scores: normalised, priced, fitted, blended and scored, each stage on the last one's result."""
+    blended = consensus.consensus(_projections(spark, sf), R.SOURCES, R.AGGREGATION)
+    return tidy(score.score(blended, R.SCORING), 3)
+
+
 @query
 def scoring_gate(spark, sf):
     return _gate(score.scoring_gate(_consensus(spark, sf), _scored(spark, sf), R.SCORING))
