@@ -136,7 +136,8 @@ def _binned(rows: DataFrame, estimate: DataFrame) -> DataFrame:
 
 def covariances(rows: DataFrame, steps: int = 8, share: float = SHARE) -> DataFrame:
     """``grp, mean, inverse`` after ``steps`` concentration steps over ``rows`` (``grp`` and the features)."""
-    middle = rows.groupBy("grp").agg(*[F.percentile_approx(f, 0.5, F.lit(10_000)).alias(f"m{i}") for i, f in enumerate(FEATURES)])
+    # Written, so that Spark sees how small it is and deals no group to one task for the join.
+    middle = written(rows.groupBy("grp").agg(*[F.percentile_approx(f, 0.5, F.lit(10_000)).alias(f"m{i}") for i, f in enumerate(FEATURES)]))
     away = rows.join(middle, "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(FEATURES))],
         *[F.percentile_approx(F.abs(F.col(f) - F.col(f"m{i}")), 0.5, F.lit(10_000)).alias(f"s{i}") for i, f in enumerate(FEATURES)])
