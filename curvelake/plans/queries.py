@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake.functions import numeric as N
@@ -15,7 +15,7 @@ from curvelake.functions import odds as O
 from curvelake.functions import special as S
 from curvelake.functions import text as X
 from curvelake.operators import (
-    audit, books, calibrate, checks, consensus, curves, history, history_gates, means, names, power_fit, publish, quotes, score,
+    audit, books, calibrate, checks, consensus, history, history_gates, means, names, power_fit, publish, quotes, score,
 )
 from curvelake.plans import roles as R
 from curvelake.session import cut, stage

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curvelake.functions import special as S
-from curvelake.operators import calibrate, curves, means, ranks
+from curvelake.operators import calibrate, means, ranks
 from curvelake.rules import SOURCES, CalibrationRules, MeanRules
 from curvelake.session import cut
 
