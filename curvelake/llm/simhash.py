@@ -27,6 +27,8 @@ from curvelake.llm.common import map_slices, slices, written
 from curvelake.llm.links import components
 
 SEED = 42
+#: Into how many parts the documents of one fingerprint are dealt.
+PARTS = 16
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -144,7 +146,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
     final = nodes.join(named.join(smallest, "component").select(F.col("print").alias("p"), "smallest"), F.col("print") == F.col("p"), "left").select(
         F.col("print").alias("own"), F.when(F.col("p").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
-    return prints.join(final, F.col("print") == F.col("own")).select(
+    # Equal fingerprints may be a third of all documents: their join is dealt in parts.
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PARTS - 1).cast("bigint")))
+    dealt = prints.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    return dealt.join(final.withColumn("own_part", parts), (F.col("print") == F.col("own")) & (F.col("part") == F.col("own_part"))).select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
