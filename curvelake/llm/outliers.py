@@ -161,9 +161,10 @@ def rules(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = 200, min_wor
     # A group of its own from min_group rows on; the others together.
     named = sizes.withColumn("grp", F.when(F.col("n") >= min_group, F.col("own")).otherwise(F.lit("")))
     together = named.groupBy("grp").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_group).select("grp")
-    groups = named.join(together, "grp").select("own", "grp")
+    groups = written(named.join(together, "grp").select("own", "grp"))  # a row per language and source
     fitted = written(rows.filter(~F.col("base_failed")).join(groups, "own").select("doc_id", "grp", *FEATURES))
     estimate = covariances(fitted.select("grp", *FEATURES), steps)
-    judged = _distance(rows.join(groups.join(estimate, "grp").drop("grp"), "own", "left")).withColumnRenamed("d2", "distance")
+    found = written(groups.join(estimate, "grp").drop("grp"))
+    judged = _distance(rows.join(found, "own", "left")).withColumnRenamed("d2", "distance")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
