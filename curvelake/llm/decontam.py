@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from curvelake.llm.common import map_slices
 
 #: Every overlap of 12 equal words in at most 15 holds one of the first two seeds, so that at a similarity of 0.8 none
-#: is missed; the others do the same for items of fewer than ``LONG`` words.
+#: is missed; items of fewer than ``LONG`` words need fewer equal words and are filed under the others, of which every
+#: permitted overlap of 4 to 11 words holds one.
 MASKS = ("111011", "11111", "1111", "1011", "1101")
-LONG = 7
+LONG = 12
 MIN_ITEM = 4
 WORD = re.compile(r"[^\W_]+")
 MULTIPLIERS = np.random.default_rng(77).integers(1, 1 << 62, max(map(len, MASKS)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import pytest
 
@@ -67,6 +68,24 @@ def test_whole_items_with_a_substitution_in_every_seventh_word_are_found(size):
     assert block.search(" ".join(rng.sample(item, size))) == []
 
 
+@pytest.mark.parametrize("size", range(4, 25))
+def test_no_permitted_pattern_of_equal_words_is_lost(size):
+    """All substitutions that 0.8 allows in a whole item, or in any 15 words of a longer one."""
+    block = decontam.Items([(1, " ".join(f"q{i}" for i in range(size)))], 0.8, 12)
+    need = min(12, -(-size * 8 // 10))
+    width = min(size, 15)
+    lost = []
+    for gone in range(width - need + 1):
+        for holes in combinations(range(width), gone):
+            if 10 * (width - gone) < 8 * width:
+                continue
+            for at in range(size - width + 1):
+                own = [f"q{i}" if at <= i < at + width and i - at not in holes else f"x{i}" for i in range(size)]
+                if [h[0] for h in block.search(" ".join(own))] != [1]:
+                    lost.append((at, holes))
+    assert not lost
+
+
 def test_place_and_counts():
     block = decontam.Items([(7, "one two three four five six seven eight")], 0.8, 12)
     assert block.search("x y One, two THREE four five six nine eight z") == [(7, 7, 8, 2, 0)]
