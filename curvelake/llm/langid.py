@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from curvelake.llm.common import bucket_of, map_slices, slices
 
 DIMENSIONS = 512
-#: Window vectors held at once.
-HELD = 32_768
+#: Window vectors held at once, and how many numbers they may have in all.
+HELD, CELLS = 32_768, 1 << 25
 UNKNOWN = "und"
 
 
@@ -66,7 +66,7 @@ class Windows:
         self.total = np.bincount(self.doc, minlength=len(low))
         rows = [letter_vector(0, dimensions), *(letter_vector(int(c), dimensions) for c in self.alphabet)]
         self.vectors = [np.roll(np.stack(rows), turn, axis=1) for turn in (2, 1, 0)]
-        self.held = self.bind(self.codes) if len(self.codes) <= HELD else None
+        self.held = self.bind(self.codes) if len(self.codes) <= min(HELD, CELLS // dimensions) else None
 
     def bind(self, codes: np.ndarray) -> np.ndarray:
         first, rest = np.divmod(codes, self.width * self.width)
@@ -145,7 +145,22 @@ def identify(docs: DataFrame, folds: int = 5, dimensions: int = DIMENSIONS) -> D
                       "doc_id bigint, held_out boolean, lang_pred string, score double", names, unit, rows=1024)
 
 
-def accepted(docs: DataFrame, min_score: float, folds: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least ``min_score``; rows without an id are rejected as any other."""
-    found = identify(docs, folds).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _rejected(piece: pa.RecordBatch, names: list[str], profile: np.ndarray, min_score: float, min_windows: int) -> dict:
+    found = Windows(piece.column(1).to_pylist(), profile.shape[1])
+    out = []
+    for doc, vector, n in zip(piece.column(0).to_pylist(), found.documents(), found.total, strict=True):
+        size = 0.0 if vector is None or not names else float(np.linalg.norm(vector))
+        if not size or (n >= min_windows and float((profile @ vector).max()) / size < min_score):
+            out.append(doc)
+    return {"doc_id": out}
+
+
+def accepted(docs: DataFrame, min_score: float, folds: int = 5, dimensions: int = DIMENSIONS, min_windows: int = 1) -> DataFrame:
+    """The rows of ``docs`` with a letter and a cosine of at least ``min_score``; texts of fewer than ``min_windows`` windows need only the letter.
+
+    A row without an id can't be named and stays.
+    """
+    names, profile = learn(docs, bucket_of(F.col("doc_id"), folds) == 0, dimensions)
+    unit = (profile / np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    found = map_slices(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _rejected, "doc_id bigint", names, unit, min_score, min_windows, rows=1024)
+    return docs.join(found.distinct(), "doc_id", "left_anti").select(docs.columns)

@@ -1,5 +1,7 @@
 """The pipeline against plain versions of its stages, one after another."""
 
+import random
+
 import numpy as np
 import pyarrow.parquet as pq
 import zlib
@@ -69,3 +71,18 @@ def test_stages_keep_columns_and_odd_rows(spark):
             part = spark.createDataFrame(out.collect(), docs.schema)
         last = corpus_pipeline.STAGES[-1][1](spark, part, FOLDER)
         assert set(docs.columns) < set(last.columns) and last.count() == part.count()
+
+
+def test_documents_in_unlearned_scripts_go_and_short_texts_stay(spark):
+    rng = random.Random(8)
+    known = pq.read_table(f"{FOLDER}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in known]
+    word = lambda low, high: "".join(chr(rng.randrange(low, high)) for _ in range(rng.randrange(2, 9)))
+    scripts = [(0x3B1, 0x3CA), (0x430, 0x450), (0x4E00, 0x5000), (0x627, 0x64B)]
+    unlike = [(10_000 + i, " ".join(word(*scripts[i % 4]) for _ in range(150)), None) for i in range(80)]
+    short = [(20_000 + i, rng.choice(rng.choice(rows)[1].split()) + " a", None) for i in range(80)]
+    docs = spark.createDataFrame(rows + unlike + short, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, FOLDER).collect()}
+    assert not kept & {d for d, _, _ in unlike}
+    assert {d for d, _, _ in short} <= kept
+    assert {d for d, t, _ in rows if any(c.isalpha() for c in t or "")} <= kept
