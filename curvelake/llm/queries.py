@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curvelake.llm import chat, classifier, decontam, langid, lines, lm, mixing, outliers, simhash, tokens
+from curvelake.llm import chat, classifier, decontam, langid, lines, lm, mining, mixing, outliers, simhash, template, tokens, whitening
 from curvelake.llm.common import map_slices, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +68,19 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return template.main_text(table(spark, folder, "pages"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE counted AS (
   SELECT doc_id, coalesce(source, '') AS source,
@@ -163,7 +177,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP11_SQL = """
+WITH clean AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+  FROM clean a JOIN clean r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_source_mixing, op2_chat_formatting, op3_line_dedup, op4_token_counts, op5_quality_rules, op6_decontamination, op7_simhash, op8_quality, op9_language_model,
-    op10_language_id)}
-ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op3_line_dedup": OP3_SQL}
+    op10_language_id, op11_hard_negatives, op12_whitening, op13_main_text)}
+ORACLES: dict[str, str] = {"op1_source_mixing": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op3_line_dedup": OP3_SQL, "op11_hard_negatives": OP11_SQL}

@@ -6,7 +6,7 @@ import pytest
 from curvelake.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "embeddings", "pages")
 
 
 @pytest.fixture(scope="module")
