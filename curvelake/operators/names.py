@@ -81,12 +81,12 @@ def alias_gate(aliases: DataFrame, sources: Sequence[str]) -> DataFrame:
     bad = F.count_if("bad").alias("n")
     return all_checks(
         check_table(prepared.agg(F.count_if(incomplete).alias("n"), F.count_if(F.col("match_key") == "").alias("empty")), [
-            Check("identity.alias_values", F.col("n") == 0, "aliases are complete and name a known source"),
-            Check("identity.alias_keys", F.col("empty") == 0, "alias names have a key")]),
+            Check("identity.alias_values", F.col("n") == 0, "aliases are complete and name a known source", details={"rows": F.col("n")}),
+            Check("identity.alias_keys", F.col("empty") == 0, "alias names have a key", details={"rows": F.col("empty")})]),
         check_table(by_key.agg(bad), [Check("identity.alias_contradictions.key", F.col("n") == 0,
-                                            "a source and name map to one identity")]),
+                                            "a source and name map to one identity", details={"keys": F.col("n")})]),
         check_table(by_id.agg(bad), [Check("identity.alias_contradictions.id", F.col("n") == 0,
-                                           "an id has one display name")]))
+                                           "an id has one display name", details={"ids": F.col("n")})]))
 
 
 def match_aliases(identities: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -390,6 +390,44 @@ def identity_gate(quotes: DataFrame, decorated: DataFrame, resolved: DataFrame)
                                        "unaliased names do not share an id and statistic")]))
 
 
+def alias_actions(suggestions: DataFrame, aliases: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """What promoting approved suggestions does to an alias table, row by row.
+
+    ``source, raw_player_name, match_key, canonical_player_id, canonical_player_name, action`` for every approved suggestion:
+    ``append`` (the first of its source and key), ``present`` (its identity is there already), ``conflict`` (another one is) or ``incomplete``;
+    and ``kept`` for every alias that no suggestion names. Applied to the grown table, no row appends again.
+    """
+    approved = suggestions.filter(F.lower(F.trim("review_status")).isin("approved", "approved_alias")).select(
+        N.clean_text(F.col("source")).alias("source"), N.clean_text(F.col("raw_player_name")).alias("raw_player_name"),
+        N.clean_text(F.col("candidate_canonical_player_id")).alias("canonical_player_id"),
+        N.clean_text(F.col("candidate_canonical_player_name")).alias("canonical_player_name"))
+    keyed = approved.withColumn("match_key", match_key(F.col("raw_player_name")))
+    complete = (F.col("source").isin(*sources) & (F.col("match_key") != "") & F.col("canonical_player_id").isNotNull() & F.col("canonical_player_name").isNotNull())
+    identity = F.struct("canonical_player_id", "canonical_player_name")
+    # The suggestions of one source and key: few by meaning, and only their first matters.
+    same_key = Window.partitionBy("source", "match_key", "_whole").orderBy("raw_player_name", "canonical_player_id", "canonical_player_name")
+    placed = keyed.withColumn("_whole", F.coalesce(complete, F.lit(False))).withColumns({
+        "_place": F.row_number().over(same_key), "_first": F.first(identity).over(same_key)})
+    existing = prepared_aliases(aliases).groupBy("source", "match_key").agg(
+        F.min(F.struct("canonical_player_id", "canonical_player_name")).alias("_there"), F.min("raw_player_name").alias("_listed"))
+    met = placed.withColumn("_asked", F.lit(True)).join(existing, ["source", "match_key"], "full_outer")
+    action = (F.when(F.col("_asked").isNull(), "kept").when(~F.col("_whole"), "incomplete")
+              .when(F.col("_there").isNull() & (F.col("_place") == 1), "append")
+              .when(F.coalesce("_there", "_first") == identity, "present").otherwise("conflict"))
+    kept = F.col("_asked").isNull()
+    return met.select(
+        "source", F.when(kept, F.col("_listed")).otherwise(F.col("raw_player_name")).alias("raw_player_name"), "match_key",
+        F.when(kept, F.col("_there.canonical_player_id")).otherwise(F.col("canonical_player_id")).alias("canonical_player_id"),
+        F.when(kept, F.col("_there.canonical_player_name")).otherwise(F.col("canonical_player_name")).alias("canonical_player_name"), action.alias("action"))
+
+
+def appended(aliases: DataFrame, actions: DataFrame) -> DataFrame:
+    """The alias table with the rows that ``alias_actions`` appends."""
+    fresh = actions.filter("action = 'append'").select(
+        "source", "raw_player_name", "canonical_player_id", "canonical_player_name", F.lit("Promoted from review").alias("notes"))
+    return aliases.unionByName(fresh, allowMissingColumns=True)
+
+
 def promote_suggestions(suggestions: DataFrame, aliases: DataFrame, sources: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(aliases with approved suggestions appended, approved suggestions that conflict or are incomplete)."""
     approved = suggestions.filter(F.lower(F.trim("review_status")).isin("approved", "approved_alias")).select(

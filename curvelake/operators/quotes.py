@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvelake.functions import numeric as N
@@ -265,11 +265,16 @@ def volume_counters(markets: DataFrame, by: str, player: str, volume: str) -> Da
 
 
 def conflicting_records(records: DataFrame, key: str) -> DataFrame:
-    """Ids whose repeated records differ in content."""
-    payload = F.to_json(F.struct(*[c for c in records.columns if c != key]))
+    """Ids whose repeated records differ in content.
+
+    Records are compared by two independent 64-bit digests of all their fields, so that no payload leaves its task.
+    """
+    fields = [F.to_json(F.struct(c)) if records.schema[c].dataType.typeName() == "map" else F.col(c) for c in records.columns if c != key]
+    marks = [F.col(c).isNull() for c in records.columns if c != key]  # a missing field hashes like nothing
+    first, second = F.xxhash64(*fields, *marks), F.xxhash64(F.lit(1), *marks, *reversed(fields))
     return records.groupBy(key).agg(
-        F.count("*").alias("records"), F.min(payload).alias("_low"), F.max(payload).alias("_high")
-    ).filter("_low <> _high").select(key, "records")
+        F.count("*").alias("records"), *[x for name, d in (("_a", first), ("_b", second)) for x in (F.min(d).alias(name + "0"), F.max(d).alias(name + "1"))]
+    ).filter("_a0 <> _a1 or _b0 <> _b1").select(key, "records")
 
 
 def probability_fallback(bid: Column, ask: Column, last: Column) -> tuple[Column, Column]:
@@ -292,62 +297,91 @@ def strike_threshold(floor_strike: Column) -> Column:
 def snapshot_gate(snapshot: DataFrame, source: str, rule: SourceRules, season: str, now: Column,
                   stats: Sequence[str], pricing: PricingRules) -> DataFrame:
     """Document-level and per-market checks of one source's snapshot."""
-    taken = N.parse_utc(F.col("metadata.snapshot_utc"))
-    age = N.age_hours(now, taken)
-    prefix = f"collections.{source}"
-    document = snapshot.select("metadata", "data_quality", "markets", age.alias("age"))
-    checks = [
-        Check(f"{prefix}.schema", F.col("metadata").isNotNull() & F.col("data_quality").isNotNull()
-              & F.col("markets").isNotNull(), "metadata, data_quality and markets are present"),
-        Check(f"{prefix}.season", F.col("metadata.season") == season, "season equals the configured season"),
-        Check(f"{prefix}.freshness", F.col("age").between(0, pricing.max_snapshot_age_hours),
-              "snapshot is parseable and fresh", details={"age_hours": F.round("age", 4)}),
-        Check(f"{prefix}.collector_quality", F.col("data_quality.checks_passed"), "collector checks passed"),
-        Check(f"{prefix}.nonempty", F.size("markets") > 0, "markets are present"),
-    ]
-    markets = explode_markets(snapshot, source)
-    m = F.col("market")
-    market_id = m["market_id"] if rule.kind == "book" else m["ticker"]
+    return snapshot_checks(snapshot.withColumn("source", F.lit(source)), rule.kind, season, now, stats, pricing)
+
+
+def _failures(condition: Column) -> Column:
+    return F.count_if(~F.coalesce(condition, F.lit(False)))
 
-    def failures(condition: Column) -> Column:
-        return F.count_if(~F.coalesce(condition, F.lit(False)))
 
-    wanted = {"season": m["season"] == season, "stat": m["stat"].isin(*stats)}
-    if rule.kind == "book":
-        def side(name: str) -> Column:
-            s = m["probability"][name]
-            return ((s["american_odds"] != 0) & (F.coalesce(s["selection_id"], F.lit("")) != "")
-                    & (X.label_line(s["label"]) == m["market_line"]))
-        wanted |= {
-            "line": N.is_finite(m["market_line"]),
+def _book_conditions(m: Column) -> dict[str, Column]:
+    def side(name: str) -> Column:
+        s = m["probability"][name]
+        return ((s["american_odds"] != 0) & (F.coalesce(s["selection_id"], F.lit("")) != "")
+                & (X.label_line(s["label"]) == m["market_line"]))
+
+    return {"line": N.is_finite(m["market_line"]),
             "two_sided": m["probability"]["over"].isNotNull() & m["probability"]["under"].isNotNull(),
             "operators": (m["threshold_operators"]["over"] == ">") & (m["threshold_operators"]["under"] == "<"),
             "over": side("over"), "under": side("under")}
-    else:
-        book, p = m["orderbook"], m["probability"]
-        bid, ask = book["best_yes_bid_dollars"], book["best_yes_ask_dollars"]
-
-        def within(c, top):
-            return c.isNull() | (N.is_finite(c) & c.between(0, top))
-        wanted |= {
-            "threshold": (m["threshold"] >= 0) & (m["threshold"] == F.floor(m["threshold"])),
+
+
+def _contract_conditions(m: Column) -> dict[str, Column]:
+    book, p = m["orderbook"], m["probability"]
+    bid, ask = book["best_yes_bid_dollars"], book["best_yes_ask_dollars"]
+
+    def within(c: Column, top: float) -> Column:
+        return c.isNull() | (N.is_finite(c) & c.between(0, top))
+
+    return {"threshold": (m["threshold"] >= 0) & (m["threshold"] == F.floor(m["threshold"])),
             "operator": m["threshold_operator"] == ">=",
-            "probability": within(p["yes_bid_percent"], 100) & within(p["yes_ask_percent"], 100)
-            & within(p["yes_midpoint_percent"], 100),
+            "probability": within(p["yes_bid_percent"], 100) & within(p["yes_ask_percent"], 100) & within(p["yes_midpoint_percent"], 100),
             "book": within(bid, 1) & within(ask, 1) & (bid.isNull() | ask.isNull() | (bid <= ask))}
-    counted = markets.agg(*[failures(c).alias(name) for name, c in wanted.items()])
-    ids = markets.select(market_id.alias("id"))
-    tables = [
-        check_table(document, checks),
-        check_table(counted, [Check(f"{prefix}.market.{name}", F.col(name) == 0, f"market {name} is valid",
-                                    details={"markets": F.col(name)}) for name in wanted]),
-        grain_check(ids, ["id"], f"{prefix}.unique_market_ids", "market ids are unique")]
+
+
+def first_names(rows: DataFrame, name: str, samples: int = 5) -> DataFrame:
+    """The first few names of each source, as one text; a window cut before anything is listed."""
+    place = Window.partitionBy("source").orderBy("_name")
+    return rows.select("source", F.col(name).alias("_name")).withColumn("_i", F.row_number().over(place)).filter(
+        F.col("_i") <= samples).groupBy("source").agg(F.array_join(F.array_sort(F.collect_list("_name")), ", ").alias("sample"))
+
+
+def snapshot_checks(snapshots: DataFrame, kind: str, season: str, now: Column, stats: Sequence[str], pricing: PricingRules) -> DataFrame:
+    """Checks of snapshot documents of any number of sources of one kind (column ``source``).
+
+    Document checks have a row per document, which names its ``file`` if there is such a column; checks of markets count the failures of
+    a source's documents. With a column ``_corrupt_record``, unreadable documents are counted and named, and take no part in the others.
+    """
+    prefix = F.concat(F.lit("collections."), F.col("source"), F.lit("."))
+    tables = []
+    readable = snapshots
+    if "_corrupt_record" in snapshots.columns:
+        broken = snapshots.filter(F.col("_corrupt_record").isNotNull())
+        counted = snapshots.groupBy("source").agg(F.count("*").alias("documents"), F.count("_corrupt_record").alias("unreadable"))
+        tables.append(check_table(counted.join(first_names(broken, "file"), "source", "left"), [Check(
+            F.concat(prefix, F.lit("readable")), F.col("unreadable") == 0, "documents are JSON objects",
+            details={"documents": F.col("documents"), "unreadable": F.col("unreadable"), "sample": F.coalesce("sample", F.lit(""))})]))
+        readable = snapshots.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    file = {"file": F.col("file")} if "file" in snapshots.columns else {}
+    age = N.age_hours(now, N.parse_utc(F.col("metadata.snapshot_utc")))
+    tables.append(check_table(readable.withColumn("age", age), [
+        Check(F.concat(prefix, F.lit("schema")), F.col("metadata").isNotNull() & F.col("data_quality").isNotNull()
+              & F.col("markets").isNotNull(), "metadata, data_quality and markets are present", details=file),
+        Check(F.concat(prefix, F.lit("season")), F.col("metadata.season") == season, "season equals the configured season", details=file),
+        Check(F.concat(prefix, F.lit("freshness")), F.col("age").between(0, pricing.max_snapshot_age_hours),
+              "snapshot is parseable and fresh", details=file | {"age_hours": F.round("age", 4)}),
+        Check(F.concat(prefix, F.lit("collector_quality")), F.col("data_quality.checks_passed"), "collector checks passed", details=file),
+        Check(F.concat(prefix, F.lit("nonempty")), F.size("markets") > 0, "markets are present", details=file)]))
     for column, name in (("unavailable_player_prop_references", "expected_placeholders"),
                          ("other_player_markets", "unrelated_markets_excluded")):
-        if column in snapshot.columns:
+        if column in readable.columns:
             size = F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(0))
-            tables.append(check_table(snapshot, [Check(
-                f"{prefix}.{name}", size == 0, "retained as a warning", "warning", {"count": size})]))
+            tables.append(check_table(readable, [Check(
+                F.concat(prefix, F.lit(name)), size == 0, "retained as a warning", "warning", file | {"count": size})]))
+    m = F.col("market")
+    markets = readable.select("source", F.explode("markets").alias("market"))
+    wanted = {"season": m["season"] == season, "stat": m["stat"].isin(*stats)} | (_book_conditions(m) if kind == "book" else _contract_conditions(m))
+    counted = readable.select("source").distinct().join(
+        markets.groupBy("source").agg(*[_failures(c).alias(name) for name, c in wanted.items()]), "source", "left").na.fill(0)
+    tables.append(check_table(counted, [Check(F.concat(prefix, F.lit(f"market.{name}")), F.col(name) == 0, f"market {name} is valid",
+                                              details={"markets": F.col(name)}) for name in wanted]))
+    ids = markets.select("source", (m["market_id"] if kind == "book" else m["ticker"]).alias("id"))
+    repeated = ids.groupBy("source", "id").agg(F.count("*").alias("rows")).filter((F.col("rows") > 1) | (F.coalesce("id", F.lit("")) == ""))
+    unique = readable.select("source").distinct().join(repeated.groupBy("source").agg(
+        F.count("*").alias("duplicate_keys"), F.sum("rows").alias("duplicate_rows")), "source", "left").join(
+            first_names(repeated, "id"), "source", "left").na.fill(0).na.fill("", ["sample"])
+    tables.append(check_table(unique, [Check(F.concat(prefix, F.lit("unique_market_ids")), F.col("duplicate_keys") == 0, "market ids are present and unique",
+                                             details={c: F.col(c) for c in ("duplicate_keys", "duplicate_rows", "sample")})]))
     return all_checks(*tables)
 
 

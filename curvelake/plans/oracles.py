@@ -279,6 +279,8 @@ ORACLES["normalized_faults"] = with_(FAULTY) + """SELECT 'normalized.nonempty' A
     UNION ALL SELECT 'normalized.keys_unique', repeated = 0, 'error', '{"duplicate_keys":"' || repeated // 2 || '","duplicate_rows":"' || repeated || '","sample":"' ||
         (SELECT coalesce(string_agg(k, ', ' ORDER BY k), '') FROM (SELECT DISTINCT source || '/' || source_market_id || '/' || side AS k FROM sides WHERE kind = 3 ORDER BY 1 LIMIT 5)) || '"}' FROM n"""
 
+ORACLES["checks_report"] = ORACLES["normalized_faults"]
+
 
 def _as_passed(condition: str) -> str:
     """``condition FROM table`` as a column; the table's FROM is the last one at the outer level."""
@@ -470,6 +472,18 @@ ap AS (SELECT m.source, m.match_key, suggested AS id, f.name FROM mapped m LEFT
 SELECT (SELECT count(*) FROM alias) + (SELECT count(*) FROM (SELECT DISTINCT source, match_key FROM ap WHERE name IS NOT NULL AND (source, match_key) NOT IN (SELECT (source, match_key) FROM alias))) AS aliases, 'rows' AS kind
 UNION ALL SELECT (SELECT count(*) FROM ap LEFT JOIN alias a USING (source, match_key) WHERE name IS NULL OR alias_id <> id OR alias_name <> name), 'rows'"""
 
+ORACLES["alias_actions"] = with_(QUOTED, LIKENESS, *RESOLVED, """
+ap AS (SELECT m.source, m.raw_player_name, m.match_key, suggested AS id, f.name FROM mapped m LEFT JOIN facts f ON f.id = suggested WHERE reason IS NOT NULL AND suggested IS NOT NULL
+    UNION ALL SELECT source, alias_name[8:], match_key, CASE split_part(alias_id, ':', 2)::BIGINT % 3 WHEN 1 THEN 'listed:0' WHEN 0 THEN alias_id END, alias_name FROM alias),
+sound AS (SELECT *, coalesce(source <> '*' AND id IS NOT NULL AND name IS NOT NULL, false) AS whole FROM ap),
+placed AS (SELECT *, row_number() OVER w AS place, first(struct_pack(id := id, name := name)) OVER w AS lead FROM sound WINDOW w AS (PARTITION BY source, match_key, whole ORDER BY raw_player_name, id, name)),
+met AS (SELECT p.*, a.alias_id, a.alias_name, coalesce(struct_pack(id := alias_id, name := alias_name), lead) AS there FROM placed p LEFT JOIN alias a USING (source, match_key)),
+acted AS (SELECT source, raw_player_name, id, name, CASE WHEN NOT whole THEN 'incomplete' WHEN alias_id IS NULL AND place = 1 THEN 'append'
+    WHEN coalesce(alias_id, lead.id) = id AND coalesce(alias_name, lead.name) = name THEN 'present' ELSE 'conflict' END AS action FROM met)""", recursive=True) + """
+SELECT source, raw_player_name, id AS canonical_player_id, name AS canonical_player_name, action, 1::BIGINT AS round FROM acted
+UNION ALL SELECT source, raw_player_name, id, name, CASE action WHEN 'append' THEN 'present' ELSE action END, 2 FROM acted
+UNION ALL SELECT source, alias_name[8:], alias_id, alias_name, 'kept', unnest([1, 2]) FROM alias WHERE (source, match_key) NOT IN (SELECT (source, match_key) FROM ap)"""
+
 
 # --- distributions --------------------------------------------------------------------
 
@@ -875,3 +889,8 @@ _SETTINGS = [("missing_stat_policy", R.SCORING.missing_stat_policy, True)] + [(c
 ORACLES["settings_with_use"] = with_(SCORED, "settings AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(c).lower()})" for a, b, c in _SETTINGS) + ") v(setting, value, supported))") + """
 SELECT setting, value, supported AS supported_by_current_markets, coalesce(players, 0)::BIGINT AS players FROM settings
     LEFT JOIN (SELECT setting, count(*) AS players FROM (SELECT unnest(string_split(components_used, '|')) AS setting FROM points WHERE components_used <> '') GROUP BY 1) USING (setting)"""
+
+# The SQL of the queries over files stands in a module of its own, which reads the definitions above.
+from curvelake.plans.landing_sql import ORACLES as _FILES  # noqa: E402
+
+ORACLES |= _FILES

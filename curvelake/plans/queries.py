@@ -5,9 +5,7 @@ Values are rounded only here, for comparison with the SQL equivalents.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvelake.functions import numeric as N
@@ -17,35 +15,15 @@ from curvelake.functions import text as X
 from curvelake.operators import (
     audit, books, calibrate, checks, consensus, history, history_gates, means, names, power_fit, publish, quotes, score,
 )
+from curvelake.plans import landing as _landing  # noqa: F401 - registers its queries
 from curvelake.plans import roles as R
-from curvelake.session import cut, stage
+from curvelake.plans.registry import QUERIES as QUERIES
+from curvelake.plans.registry import detailed as _detailed
+from curvelake.plans.registry import gate as _gate
+from curvelake.plans.registry import query, tidy
+from curvelake.session import cut, shared_folder, stage
 from curvelake.sources.readers import source_profile
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
-
-
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles and decimals, and widen integers."""
-    out = []
-    for f in df.schema.fields:
-        kind = f.dataType.simpleString()
-        if kind == "double" or kind.startswith("decimal"):
-            out.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
-        elif kind in ("int", "smallint", "tinyint"):
-            out.append(F.col(f.name).cast("bigint").alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
-def _gate(table: DataFrame) -> DataFrame:
-    return table.select("name", "passed", "severity")
-
+from curvelake.sources.writers import write_checks
 
 # --- history --------------------------------------------------------------------------
 
@@ -235,13 +213,8 @@ def _expected_rows(spark, sf) -> int:
     return 2 * R.book_markets(spark, sf).count() + R.contract_markets(spark, sf).count()
 
 
-def _detailed(table: DataFrame) -> DataFrame:
-    return table.select("name", "passed", "severity", F.to_json(checks.sorted_map("details")).alias("details"))
-
-
-@query
-def normalized_faults(spark, sf):
-    """The gate of canonical rows over rows with planted faults: lost thresholds, void odds, impossible prices, repeated keys."""
+def _faulty(spark, sf) -> DataFrame:
+    """Canonical rows with planted faults: lost thresholds, void odds, impossible prices, repeated keys."""
     kind = F.conv(F.substring(F.md5(F.concat_ws("/", "source_market_id", "outcome_side")), 1, 4), 16, 10).cast("int") % 40
     book = F.col("source").isin(quotes.names_of(R.SOURCES, "book"))
     rows = R.normalized(spark, sf).withColumn("_kind", kind)
@@ -249,8 +222,21 @@ def normalized_faults(spark, sf):
         "threshold": F.when(F.col("_kind") != 0, F.col("threshold")),
         "american_odds": F.when((F.col("_kind") == 1) & book, 0).otherwise(F.col("american_odds")),
         "yes_ask_probability": F.when((F.col("_kind") == 2) & ~book, 1.5).otherwise(F.col("yes_ask_probability"))})
-    repeated = faulty.unionByName(faulty.filter("_kind = 3")).drop("_kind")
-    return _detailed(quotes.normalized_gate(repeated, R.SOURCES, R.STATS, F.lit(_expected_rows(spark, sf))))
+    return faulty.unionByName(faulty.filter("_kind = 3")).drop("_kind")
+
+
+@query
+def normalized_faults(spark, sf):
+    """The gate of canonical rows over rows with planted faults."""
+    return _detailed(quotes.normalized_gate(_faulty(spark, sf), R.SOURCES, R.STATS, F.lit(_expected_rows(spark, sf))))
+
+
+@query
+def checks_report(spark, sf):
+    """The gate of faulty rows published as a report and read again."""
+    path = shared_folder(spark, "report")
+    write_checks(quotes.normalized_gate(_faulty(spark, sf), R.SOURCES, R.STATS, F.lit(_expected_rows(spark, sf))), path)
+    return _detailed(spark.read.schema("name string, passed boolean, severity string, message string, details map<string, string>").json(path))
 
 
 @query
@@ -473,6 +459,21 @@ def promoted_aliases(spark, sf):
         "kind", F.lit("rows")))
 
 
+@query
+def alias_actions(spark, sf):
+    """Promotion row by row, and once more on the grown table; suggestions repeat, contradict or lack what is listed, too."""
+    found = names.review_suggestions(_resolved(spark, sf)).filter(F.col("candidate_canonical_player_id").isNotNull()).select(
+        "source", "raw_player_name", "candidate_canonical_player_id", "candidate_canonical_player_name")
+    aliases = _aliases(spark, sf)
+    key = F.regexp_extract("canonical_player_id", "[0-9]+$", 0).cast("bigint")
+    again = aliases.select("source", "raw_player_name", F.when(key % 3 == 1, "listed:0").when(key % 3 == 0, F.col("canonical_player_id")).alias("candidate_canonical_player_id"),
+                           F.col("canonical_player_name").alias("candidate_canonical_player_name"))
+    reviewed = found.unionByName(again).withColumn("review_status", F.lit("approved"))
+    first = cut(names.alias_actions(reviewed, aliases, sorted(NAME_SOURCES)))
+    second = names.alias_actions(reviewed, names.appended(aliases, first), sorted(NAME_SOURCES))
+    return tidy(first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2))).drop("match_key"))
+
+
 # --- distributions --------------------------------------------------------------------
 
 def _counts(spark, sf) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -28,6 +29,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder beside the checkpoints, which every executor reaches; it goes when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so iterative work re-reads it instead of recomputing it."""
     checkpoint_dir(df.sparkSession)
