@@ -95,11 +95,11 @@ def consensus_gate(projections: DataFrame, consensus_rows: DataFrame, sources: M
         F.count_if(passed).alias("published"), F.count_if(passed & (F.col("source_count") < rules.minimum_sources)).alias("thin"))
     return all_checks(
         check_table(counted, [
-            Check("aggregation.known_sources", F.col("unknown") == 0, "every source is configured"),
+            Check("aggregation.known_sources", F.col("unknown") == 0, "every source is configured", details={"rows": F.col("unknown")}),
             Check("aggregation.eligible_values", F.col("invalid") == 0, "eligible values are present and finite",
                   details={"invalid_rows": F.col("invalid")})]),
         grain_check(projections, [*KEYS, "source"], "aggregation.source_projection_keys", "source grain is unique"),
         grain_check(consensus_rows, list(KEYS), "aggregation.consensus_keys", "consensus grain is unique"),
         check_table(published, [Check(
             "aggregation.eligible_lineage", (F.col("published") > 0) & (F.col("thin") == 0),
-            "every consensus value has eligible sources", details={"consensus_rows": F.col("published")})]))
+            "every consensus value has eligible sources", details={"consensus_rows": F.col("published"), "too_few_sources": F.col("thin")})]))

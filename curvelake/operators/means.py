@@ -533,12 +533,12 @@ def model_gate(projections: DataFrame, backfilled: DataFrame, dispersions: DataF
             Check("model.curve_source_residuals", at_most("curve_residual", rules.max_curve_logit_rmse), "passed curves have small residuals"),
             Check("model.curve_source_holdout", at_most("curve_holdout", rules.max_curve_holdout_logit_mae), "passed curves predict left-out thresholds"),
             Check("model.curves_quarantined", F.col("quarantined") == 0, "curves beyond limits are kept out of the consensus", "warning", {"curves": F.col("quarantined")}),
-            Check("model.mean_domains", F.col("outside") == 0, "means and bounds are ordered and inside their domain")]),
+            Check("model.mean_domains", F.col("outside") == 0, "means and bounds are ordered and inside their domain", details={"rows": F.col("outside")})]),
         check_table(lineage, [
-            Check("model.pricing_included_quote_contract", F.col("broken_contract") == 0, "priced quotes keep valid thresholds and probabilities"),
+            Check("model.pricing_included_quote_contract", F.col("broken_contract") == 0, "priced quotes keep valid thresholds and probabilities", details={"rows": F.col("broken_contract")}),
             Check("model.quote_inclusion_lineage", (F.col("excluded_contributed") == 0) & (F.col("included_missing") == 0),
-                  "exactly the included quotes contribute", details={"included_missing": F.col("included_missing")})]),
+                  "exactly the included quotes contribute", details={"included_missing": F.col("included_missing"), "excluded_contributed": F.col("excluded_contributed")})]),
         check_table(near, [Check("model.near_even_market_mean_plausibility", F.col("violations") == 0, "near-even lines imply means near their median",
                                  details={"evaluated_quotes": F.col("evaluated"), "violations": F.col("violations")})]),
-        check_table(rising, [Check("model.fitted_survival_monotonicity", F.col("rising") == 0, "modelled survival never rises with the threshold")]),
-        check_table(final, [Check("model.final_dispersions", F.col("bad") == 0, "every statistic has a positive final dispersion and a method")]))
+        check_table(rising, [Check("model.fitted_survival_monotonicity", F.col("rising") == 0, "modelled survival never rises with the threshold", details={"thresholds": F.col("rising")})]),
+        check_table(final, [Check("model.final_dispersions", F.col("bad") == 0, "every statistic has a positive final dispersion and a method", details={"statistics": F.col("bad")})]))

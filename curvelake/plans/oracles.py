@@ -158,13 +158,12 @@ _GATE += [(f"historical.implausible_totals.{s}", f"(SELECT count(*) = 0 FROM sea
 _GATE += [("historical.schedule_lengths", "(SELECT count(*) = 0 FROM seasons WHERE games > schedule_games + 1)", "error"),
           ("historical.player_schedule_exceptions", "(SELECT count(*) = 0 FROM seasons WHERE games > schedule_games)", "warning")]
 _GATE += [(f"historical.missingness.{c}", f"(SELECT count(*) = 0 FROM seasons WHERE {c} IS NULL)", "warning") for c in ("player_name", "position")]
-_GATE += [("historical.missingness.team", "true", "warning")]
+_GATE += [("historical.missingness.team", "(SELECT count(*) = (SELECT count(*) FROM teams WHERE team <> '') FROM seasons)", "warning")]
 _GATE += [("historical.output_keys_unique", "(SELECT count(*) = count(DISTINCT (target_season, gsis_player_id, stat)) FROM predictions)", "error"),
           ("historical.no_lookahead", "(SELECT coalesce(max(list_max(used) - target_season), -1) < 0 FROM predictions)", "error"),
-          ("historical.baseline_bias_no_lookahead", "true", "error"), ("historical.holdout_mean_correction_frozen", "true", "error")]
+          ("historical.baseline_bias_no_lookahead", "(SELECT count(*) = 0 FROM applied WHERE fitted AND list_max(list_transform(string_split(seasons, '|'), lambda s: s::BIGINT)) >= target_season)", "error"),
+          ("historical.holdout_mean_correction_frozen", "(SELECT count(*) = 0 FROM (SELECT stat FROM applied WHERE target_season >= 2000 AND fitted GROUP BY stat HAVING min(a) <> max(a) OR min(b) <> max(b)))", "error")]
 _GATE += [(f"historical.cohort_size.{s}", f"(SELECT count(*) >= 20 FROM predictions WHERE training_eligible AND stat = '{s}')", "error") for s in STATS]
-ORACLES["history_gate"] = with_(*HISTORY) + " UNION ALL ".join(
-    f"SELECT '{n}' AS name, {p} AS passed, '{s}' AS severity" for n, p, s in _GATE)
 
 
 # --- quotes ---------------------------------------------------------------------------
@@ -298,11 +297,11 @@ _QGATE = [("normalized.nonempty", "count(*) > 0 FROM q"), ("normalized.types_and
           ("normalized.row_count", "count(*) = (SELECT 2 * count(*) FROM books) + (SELECT count(*) FROM contracts) FROM (SELECT 1 FROM q UNION ALL SELECT 1 FROM books)"), ("normalized.keys_unique", "count(*) = count(DISTINCT (source, source_market_id)) FROM q"),
           ("pricing.nonempty", "count(*) > 0 FROM priced"), ("pricing.included_canonical_probability", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND NOT coalesce(p > 0 AND p < 1 AND threshold_k >= 0, false)"),
           ("pricing.exclusions_are_auditable", "count(*) = 0 FROM priced WHERE inclusion_status = 'excluded' AND (reason = '' OR p IS NOT NULL)"),
-          ("pricing.book_pairs_reconcile", "count(*) = 0 FROM books WHERE 1 / over_decimal + 1 / under_decimal <= 1"), ("pricing.contracts_not_devigged", "true"),
+          ("pricing.book_pairs_reconcile", "count(*) = 0 FROM books WHERE 1 / over_decimal + 1 / under_decimal <= 1"), ("pricing.contracts_not_devigged", "count(*) = 0 FROM priced WHERE source NOT IN ('click', 'view') AND (market_overround IS NOT NULL OR inclusion_status = 'included' AND abs(p - (bid + ask) / 2) > 1e-12)"),
           ("pricing.contract_quote_fields", "count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND bid > ask"),
           ("collections.cross_source_snapshot_skew", "count(*) = 5 AND date_diff('second', min(snapshot_utc::TIMESTAMP), max(snapshot_utc::TIMESTAMP)) <= 1800 FROM snap")]
 ORACLES["quote_gates"] = with_(QUOTES) + " UNION ALL ".join(f"(SELECT '{n}' AS name, passed, 'error' AS severity FROM (SELECT {_as_passed(c)}))" for n, c in _QGATE) + \
-    " UNION ALL SELECT 'pricing.source_decimal_crosscheck', true, 'warning'"
+    " UNION ALL SELECT 'pricing.source_decimal_crosscheck', (SELECT count(*) = 0 FROM books WHERE abs(round(over_decimal, 12) - over_decimal) > 1e-9), 'warning'"
 
 ORACLES["snapshot_gate"] = with_(QUOTES) + f"""SELECT source, count(*)::BIGINT AS markets, {r("date_diff('second', max(snapshot_utc::TIMESTAMP), TIMESTAMP '2024-02-01') / 3600.0", name="age_hours")},
     0::BIGINT AS season, 0::BIGINT AS line, 0::BIGINT AS over_label, 0::BIGINT AS under_label, 0::BIGINT AS operators FROM books GROUP BY 1"""
@@ -462,7 +461,7 @@ gate AS (SELECT (SELECT count(*) FILTER (WHERE canonical_player_id IS NULL) FROM
         FROM lineitem JOIN hist ON gsis_player_id = l_partkey::VARCHAR) q LEFT JOIN mapped USING (source, raw_player_name)) AS lost, (SELECT count(*) FROM mapped WHERE reason IS NOT NULL) AS open,
     (SELECT count(*) FROM (SELECT 1 FROM (SELECT source, canonical_player_id, raw_player_name, unnest(stats) AS stat FROM mapped WHERE review_status <> 'alias') GROUP BY source, stat, canonical_player_id HAVING min(raw_player_name) <> max(raw_player_name))) AS bad)"""
 ORACLES["identity_checks"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT 'identity.input_rows_reconciled' AS name, lost = 0 AS passed, 'error' AS severity, '{"rows":"' || lost || '"}' AS details FROM gate
-    UNION ALL SELECT 'identity.player_map_keys_unique', true, 'error', '{"duplicate_keys":"0","duplicate_rows":"0","sample":""}' FROM gate UNION ALL SELECT 'identity.canonical_ids_present', true, 'error', '{}' FROM gate
+    UNION ALL SELECT 'identity.player_map_keys_unique', (SELECT count(*) = count(DISTINCT (source, raw_player_name)) FROM mapped), 'error', '{"duplicate_keys":"0","duplicate_rows":"0","sample":""}' FROM gate UNION ALL SELECT 'identity.canonical_ids_present', (SELECT count(*) = 0 FROM mapped WHERE coalesce(canonical_player_id, '') = ''), 'error', '{}' FROM gate
     UNION ALL SELECT 'identity.fuzzy_suggestions', open = 0, 'warning', '{"suggestions":"' || open || '"}' FROM gate UNION ALL SELECT 'identity.source_level_collisions', bad = 0, 'error', '{}' FROM gate"""
 ORACLES["identity_summary"] = with_(QUOTED, LIKENESS, *RESOLVED, _IDENTITY, recursive=True) + """SELECT review_status, count(*)::BIGINT AS names FROM mapped GROUP BY 1 UNION ALL SELECT 'decorated', (SELECT count(*) FROM lineitem)
     UNION ALL SELECT CASE WHEN lost = 0 AND bad = 0 THEN 'gate passed' ELSE 'gate failed' END, (lost > 0)::BIGINT + (bad > 0)::BIGINT FROM gate"""
@@ -548,6 +547,9 @@ ORACLES["rolling_correction"] = with_(*CORRECTED, recursive=True) + f"""SELECT t
     {r("coalesce(a, 0)", 4, "baseline_bias_intercept")}, {r("coalesce(b, 1)", 4, "baseline_bias_exponent")}, coalesce(seasons, '') AS baseline_bias_training_seasons,
     CASE WHEN fitted THEN array_to_string(list_sort(list_distinct(list_concat(used, list_transform(string_split(seasons, '|'), lambda s: s::BIGINT)))), '|') ELSE feature_seasons END AS feature_seasons FROM applied"""
 
+ORACLES["history_gate"] = with_(*CORRECTED, recursive=True) + " UNION ALL ".join(
+    f"SELECT '{n}' AS name, {p} AS passed, '{s}' AS severity" for n, p, s in _GATE)
+
 _LO, _HI = math.log(0.05), math.log(1000.0)
 TRAINING = f"""
 usable AS (SELECT stat, target_season AS season, gsis_player_id, position, target_games, realized_total AS y, corrected AS mu, baseline_mean AS raw_mu, pow(0.5, (1999 - target_season) / 5.0) AS w
@@ -626,15 +628,21 @@ SELECT stat, greatest(1, ((rn - 1) * least(10, n) + n - 2) // nullif(n - 1, 0)):
 ORACLES["cohort_metrics"] = with_(*HOLDOUT, recursive=True) + f"""SELECT stat, 'position' AS cohort_kind, position AS cohort, {_METRICS} FROM holdout GROUP BY 1, 2, 3 UNION ALL
     SELECT stat, 'availability', CASE WHEN target_games <= 8 THEN '0-8' WHEN target_games <= 13 THEN '9-13' ELSE '14+' END, {_METRICS} FROM holdout GROUP BY 1, 2, 3"""
 
-_CGATE = [(n, "true") for n in ("input_keys", "input_types", "supported_stats", "no_lookahead", "feature_lineage", "feature_lineage_format")]
+_CGATE = [("input_keys", "(SELECT count(*) = count(DISTINCT (target_season, gsis_player_id, stat)) FROM applied)"),
+          ("input_types", "(SELECT count(*) = 0 FROM applied WHERE target_season IS NULL OR realized_total IS NULL OR target_games IS NULL)"),
+          ("supported_stats", f"(SELECT count(*) = 0 FROM applied WHERE stat NOT IN {STATS})"),
+          ("no_lookahead", "(SELECT count(*) = 0 FROM applied WHERE greatest(list_max(used), list_max(list_transform(string_split(seasons, '|'), lambda s: s::BIGINT))) >= target_season)"),
+          ("feature_lineage", "(SELECT count(*) = 0 FROM applied WHERE list_max(used) IS DISTINCT FROM list_max(list_transform(string_split(nullif(feature_seasons, ''), '|'), lambda s: s::BIGINT)))"),
+          ("feature_lineage_format", r"(SELECT count(*) = 0 FROM applied WHERE feature_seasons <> '' AND NOT regexp_full_match(feature_seasons, '[0-9]+(\|[0-9]+)*'))")]
 _CGATE += [("baseline_bias_correction", "(SELECT count(*) = 0 FROM applied WHERE fitted AND (b - 0.02 <= 2.98e-6 OR 3 - b <= 2.98e-6))")]
-_CGATE += [(f"{s}.{n}", "true") for s in STATS for n in ("integer_outcomes", "baseline_domain")]
+_CGATE += [(f"{s}.{n}", f"(SELECT count(*) = 0 FROM applied WHERE stat = '{s}' AND training_eligible AND {c})") for s in STATS for n, c in (
+    ("integer_outcomes", "abs(realized_total - round(realized_total)) > 1e-9"), ("baseline_domain", "(corrected IS NULL OR corrected < 0)"))]
 _CGATE += [(f"{s}.zero_baseline_consistency", f"(SELECT count(*) = 0 FROM applied WHERE stat = '{s}' AND training_eligible AND corrected = 0 AND realized_total > 0)") for s in STATS]
 _CGATE += [(f"{s}.training_cohort", f"(SELECT count(*) >= 20 FROM training WHERE stat = '{s}')") for s in STATS]
 _CGATE += [(f"{s}.holdout_cohort", f"(SELECT count(*) >= 30 FROM usable WHERE stat = '{s}' AND season >= 2000)") for s in STATS]
 ORACLES["calibration_gate"] = with_(*DISPERSION, recursive=True) + " UNION ALL ".join(
     f"SELECT 'historical_calibration.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _CGATE) + "".join(
-    f" UNION ALL SELECT 'historical_calibration.{s}.signed_negative_observations', true, 'warning'" for s in STATS)
+    f" UNION ALL SELECT 'historical_calibration.{s}.signed_negative_observations', (SELECT count(*) = 0 FROM applied WHERE stat = '{s}' AND training_eligible AND realized_total < 0), 'warning'" for s in STATS)
 
 # The published table with its status: every tolerance is checked anew.
 GATED = (*HOLDOUT, BOOTSTRAP, CDF, """
@@ -759,12 +767,15 @@ near AS (SELECT *, threshold_k - 0.5 AS proxy, abs(mean - (threshold_k - 0.5)) A
     WHERE source IN ('click', 'view') AND used AND quality_status = 'passed' AND p BETWEEN 0.45 AND 0.55)""")
 ORACLES["near_even_gate"] = with_(*NEAR, recursive=True) + f"""SELECT source, source_market_id, {r("proxy", 4, "median_proxy")}, {r("shift", 4, "absolute_shift")}, {r("lim", 4, "maximum_shift")}, shift > lim AS violation FROM near"""
 
-_MGATE = [("current_market_thresholds_unique_within_source", "(SELECT count(*) = count(DISTINCT (source, user_id, stat, k)) FROM elig)"), ("source_projection_keys", "true"),
+_MGATE = [("current_market_thresholds_unique_within_source", "(SELECT count(*) = count(DISTINCT (source, user_id, stat, k)) FROM elig)"), ("source_projection_keys", "(SELECT count(*) = count(DISTINCT (run_id, season, source, user_id, stat)) FROM quality)"),
           ("at_least_one_projection", "(SELECT count(*) > 0 FROM quality WHERE quality_status = 'passed')"), ("mean_optimizers", "(SELECT count(*) = 0 FROM quality WHERE eligible > 0 AND (mean IS NULL OR edge))"),
-          ("sensitivity_bounds", "(SELECT count(*) = 0 FROM quality WHERE eligible > 0 AND (mean IS NULL OR low IS NULL))"), ("book_back_substitution", "true"), ("curve_source_residuals", "true"), ("curve_source_holdout", "true"),
-          ("mean_domains", "(SELECT count(*) = 0 FROM quality WHERE quality_status = 'passed' AND NOT (low <= mean + 1e-9 AND mean <= high + 1e-9 AND mean < 5000))"), ("pricing_included_quote_contract", "true"),
+          ("sensitivity_bounds", "(SELECT count(*) = 0 FROM quality WHERE eligible > 0 AND (mean IS NULL OR low IS NULL))"), ("book_back_substitution", "(SELECT coalesce(max(abs(sv - p)), 0) <= 1e-6 FROM back WHERE used AND mean IS NOT NULL AND source IN ('click', 'view'))"),
+          ("curve_source_residuals", f"(SELECT coalesce(max(rmse), 0) <= {R.MEANS.max_curve_logit_rmse} FROM quality WHERE quality_status = 'passed' AND NOT book)"),
+          ("curve_source_holdout", f"(SELECT coalesce(max(mae), 0) <= {R.MEANS.max_curve_holdout_logit_mae} FROM quality WHERE quality_status = 'passed' AND NOT book)"),
+          ("mean_domains", "(SELECT count(*) = 0 FROM quality WHERE quality_status = 'passed' AND NOT (low <= mean + 1e-9 AND mean <= high + 1e-9 AND mean < 5000))"), ("pricing_included_quote_contract", "(SELECT count(*) = 0 FROM priced WHERE inclusion_status = 'included' AND NOT coalesce(threshold_k >= 1 AND p > 0 AND p < 1, false))"),
           ("quote_inclusion_lineage", "(SELECT count(*) = 0 FROM back WHERE used AND mean IS NULL)"), ("near_even_market_mean_plausibility", "(SELECT count(*) = 0 FROM near WHERE shift > lim)"),
-          ("fitted_survival_monotonicity", "true"), ("final_dispersions", "(SELECT min(r) > 0 FROM disp0)")]
+          ("fitted_survival_monotonicity", """(SELECT count(*) = 0 FROM (SELECT max(sv) - lag(min(sv)) OVER (PARTITION BY source, user_id, stat ORDER BY threshold_k) AS up FROM back
+              WHERE sv IS NOT NULL GROUP BY source, user_id, stat, threshold_k) WHERE up > 1e-12)"""), ("final_dispersions", "(SELECT min(r) > 0 FROM disp0)")]
 ORACLES["model_gate"] = with_(*NEAR, recursive=True) + " UNION ALL ".join(f"SELECT 'model.{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _MGATE) + \
     " UNION ALL SELECT 'model.curves_quarantined', (SELECT count(*) = 0 FROM quality WHERE NOT book AND quality_status = 'excluded' AND mean IS NOT NULL), 'warning'"
 
@@ -791,7 +802,8 @@ ORACLES["weighted_consensus"] = with_(ESTIMATES) + f"""SELECT run_id, season, ca
     {r("hi", name="maximum_source_mean")}, {rs("source_range relative_disagreement")}, disagreement_flag, quality_status, CASE WHEN source_count > 0 THEN '' ELSE 'minimum_sources_not_met' END AS exclusion_reason FROM consensus"""
 
 _NGATE = [("aggregation.known_sources", "(SELECT count(*) = 0 FROM est WHERE source NOT IN ('click', 'view', 'purchase', 'signup', 'error'))"),
-          ("aggregation.eligible_values", "(SELECT count(*) = 0 FROM usable WHERE mean IS NULL)"), ("aggregation.source_projection_keys", "true"), ("aggregation.consensus_keys", "true"),
+          ("aggregation.eligible_values", "(SELECT count(*) = 0 FROM usable WHERE mean IS NULL)"), ("aggregation.source_projection_keys", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id, stat, source)) FROM est)"),
+          ("aggregation.consensus_keys", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id, stat)) FROM consensus)"),
           ("aggregation.eligible_lineage", "(SELECT count(*) > 0 FROM consensus WHERE quality_status = 'passed')")]
 ORACLES["consensus_gate"] = with_(ESTIMATES) + " UNION ALL ".join(f"SELECT '{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _NGATE)
 
@@ -820,10 +832,15 @@ ORACLES["full_projection"] = with_(*PROJECTED, """
 named AS (SELECT source, user_id, stat, max(raw_player_name) AS name FROM model GROUP BY ALL),
 est AS (SELECT run_id, season, source, 'user:' || user_id AS canonical_player_id, stat, name AS canonical_player_name, mean, low, high, quality_status FROM quality JOIN named USING (source, user_id, stat))""",
     _AFTER, recursive=True) + _score(3)
-_SGATE = ("scoring.input_keys", "scoring.player_grain", "scoring.no_missing_to_zero", "scoring.full_ppr_identity", "scoring.full_ppr_publishable_identity")
-ORACLES["scoring_gate"] = with_(SCORED) + " UNION ALL ".join(f"SELECT '{n}' AS name, true AS passed, 'error' AS severity" for n in _SGATE) + \
+_SGATE = [("scoring.input_keys", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id, stat)) FROM consensus)"),
+          ("scoring.player_grain", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id)) FROM points)"),
+          ("scoring.no_missing_to_zero", "(SELECT count(*) = 0 FROM points WHERE scored AND blank AND components_missing = '')")]
+_SGATE += [(f"scoring.{n}", f"""(SELECT count(*) = 0 FROM (SELECT base + coalesce(returned_quantity * {_MODES['full_ppr']}, 0) AS hi, base + coalesce(returned_quantity * {_MODES['standard']}, 0) AS lo, * FROM points WHERE {w})
+    WHERE abs(hi - lo - coalesce(returned_quantity, 0) * {_MODES['full_ppr'] - _MODES['standard']}) > 1e-9)""") for n, w in (("full_ppr_identity", "scored"), ("full_ppr_publishable_identity", "scored AND NOT blank"))]
+ORACLES["scoring_gate"] = with_(SCORED) + " UNION ALL ".join(f"SELECT '{n}' AS name, {p} AS passed, 'error' AS severity" for n, p in _SGATE) + \
     " UNION ALL SELECT 'scoring.ppr_monotonicity', (SELECT count(*) = 0 FROM points WHERE returned_quantity < 0), 'error'"
-ORACLES["mart_gate"] = with_(SCORED) + """SELECT 'mart.projections.row_count' AS name, true AS passed, 'error' AS severity UNION ALL SELECT 'mart.projections.headers', true, 'error' UNION ALL
+ORACLES["mart_gate"] = with_(SCORED, "mart AS (" + _SCORE + ")") + """SELECT 'mart.projections.row_count' AS name, (SELECT count(*) FROM wide) = (SELECT count(DISTINCT (run_id, season, canonical_player_id)) FROM est) AS passed, 'error' AS severity
+    UNION ALL SELECT 'mart.projections.headers', (SELECT count(*) = count(DISTINCT column_name) FROM (DESCRIBE mart)), 'error' UNION ALL
     SELECT 'mart.projections.no_error_values', (SELECT count(*) = 0 FROM points WHERE isnan(base) OR isinf(base)), 'error' UNION ALL
     SELECT 'mart.projections.source_lineage', (SELECT count(*) = 0 FROM wide WHERE canonical_player_id NOT IN (SELECT canonical_player_id FROM est)), 'error'"""
 _TEXTS = {"normalized.nonempty": "rows are present", "normalized.types_and_domains": "values are canonical", "normalized.book_odds": "two-sided rows keep valid odds",
@@ -894,3 +911,6 @@ SELECT setting, value, supported AS supported_by_current_markets, coalesce(playe
 from curvelake.plans.landing_sql import ORACLES as _FILES  # noqa: E402
 
 ORACLES |= _FILES
+from curvelake.plans.faults_sql import ORACLES as _FAULTS  # noqa: E402
+
+ORACLES |= _FAULTS

@@ -912,3 +912,6 @@ def settings_with_use(spark, sf):
         F.count("*").alias("players"))
     return tidy(publish.settings_mart(spark, R.SCORING, R.STATS).join(used, "setting", "left").withColumn(
         "players", F.coalesce("players", F.lit(0))))
+
+
+from curvelake.plans import faults as _faults  # noqa: E402,F401 - registers its queries, which read the stages above
