@@ -125,3 +125,9 @@ def embedded_json(page: Column, variable: str, schema: str) -> Column:
     start = F.instr(page, marker)
     tail = page.substr(start + F.lit(len(marker)), F.length(page))
     return F.when(start > 0, F.from_json(tail, schema))
+
+
+def embedded_literal(page: Column, marker: str) -> Column:
+    """The JSON string or number that follows ``marker`` in a page, as text; NULL if there is none."""
+    literal = extract(page, "\\Q" + marker + r'\E\s*("(?:[^"\\]|\\.)*"|-?[0-9]+(?:\.[0-9]+)?)', 1)
+    return F.get(F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>"), 0)

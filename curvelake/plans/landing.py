@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curvelake.functions import text as X
 from curvelake.operators import checks, history, names, payloads, quotes
 from curvelake.plans import roles as R
 from curvelake.plans.registry import detailed, query, tidy
@@ -155,6 +156,16 @@ def alias_faults(spark, sf):
     return detailed(names.alias_gate(readers.read_aliases(spark, path), sorted(R.SOURCES)))
 
 
+@query
+def page_script_values(spark, sf):
+    """What the scripts of a page's own html assign and call."""
+    pages = R.table(spark, sf, "pages")
+    html = F.col("html")
+    return tidy(pages.select(
+        "page_id", X.embedded_literal(html, "var t=").alias("assigned"), X.embedded_literal(html, "track(").try_cast("bigint").alias("tracked"),
+        X.embedded_literal(html, "window.absent = ").alias("absent")))
+
+
 # --- linked payloads ------------------------------------------------------------------
 
 #: Customers of one payload document.

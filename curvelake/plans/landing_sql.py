@@ -122,3 +122,6 @@ SELECT *, duplicate_tickers + missing_orderbooks + invalid_estimates = 0 AS chec
 ORACLES["contract_series"] = """WITH e AS (SELECT value, event_id % 37 = 0 AS lost, CASE (props->>'k')::INT % 3 WHEN 0 THEN 'quantity' WHEN 1 THEN 'line_count' ELSE 'returned_quantity' END AS stat FROM events)
 SELECT CASE WHEN NOT lost THEN stat END AS stat, CASE WHEN NOT lost THEN 'units' END AS unit, CASE WHEN lost THEN 'unknown_series' END AS reason, count(*)::BIGINT AS contracts,
     sum(CASE WHEN NOT lost THEN floor(value) + 0.5 END)::DOUBLE AS thresholds FROM e GROUP BY 1, 2, 3"""
+
+ORACLES["page_script_values"] = """SELECT page_id, regexp_extract(html, 'var t="([^"]*)"', 1) AS assigned, regexp_extract(html, 'track[(]([0-9]+)[)]', 1)::BIGINT AS tracked,
+    CASE WHEN contains(html, 'window.absent') THEN '' END AS absent FROM pages"""

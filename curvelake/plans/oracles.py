@@ -471,6 +471,19 @@ ap AS (SELECT m.source, m.match_key, suggested AS id, f.name FROM mapped m LEFT
 SELECT (SELECT count(*) FROM alias) + (SELECT count(*) FROM (SELECT DISTINCT source, match_key FROM ap WHERE name IS NOT NULL AND (source, match_key) NOT IN (SELECT (source, match_key) FROM alias))) AS aliases, 'rows' AS kind
 UNION ALL SELECT (SELECT count(*) FROM ap LEFT JOIN alias a USING (source, match_key) WHERE name IS NULL OR alias_id <> id OR alias_name <> name), 'rows'"""
 
+# Names below the floor: all pairs of a statistic, the common letters counted anew.
+ORACLES["review_candidates"] = with_(QUOTED, LIKENESS, *RESOLVED, """
+lost AS (SELECT m.source, m.raw_player_name AS raw, m.match_key AS a, i.stats, i.teams, length(m.match_key) AS la FROM mapped m JOIN idents i USING (source, raw_player_name) WHERE reason = 'below_review_floor'),
+met AS (SELECT DISTINCT l.a, l.la, c.match_key AS b, length(c.match_key) AS lb FROM lost l JOIN cand c ON list_contains(l.stats, c.stat) WHERE c.match_key <> ''),
+held AS (SELECT a, b, la, lb, (1::BIGINT << la) - 1 AS whole, list_transform(string_split(b, ''), lambda c: list_sum(list_transform(range(0, la),
+    lambda i: CASE WHEN a[i + 1] = c THEN (1::BIGINT << i) ELSE 0 END))::BIGINT) AS m FROM met),
+told AS (SELECT a, b, 200.0 * (la - bit_count(list_reduce(list_prepend(whole, m), lambda v, x: (((v + (v & x)) | (v - (v & x))) & whole)))) / (la + lb) AS score FROM held),
+each AS (SELECT l.source, l.raw, 'gsis:' || c.gsis_player_id AS id, max(score) AS score, bool_or(list_contains(l.teams, c.team)) AS mate FROM lost l JOIN cand c ON list_contains(l.stats, c.stat)
+    JOIN told t ON t.a = l.a AND t.b = c.match_key GROUP BY 1, 2, 3),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source, raw ORDER BY score DESC, mate DESC, id DESC) AS i FROM each)""", recursive=True) + f"""
+SELECT p.source, p.raw AS raw_player_name, p.id AS candidate_canonical_player_id, f.name AS candidate_name, {r("p.score", name="match_score")}, {r("q.score", name="runner_up_score")}
+FROM placed p JOIN facts f ON f.id = p.id LEFT JOIN placed q ON q.source = p.source AND q.raw = p.raw AND q.i = 2 WHERE p.i = 1"""
+
 ORACLES["alias_actions"] = with_(QUOTED, LIKENESS, *RESOLVED, """
 ap AS (SELECT m.source, m.raw_player_name, m.match_key, suggested AS id, f.name FROM mapped m LEFT JOIN facts f ON f.id = suggested WHERE reason IS NOT NULL AND suggested IS NOT NULL
     UNION ALL SELECT source, alias_name[8:], match_key, CASE split_part(alias_id, ':', 2)::BIGINT % 3 WHEN 1 THEN 'listed:0' WHEN 0 THEN alias_id END, alias_name FROM alias),

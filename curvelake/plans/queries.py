@@ -13,7 +13,7 @@ from curvelake.functions import odds as O
 from curvelake.functions import special as S
 from curvelake.functions import text as X
 from curvelake.operators import (
-    audit, books, calibrate, checks, consensus, history, history_gates, means, names, power_fit, publish, quotes, score,
+    audit, books, calibrate, checks, consensus, history, history_gates, means, names, nearest, power_fit, publish, quotes, score,
 )
 from curvelake.plans import landing as _landing  # noqa: F401 - registers its queries
 from curvelake.plans import roles as R
@@ -459,6 +459,19 @@ def promoted_aliases(spark, sf):
         "kind", F.lit("rows")))
 
 
+@query
+def review_candidates(spark, sf):
+    """Best known player and runner-up of every name that the review floor leaves without a candidate."""
+    open_ = _resolved(spark, sf).filter("reason = 'below_review_floor'").select(*names.WHO)
+    history = _names(spark, sf)
+    rows = names.candidate_rows(history)
+    asked = _identities(spark, sf).join(open_, names.WHO, "left_semi")
+    found = nearest.best_two(asked, names.pool_from_history(history), rows.filter("team is not null").select("canonical_player_id", "team").distinct())
+    known = rows.groupBy("canonical_player_id").agg(F.max("player_name").alias("candidate_name"))
+    return tidy(found.join(known, found["best_id"] == known["canonical_player_id"]).select(
+        *names.WHO, F.col("best_id").alias("candidate_canonical_player_id"), "candidate_name", F.col("best_score").alias("match_score"), "runner_up_score"))
+
+
 @query
 def alias_actions(spark, sf):
     """Promotion row by row, and once more on the grown table; suggestions repeat, contradict or lack what is listed, too."""
