@@ -927,3 +927,6 @@ ORACLES |= _FILES
 from curvelake.plans.faults_sql import ORACLES as _FAULTS  # noqa: E402
 
 ORACLES |= _FAULTS
+from curvelake.plans.dispersion_sql import ORACLES as _DISPERSIONS  # noqa: E402
+
+ORACLES |= _DISPERSIONS

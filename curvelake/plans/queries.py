@@ -673,8 +673,13 @@ def curve_leave_one_out(spark, sf):
 
 @query
 def dispersion_choice(spark, sf):
-    quoted, table = _mean_inputs(spark, sf)
-    return tidy(means.update_dispersions(quoted, table, R.MEANS), 3)
+    """The update over curves that support the past, contradict it, or are too rough to tell."""
+    chosen = means.update_dispersions(R.curve_quotes(spark, sf), R.past_dispersions(spark), R.MEANS)
+    return tidy(chosen.select(
+        "stat", "method", "fallback_reason", "final_dispersion", "current_market_only_dispersion", "current_market_map_dispersion", "current_market_group_count",
+        "current_market_quote_count", "quarantined_groups", "current_market_prior_log_sd", "current_market_only_objective", "current_market_map_objective",
+        "current_market_only_logit_rmse", "current_market_map_logit_rmse", "current_market_only_holdout_logit_mae", "current_market_map_holdout_logit_mae",
+        "current_market_log_dispersion_delta", "current_market_only_validation_passed", "current_market_map_validation_passed"), 3)
 
 
 def _historical_only(table: DataFrame) -> DataFrame:

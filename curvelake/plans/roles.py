@@ -220,6 +220,41 @@ def dispersions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.log(r) - 0.5).alias("historical_log_dispersion_lower"), (F.log(r) + 0.5).alias("historical_log_dispersion_upper"))
 
 
+#: Dispersions of the past for the curves below: near to what they follow, far from it, and near again.
+PAST_DISPERSIONS = {"quantity": 1.15, "line_count": 60.0, "returned_quantity": 1.3}
+#: Half the band of their logarithms.
+PRIOR_BAND = 0.3
+
+
+@stage
+def curve_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four thresholds of every user's statistic, priced by a count with a shared dispersion of one.
+
+    Some curves of the first statistic have one price far off; those of the last statistic are off everywhere, up and down in turn.
+    """
+    u, j = F.col("user_id"), F.col("j")
+    place = F.array_position(F.array(*[F.lit(s) for s in STATS]), F.col("stat")) - 1
+    rows = events(spark, sf_dir).select("user_id", "stat").distinct().withColumn("s", place).select("*", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("j"))
+    k, mean = 2 + 4 * j + u % 3, 4.0 + F.pmod(u * 7 + F.col("s") * 3, F.lit(10))
+    p = F.pow(mean / (mean + 1.0), k)
+    off = F.when((F.col("s") == 0) & (u % 7 == 3) & (j == 2), 1.6).when(F.col("s") == 2, F.when((u + j) % 2 == 0, 0.9).otherwise(-0.9)).otherwise(0.0)
+    priced = rows.withColumns({"k": k, "p": F.round(1.0 / (1.0 + F.exp(-(F.log(p / (1.0 - p)) + off))), 4)})
+    inside = F.col("p").between(MEANS.probability_floor, MEANS.probability_ceiling)
+    return priced.select(
+        F.lit(RUN_ID).alias("run_id"), F.lit(SEASON).alias("season"), F.concat(F.lit("user:"), u.cast("string")).alias("canonical_player_id"), "stat",
+        F.when(j % 2 == 0, "purchase").otherwise("signup").alias("source"), F.col("k").cast("int").alias("canonical_threshold"), F.col("p").alias("modeling_probability"),
+        F.when(inside, "included").otherwise("excluded").alias("model_inclusion_status"))
+
+
+def past_dispersions(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame(list(PAST_DISPERSIONS.items()), "stat string, historical_dispersion double")
+    log = F.log("historical_dispersion")
+    return rows.select(
+        "stat", F.lit("negative_binomial").alias("distribution_family"), F.lit("listed").alias("calibration_version"), F.lit("passed").alias("status"), "historical_dispersion",
+        log.alias("historical_log_dispersion"), F.exp(log - PRIOR_BAND).alias("historical_dispersion_lower"), F.exp(log + PRIOR_BAND).alias("historical_dispersion_upper"),
+        (log - PRIOR_BAND).alias("historical_log_dispersion_lower"), (log + PRIOR_BAND).alias("historical_log_dispersion_upper"))
+
+
 # --- books ----------------------------------------------------------------------------
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
