@@ -839,12 +839,8 @@ def _score(digits: int = 6) -> str:
 _SCORE = _score()
 ORACLES["score_profiles"] = with_(SCORED) + _SCORE
 ORACLES["projection_mart"] = with_(SCORED) + _SCORE
-# The whole chain: from quotes over fitted means to scores, on each stage's own result.
-_AFTER = SCORED[SCORED.index("weights AS (SELECT * FROM (VALUES"):]
-ORACLES["full_projection"] = with_(*PROJECTED, """
-named AS (SELECT source, user_id, stat, max(raw_player_name) AS name FROM model GROUP BY ALL),
-est AS (SELECT run_id, season, source, 'user:' || user_id AS canonical_player_id, stat, name AS canonical_player_name, mean, low, high, quality_status FROM quality JOIN named USING (source, user_id, stat))""",
-    _AFTER, recursive=True) + _score(3)
+# From projections of sources (``est``) onwards.
+AFTER = SCORED[SCORED.index("weights AS (SELECT * FROM (VALUES"):]
 _SGATE = [("scoring.input_keys", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id, stat)) FROM consensus)"),
           ("scoring.player_grain", "(SELECT count(*) = count(DISTINCT (run_id, season, canonical_player_id)) FROM points)"),
           ("scoring.no_missing_to_zero", "(SELECT count(*) = 0 FROM points WHERE scored AND blank AND components_missing = '')")]
@@ -927,6 +923,7 @@ ORACLES |= _FILES
 from curvelake.plans.faults_sql import ORACLES as _FAULTS  # noqa: E402
 
 ORACLES |= _FAULTS
+from curvelake.plans.chain_sql import ORACLES as _CHAIN  # noqa: E402
 from curvelake.plans.dispersion_sql import ORACLES as _DISPERSIONS  # noqa: E402
 
-ORACLES |= _DISPERSIONS
+ORACLES |= _DISPERSIONS | _CHAIN

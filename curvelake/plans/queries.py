@@ -776,13 +776,6 @@ def score_profiles(spark, sf):
     return tidy(_scored(spark, sf))
 
 
-@query
-def full_projection(spark, sf):
-    """The chain from raw quotes to scores: normalised, priced, fitted, blended and scored, each stage on the last one's result."""
-    blended = consensus.consensus(_projections(spark, sf), R.SOURCES, R.AGGREGATION)
-    return tidy(score.score(blended, R.SCORING), 3)
-
-
 @query
 def scoring_gate(spark, sf):
     return _gate(score.scoring_gate(_consensus(spark, sf), _scored(spark, sf), R.SCORING))
@@ -932,4 +925,5 @@ def settings_with_use(spark, sf):
         "players", F.coalesce("players", F.lit(0))))
 
 
-from curvelake.plans import faults as _faults  # noqa: E402,F401 - registers its queries, which read the stages above
+from curvelake.plans import chain as _chain  # noqa: E402,F401 - these register queries that read the stages above
+from curvelake.plans import faults as _faults  # noqa: E402,F401
