@@ -32,6 +32,17 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filtered(docs: DataFrame, keep: Callable[..., list[bool]], *args, rows: int = 256, size: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs`` whose text passes ``keep(texts, *args)``; each row is judged by itself, and nothing is shuffled."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, rows, size):
+            yield piece.filter(pa.array(keep(piece.column(at).to_pylist(), *args), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def bucket_of(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; a missing id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(buckets))

@@ -12,13 +12,14 @@ Words are runs of letters, digits and marks in lower case. Test items stream in
 of the block count in a document, so memory does not grow with the corpus.
 
 Null or blank documents and items match nothing; items of fewer than ``min_item`` words are too
-short to tell and match nothing. Equal items under one id are one item; repeated documents give
+short to tell and match nothing. Items without an id take part, under a null ``item_id``. Equal items under one id are one item; repeated documents give
 repeated rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import map_slices
+from curvelake.llm.common import filtered, map_slices, written
 
 #: Every overlap of 12 equal words in at most 15 holds one of the first two seeds, so that at a similarity of 0.8 none
 #: is missed; items of fewer than ``LONG`` words need fewer equal words and are filed under the others, of which every
@@ -66,7 +67,7 @@ def _hashes(ids: np.ndarray, mask: str) -> np.ndarray:
 class Items:
     """A block of test items: word numbers, and the masked hashes of every position, sorted."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float, min_words: int):
+    def __init__(self, items: list[tuple[int | None, str]], similarity: float, min_words: int):
         self.similarity, self.min_words = similarity, min_words
         split = [(i, w) for i, text in items if len(w := words(text)) >= MIN_ITEM]
         vocabulary = sorted({w for _, own in split for w in own})
@@ -119,11 +120,11 @@ class Items:
     def search(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
         """The best verified overlap with each item: (item id, equal words, overlap, document start, item start)."""
         ids = self.numbers(words(text))
-        best: dict[int, tuple] = {}
+        best: dict[int | None, tuple] = {}
         for item, diagonal in sorted(self.hits(ids)):
             if (got := self.verify(ids, item, diagonal)) and got > best.get(self.items[item][0], ()):
                 best[self.items[item][0]] = got
-        return [(item, *got) for item, got in sorted(best.items())]
+        return [(item, *got) for item, got in sorted(best.items(), key=lambda x: (x[0] is None, x[0] or 0))]
 
 
 def _search(piece: pa.RecordBatch, block) -> dict:
@@ -133,24 +134,35 @@ def _search(piece: pa.RecordBatch, block) -> dict:
     return {n: [r[i] for r in rows] for i, n in enumerate(names)}
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 12, block_bytes: int = 4 << 20) -> DataFrame:
-    """``doc_id, item_id, equal_words, overlap_words, doc_start, item_start`` (in words): the best overlap of each pair."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
+def _blocks(benchmark: DataFrame, similarity: float, min_words: int, block_bytes: int) -> Iterator:
+    """The test items in broadcast blocks; items without an id go by their text."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = -(-size // block_bytes)
-    found = None
     for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
-        held = spark.sparkContext.broadcast(Items(sorted((r.item_id, r.text) for r in rows), similarity, min_words))
+        rows = items.filter(F.pmod(F.xxhash64(F.coalesce("item_id", F.xxhash64("text"))), F.lit(blocks)) == block).collect()
+        held = sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield spark.sparkContext.broadcast(Items(held, similarity, min_words))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 12, block_bytes: int = 4 << 20) -> DataFrame:
+    """``doc_id, item_id, equal_words, overlap_words, doc_start, item_start`` (in words): the best overlap of each pair.
+
+    Of the items without an id, the best one of a block stands for all.
+    """
+    found = None
+    for held in _blocks(benchmark, similarity, min_words, block_bytes):
         part = map_slices(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), _search,
                           "doc_id bigint, item_id bigint, equal_words bigint, overlap_words bigint, doc_start bigint, item_start bigint", held)
         found = part if found is None else found.union(part)
-    return found if found is not None else spark.createDataFrame(
+    return found if found is not None else docs.sparkSession.createDataFrame(
         [], "doc_id bigint, item_id bigint, equal_words bigint, overlap_words bigint, doc_start bigint, item_start bigint")
 
 
-def without_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 12) -> DataFrame:
-    """The rows of ``docs`` that overlap with no test item; a row without an id can't be named and stays."""
-    hit = overlaps(docs, benchmark, similarity, min_words).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 12, block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs`` whose text overlaps with no test item; each row is judged by its own text, whatever its id."""
+    for place, held in enumerate(_blocks(benchmark, similarity, min_words, block_bytes)):
+        # What one block leaves is written before the next one, so that a task holds one block.
+        docs = filtered(written(docs) if place else docs, lambda texts, own: [not own.value.search(t) for t in texts], held)
+    return docs

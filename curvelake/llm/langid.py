@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import bucket_of, map_slices, slices
+from curvelake.llm.common import bucket_of, filtered, map_slices, slices
 
 DIMENSIONS = 512
 #: Window vectors held at once, and how many numbers they may have in all.
@@ -145,22 +145,20 @@ def identify(docs: DataFrame, folds: int = 5, dimensions: int = DIMENSIONS) -> D
                       "doc_id bigint, held_out boolean, lang_pred string, score double", names, unit, rows=1024)
 
 
-def _rejected(piece: pa.RecordBatch, names: list[str], profile: np.ndarray, min_score: float, min_windows: int) -> dict:
-    found = Windows(piece.column(1).to_pylist(), profile.shape[1])
+def _accepts(texts: list[str | None], names: list[str], profile: np.ndarray, min_score: float, min_windows: int) -> list[bool]:
+    found = Windows(texts, profile.shape[1])
     out = []
-    for doc, vector, n in zip(piece.column(0).to_pylist(), found.documents(), found.total, strict=True):
+    for vector, n in zip(found.documents(), found.total, strict=True):
         size = 0.0 if vector is None or not names else float(np.linalg.norm(vector))
-        if not size or (n >= min_windows and float((profile @ vector).max()) / size < min_score):
-            out.append(doc)
-    return {"doc_id": out}
+        out.append(bool(size) and (n < min_windows or float((profile @ vector).max()) / size >= min_score))
+    return out
 
 
 def accepted(docs: DataFrame, min_score: float, folds: int = 5, dimensions: int = DIMENSIONS, min_windows: int = 1) -> DataFrame:
     """The rows of ``docs`` with a letter and a cosine of at least ``min_score``; texts of fewer than ``min_windows`` windows need only the letter.
 
-    A row without an id can't be named and stays.
+    Every row is judged by its own text, whatever its id.
     """
     names, profile = learn(docs, bucket_of(F.col("doc_id"), folds) == 0, dimensions)
     unit = (profile / np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    found = map_slices(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _rejected, "doc_id bigint", names, unit, min_score, min_windows, rows=1024)
-    return docs.join(found.distinct(), "doc_id", "left_anti").select(docs.columns)
+    return filtered(docs, _accepts, names, unit, min_score, min_windows, rows=1024)

@@ -41,10 +41,10 @@ class Mixture:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, n_tokens``, read once from the texts."""
+    """``doc_id, source, n_tokens, print``, read once from the texts; ``print`` tells apart texts under one id."""
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(f"[^{BLANKS}]+"))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-                       F.greatest(words, F.lit(1)).cast("bigint").alias("n_tokens"))
+                       F.greatest(words, F.lit(1)).cast("bigint").alias("n_tokens"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
 
 
 def sources(rows: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def _order(mixture: Mixture, *parts: Column) -> Column:
 
 
 def copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
-    """``doc_id, source, n_tokens, weight, block, copies``: how often each document is read (0: not at all)."""
+    """``doc_id, source, n_tokens, print, weight, block, copies``: how often each document is read (0: not at all)."""
     rows = written(counted(docs))
     per = written(weights(sources(rows), mixture))
     whole = F.floor(F.col("budget") / F.col("tokens"))
@@ -125,7 +125,7 @@ def copies(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     split = (F.col("room") > 0) & (F.col("room") < F.col("size"))
     plain = laid.filter(~split).withColumn("more", F.col("room") >= F.col("size"))
     partly = laid.filter(split).withColumn("more", F.sum("n_tokens").over(inside) <= F.col("room"))  # one block per source
-    return plain.union(partly).select("doc_id", "source", "n_tokens", "weight", "block", (F.col("epochs") + F.col("more").cast("bigint")).alias("copies"))
+    return plain.union(partly).select("doc_id", "source", "n_tokens", "print", "weight", "block", (F.col("epochs") + F.col("more").cast("bigint")).alias("copies"))
 
 
 def schedule(taken: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
@@ -142,8 +142,15 @@ def schedule(taken: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
 
 
 def mixed(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
-    """The rows of ``docs`` that are read, with ``mix_weight`` and ``mix_copies``."""
-    taken = copies(docs, mixture).groupBy("doc_id").agg(F.max("weight").alias("mix_weight"), F.max("copies").alias("mix_copies"))
-    ids = taken.select(F.col("doc_id").alias("__mix_id"), "mix_weight", "mix_copies").filter("mix_copies > 0")
+    """The rows of ``docs`` that are read, with ``mix_weight`` and ``mix_copies`` of their own source and text.
+
+    Rows meet their numbers by id, source and text, so an id in two sources and rows without an id get what is theirs; rows
+    alike in all three get the same number of copies.
+    """
+    taken = copies(docs, mixture).groupBy("doc_id", "source", "print").agg(F.max("weight").alias("mix_weight"), F.max("copies").alias("mix_copies"))
+    ids = taken.filter("mix_copies > 0").select(
+        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("print").alias("__mix_print"), "mix_weight", "mix_copies")
     own = docs.drop("mix_weight", "mix_copies")
-    return own.join(ids, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__mix_id"))).drop("__mix_id")
+    met = (F.col("doc_id").cast("bigint").eqNullSafe(F.col("__mix_id")) & (F.coalesce(own["source"].cast("string"), F.lit("")) == F.col("__mix_source"))
+           & (F.xxhash64(F.coalesce(own["text"], F.lit(""))) == F.col("__mix_print")))
+    return own.join(ids, met).drop("__mix_id", "__mix_source", "__mix_print")

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 
 from curvelake.llm.common import map_slices, slices, written
 from curvelake.llm.links import components
+from curvelake.session import spread
 
 SEED = 42
-#: Into how many parts the documents of one fingerprint are dealt.
-PARTS = 16
+#: The documents of one fingerprint are dealt in parts of so many rows, or of this share of all rows if that is more.
+PART_ROWS, LARGEST = 256, 10_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -55,6 +56,10 @@ def _prints(piece: pa.RecordBatch, shingle: int) -> dict:
     return {"doc_id": piece.column(0), "print": [fingerprint(t, shingle) for t in piece.column(1).to_pylist()]}
 
 
+def _hashed_prints(piece: pa.RecordBatch, shingle: int) -> dict:
+    return _prints(piece, shingle) | {"hash": piece.column(2)}
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id, print``: the fingerprint of every whole text as a signed 64-bit number."""
     return map_slices(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), _prints, "doc_id bigint, print bigint", shingle)
@@ -136,30 +141,49 @@ def links(prints: DataFrame, distance: int = 4, blocks: int = 8, tile: int = 204
     return dealt.mapInArrow(lambda it: _tiles(it, distance), "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 8) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: 16 hexadecimal digits and the smallest id reachable over links."""
-    prints = written(fingerprints(docs, shingle))
-    nodes = written(prints.groupBy("print").agg(F.min("doc_id").alias("first")))
-    grouped = components(links(nodes, distance, blocks))
+def groups(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 8) -> DataFrame:
+    """``doc_id, hash, print, node, component_id`` of every row: its text's hash and fingerprint, the group it is in (the least fingerprint
+    there) and the group's name (the smallest id there)."""
+    own = docs.selectExpr("cast(doc_id as bigint) doc_id", "text", "xxhash64(coalesce(text, '')) hash")
+    prints = written(map_slices(own, _hashed_prints, "doc_id bigint, print bigint, hash bigint", shingle))
+    nodes = written(prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
+    grouped = components(links(spread(nodes, "print"), distance, blocks))
     # The name of a linked group is the smallest id of its members.
     named = nodes.join(grouped, nodes["print"] == grouped["node"])
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
-    final = nodes.join(named.join(smallest, "component").select(F.col("print").alias("p"), "smallest"), F.col("print") == F.col("p"), "left").select(
-        F.col("print").alias("own"), F.when(F.col("p").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"))
-    # Equal fingerprints may be a third of all documents: their join is dealt in parts.
-    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PARTS - 1).cast("bigint")))
-    dealt = prints.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
-    return dealt.join(final.withColumn("own_part", parts), (F.col("print") == F.col("own")) & (F.col("part") == F.col("own_part"))).select(
-        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    found = named.join(smallest, "component").select(F.col("print").alias("p"), "component", "smallest")
+    # Equal fingerprints may be a third of all documents: their join is dealt in parts. At most LARGEST fingerprints have so many
+    # documents, so that their list is broadcast at any size.
+    many = max(PART_ROWS, (nodes.agg(F.sum("n").alias("n")).first().n or 0) // LARGEST)
+    width = (F.floor(F.col("n") / many) + 1).cast("bigint")
+    final = nodes.join(found, F.col("print") == F.col("p"), "left").select(
+        F.col("print").alias("own"), F.coalesce("component", "print").alias("node"), F.when(F.col("p").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"),
+        F.sequence(F.lit(0).cast("bigint"), width - 1).alias("parts"))
+    large = nodes.filter(F.col("n") >= many).select(F.col("print").alias("wide"), width.alias("width"))
+    dealt = prints.join(F.broadcast(large), F.col("print") == F.col("wide"), "left").withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", "hash"), F.coalesce("width", F.lit(1).cast("bigint"))))
+    return dealt.join(final.withColumn("own_part", F.explode("parts")), (F.col("print") == F.col("own")) & (F.col("part") == F.col("own_part"))).select(
+        "doc_id", "hash", "print", "node", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 8) -> DataFrame:
+    """``doc_id, fingerprint, component_id``: 16 hexadecimal digits and the smallest id reachable over links."""
+    return groups(docs, shingle, distance, blocks).select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 8) -> DataFrame:
-    """The rows of ``docs`` whose id names their group, one for each id; rows without an id stay."""
-    found = written(near_duplicates(docs, shingle, distance, blocks).select("doc_id", "component_id"))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(
-        kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """One row of ``docs`` for each group: of its smallest id, and of several texts under that id the one of the least hash.
+
+    Rows go by id and text, so an unlinked text under the id of another one stays; rows without an id stay.
+    """
+    found = written(groups(docs, shingle, distance, blocks).filter("doc_id is not null"))
+    chosen = found.filter("doc_id = component_id").groupBy("node").agg(F.min_by(F.struct("doc_id", "hash"), F.col("hash")).alias("c"), F.count("*").alias("n"))
+    chosen = written(chosen.select(F.col("c.doc_id").alias("__own_id"), F.col("c.hash").alias("__own_hash"), "n"))
+    hash_ = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = docs.join(chosen, (F.col("doc_id").cast("bigint") == F.col("__own_id")) & (hash_ == F.col("__own_hash")), "left")
+    named = kept.filter("doc_id is null or __own_id is not null")
+    if chosen.filter("n > 1").isEmpty():
+        return named.select(docs.columns)
+    # Of repeated rows (equal id and text) one stays.
+    again = named.filter("n > 1")
+    return named.filter("doc_id is null or n = 1").select(docs.columns).union(again.dropDuplicates(["__own_id", "__own_hash"]).select(docs.columns))

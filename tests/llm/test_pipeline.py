@@ -86,3 +86,30 @@ def test_documents_in_unlearned_scripts_go_and_short_texts_stay(spark):
     assert not kept & {d for d, _, _ in unlike}
     assert {d for d, _, _ in short} <= kept
     assert {d for d, t, _ in rows if any(c.isalpha() for c in t or "")} <= kept
+
+
+def test_decisions_go_by_row(spark):
+    """Two texts under one id, ids in two sources and rows without an id: nothing unrelated is lost."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    text = lambda n=80: " ".join(word() for _ in range(n))
+    same, other, third, item = text(), text(), text(), text(30)
+    docs = spark.createDataFrame([(1, same, "en", "s"), (2, same, "en", "s"), (2, other, "en", "s"), (3, third, "en", "s"), (3, third, "en", "s"), (None, same, "en", "s")],
+                                 "doc_id int, text string, lang string, source string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, [r for i, r in enumerate(docs.collect()) if i not in (1, 4)]))
+    docs = spark.createDataFrame([(1, "x " + item), (1, text()), (None, item), (None, other)], "doc_id int, text string")
+    items = spark.createDataFrame([(None, item), (7, text(20))], "item_id long, text string")
+    assert sorted(map(str, decontam.without_overlaps(docs, items, block_bytes=100).collect())) == sorted(map(str, [docs.collect()[1], docs.collect()[3]]))
+    assert {r.item_id for r in decontam.overlaps(docs, items).collect()} == {None}
+    known = [(i, text(), "en") for i in range(20)]
+    docs = spark.createDataFrame(known + [(50, "12 34", "en"), (50, text(), "en"), (None, "...", None), (None, text(), None)], "doc_id int, text string, lang string")
+    assert sorted(str(r.doc_id) for r in langid.accepted(docs, 0.1).collect()) == sorted([str(i) for i in range(20)] + ["50", "None"])
+
+
+def test_weights_go_by_source(spark):
+    rows = [(None, "a b c", "small"), (None, " ".join("x" * 1 for _ in range(200)), "big"), (5, "d e f", "small"), (5, " ".join("y" for _ in range(300)), "big")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    found = {(r.doc_id, r.source): (r.mix_weight, r.mix_copies) for r in corpus_pipeline.mixture(spark, docs, FOLDER).collect()}
+    assert len(found) == 4 and found[None, "small"][0] == found[5, "small"][0] < 0.1 < 0.9 < found[None, "big"][0] == found[5, "big"][0]
+    assert {found[k][1] for k in found if k[1] == "big"} == {1} and max(found[k][1] for k in found if k[1] == "small") > 1
