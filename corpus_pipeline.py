@@ -1,8 +1,9 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
 
 A stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``; the last
-adds ``mix_weight`` and ``mix_copies``. Documents that a stage has nothing against stay, so do rows
-without an id, which no decision can name (only mixing reads them like any other row).
+adds ``mix_weight`` and ``mix_copies``. Documents that a stage has nothing against stay. Decisions go by row: of two texts under one
+id, each has its own. Rows without an id are judged like any other by language and benchmark and read by mixing; line dedup
+and near-duplicates, which name documents by id, leave them as they are.
 """
 
 from __future__ import annotations
