@@ -34,7 +34,7 @@ def test_mass_survival_and_quantile(spark):
 
 
 def test_inversion_residual_and_unreachable():
-    k, p, r = np.array([3501.0, 25.0, 900.0]), np.array([0.5, 0.3, 0.52]), np.array([7.0, 3.0, 4.0])
+    k, p, r = np.array([77.0, 12.0, 2640.0]), np.array([0.37, 0.81, 0.06]), np.array([2.2, 11.0, 0.7])
     t = S.np_invert(k, p, r, np.full(3, 0.01), np.full(3, 10000.0))
     assert np.abs(S.np_survival(k, np.exp(t), r)[0] - p).max() < 1e-9
     assert np.isnan(S.np_invert(np.array([500.0]), np.array([0.9]), np.array([4.0]), np.array([0.01]), np.array([100.0])))[0]
