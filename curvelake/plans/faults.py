@@ -10,8 +10,13 @@ from curvelake.plans import queries as Q
 from curvelake.plans import roles as R
 from curvelake.plans.registry import detailed, query
 
-PLAYER = F.col(history.ENTITY).cast("bigint")
-USER = F.regexp_extract("canonical_player_id", "[0-9]+$", 0).cast("bigint")
+
+def player() -> Column:
+    return F.col(history.ENTITY).cast("bigint")
+
+
+def user() -> Column:
+    return F.regexp_extract("canonical_player_id", "[0-9]+$", 0).cast("bigint")
 
 
 def spoil(rows: DataFrame, by: Column, modulus: int, faults: dict[int, tuple[str, Column]], again: int | None = None) -> DataFrame:
@@ -28,7 +33,7 @@ def spoil(rows: DataFrame, by: Column, modulus: int, faults: dict[int, tuple[str
 
 def _season_gate(spark, sf) -> DataFrame:
     late = F.col("schedule_games")
-    rows = spoil(R.seasons(spark, sf), PLAYER, 50, {
+    rows = spoil(R.seasons(spark, sf), player(), 50, {
         1: ("quantity", F.lit(1e6)), 2: ("games", late + 2), 3: ("games", late + 1), 4: ("player_name", F.lit(None)), 5: ("team", F.lit(None))})
     return history_gates.season_gate(rows, R.HISTORY)
 
@@ -51,7 +56,7 @@ def fired_warnings(spark, sf):
 def prediction_faults(spark, sf):
     """Features and corrections from the future, repeated keys, broken lineage, impossible outcomes and baselines."""
     target = F.col("target_season")
-    rows = spoil(R.predictions(spark, sf), PLAYER, 50, {
+    rows = spoil(R.predictions(spark, sf), player(), 50, {
         1: ("max_feature_season", target), 2: ("baseline_bias_max_observation_season", target), 5: ("realized_total", F.lit(None)), 6: ("stat", F.lit("other")),
         7: ("feature_seasons", F.concat(F.lit("x|"), "feature_seasons")), 8: ("baseline_bias_exponent", F.lit(-1.0)), 9: ("realized_total", F.lit(-5.0)),
         10: ("realized_total", F.lit(2.5)), 11: ("baseline_mean", F.lit(None)), 12: ("baseline_mean", F.lit(0.0))}, again=3)
@@ -78,16 +83,16 @@ def model_faults(spark, sf):
     attempted, passed, book = F.col("optimizer_converged").isNotNull(), F.col("quality_status") == "passed", F.col("source").isin(quotes.names_of(R.SOURCES, "book"))
     keep = lambda name, where, value: (name, F.when(where, value).otherwise(F.col(name)))
     projections = Q._projections(spark, sf)
-    spoilt = spoil(projections, USER, 29, {
+    spoilt = spoil(projections, user(), 29, {
         1: keep("optimizer_converged", attempted, F.lit(False)), 2: ("sensitivity_low", F.lit(None)), 3: keep("mean", passed, F.lit(1e9)),
         5: keep("fit_error", book & attempted, F.lit(1.0)), 6: keep("logit_rmse", passed & ~book, F.lit(9.0))}, again=4)
     used = F.col("model_inclusion_status") == "included"
     fitted = used & F.col("source_projection_mean").isNotNull()
-    backfilled = spoil(means.backfill_quotes(R.model_quotes(spark, sf), projections), USER, 31, {
+    backfilled = spoil(means.backfill_quotes(R.model_quotes(spark, sf), projections), user(), 31, {
         1: keep("modeled_probability", ~used, F.lit(0.5)), 2: ("modeled_probability", F.lit(None)),
         3: keep("modeled_probability", fitted, F.col("canonical_threshold") / 1e6), 4: ("source_projection_mean", F.col("source_projection_mean") + 100.0),
         6: ("model_exclusion_reason", F.lit("invalid_model_threshold"))})
-    backfilled = backfilled.unionByName(backfilled.filter(fitted & (USER % 31 == 5)))
+    backfilled = backfilled.unionByName(backfilled.filter(fitted & (user() % 31 == 5)))
     dispersions = Q._historical_only(R.dispersions(spark, sf)).withColumn("final_dispersion", F.when(F.col("stat") == "quantity", -1.0).otherwise(F.col("final_dispersion")))
     return detailed(means.model_gate(spoilt, Q.cut(backfilled), dispersions, R.SOURCES, R.MEANS))
 
@@ -96,8 +101,8 @@ def model_faults(spark, sf):
 def consensus_faults(spark, sf):
     """An unknown source, values that are no numbers, repeated keys, a consensus of nobody."""
     estimates = Q._estimates(spark, sf)
-    rows = spoil(estimates, USER, 29, {1: ("source", F.when(F.col("source") == "error", "nowhere").otherwise(F.col("source"))), 2: ("mean", F.lit(float("nan")))}, again=3)
-    blended = spoil(consensus.consensus(estimates, R.SOURCES, R.AGGREGATION), USER, 31, {
+    rows = spoil(estimates, user(), 29, {1: ("source", F.when(F.col("source") == "error", "nowhere").otherwise(F.col("source"))), 2: ("mean", F.lit(float("nan")))}, again=3)
+    blended = spoil(consensus.consensus(estimates, R.SOURCES, R.AGGREGATION), user(), 31, {
         5: ("source_count", F.when(F.col("quality_status") == "passed", 0).otherwise(F.col("source_count")))}, again=4)
     return detailed(consensus.consensus_gate(rows, blended, R.SOURCES, R.AGGREGATION))
 
@@ -105,12 +110,12 @@ def consensus_faults(spark, sf):
 @query
 def scoring_faults(spark, sf):
     """Repeated players, published points that do not reconcile, modes that fall, values hidden without a reason."""
-    inputs = spoil(Q._consensus(spark, sf), USER, 31, {}, again=4)
+    inputs = spoil(Q._consensus(spark, sf), user(), 31, {}, again=4)
     complete = F.col("partial_fpts_standard").isNotNull()
-    scored = spoil(Q._scored(spark, sf), USER, 29, {
+    scored = spoil(Q._scored(spark, sf), user(), 29, {
         2: ("fpts_full_ppr", F.col("fpts_full_ppr") + 1.0), 5: ("partial_fpts_full_ppr", F.col("partial_fpts_full_ppr") - 1e4),
         6: ("components_missing", F.lit(""))}, again=3)
-    hidden = (USER % 29 == 6) & complete
+    hidden = (user() % 29 == 6) & complete
     scored = scored.withColumn("fpts_standard", F.when(~hidden, F.col("fpts_standard")))
     return detailed(score.scoring_gate(inputs, scored, R.SCORING))
 
@@ -119,6 +124,6 @@ def scoring_faults(spark, sf):
 def mart_faults(spark, sf):
     """Lost rows, an infinite value, a repeated header, players without a source row."""
     scored = Q.cut(Q._scored(spark, sf))
-    mart = publish.projection_mart(scored, R.SCORING).filter(USER % 29 != 1)
-    mart = mart.withColumn("quantity", F.when(USER % 29 == 2, float("inf")).otherwise(F.col("quantity"))).select("*", F.lit("again").alias("scoring_scope"))
-    return detailed(publish.mart_gate(mart, scored, Q._estimates(spark, sf).filter(USER % 29 != 3), "projections"))
+    mart = publish.projection_mart(scored, R.SCORING).filter(user() % 29 != 1)
+    mart = mart.withColumn("quantity", F.when(user() % 29 == 2, float("inf")).otherwise(F.col("quantity"))).select("*", F.lit("again").alias("scoring_scope"))
+    return detailed(publish.mart_gate(mart, scored, Q._estimates(spark, sf).filter(user() % 29 != 3), "projections"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from curvelake.plans import roles as R
-from curvelake.plans.oracles import CORRECTED, ESTIMATES, HISTORY, NEAR, QUOTES, SCORED, STATS, WEEKLY, with_
+from curvelake.plans.sql import CORRECTED, ESTIMATES, HISTORY, NEAR, QUOTES, SCORED, STATS, WEEKLY, with_
 
 ORACLES: dict[str, str] = {}
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from curvelake.plans import roles as R
-from curvelake.plans.oracles import QUOTES, WEEKLY, big, match_key, r, with_
+from curvelake.plans.sql import QUOTES, WEEKLY, big, match_key, r, with_
 
 ORACLES: dict[str, str] = {}
 
