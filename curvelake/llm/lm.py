@@ -4,8 +4,10 @@ A word's probability is that of its class, given the words before it, times its
 class. Classes group words with like endings that follow like endings; they come from a table of
 ending pairs, counted over all training texts. The class softmax is log-linear in hashed features
 of the history: the word before (bigram), the word before that (skip), both (trigram). Training
-makes one pass over all training texts in ``rounds`` parts: every task follows the gradient over
-its own texts from the model of the last round, and the tasks' models are averaged by weight.
+makes one pass over all training texts in ``rounds`` parts. A part is dealt into shards by a hash of
+id and text, about ``SHARD`` tokens each; a task follows the gradient over one shard, in the order of
+that hash, from the model of the last round, and the shards' models are averaged by weight. So the
+model depends on the texts alone, not on how they are stored or on the number of tasks.
 
 Words are counted exactly (under 64-bit hashes) over all training texts. The counts of the
 ``top`` most frequent words go to every task; a rarer word of a document meets its count in a
@@ -14,14 +16,17 @@ join. What is broadcast has a fixed size: the top words, the class table and the
 Text is split at ASCII blanks with A-Z in lower case, and an end token closes each document, so a
 null or empty text has one token. Without training texts no token is known, the base score is 0 and
 the model's that of a uniform choice of class. Repeated rows count and score as often as they
-stand; rows without an id keep results of their own. Other columns are ignored.
+stand; rows without an id keep results of their own. Rows equal in id and text share a shard, which
+is read as a stream. A very long text is held whole by one task, with some 100 bytes a token. An empty
+table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from math import log, log10
+from itertools import islice
+from math import ceil, log, log10
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +43,24 @@ TOP = 1 << 17
 #: The end token, which no word can be, as it has blanks.
 END = b" end "
 BATCH, RATE = 2048, 0.4
+#: Training tokens of a shard, and how many shards a round has at most: beyond SHARD * SHARDS tokens the shards grow, not
+#: the models that cross the network.
+SHARD, SHARDS = 1 << 21, 1 << 15
+
+
+class _Numbers(dict):
+    """Words to numbers; a word not seen before gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class Vocabulary:
     """Numbers for words as they come, with their ``hashes`` and ``endings``. The end token is 0."""
 
     def __init__(self):
-        self.number = {END: 0}
+        self.number = _Numbers({END: 0})
         self.hashes = np.array([xxhash.xxh3_64_intdigest(END)], np.uint64).view(np.int64)
         self.endings = np.zeros(1, np.int64)
 
@@ -53,13 +69,14 @@ class Vocabulary:
 
     def take(self, words: list[bytes]) -> np.ndarray:
         """The numbers of ``words``; those not seen before get the next ones."""
-        fresh = list(set(words).difference(self.number))
-        if fresh:
-            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh)), strict=True))
+        before = len(self.number)
+        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if len(self.number) > before:
+            fresh = list(islice(self.number, before, None))
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], np.uint64).view(np.int64)
             endings = np.array([xxhash.xxh32_intdigest(w[-3:], 9) for w in fresh], np.int64) % (ENDINGS - 1) + 1
             self.hashes, self.endings = np.concatenate([self.hashes, hashes]), np.concatenate([self.endings, endings])
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return found
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens in a row, and how many each text has."""
@@ -166,36 +183,61 @@ class Model:
         return out
 
 
+def _sums(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over runs of rows that begin at ``first``. Most runs are short, so their k-th rows are added at once."""
+    total = values[first]
+    left = np.flatnonzero(sizes > 1)
+    for k in range(1, 8):
+        if not len(left):
+            return total
+        total[left] += values[first[left] + k]
+        left = left[sizes[left] > k + 1]
+    for i in left:
+        total[i] += values[first[i] + 8:first[i] + sizes[i]].sum(0)
+    return total
+
+
 def _follow(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
-    """Gradient steps over one task's texts; gives the changed weights, each with the tokens that it has seen."""
+    """Gradient steps over one shard's texts; gives the changed weights, each with the tokens that it has seen."""
     start: Model = held.value
     model = replace(start, weight=start.weight.copy())
     moved = np.full((KINDS * FEATURES, 1), 1.0, np.float32)  # squared gradients so far, per feature
     seen = np.zeros(KINDS * FEATURES)
     words = Vocabulary()
+
+    def step(own: np.ndarray, goal: np.ndarray) -> None:
+        logit = model.logits(own)
+        np.exp(logit, out=logit)
+        logit /= logit.sum(1, keepdims=True)
+        logit[np.arange(len(goal)), goal] -= 1  # the gradient of each token's loss
+        flat = own.reshape(-1).astype(np.uint16)
+        order = np.argsort(flat, kind="stable")
+        ranked = flat[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        sizes = np.diff(np.r_[first, len(ranked)])
+        total = _sums(logit[order % len(goal)], first, sizes)
+        rows = ranked[first].astype(np.int64)
+        seen[rows] += sizes
+        moved[rows] += np.einsum("ij,ij->i", total, total)[:, None]
+        total *= np.float32(RATE) / np.sqrt(moved[rows])
+        model.weight[rows] -= total
+
+    # Steps are cut from the shard's run of tokens, wherever its Arrow batches end.
+    rest, goals = np.zeros((KINDS, 0), np.int64), np.zeros(0, np.int64)
     for piece in slices(batches, 2048):
         if len(words) > 1 << 20:
             words = Vocabulary()
         token, sizes = words.texts(piece.column(0).to_pylist())
-        feature = model.features(words, token, sizes)
-        target = model.classes[words.endings[token]]
-        for at in range(0, len(token), BATCH):
-            own, goal = feature[:, at:at + BATCH], target[at:at + BATCH]
-            logit = model.logits(own)
-            np.exp(logit, out=logit)
-            logit /= logit.sum(1, keepdims=True)
-            logit[np.arange(len(goal)), goal] -= 1  # the gradient of each token's loss
-            flat = own.reshape(-1).astype(np.uint16)
-            order = np.argsort(flat, kind="stable")
-            ranked = flat[order]
-            first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-            total = np.add.reduceat(logit[order % len(goal)], first, axis=0)
-            rows = ranked[first].astype(np.int64)
-            seen[rows] += np.diff(np.r_[first, len(ranked)])
-            moved[rows] += np.einsum("ij,ij->i", total, total)[:, None]
-            model.weight[rows] -= RATE * total / np.sqrt(moved[rows])
+        feature = np.hstack([rest, model.features(words, token, sizes)])
+        target = np.r_[goals, model.classes[words.endings[token]]]
+        whole = len(target) - len(target) % BATCH
+        for at in range(0, whole, BATCH):
+            step(feature[:, at:at + BATCH], target[at:at + BATCH])
+        rest, goals = feature[:, whole:], target[whole:]
+    if len(goals):
+        step(rest, goals)
     at = np.flatnonzero(seen)
-    weight = model.weight[at].astype(np.float64) * seen[at, None]
+    weight = (model.weight[at] * seen[at, None]).astype(np.float32)
     names = ["feature", "seen", *(f"w{c}" for c in range(CLASSES))]
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), *(pa.array(np.ascontiguousarray(weight[:, c])) for c in range(CLASSES))], names=names)
 
@@ -244,12 +286,15 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return words, pairs.reshape(ENDINGS, ENDINGS)
 
 
-def train(texts: DataFrame, model: Model, rounds: int = 2) -> Model:
-    """Average the tasks' models after every round; ``texts`` has ``text`` and ``part`` (0 .. rounds - 1)."""
-    schema = ", ".join(["feature bigint", "seen double", *(f"w{c} double" for c in range(CLASSES))])
+def train(learned: DataFrame, model: Model, rounds: int = 2, shards: int = 1) -> Model:
+    """Average the models of the ``shards`` of every round over ``learned`` (``doc_id, text``)."""
+    schema = ", ".join(["feature bigint", "seen double", *(f"w{c} float" for c in range(CLASSES))])
+    keyed = learned.select("text", F.xxhash64("doc_id", "text").alias("key"))
     for part in range(rounds):
-        held = texts.sparkSession.sparkContext.broadcast(model)  # a fixed size
-        sums = texts.filter(F.col("part") == part).select("text").mapInArrow(lambda it, held=held: _follow(it, held), schema).groupBy("feature").agg(
+        held = learned.sparkSession.sparkContext.broadcast(model)  # a fixed size
+        own = keyed.filter(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(rounds)) == part)
+        dealt = own.repartitionById(shards, F.pmod("key", F.lit(shards)).cast("int")).sortWithinPartitions("key").select("text")
+        sums = dealt.mapInArrow(lambda it, held=held: _follow(it, held), schema).groupBy("feature").agg(
             F.sum("seen").alias("seen"), *[F.sum(f"w{c}").alias(f"w{c}") for c in range(CLASSES)]).toArrow()
         weight = model.weight.copy()
         total = np.stack([sums[f"w{c}"].to_numpy() for c in range(CLASSES)], 1) if sums.num_rows else np.zeros((0, CLASSES))
@@ -271,7 +316,7 @@ class Fitted:
     top_count: np.ndarray
 
 
-def fit(learned: DataFrame, rounds: int = 2, top: int = TOP) -> Fitted:
+def fit(learned: DataFrame, rounds: int = 2, top: int = TOP, shard: int = SHARD) -> Fitted:
     """Count, group and train over all texts of ``learned`` (``doc_id, text``)."""
     words, pairs = vocabulary(learned.select("text"))
     size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -283,7 +328,7 @@ def fit(learned: DataFrame, rounds: int = 2, top: int = TOP) -> Fitted:
         distinct[classes[r.ending]] += r.v
     base = np.log((tokens + 0.1) / (tokens + 0.1).sum())
     model = Model(classes, base.astype(np.float32), np.log10(tokens + 0.1 * (distinct + 1)), np.zeros((KINDS * FEATURES, CLASSES), np.float32))
-    model = train(learned.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("part")), model, rounds)
+    model = train(learned, model, rounds, min(SHARDS, max(1, ceil(int(size.n) / rounds / shard))))
     frequent = words.orderBy(F.desc("c"), "hash").limit(top).select("hash", "c").toArrow()
     return Fitted(model, words, int(size.n), int(size.v), frequent["hash"].to_numpy(), frequent["c"].to_numpy().astype(np.float64))
 

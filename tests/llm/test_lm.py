@@ -6,6 +6,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from curvelake.llm import lm
 
@@ -150,3 +151,43 @@ def test_a_word_that_only_the_two_before_it_tell_is_learned(spark):
     assert found.n > 30
     # One bit each for the first two words of a triple and nothing for the third; half a bit more is allowed.
     assert found.score / (found.n * 60) > -2.5 * log10(2)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    """The same rows in 1 and in 64 partitions, over several shards and with repeated rows and rows without an id."""
+    rows = corpus() + [(None, None), (None, "the end"), (7, "der die und")] * 3
+    own = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "false held_out", "text")
+    def found(parts):
+        table = own.repartition(parts)
+        got = lm.score_with(table, lm.fit(table.select("doc_id", "text"), top=50, shard=800)).collect()
+        return sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in got)
+    one, many = found(1), found(64)
+    assert [r[:3] for r in one] == [r[:3] for r in many]
+    assert np.allclose([r[3:] for r in one], [r[3:] for r in many], rtol=0, atol=1e-6)
+
+
+def test_steps_do_not_depend_on_arrow_batches():
+    rng = np.random.default_rng(3)
+    model = lm.Model(np.arange(lm.ENDINGS) % lm.CLASSES, np.zeros(lm.CLASSES, np.float32), np.zeros(lm.CLASSES), np.zeros((lm.KINDS * lm.FEATURES, lm.CLASSES), np.float32))
+    class Held:
+        value = model
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{x}" for x in rng.integers(0, 300, 40)) for _ in range(150)]})
+    whole = next(lm._follow(iter([batch]), Held))
+    cut = next(lm._follow(iter([batch.slice(i, 11) for i in range(0, 150, 11)]), Held))
+    assert whole.equals(cut)
+    assert sum(whole["seen"].to_pylist()) == 150 * 41 * lm.KINDS
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(1)
+    sizes = np.r_[rng.integers(1, 12, 50), 1, 8, 9, 300]
+    first = np.cumsum(sizes) - sizes
+    values = rng.normal(size=(sizes.sum(), 5))
+    assert np.allclose(lm._sums(values, first, sizes), np.add.reduceat(values, first, axis=0))
+
+
+def test_clashing_columns_and_a_very_long_text(spark):
+    rows = [(1, "Aa " * 200_000, "row", 5), (2, "aa bb", None, 6), (2, "aa bb", None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, key long")
+    got = sorted((r.doc_id, r.n_tokens) for r in lm.scores(docs.withColumnRenamed("row", "hash").withColumn("part", F.lit(1))).collect())
+    assert got == [(1, 200_001), (2, 3), (2, 3)]
