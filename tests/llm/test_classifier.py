@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from curvelake.llm import classifier
@@ -83,3 +85,52 @@ def test_odd_rows(spark):
     both = spark.createDataFrame([(1, 1), (1, 0), (1, 1)], "doc_id int, quality int")  # a contradiction
     assert classifier.quality(docs, both).count() == 4
     assert classifier.quality(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_a_very_long_text_trains_in_bounded_memory():
+    texts = [b"some words of a clean text. " * 750_000, b"## $$ %%", b"short"]
+    assert len(texts[0]) > 20_000_000
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    net = classifier.train(texts, [1, 0, 1], epochs=1)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert peak < 300e6
+    assert all(np.isfinite(v).all() for v in net.values())
+
+
+def test_gradient_does_not_depend_on_pieces(monkeypatch):
+    net = classifier.new_network(2)
+    parts = [classifier.chunks(t * 9 if t else t) for t in TEXTS]
+    label, weight = np.arange(len(parts)) % 2, np.ones(len(parts))
+    whole = classifier._gradient(parts, label, weight, net)
+    monkeypatch.setattr(classifier, "PIECE", 3)
+    cut = classifier._gradient(parts, label, weight, net)
+    assert whole.keys() == cut.keys() == net.keys()
+    assert all(np.allclose(whole[k], cut[k], rtol=1e-4, atol=1e-6) for k in net)
+
+
+def test_text_of_the_least_hash_teaches_and_bytes_are_bounded(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, c * 100) for i in ids for c in "ab"], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id int, quality int")
+    seen = []
+
+    def keep(batches):
+        rows = [r for b in batches for r in b.to_pylist()]
+        yield pa.RecordBatch.from_pydict({"net": pa.array([repr(sorted((r["doc_id"], r["quality"], r["body"]) for r in rows)).encode()], pa.binary())})
+    monkeypatch.setattr(classifier, "_fit", keep)
+    monkeypatch.setattr(classifier.np, "load", lambda file: seen.append(eval(file.getvalue())) or {})
+    for parts in (1, 7):
+        classifier.fit(docs.repartition(parts), labels.repartition(parts))
+    classifier.fit(docs, labels, max_bytes=1000)
+    assert seen[0] == seen[1] and [r[0] for r in seen[0]] == ids
+    assert len({r[2] for r in seen[0]}) == 1
+    assert sorted(r[1] for r in seen[2]) == [0] * 5 + [1] * 5 and set(seen[2]) < set(seen[0])
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, ["good words here", "## $$"][i % 2], 5, b"x", 1) for i in range(40)], "doc_id int, text string, quality int, body binary, before int")
+    labels = spark.createDataFrame([(i, 1 - i % 2, "y") for i in range(40)], "doc_id int, quality int, text string")
+    found = classifier.quality(docs, labels)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"] and found.count() == 40
