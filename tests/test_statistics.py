@@ -88,6 +88,32 @@ def test_bootstrap_keeps_replicates_far_from_the_full_fit(spark):
     assert (got.log_dispersion_upper - got.log_dispersion_lower) * math.sqrt(fits.collect()[0].curvature) > 40
 
 
+def test_a_task_returns_its_replicates_sums_and_no_row_per_draw(spark):
+    obs = cut(observations(spark, n=300, seed=5).repartition(3))
+    draws = calibrate.season_draws(obs, RULES).toPandas()
+    tickets = {k: (g["ticket"].to_numpy(np.uint64), g["replicate"].to_numpy(np.int64)) for k, g in draws.groupby(["stat", "season"])}
+    h1, h2 = calibrate._hash_parts(F.concat_ws("|", "stat", F.col("season").cast("string"), calibrate.ENTITY))
+    hashed = cut(obs.withColumns({"h1": h1, "h2": h2}))
+    stat = obs.first()["stat"]
+    parts = calibrate._drawn_sums(hashed, tickets, {stat: (1.0, 2.0)}, RULES.bootstrap_samples)
+    got = parts.toPandas()
+    assert len(got) <= 3 * RULES.bootstrap_samples
+    rows = hashed.toPandas()
+    for replicate in (0, 7, RULES.bootstrap_samples - 1):
+        drawn, first, last = 0, 0.0, 0.0
+        for _, d in draws[draws.replicate == replicate].iterrows():
+            for row in rows[rows.season == d.season].itertuples():
+                mixed = (row.h1 + d.ticket * row.h2) % calibrate.HASH_PRIME
+                u = (mixed * mixed + d.ticket) % calibrate.HASH_PRIME / calibrate.HASH_PRIME
+                times = sum(u >= c for c in calibrate.UNIT_POISSON)
+                drawn += times
+                first -= times * row.w * float(S.np_nb_logpmf(row.y, row.mu, math.exp(1.0)))
+                last -= times * row.w * float(S.np_nb_logpmf(row.y, row.mu, math.exp(2.0)))
+        mine = got[got.replicate == replicate]
+        assert mine.drawn_rows.sum() == drawn
+        assert mine.c0.sum() == pytest.approx(first) and mine[f"c{calibrate.BOOTSTRAP_NODES - 1}"].sum() == pytest.approx(last)
+
+
 def curve_rows(spark, noise=0.1):
     rng = np.random.default_rng(5)
     rows = []
