@@ -43,15 +43,11 @@ def read_documents(spark: SparkSession, path: str, kind: str) -> DataFrame:
     ``file`` is the path below ``path``; partition folders become columns. A file that is no JSON object of
     the snapshot's kind stays, with its text in ``_corrupt_record`` and nothing else, so that a gate can name it.
     """
-    schema = schemas.BOOK_SNAPSHOT if kind == "book" else schemas.CONTRACT_SNAPSHOT
     files = spark.read.text(path, wholetext=True)
     parts = [c for c in files.columns if c != "value"]
     start = F.instr(F.col("_metadata.file_path"), path.rstrip("/").rsplit("/", 1)[-1] + "/") + len(path.rstrip("/").rsplit("/", 1)[-1]) + 1
-    document = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = files.select(*parts, F.substr(F.col("_metadata.file_path"), start).alias("file"), "value", document.alias("d"))
-    whole = F.trim("value").startswith("{") & F.col("d").isNotNull() & F.col("d._corrupt_record").isNull()
-    fields = [f.name for f in parsed.schema["d"].dataType.fields if f.name != "_corrupt_record"]
-    found = parsed.select(*parts, "file", *[F.when(whole, F.col(f"d.{f}")).alias(f) for f in fields], F.when(~F.coalesce(whole, F.lit(False)), F.col("value")).alias("_corrupt_record"))
+    found = parse_documents(files.select(*parts, F.substr(F.col("_metadata.file_path"), start).alias("file"), "value"), kind)
+    fields = [c for c in found.columns if c not in (*parts, "file", "_corrupt_record")]
     # A scan skips files without a byte; the listing knows them.
     empty = [(p.split(path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1],) for p, size in file_sizes(spark, path) if not size]
     if not empty:
@@ -62,6 +58,26 @@ def read_documents(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return found.unionByName(lost)
 
 
+def read_archive(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The documents of an archive (``write_archive``), as ``read_documents`` gives them: one row per document under its own ``file``.
+
+    Many small documents fill few large files, which list and scan like any table; a document without text is a line like the others.
+    """
+    lines = spark.read.schema("file string, value string").json(path)
+    return parse_documents(lines.select("file", F.coalesce("value", F.lit("")).alias("value")), kind)
+
+
+def parse_documents(texts: DataFrame, kind: str) -> DataFrame:
+    """Texts ``value`` as snapshot documents of a kind, beside the other columns; one that is no such object stays in ``_corrupt_record``."""
+    schema = schemas.BOOK_SNAPSHOT if kind == "book" else schemas.CONTRACT_SNAPSHOT
+    others = [c for c in texts.columns if c != "value"]
+    document = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = texts.select(*others, "value", document.alias("d"))
+    whole = F.trim("value").startswith("{") & F.col("d").isNotNull() & F.col("d._corrupt_record").isNull()
+    fields = [f.name for f in parsed.schema["d"].dataType.fields if f.name != "_corrupt_record"]
+    return parsed.select(*others, *[F.when(whole, F.col(f"d.{f}")).alias(f) for f in fields], F.when(~F.coalesce(whole, F.lit(False)), F.col("value")).alias("_corrupt_record"))
+
+
 def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """The data files below a folder and their bytes, from its listing."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

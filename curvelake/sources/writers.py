@@ -55,6 +55,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     format_doubles(df).write.mode("errorifexists").option("header", True).csv(path)
 
 
+def write_archive(documents: DataFrame, path: str) -> None:
+    """Publish small documents (``file``: its name, ``value``: its text, as it is) as JSON lines of some large files, one line each."""
+    documents.select("file", "value").write.mode("errorifexists").json(path)
+
+
 def write_checks(checks: DataFrame, path: str) -> None:
     """Publish a check table as JSON lines."""
     checks.write.mode("errorifexists").json(path)

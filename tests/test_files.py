@@ -91,6 +91,28 @@ def test_documents_keep_their_file_and_their_faults(spark, tmp_path):
     assert rows["source=s/good.json"].markets[0].market_line == 1.5 and rows["source=s/bare.json"].metadata is None and rows["source=s/cut.json"].markets is None
 
 
+def test_an_archive_gives_the_documents_of_its_files(spark, tmp_path):
+    good = {"metadata": {"season": "s"}, "markets": [{"market_id": "m", "market_line": 1.5}]}
+    texts = {"good": json.dumps(good, indent=2), "cut": json.dumps(good)[:40], "list": json.dumps([good]), "empty": "", "number": "7", "bare": " {}", "quoted": '{"a": "\\u2028 \\" \r\n'}
+    (tmp_path / "files").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "files" / name).write_bytes(text.encode())
+    writers.write_archive(spark.createDataFrame(list(texts.items()), "file string, value string").repartition(2), str(tmp_path / "archive"))
+    one, other = readers.read_documents(spark, str(tmp_path / "files"), "book"), readers.read_archive(spark, str(tmp_path / "archive"), "book")
+    assert one.columns == other.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())) and one.count() == len(texts)
+
+
+def test_snapshot_documents_fill_few_files(spark, tmp_path, monkeypatch):
+    events = spark.range(4000).selectExpr("id event_id", "timestamp'2024-01-30' + make_interval(0, 0, 0, 0, 0, 0, id) ts", "id user_id",
+                                          "element_at(array('click', 'view', 'purchase'), cast(id % 3 + 1 as int)) event_type", "cast(id % 90 as double) value", "'{\"k\": 4}' props")
+    events.write.parquet(str(tmp_path / "in" / "events.parquet"))
+    monkeypatch.setattr(landing, "shared_folder", lambda _, name: str(tmp_path / name))
+    found = landing.snapshot_files(spark, str(tmp_path / "in"))
+    files = readers.file_paths(spark, str(tmp_path / "snapshots-book"))
+    assert found.filter("name like '%.season' and name not like '%market%'").count() == 45 and 0 < len(files) <= 4  # three of 48 documents are cut off
+
+
 def test_snapshot_checks_tell_sources_and_files_apart(spark, tmp_path):
     side = lambda line: {"selection_id": "s", "label": f"Over {line}", "american_odds": -120}
     market = lambda i, line=20.5, **kw: {"market_id": i, "season": "s", "stat": "t", "market_line": line, "threshold_operators": {"over": ">", "under": "<"},
