@@ -10,14 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvelake.session import dealt
+
 # Depth bands in cents, and executable sizes in contracts.
 DEPTH_BANDS = (1, 5, 10, 25)
 EXECUTION_SIZES = (1, 10, 100, 500, 1000)
+# Resting orders that one task holds, on average.
+ORDERS_PER_TASK = 500_000
 
 
 def combine_levels(levels: DataFrame) -> DataFrame:
-    """One row per market, side and price."""
-    return levels.groupBy("market_id", "side", "price").agg(
+    """One row per market, side and price; a market's rows lie in one task from here on, and tasks hold some ``ORDERS_PER_TASK`` orders."""
+    return dealt(levels, ORDERS_PER_TASK, "market_id").groupBy("market_id", "side", "price").agg(
         F.sum("quantity").alias("quantity"), F.count("*").alias("level_count"))
 
 
@@ -54,10 +58,12 @@ def band_depth(combined: DataFrame) -> DataFrame:
     """Contracts and notional within each band of the best price, per market and book side."""
     ladder = quote_ladder(combined)
     key = ["market_id", "book_side"]
-    best = ladder.groupBy(*key).agg(F.max("price").alias("_high"), F.min("price").alias("_low"))
+    # One row per price tick, so a window holds at most one book's ticks.
+    mine = Window.partitionBy(*key)
     bid = F.col("book_side") == "bid"
     away = F.when(bid, F.col("_high") - F.col("price")).otherwise(F.col("price") - F.col("_low"))
-    near = ladder.join(best, key).withColumn("away", away)
+    near = ladder.filter(F.col("market_id").isNotNull()).withColumns({
+        "_high": F.max("price").over(mine), "_low": F.min("price").over(mine)}).withColumn("away", away)
 
     def inside(cents: int, value: Column) -> Column:
         band = F.lit(cents).cast("decimal(18,4)") / 100

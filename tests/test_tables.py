@@ -98,6 +98,32 @@ def test_similarity_blocking_is_complete(spark):
     assert got == {(a, b) for a in words for b in words if 200 * lcs(a, b) / (len(a) + len(b)) >= 80}
 
 
+def test_books_are_dealt_into_tasks_of_bounded_size(spark, monkeypatch):
+    from decimal import Decimal
+    monkeypatch.setattr(books, "ORDERS_PER_TASK", 100)
+    rows = [(i % 250 if i else None, "yes" if i % 3 else "no", Decimal(30 + i % 41) / 100, Decimal(1 + i % 7)) for i in range(2000)]
+    levels = spark.createDataFrame(rows, "market_id long, side string, price decimal(18,4), quantity decimal(18,4)")
+    combined = books.combine_levels(levels)
+    depth, fills = books.band_depth(combined), books.execution_quotes(combined)
+    for table in (combined, depth, fills):
+        assert table.rdd.getNumPartitions() == 20
+        plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange") == 1
+    got = {(r.market_id, r.book_side): r for r in depth.collect()}
+    for market in range(250):
+        for side, here in (("yes", "bid"), ("no", "ask")):
+            mine = [(p if side == "yes" else 1 - p, q) for m, s, p, q in rows if m == market and s == side]
+            if not mine:
+                assert (market, here) not in got
+                continue
+            best = max(p for p, _ in mine) if side == "yes" else min(p for p, _ in mine)
+            for cents in books.DEPTH_BANDS:
+                near = [(p, q) for p, q in mine if abs(p - best) <= Decimal(cents) / 100]
+                assert got[market, here][f"within_{cents}c_contracts"] == sum(q for _, q in near)
+                assert got[market, here][f"within_{cents}c_notional"] == sum(p * q for p, q in near)
+    assert (None, "ask") not in got
+
+
 def test_execution_quotes_against_a_plain_walk(spark):
     raw = [(1, "no", "0.60", "5"), (1, "no", "0.55", "20"), (1, "yes", "0.35", "3"), (1, "yes", "0.30", "500"), (1, "yes", "0.35", "4")]
     levels = spark.createDataFrame(raw, "market_id long, side string, price string, quantity string").select(
