@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvelake.operators.names import WHO, id_range, rank_candidates, similar_keys
-from curvelake.session import cut, spread
+from curvelake.session import cut, growing, spread
 
 #: Known keys of one statistic that lie in one part.
 PART = 4096
@@ -105,7 +105,7 @@ def in_blocks(asked: DataFrame, ranges: DataFrame, team_ranges: DataFrame) -> Da
     mates = team_ranges.groupBy("match_key", "stat").agg(F.map_from_entries(F.collect_list(F.struct("team", "team_id"))).alias("mates"))
     sizes = ranges.groupBy("stat").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     none = F.lit(None)
-    known = ranges.join(mates, ["match_key", "stat"], "left").join(sizes, "stat").select(
+    known = ranges.join(growing(mates), ["match_key", "stat"], "left").join(sizes, "stat").select(
         "stat", F.pmod(F.xxhash64("match_key"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("side"), none.cast("string").alias("source"),
         none.cast("string").alias("raw_player_name"), "match_key", "low_id", "high_id", "mates", none.cast("array<string>").alias("teams"))
     open_ = asked.select(*WHO, "match_key", "teams", F.explode("stats").alias("stat")).join(sizes, "stat").select(
@@ -138,13 +138,13 @@ def best_two(asked: DataFrame, pool: DataFrame, teams: DataFrame, floors: Sequen
     ``canonical_player_id, team``. A name is settled at the first floor above which two players lie: all others are below it.
     """
     ranges = cut(id_range(pool))
-    team_ranges = cut(pool.join(teams, "canonical_player_id").groupBy("match_key", "stat", "team").agg(F.max("canonical_player_id").alias("team_id")))
+    team_ranges = cut(pool.join(growing(teams), "canonical_player_id").groupBy("match_key", "stat", "team").agg(F.max("canonical_player_id").alias("team_id")))
     keys = pool.select("match_key").distinct()
     open_, settled = cut(asked), None
     for floor in floors:
         pairs = similar_keys(open_.select(F.col("match_key").alias("query_key")).distinct(), keys, floor)
         found = cut(rank_candidates(open_, pairs, ranges, team_ranges).filter("runner_up_score is not null"))
         settled = found if settled is None else settled.unionByName(found)
-        open_ = cut(open_.join(found, WHO, "left_anti"))
+        open_ = cut(open_.join(growing(found), WHO, "left_anti"))
     rest = best_of(in_blocks(open_, ranges, team_ranges))
     return rest if settled is None else settled.select(rest.columns).unionByName(rest)

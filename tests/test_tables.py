@@ -98,6 +98,20 @@ def test_similarity_blocking_is_complete(spark):
     assert got == {(a, b) for a in words for b in words if 200 * lcs(a, b) / (len(a) + len(b)) >= 80}
 
 
+def test_names_meet_in_parts_and_not_in_the_driver(spark):
+    history_rows = spark.createDataFrame([(str(i), f"Player Number{i}", "QB", "T", "yards") for i in range(30)], "gsis_player_id string, player_name string, position string, team string, stat string")
+    quoted = spark.createDataFrame([("book", f"Player Numbe{i}", "yards", "T", None) for i in range(30)], "source string, raw_player_name string, stat string, team string, team_abbreviation string")
+    pool = names.pool_from_history(history_rows)
+    pairs = names.similar_keys(pool.select(F.col("match_key").alias("query_key")).distinct(), pool.select("match_key").distinct(), 90.0)
+    identities = names.market_identities(quoted, ["book"])
+    mapped = quoted.select("source", "raw_player_name", *[F.lit("x").alias(c) for c in (
+        "canonical_player_id", "canonical_player_name", "canonical_position", "canonical_gsis_player_id", "match_method", "match_score", "review_status")])
+    for table in (pool, pairs, names.exact_matches(identities, names.id_range(pool)), names.decorate(quoted, mapped)):
+        table.collect()
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_books_are_dealt_into_tasks_of_bounded_size(spark, monkeypatch):
     from decimal import Decimal
     monkeypatch.setattr(books, "ORDERS_PER_TASK", 100)
