@@ -112,6 +112,46 @@ def test_names_meet_in_parts_and_not_in_the_driver(spark):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+@pytest.mark.parametrize("floor", [80.0, 87.0, 90.0, 100.0])
+def test_names_of_even_letters_meet_by_segments(spark, monkeypatch, floor):
+    import random
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    known = sorted({word(8) + " " + word(rng.choice([3, 8, 8, 15])) for _ in range(400)} | {word(n) for n in (1, 2, 5, 6)})
+    asked = set()
+    for key in known:
+        for edits in range(6):
+            letters = list(key)
+            for _ in range(edits):
+                at = rng.randrange(len(letters) + 1)
+                if rng.random() < 0.5 and at < len(letters) and len(letters) > 1:
+                    del letters[at]
+                else:
+                    letters.insert(at, rng.choice("0123456789abcdef "))
+            asked.add("".join(letters))
+    met = []
+    count = names._meetings
+    monkeypatch.setattr(names, "_meetings", lambda *a: met.append(count(*a)) or met[-1])
+    got = names.similar_keys(spark.createDataFrame([(q,) for q in asked], "query_key string"), spark.createDataFrame([(k,) for k in known], "match_key string"), floor)
+    found = {(r.query_key, r.match_key) for r in got.collect() if r.score < 100 or r.query_key == r.match_key}
+
+    def likeness(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(last[j] + 1 if x == y else max(row[j], last[j + 1]))
+        return 200 * row[-1] / (len(a) + len(b))
+
+    sample = rng.sample(sorted(asked), 120)
+    for q in sample:
+        for k in known:
+            close = abs(len(q) - len(k)) <= (1 - floor / 100) * (len(q) + len(k)) + 1e-9 and likeness(q, k) >= floor - 1e-9
+            assert ((q, k) in found) == close, (q, k)
+    if floor >= 87:
+        assert met[0] * 20 < met[1]  # segments, far fewer than by pieces
+
+
 def test_books_are_dealt_into_tasks_of_bounded_size(spark, monkeypatch):
     from decimal import Decimal
     monkeypatch.setattr(books, "ORDERS_PER_TASK", 100)
