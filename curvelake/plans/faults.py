@@ -94,7 +94,7 @@ def model_faults(spark, sf):
         6: ("model_exclusion_reason", F.lit("invalid_model_threshold"))})
     backfilled = backfilled.unionByName(backfilled.filter(fitted & (user() % 31 == 5)))
     dispersions = Q._historical_only(R.dispersions(spark, sf)).withColumn("final_dispersion", F.when(F.col("stat") == "quantity", -1.0).otherwise(F.col("final_dispersion")))
-    return detailed(means.model_gate(spoilt, Q.cut(backfilled), dispersions, R.SOURCES, R.MEANS))
+    return detailed(means.model_gate(spoilt, Q.cut(backfilled.select(*means.GATE_READS)), dispersions, R.SOURCES, R.MEANS))
 
 
 @query
