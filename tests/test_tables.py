@@ -112,6 +112,30 @@ def test_names_meet_in_parts_and_not_in_the_driver(spark):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_equal_quotes_are_dropped_before_their_sets_are_made(spark):
+    quoted = spark.createDataFrame([("book", n, s, t, None) for n in ("Ann Lee", " Ann Lee", "Bo") for s in ("yards", None) for t in ("A", None)] * 3, QUOTE)
+    table = names.market_identities(quoted, ["book"])
+    assert [tuple(r) for r in table.orderBy("raw_player_name").collect()] == [("book", "Ann Lee", ["yards"], ["A"], "ann lee"), ("book", "Bo", ["yards"], ["A"], "bo")]
+    # Two groupings: by all columns (hashed, however many kinds there are), then by name.
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+
+
+def test_later_sources_do_not_go_through_the_pool_again(spark, monkeypatch):
+    sizes, plain = [], names.id_range
+    monkeypatch.setattr(names, "id_range", lambda pool: (sizes.append(pool.distinct().count()), plain(pool))[1])
+    known = [(str(i), f"Player Number{i}", "QB", "T", "yards") for i in range(30)]
+    # The alias gives gsis:1 a second key, with its old team, and a new team, with its old key.
+    known += [("1", "Lena Vastberg", "QB", "OLD", "yards"), ("8", "Lena Vastberg", "QB", "T", "yards"), ("9", "Nick Name", "QB", "T", "yards")]
+    quoted = [("draftkings", "Nick Name", "yards", "NEW", None), ("fanduel", "Nick Namee", "yards", "OLD", None), ("fanduel", "Lena Vastbergg", "yards", "NEW", None),
+              ("kalshi", "Nick Namee", "yards", "ELSE", None), ("kalshi", "Lena Vastbergg", "yards", "OLD", None), ("kalshi", "Player Number7", "yards", None, None)]
+    alias = [("draftkings", "Nick Name", "gsis:1", "Lena Vastberg", "")]
+    rows = names.reconcile(spark.createDataFrame(quoted, QUOTE), spark.createDataFrame(known, HIST), spark.createDataFrame(alias, ALIAS), SOURCES, NameRules()).collect()
+    best = {(r.source, r.raw_player_name): r.candidate_canonical_player_id or r.canonical_player_id for r in rows}
+    assert best == {("draftkings", "Nick Name"): "gsis:1", ("fanduel", "Nick Namee"): "gsis:1", ("fanduel", "Lena Vastbergg"): "gsis:1", ("kalshi", "Nick Namee"): "gsis:9",
+                    ("kalshi", "Lena Vastbergg"): "gsis:1", ("kalshi", "Player Number7"): "gsis:7"}
+    assert sizes[0] >= 33 and max(sizes[1:]) < 10
+
+
 @pytest.mark.parametrize("floor", [80.0, 87.0, 90.0, 100.0])
 def test_names_of_even_letters_meet_by_segments(spark, monkeypatch, floor):
     import random
