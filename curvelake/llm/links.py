@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvelake.llm.common import written
+from curvelake.session import growing
 
 
 def _stars(edges: DataFrame, upward: bool) -> DataFrame:
@@ -14,11 +15,11 @@ def _stars(edges: DataFrame, upward: bool) -> DataFrame:
         # Both directions: every node meets its whole neighbourhood, larger ones move to the least.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        moved = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = both.filter("b > a").join(growing(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         low = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = low.groupBy("a").agg(F.min("b").alias("m"))
-        moved = low.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        moved = low.join(growing(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return moved.filter("a <> b").distinct()
 
 
@@ -33,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Done when no node both hangs on another and has others hanging on it, and each hangs once.
         hubs = current.select("b").distinct()
-        open_ends = current.join(hubs.withColumnRenamed("b", "a"), "a", "left_semi").limit(1).count()
+        open_ends = current.join(growing(hubs.withColumnRenamed("b", "a")), "a", "left_semi").limit(1).count()
         twice = current.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
         if not open_ends and not twice:
             break

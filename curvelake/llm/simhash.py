@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from curvelake.llm.common import map_slices, slices, written
 from curvelake.llm.links import components
-from curvelake.session import spread
+from curvelake.session import growing, spread
 
 SEED = 42
 #: The documents of one fingerprint are dealt in parts of so many rows, or of this share of all rows if that is more.
@@ -130,7 +130,8 @@ def links(prints: DataFrame, distance: int = 4, blocks: int = 8, tile: int = 204
     keyed = prints.select("print").distinct().select("print", F.explode(keys).alias("key"))
     # Most keys belong to one fingerprint; counting first leaves few rows to sort.
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    rows = keyed.join(shared, "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("long")).withColumn(
+    # Spark takes the keys of a fingerprint for one row, so that it would send them through the driver: many times the limit.
+    rows = keyed.join(growing(shared), "key").withColumn("tiles", F.ceil(F.col("n") / tile).cast("long")).withColumn(
         "tile", F.pmod(F.xxhash64("print", F.lit(1)), F.col("tiles")))
     # Tile pair (i, j), i <= j, is i * tiles + j; the lower tile has side 0.
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: F.struct(
@@ -149,20 +150,20 @@ def groups(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 8
     nodes = written(prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     grouped = components(links(spread(nodes, "print"), distance, blocks))
     # The name of a linked group is the smallest id of its members.
-    named = nodes.join(grouped, nodes["print"] == grouped["node"])
+    named = nodes.join(growing(grouped), nodes["print"] == grouped["node"])
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))
     found = named.join(smallest, "component").select(F.col("print").alias("p"), "component", "smallest")
     # Equal fingerprints may be a third of all documents: their join is dealt in parts. At most LARGEST fingerprints have so many
     # documents, so that their list is broadcast at any size.
     many = max(PART_ROWS, (nodes.agg(F.sum("n").alias("n")).first().n or 0) // LARGEST)
     width = (F.floor(F.col("n") / many) + 1).cast("bigint")
-    final = nodes.join(found, F.col("print") == F.col("p"), "left").select(
+    final = nodes.join(growing(found), F.col("print") == F.col("p"), "left").select(
         F.col("print").alias("own"), F.coalesce("component", "print").alias("node"), F.when(F.col("p").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"),
         F.sequence(F.lit(0).cast("bigint"), width - 1).alias("parts"))
     large = nodes.filter(F.col("n") >= many).select(F.col("print").alias("wide"), width.alias("width"))
     dealt = prints.join(F.broadcast(large), F.col("print") == F.col("wide"), "left").withColumn(
         "part", F.pmod(F.xxhash64("doc_id", "hash"), F.coalesce("width", F.lit(1).cast("bigint"))))
-    return dealt.join(final.withColumn("own_part", F.explode("parts")), (F.col("print") == F.col("own")) & (F.col("part") == F.col("own_part"))).select(
+    return dealt.join(growing(final.withColumn("own_part", F.explode("parts"))), (F.col("print") == F.col("own")) & (F.col("part") == F.col("own_part"))).select(
         "doc_id", "hash", "print", "node", "component_id")
 
 
@@ -180,7 +181,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: in
     chosen = found.filter("doc_id = component_id").groupBy("node").agg(F.min_by(F.struct("doc_id", "hash"), F.col("hash")).alias("c"), F.count("*").alias("n"))
     chosen = written(chosen.select(F.col("c.doc_id").alias("__own_id"), F.col("c.hash").alias("__own_hash"), "n"))
     hash_ = F.xxhash64(F.coalesce("text", F.lit("")))
-    kept = docs.join(chosen, (F.col("doc_id").cast("bigint") == F.col("__own_id")) & (hash_ == F.col("__own_hash")), "left")
+    kept = docs.join(growing(chosen), (F.col("doc_id").cast("bigint") == F.col("__own_id")) & (hash_ == F.col("__own_hash")), "left")
     named = kept.filter("doc_id is null or __own_id is not null")
     if chosen.filter("n > 1").isEmpty():
         return named.select(docs.columns)

@@ -110,3 +110,17 @@ def test_one_of_each(spark):
     want = {c for d, _, c in plain_groups(rows) if d is not None}
     got = [r.doc_id for r in kept.collect()]
     assert sorted(d for d in got if d is not None) == sorted(want) and got.count(None) == 2
+
+
+def test_growing_tables_never_pass_the_driver(spark):
+    """Spark takes the 70 keys of a fingerprint for one row, so small tables show what larger ones under its limit would do."""
+    prints, edges = spark.range(20).selectExpr("id print"), spark.range(20).selectExpr("id a", "id + 1 b")
+    for table in (simhash.links(prints), links._stars(edges, True), links._stars(edges, False)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_chosen_documents_never_pass_the_driver(spark):
+    docs = spark.createDataFrame([(*r, "c") for r in corpus()], "doc_id int, text string, component_id string")
+    plan = simhash.one_of_each(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
