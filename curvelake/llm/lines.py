@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvelake.llm.common import map_slices, slices, written
+from curvelake.session import growing
 
 #: Stands for a missing id, below every real one.
 NO_ID = -(1 << 63)
@@ -161,7 +162,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with a column ``__own_keep`` holding the bitmap, null where every line stays."""
     marks = bitmaps.select(F.col("doc").alias("__own_doc"), F.col("print").alias("__own_print"), F.col("keep").alias("__own_keep"))
-    return docs.join(marks, (_doc(docs) == F.col("__own_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__own_print")), "left").drop("__own_doc", "__own_print")
+    return docs.join(growing(marks), (_doc(docs) == F.col("__own_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__own_print")), "left").drop("__own_doc", "__own_print")
 
 
 def kept_lines(text: str | None, keep: bytes | None) -> tuple[int, int, str | None]:

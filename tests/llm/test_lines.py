@@ -94,3 +94,9 @@ def test_the_stage_keeps_columns_and_updates_lengths(spark):
 
 def test_empty_table(spark):
     assert queries.digest_of_lines(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def test_bitmaps_never_pass_the_driver(spark):
+    docs, marks = spark.range(20).selectExpr("id doc_id", "'text' text"), spark.range(20).selectExpr("id doc", "id print", "1L n_lines", "1L n_dropped", "X'00' keep")
+    plan = lines.with_bitmaps(docs, marks)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
