@@ -327,3 +327,14 @@ def test_snapshot_files_normalise_and_price(spark, tmp_path):
     (tmp_path / "broken.json").write_text("{not json")
     with pytest.raises(ValueError):
         readers.read_snapshot(spark, str(tmp_path / "broken.json"), "book")
+
+
+def test_names_with_an_exact_match_ask_for_no_similar_ones(spark, monkeypatch):
+    """The search grows with the product of both sides; what an exact match settles needs none of it."""
+    asked, search = [], names.similar_keys
+    monkeypatch.setattr(names, "similar_keys", lambda queries, keys, floor: asked.extend(r[0] for r in queries.collect()) or search(queries, keys, floor))
+    rows = resolve(spark, [("draftkings", "Lena Vastberg"), ("fanduel", "Lena Vastberg"), ("draftkings", "Theodor Brennecker")],
+                   [("24", "Lena Vastberg"), ("25", "Theodore Brenneckar")])
+    assert asked == ["theodor brennecker"]
+    assert rows["draftkings", "Lena Vastberg"].match_method == rows["fanduel", "Lena Vastberg"].match_method == "exact_match_key"
+    assert rows["draftkings", "Theodor Brennecker"].candidate_canonical_player_id == "gsis:25"
